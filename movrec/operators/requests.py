@@ -142,12 +142,14 @@ def _pair_join(mov: DataFrame, pairs: DataFrame) -> Column:
 def request_verdict(pairs: Measured, mov: DataFrame) -> DataFrame:
     """A1: per request, MATCH when its movements hold a NULL type and a ``'STANDIN'`` type.
 
-    Only the four key columns of the movements are read, and only rows that
-    can raise one of the two flags.  ``bool_or`` aggregates map-side first.
+    Only the four key columns of the movements are read; every request with
+    at least one movement gets a verdict.  ``bool_or`` aggregates map-side
+    first, so a request matching a huge share of the table stays spread over
+    many tasks.
     """
-    narrow = restrict_period(mov, pairs.extras["_lo"], pairs.extras["_hi"]).filter(
-        F.col("tipo_procesamiento").isNull() | (F.col("tipo_procesamiento") == F.lit(STANDIN))
-    ).select("numero_cuenta_id", "numero_documento", "periodo", "tipo_procesamiento")
+    narrow = restrict_period(mov, pairs.extras["_lo"], pairs.extras["_hi"]).select(
+        "numero_cuenta_id", "numero_documento", "periodo", "tipo_procesamiento"
+    )
     p = pairs.side()
     joined = narrow.join(p, _pair_join(narrow, p))
     flags = joined.groupBy(*REQ_KEY).agg(

@@ -150,11 +150,185 @@ resultado_a AS (
 )"""
 
 
+WIN_CTES = """
+win AS (
+  SELECT row_number() OVER () AS wid, periodo_tope AS lo, periodo AS hi
+  FROM ventanas WHERE periodo IS NOT NULL AND periodo_tope IS NOT NULL
+),
+cuentas_docs_b AS (
+  SELECT w.wid, w.lo, w.hi, mc.numero_cuenta_id, mc.numero_documento, mc.numero_comprobante_reposting
+  FROM win w JOIN movimientos mc ON mc.periodo BETWEEN w.lo AND w.hi
+  WHERE mc.tipo_procesamiento IN ('STANDIN_P', 'STANDIN')
+),
+reposting_bancs_b AS (
+  SELECT u.wid, u.lo, u.hi, mc.numero_cuenta_id, mc.numero_documento, u.numero_documento AS numero_comprobante_standin
+  FROM movimientos mc JOIN cuentas_docs_b u
+    ON mc.numero_cuenta_id = u.numero_cuenta_id AND mc.numero_documento = u.numero_comprobante_reposting
+  WHERE mc.periodo BETWEEN u.lo AND u.hi AND mc.tipo_procesamiento IS NULL
+),
+simil AS (
+  SELECT wid, lo, hi, numero_cuenta_id AS cuenta, numero_documento AS documento FROM reposting_bancs_b
+  UNION
+  SELECT wid, lo, hi, numero_cuenta_id, numero_comprobante_standin FROM reposting_bancs_b
+),
+resultado_b AS (
+  SELECT u.wid, mc.*
+  FROM movimientos mc JOIN simil u ON mc.numero_cuenta_id = u.cuenta AND mc.numero_documento = u.documento
+  WHERE mc.periodo BETWEEN u.lo AND u.hi
+)"""
+
+MARK_CTES = """
+marks AS (
+  SELECT m.periodo, m.id_transaccion, m.tipo_procesamiento,
+         max(r.numero_documento_original) AS numero_comprobante_reposting,
+         10 AS estado_transaccion,
+         count(DISTINCT r.numero_documento_original) AS n_documentos
+  FROM req r JOIN movimientos m
+    ON (m.id_transaccion = r.guid_ordenante OR m.id_transaccion = r.guid_beneficiario)
+   AND m.periodo >= r.periodo_tope AND m.tipo_procesamiento = 'STANDIN'
+  GROUP BY m.periodo, m.id_transaccion, m.tipo_procesamiento
+)"""
+
+
+def day(ref: str, name: str) -> str:
+    return f"strftime({ref}, '%Y-%m-%d') AS {name}"
+
+
+def _leg_delete_match(alias: str) -> str:
+    return f"""EXISTS (
+  SELECT 1 FROM solicitudes r
+  WHERE r.periodo IS NOT NULL AND r.guid_ordenante IS NOT NULL AND r.guid_ordenante <> ''
+    AND r.periodo = {alias}.periodo
+    AND ({alias}.id_transaccion = r.guid_ordenante OR {alias}.id_transaccion = r.guid_beneficiario))"""
+
+
+ARCHIVE_COND = """(b.numero_comprobante_reposting IS NULL OR b.numero_comprobante_reposting = ''
+   OR b.tipo_procesamiento IS NULL OR b.tipo_procesamiento = '')"""
+
+KEY_GUARD = "{a}.periodo IS NOT NULL AND {a}.id_transaccion IS NOT NULL AND {a}.id_transaccion <> ''"
+
+
+def _keyed_type_update(source: str, source_filter: str, new_type: str) -> str:
+    return f"""SELECT {text_columns('x')}
+FROM (
+  SELECT m.* REPLACE (
+    CASE WHEN EXISTS (
+      SELECT 1 FROM {source} s
+      WHERE {source_filter} AND {KEY_GUARD.format(a='s')}
+        AND s.periodo = m.periodo AND s.id_transaccion = m.id_transaccion)
+    THEN '{new_type}' ELSE m.tipo_procesamiento END AS tipo_procesamiento)
+  FROM movimientos m
+) x"""
+
+
 def _sql() -> dict[str, str]:
     q: dict[str, str] = {}
+    both = REQ_CTES + "," + WIN_CTES
+    q["format_movements"] = with_fixtures("", f"SELECT {text_columns('m')} FROM movimientos m")
+    q["strip_leading_zeros"] = with_fixtures(
+        "",
+        "SELECT id_transaccion, cuenta_beneficiario, ltrim(cuenta_beneficiario, '0') AS cuenta_beneficiario_sin_ceros FROM movimientos",
+    )
+    q["guard_requests"] = with_fixtures(
+        REQ_CTES,
+        f"""SELECT producto_ordenante, producto_beneficiario, numero_documento_original,
+  {day('periodo', 'periodo')}, {day('periodo_tope', 'periodo_tope')}, guid_ordenante, guid_beneficiario FROM req""",
+    )
+    q["request_leg_lookup"] = with_fixtures(
+        REQ_CTES,
+        f"""SELECT u.guid_ordenante, u.numero_documento_original, {day('u.lo', 'periodo_tope')}, {day('u.hi', 'periodo')},
+  u.cuenta_ordenante, u.cuenta_beneficiario, u.numero_documento FROM unicidad u""",
+    )
+    q["request_key_pairs"] = with_fixtures(
+        REQ_CTES,
+        f"""SELECT r.guid_ordenante, r.numero_documento_original, {day('c.lo', 'periodo_tope')}, {day('c.hi', 'periodo')},
+  c.cuenta, c.documento
+FROM cuentas_docs c JOIN req r USING (rid)
+WHERE c.cuenta IS NOT NULL AND c.documento IS NOT NULL""",
+    )
+    q["request_movements"] = with_fixtures(
+        REQ_CTES,
+        f"""SELECT r.guid_ordenante, r.numero_documento_original, {day('r.periodo_tope', 'periodo_tope')}, {day('r.periodo', 'periodo')},
+  b.id_transaccion, {day('b.periodo', 'periodo_movimiento')}, b.tipo_procesamiento
+FROM reposting_bancs b JOIN req r USING (rid)""",
+    )
+    q["request_verdict"] = with_fixtures(
+        REQ_CTES,
+        f"""SELECT DISTINCT r.guid_ordenante, r.numero_documento_original, {day('r.periodo_tope', 'periodo_tope')},
+  {day('r.periodo', 'periodo')}, v.reposting_completo
+FROM verdict v JOIN req r USING (rid)""",
+    )
     q["match_requests"] = with_fixtures(
         REQ_CTES, f"SELECT {text_columns('a')},\n  a.reposting_completo FROM resultado_a a"
     )
+    q["mark_reposted_changes"] = with_fixtures(
+        REQ_CTES + "," + MARK_CTES,
+        f"""SELECT {day('periodo', 'periodo')}, id_transaccion, tipo_procesamiento, numero_comprobante_reposting,
+  estado_transaccion, n_documentos FROM marks""",
+    )
+    q["mark_reposted_apply"] = with_fixtures(
+        REQ_CTES + "," + MARK_CTES,
+        f"""SELECT {text_columns('x')}
+FROM (
+  SELECT m.* REPLACE (
+    CASE WHEN c.id_transaccion IS NOT NULL THEN c.numero_comprobante_reposting ELSE m.numero_comprobante_reposting END
+      AS numero_comprobante_reposting,
+    CASE WHEN c.id_transaccion IS NOT NULL THEN c.estado_transaccion ELSE m.estado_transaccion END AS estado_transaccion)
+  FROM movimientos m LEFT JOIN marks c
+    ON m.periodo = c.periodo AND m.id_transaccion = c.id_transaccion AND m.tipo_procesamiento = c.tipo_procesamiento
+) x""",
+    )
+    q["guard_windows"] = with_fixtures(
+        "",
+        f"""SELECT {day('periodo', 'periodo')}, {day('periodo_tope', 'periodo_tope')} FROM ventanas
+WHERE periodo IS NOT NULL AND periodo_tope IS NOT NULL""",
+    )
+    q["window_standins"] = with_fixtures(
+        WIN_CTES,
+        f"""SELECT {day('lo', 'periodo_tope')}, {day('hi', 'periodo')}, numero_cuenta_id, numero_documento,
+  numero_comprobante_reposting FROM cuentas_docs_b""",
+    )
+    q["window_core_pairs"] = with_fixtures(
+        WIN_CTES,
+        f"""SELECT DISTINCT {day('lo', 'periodo_tope')}, {day('hi', 'periodo')}, numero_cuenta_id AS cuenta,
+  numero_documento, numero_comprobante_standin FROM reposting_bancs_b""",
+    )
+    q["window_key_union"] = with_fixtures(
+        WIN_CTES, f"SELECT {day('lo', 'periodo_tope')}, {day('hi', 'periodo')}, cuenta, documento FROM simil"
+    )
+    q["match_windows"] = with_fixtures(WIN_CTES, f"SELECT {text_columns('b')} FROM resultado_b b")
+    q["request_leg_delete"] = with_fixtures(
+        "", f"SELECT {text_columns('m')} FROM movimientos m WHERE NOT {_leg_delete_match('m')}"
+    )
+    q["request_leg_delete_rows"] = with_fixtures(
+        "", f"SELECT {text_columns('m')} FROM movimientos m WHERE {_leg_delete_match('m')}"
+    )
+    q["park_unmatched"] = with_fixtures(
+        REQ_CTES, _keyed_type_update("resultado_a", "s.reposting_completo = 'NO MATCH'", "STANDIN_P")
+    )
+    q["release_parked"] = with_fixtures(
+        WIN_CTES, _keyed_type_update("resultado_b", "s.tipo_procesamiento = 'STANDIN_P'", "STANDIN")
+    )
+    q["archive_rows"] = with_fixtures(
+        WIN_CTES, f"SELECT {text_columns('b')} FROM resultado_b b WHERE {ARCHIVE_COND}"
+    )
+    q["purge_archived"] = with_fixtures(
+        WIN_CTES,
+        f"""SELECT {text_columns('m')} FROM movimientos m
+WHERE NOT EXISTS (
+  SELECT 1 FROM resultado_b b
+  WHERE {ARCHIVE_COND} AND {KEY_GUARD.format(a='b')}
+    AND b.periodo = m.periodo AND b.id_transaccion = m.id_transaccion)""",
+    )
+    q["action_audit"] = with_fixtures(
+        WIN_CTES,
+        f"""SELECT {day('b.periodo', 'periodo')}, b.id_transaccion, CAST(NULL AS VARCHAR) AS delete_status,
+  CASE WHEN NOT ({KEY_GUARD.format(a='b')}) THEN 'skipped'
+       WHEN EXISTS (SELECT 1 FROM movimientos m WHERE m.periodo = b.periodo AND m.id_transaccion = b.id_transaccion)
+       THEN 'applied' ELSE 'not_found' END AS outcome
+FROM resultado_b b WHERE b.tipo_procesamiento = 'STANDIN_P'""",
+    )
+    _ = both
     return q
 
 
