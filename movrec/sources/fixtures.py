@@ -173,7 +173,7 @@ def ventanas(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_SNAPSHOTS: dict[tuple[int, str], str] = {}
+_SNAPSHOTS: dict[tuple[int, str], tuple] = {}
 
 
 def fixture_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -187,8 +187,9 @@ def fixture_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     from movrec.sources.snapshot import load_snapshot, write_snapshot
 
     key = (id(spark.sparkContext._jsc), sf_dir)
-    path = _SNAPSHOTS.get(key)
-    if path is None:
-        path = write_snapshot(movimientos(spark, sf_dir), scratch_path(spark, "movimientos"))
-        _SNAPSHOTS[key] = path
-    return load_snapshot(spark, path)
+    hit = _SNAPSHOTS.get(key)
+    if hit is None:
+        mov = movimientos(spark, sf_dir)
+        hit = (write_snapshot(mov, scratch_path(spark, "movimientos")), mov.schema)
+        _SNAPSHOTS[key] = hit
+    return load_snapshot(spark, hit[0], schema=hit[1])

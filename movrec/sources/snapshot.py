@@ -17,10 +17,15 @@ from pyspark.sql import functions as F
 from movrec.schema import MOVEMENT_COLUMNS
 
 
-def load_snapshot(spark: SparkSession, path: str, fmt: str = "parquet", **options) -> DataFrame:
-    """Read a movement snapshot written by :func:`write_snapshot` (or any table with the 50 columns)."""
-    df = spark.read.format(fmt).options(**options).load(path)
-    return df.select(*MOVEMENT_COLUMNS)
+def load_snapshot(spark: SparkSession, path: str, fmt: str = "parquet", schema=None, **options) -> DataFrame:
+    """Read a movement snapshot written by :func:`write_snapshot` (or any table with the 50 columns).
+
+    Pass ``schema`` when it is known to skip schema inference on the files.
+    """
+    reader = spark.read.format(fmt).options(**options)
+    if schema is not None:
+        reader = reader.schema(schema)
+    return reader.load(path).select(*MOVEMENT_COLUMNS)
 
 
 def jdbc_options(
