@@ -170,7 +170,9 @@ def request_movements(pairs: Measured, mov: DataFrame, verdict: DataFrame | None
     """
     p = pairs.df
     if verdict is not None:
-        p = p.join(verdict, list(REQ_KEY), "left").withColumn(
+        # one verdict row per request: never more rows than the measured pairs
+        v = F.broadcast(verdict) if pairs.broadcastable else verdict
+        p = p.join(v, list(REQ_KEY), "left").withColumn(
             VERDICT_COLUMN, F.coalesce(F.col(VERDICT_COLUMN), F.lit(NO_MATCH))
         )
     p = F.broadcast(p) if pairs.broadcastable else p
