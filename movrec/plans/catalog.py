@@ -142,6 +142,18 @@ def q_mark_reposted_apply(spark, sf_dir):
     return format_movements(ap.apply_updates(mov, materialize(marks), ch.MARK_KEYS, ch.MARK_ASSIGN))
 
 
+def q_match_requests_after_mark(spark, sf_dir):
+    from movrec.plans.batch import reconcile_batch
+
+    return reconcile_batch(requests(spark, sf_dir), movements(spark, sf_dir), read_after_mark=True).matched
+
+
+def q_reconcile_batch(spark, sf_dir):
+    from movrec.plans.batch import reconcile_batch
+
+    return format_movements(reconcile_batch(requests(spark, sf_dir), movements(spark, sf_dir)).snapshot)
+
+
 # --- transform B ----------------------------------------------------------------
 def _window_cols() -> list[Column]:
     return [_day("wn_lo").alias("periodo_tope"), _day("wn_hi").alias("periodo")]
@@ -252,6 +264,8 @@ PLANS: dict[str, Plan] = {
     "match_requests": q_match_requests,
     "mark_reposted_changes": q_mark_reposted_changes,
     "mark_reposted_apply": q_mark_reposted_apply,
+    "match_requests_after_mark": q_match_requests_after_mark,
+    "reconcile_batch": q_reconcile_batch,
     "guard_windows": q_guard_windows,
     "window_standins": q_window_standins,
     "window_core_pairs": q_window_core_pairs,

@@ -112,44 +112,52 @@ def with_fixtures(body_ctes: str, final: str) -> str:
 
 
 # --- transform A, stated per driving row -------------------------------------
-REQ_CTES = """
+REQ_BASE = """
 req AS (
   SELECT row_number() OVER () AS rid, *
   FROM solicitudes
   WHERE producto_ordenante IS NOT NULL AND producto_ordenante <> ''
     AND producto_beneficiario IS NOT NULL AND producto_beneficiario <> ''
     AND numero_documento_original IS NOT NULL AND numero_documento_original <> ''
-),
-unicidad AS (
+)"""
+
+
+def a_steps(source: str = "movimientos", suffix: str = "") -> str:
+    """Transform A over the movement view ``source``; CTE names get ``suffix``."""
+    return f"""
+unicidad{suffix} AS (
   SELECT r.rid, r.periodo_tope AS lo, r.periodo AS hi, r.guid_ordenante, r.numero_documento_original,
          u.id_transaccion, u.periodo AS leg_periodo,
          u.numero_cuenta_id AS cuenta_ordenante, ltrim(u.cuenta_beneficiario, '0') AS cuenta_beneficiario,
          u.numero_documento
-  FROM req r JOIN movimientos u
+  FROM req r JOIN {source} u
     ON u.id_transaccion = r.guid_ordenante AND u.periodo >= r.periodo_tope AND u.periodo <= r.periodo
 ),
-cuentas_docs AS (
-  SELECT rid, lo, hi, cuenta_ordenante AS cuenta, numero_documento AS documento FROM unicidad
-  UNION ALL SELECT rid, lo, hi, cuenta_beneficiario, numero_documento FROM unicidad
-  UNION ALL SELECT rid, lo, hi, cuenta_ordenante, numero_documento_original FROM unicidad
-  UNION ALL SELECT rid, lo, hi, cuenta_beneficiario, numero_documento_original FROM unicidad
+cuentas_docs{suffix} AS (
+  SELECT rid, lo, hi, cuenta_ordenante AS cuenta, numero_documento AS documento FROM unicidad{suffix}
+  UNION ALL SELECT rid, lo, hi, cuenta_beneficiario, numero_documento FROM unicidad{suffix}
+  UNION ALL SELECT rid, lo, hi, cuenta_ordenante, numero_documento_original FROM unicidad{suffix}
+  UNION ALL SELECT rid, lo, hi, cuenta_beneficiario, numero_documento_original FROM unicidad{suffix}
 ),
-reposting_bancs AS (
+reposting_bancs{suffix} AS (
   SELECT u.rid, mc.*
-  FROM movimientos mc JOIN cuentas_docs u ON mc.numero_cuenta_id = u.cuenta AND mc.numero_documento = u.documento
+  FROM {source} mc JOIN cuentas_docs{suffix} u ON mc.numero_cuenta_id = u.cuenta AND mc.numero_documento = u.documento
   WHERE mc.periodo >= u.lo AND mc.periodo <= u.hi
 ),
-verdict AS (
+verdict{suffix} AS (
   SELECT rid,
          CASE WHEN bool_or(tipo_procesamiento IS NULL) AND bool_or(tipo_procesamiento = 'STANDIN')
               THEN 'MATCH' ELSE 'NO MATCH' END AS reposting_completo
-  FROM reposting_bancs GROUP BY rid
+  FROM reposting_bancs{suffix} GROUP BY rid
 ),
-resultado_a AS (
-  SELECT rb.*, v.reposting_completo FROM reposting_bancs rb JOIN verdict v USING (rid)
+resultado_a{suffix} AS (
+  SELECT rb.*, v.reposting_completo FROM reposting_bancs{suffix} rb JOIN verdict{suffix} v USING (rid)
 )"""
 
 
+REQ_CTES = REQ_BASE + "," + a_steps()
+
+
 WIN_CTES = """
 win AS (
   SELECT row_number() OVER () AS wid, periodo_tope AS lo, periodo AS hi
@@ -190,6 +198,17 @@ marks AS (
 )"""
 
 
+MARKED_CTES = """
+movimientos_marcados AS (
+  SELECT m.* REPLACE (
+    CASE WHEN c.id_transaccion IS NOT NULL THEN c.numero_comprobante_reposting ELSE m.numero_comprobante_reposting END
+      AS numero_comprobante_reposting,
+    CASE WHEN c.id_transaccion IS NOT NULL THEN c.estado_transaccion ELSE m.estado_transaccion END AS estado_transaccion)
+  FROM movimientos m LEFT JOIN marks c
+    ON m.periodo = c.periodo AND m.id_transaccion = c.id_transaccion AND m.tipo_procesamiento = c.tipo_procesamiento
+)"""
+
+
 def day(ref: str, name: str) -> str:
     return f"strftime({ref}, '%Y-%m-%d') AS {name}"
 
@@ -327,6 +346,25 @@ WHERE NOT EXISTS (
        WHEN EXISTS (SELECT 1 FROM movimientos m WHERE m.periodo = b.periodo AND m.id_transaccion = b.id_transaccion)
        THEN 'applied' ELSE 'not_found' END AS outcome
 FROM resultado_b b WHERE b.tipo_procesamiento = 'STANDIN_P'""",
+    )
+    marked = REQ_CTES + "," + MARK_CTES + "," + MARKED_CTES
+    q["mark_reposted_apply"] = with_fixtures(marked, f"SELECT {text_columns('x')} FROM movimientos_marcados x")
+    q["match_requests_after_mark"] = with_fixtures(
+        marked + "," + a_steps("movimientos_marcados", "_m"),
+        f"SELECT {text_columns('a')},\n  a.reposting_completo FROM resultado_a_m a",
+    )
+    q["reconcile_batch"] = with_fixtures(
+        marked,
+        f"""SELECT {text_columns('x')}
+FROM (
+  SELECT m.* REPLACE (
+    CASE WHEN EXISTS (
+      SELECT 1 FROM resultado_a s
+      WHERE s.reposting_completo = 'NO MATCH' AND {KEY_GUARD.format(a='s')}
+        AND s.periodo = m.periodo AND s.id_transaccion = m.id_transaccion)
+    THEN 'STANDIN_P' ELSE m.tipo_procesamiento END AS tipo_procesamiento)
+  FROM movimientos_marcados m
+) x""",
     )
     _ = both
     return q

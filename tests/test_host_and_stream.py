@@ -1,0 +1,48 @@
+"""Host-shaped entry points over a written snapshot, and the streaming adapter."""
+
+from collections import Counter
+
+import brute
+from movrec.plans import host
+from movrec.session import scratch_path
+from movrec.sources.snapshot import load_snapshot, write_snapshot
+from movrec.streaming import start_request_stream
+from rows import LEDGER, REQUESTS, movements_df, requests_df, REQ_SCHEMA
+
+
+def _snapshot(spark):
+    path = scratch_path(spark, "snap")
+    write_snapshot(movements_df(spark, LEDGER), path, files=2)
+    return path
+
+
+def test_transform_and_outputs_over_parquet_snapshot(spark):
+    path = _snapshot(spark)
+    params = {"SNAPSHOT_PATH": path}
+    req = requests_df(spark, REQUESTS)
+    matched = host.transform_requests(spark, req, params)
+    got = Counter((r["id_transaccion"], r["periodo"], r["reposting_completo"]) for r in matched.collect())
+    assert got == brute.match_requests(LEDGER, REQUESTS)
+
+    out = scratch_path(spark, "snap-out")
+    res = host.output_park(spark, matched, {}, {**params, "SNAPSHOT_OUT": out})
+    parked = {r["id_transaccion"] for r in load_snapshot(spark, out).filter("tipo_procesamiento = 'STANDIN_P'").collect()}
+    assert {"S2", "P2", "E2"} <= parked
+    assert {r["outcome"] for r in res.status.collect()} == {"applied"}
+
+    marked = host.mark_requests(spark, req, {}, params).snapshot
+    assert marked.filter("estado_transaccion = 10").count() == len(brute.mark_reposted(LEDGER, REQUESTS))
+
+
+def test_request_stream_matches_batch(spark):
+    snap = _snapshot(spark)
+    src = scratch_path(spark, "req-in")
+    batch = REQUESTS[:6]
+    requests_df(spark, batch).write.parquet(src)
+    sink = scratch_path(spark, "req-out")
+    stream = spark.readStream.schema(REQ_SCHEMA).parquet(src)
+    q = start_request_stream(stream, lambda: load_snapshot(spark, snap), sink, available_now=True)
+    q.awaitTermination(180)
+    out = spark.read.parquet(sink)
+    got = Counter((r["id_transaccion"], r["periodo"], r["reposting_completo"]) for r in out.collect())
+    assert got == brute.match_requests(LEDGER, batch)
