@@ -51,6 +51,12 @@ def movement_text_columns(df: DataFrame) -> list[Column]:
     return [as_text(df, c) for c in MOVEMENT_COLUMNS]
 
 
-def format_movements(df: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
-    """Project the 50 movement columns as text, in output order, plus ``extra`` columns."""
+def format_movements(df: DataFrame, extra: tuple[str, ...] = (), repeat: str | None = None) -> DataFrame:
+    """Project the 50 movement columns as text, in output order, plus ``extra`` columns.
+
+    With ``repeat``, each input row is emitted ``df[repeat]`` times (a local
+    generator in the same projection step, no shuffle).
+    """
+    if repeat is not None:
+        df = df.select(*MOVEMENT_COLUMNS, *extra, F.explode(F.sequence(F.lit(1), F.col(repeat).cast("int"))).alias("_i"))
     return df.select(*movement_text_columns(df), *[F.col(c) for c in extra])

@@ -14,6 +14,17 @@ from movrec.schema import WRITE_KEY
 from movrec.sources.lake import append_to_lake, read_lake
 
 
+def batch_in_lake(spark, path: str, fmt: str, batch_id: str) -> bool:
+    """Whether a batch with this id was already appended (a rerun after a crash)."""
+    try:
+        lake = read_lake(spark, path, fmt=fmt)
+    except Exception:  # no lake yet
+        return False
+    if "archive_batch_id" not in lake.columns:
+        return False
+    return lake.filter(F.col("archive_batch_id") == F.lit(batch_id)).limit(1).count() > 0
+
+
 @dataclass
 class ArchiveResult:
     archived: DataFrame  # the rows as written to the lake (read back)
@@ -35,13 +46,16 @@ def archive_and_purge(
     that same materialised selection: a failed append raises before anything
     is purged, and every written key is purged - the reference only purges the
     keys its 10,000-row preview happened to evaluate.  ``batch_id`` tags the
-    rows so a rerun can find a batch that is already in the lake.
+    rows; a rerun with the same id finds the batch already in the lake, skips
+    the append and only purges, so a crash between append and purge never
+    archives a batch twice.
     """
     selection = archive_rows(rows)
     if batch_id is not None:
         selection = selection.withColumn("archive_batch_id", F.lit(batch_id))
     sel = materialize(selection)
-    append_to_lake(sel.df, path, fmt=fmt)
+    if batch_id is None or not batch_in_lake(mov.sparkSession, path, fmt, batch_id):
+        append_to_lake(sel.df, path, fmt=fmt)
     written = read_lake(mov.sparkSession, path, fmt=fmt)
     if batch_id is not None:
         written = written.filter(F.col("archive_batch_id") == F.lit(batch_id))

@@ -167,17 +167,26 @@ def request_movements(pairs: Measured, mov: DataFrame, verdict: DataFrame | None
 
     Returns the movement columns (typed) plus the request key, the verdict
     when given, and ``_rep`` = how many times the row repeats in the result.
+
+    The verdict has one row per request, never more rows than the measured
+    pairs.  On the broadcast path both are probed from the movement stream
+    (the pairs broadcast is shared with the verdict subtree).  On the shuffle
+    path the verdict is attached to the pairs first, so the wide movement rows
+    are shuffled once, by their (account, document) key only.
     """
-    p = pairs.df
-    if verdict is not None:
-        # one verdict row per request: never more rows than the measured pairs
-        v = F.broadcast(verdict) if pairs.broadcastable else verdict
-        p = p.join(v, list(REQ_KEY), "left").withColumn(
-            VERDICT_COLUMN, F.coalesce(F.col(VERDICT_COLUMN), F.lit(NO_MATCH))
-        )
-    p = F.broadcast(p) if pairs.broadcastable else p
     wide = restrict_period(mov, pairs.extras["_lo"], pairs.extras["_hi"])
-    joined = wide.join(p, _pair_join(wide, p))
+    if pairs.broadcastable:
+        p = F.broadcast(pairs.df)
+        joined = wide.join(p, _pair_join(wide, p))
+        if verdict is not None:
+            joined = joined.join(F.broadcast(verdict), list(REQ_KEY), "left")
+    else:
+        p = pairs.df
+        if verdict is not None:
+            p = p.join(verdict, list(REQ_KEY), "left")
+        joined = wide.join(p, _pair_join(wide, p))
+    if verdict is not None:
+        joined = joined.withColumn(VERDICT_COLUMN, F.coalesce(F.col(VERDICT_COLUMN), F.lit(NO_MATCH)))
     return joined.withColumn("_rep", F.col("rq_n") * F.col("kp_m"))
 
 
@@ -208,4 +217,4 @@ def match_requests(req: DataFrame, mov: DataFrame) -> DataFrame:
         return empty_result(mov.sparkSession, True)
     verdict = request_verdict(pairs, mov)
     rows = request_movements(pairs, mov, verdict)
-    return format_movements(expand(rows), extra=(VERDICT_COLUMN,))
+    return format_movements(rows, extra=(VERDICT_COLUMN,), repeat="_rep")

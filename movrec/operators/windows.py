@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from movrec.functions.formatting import format_movements
 from movrec.functions.predicates import all_truthy
 from movrec.operators.ranges import DEFAULT_BIN_DAYS, attach_windows, window_bins
-from movrec.operators.requests import as_date, empty_result, expand
+from movrec.operators.requests import as_date, empty_result
 from movrec.operators.sizing import Measured, materialize
 from movrec.schema import STANDIN, STANDIN_PARKED
 from movrec.sources.snapshot import restrict_period
@@ -144,4 +144,4 @@ def match_windows(win: DataFrame, mov: DataFrame, bin_days: int = DEFAULT_BIN_DA
     keys = prepare_window_keys(win, mov, bin_days)
     if keys is None or keys.rows == 0:
         return empty_result(mov.sparkSession, False)
-    return format_movements(expand(window_movements(keys, mov)))
+    return format_movements(window_movements(keys, mov), repeat="_rep")

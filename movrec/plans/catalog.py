@@ -32,17 +32,29 @@ def _day(c: str | Column) -> Column:
     return F.date_format(F.col(c) if isinstance(c, str) else c, DATE_PATTERN)
 
 
+_INPUTS: dict[tuple[str, str, str], DataFrame] = {}
+
+
+def _input(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
+    """Input DataFrames are immutable: build each once per application and reuse the handle."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    df = _INPUTS.get(key)
+    if df is None:
+        df = _INPUTS[key] = build(spark, sf_dir)
+    return df
+
+
 def movements(spark: SparkSession, sf_dir: str) -> DataFrame:
     ensure_checkpoint_dir(spark)
-    return fixture_snapshot(spark, sf_dir)
+    return _input(spark, sf_dir, "movimientos", fixture_snapshot)
 
 
 def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return solicitudes(spark, sf_dir)
+    return _input(spark, sf_dir, "solicitudes", solicitudes)
 
 
 def windows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ventanas(spark, sf_dir)
+    return _input(spark, sf_dir, "ventanas", ventanas)
 
 
 # --- projections and scalar functions ----------------------------------------

@@ -173,7 +173,7 @@ def ventanas(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_SNAPSHOTS: dict[tuple[int, str], tuple] = {}
+_SNAPSHOTS: dict[tuple[str, str], tuple] = {}
 
 
 def fixture_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -186,7 +186,7 @@ def fixture_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     from movrec.session import scratch_path
     from movrec.sources.snapshot import load_snapshot, write_snapshot
 
-    key = (id(spark.sparkContext._jsc), sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir)
     hit = _SNAPSHOTS.get(key)
     if hit is None:
         mov = movimientos(spark, sf_dir)

@@ -82,6 +82,10 @@ def test_archive_covers_input(spark):
     assert res.rows == 5
     # archive and remaining together cover every input row
     assert set(ids(res.archived)) | set(ids(res.remaining)) == {r["id_transaccion"] for r in rows}
+    # a rerun of the same batch does not append twice
+    again = archive_and_purge(mov, mov, lake, fmt="parquet", batch_id="b1")
+    assert sorted(ids(again.archived)) == ["B", "C", "E", "F", "G"]
+    assert read_lake(spark, lake, fmt="parquet").count() == 5
 
 
 def test_lake_schema_evolution(spark):
