@@ -65,7 +65,7 @@ def _window_cores(bins: Measured, mov: DataFrame, bin_days: int) -> DataFrame:
     )
 
 
-def window_matched_standins(bins: Measured, mov: DataFrame, bin_days: int = DEFAULT_BIN_DAYS) -> Measured:
+def window_matched_standins(bins: Measured, mov: DataFrame, bin_days: int = DEFAULT_BIN_DAYS) -> DataFrame:
     """N4: distinct (window, account, core document, stand-in document) with a core partner.
 
     The core document equals the stand-in's repost reference (join key), so
@@ -103,8 +103,7 @@ def window_matched_standins(bins: Measured, mov: DataFrame, bin_days: int = DEFA
     # distinct core keys are a subset of the distinct stand-in keys: same size bound
     if standins.broadcastable:
         core_keys = F.broadcast(core_keys)
-    matched = standins.df.join(core_keys, [*WIN_KEY, "cuenta", "documento_core"], "left_semi")
-    return materialize(matched)
+    return standins.df.join(core_keys, [*WIN_KEY, "cuenta", "documento_core"], "left_semi")
 
 
 def window_key_union(matched: DataFrame) -> DataFrame:
@@ -134,9 +133,7 @@ def prepare_window_keys(win: DataFrame, mov: DataFrame, bin_days: int = DEFAULT_
     if bins.rows == 0:
         return None
     matched = window_matched_standins(bins, mov, bin_days)
-    if matched.rows == 0:
-        return None
-    return materialize(window_key_union(matched.df), {"_lo": F.min("wn_lo"), "_hi": F.max("wn_hi")})
+    return materialize(window_key_union(matched), {"_lo": F.min("wn_lo"), "_hi": F.max("wn_hi")})
 
 
 def match_windows(win: DataFrame, mov: DataFrame, bin_days: int = DEFAULT_BIN_DAYS) -> DataFrame:

@@ -192,7 +192,7 @@ def q_window_standins(spark, sf_dir):
 def q_window_core_pairs(spark, sf_dir):
     mov, bins = _bins(spark, sf_dir)
     matched = wn.window_matched_standins(bins, mov)
-    return matched.df.select(
+    return matched.select(
         *_window_cols(),
         "cuenta",
         F.col("documento_core").alias("numero_documento"),
@@ -203,7 +203,7 @@ def q_window_core_pairs(spark, sf_dir):
 def q_window_key_union(spark, sf_dir):
     mov, bins = _bins(spark, sf_dir)
     matched = wn.window_matched_standins(bins, mov)
-    keys = wn.window_key_union(matched.df).withColumn("_rep", F.col("wn_n"))
+    keys = wn.window_key_union(matched).withColumn("_rep", F.col("wn_n"))
     return rq.expand(keys).select(*_window_cols(), "cuenta", "documento")
 
 
