@@ -9,7 +9,7 @@ partitions of the snapshot side.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -128,3 +128,38 @@ def preview(status: DataFrame, rows: int = 10000) -> DataFrame:
 
 def measured(df: DataFrame) -> Measured:
     return materialize(df)
+
+
+def rewrite_touched_partitions(
+    spark,
+    path: str,
+    keys_df: DataFrame | Measured,
+    change: "Callable[[DataFrame], DataFrame]",
+    partition_col: str = "periodo",
+    fmt: str = "parquet",
+    schema=None,
+) -> int:
+    """Apply ``change`` to a snapshot partitioned by ``partition_col`` at ``path``,
+    rewriting only the partitions whose period occurs in ``keys_df``.
+
+    The touched periods are a broadcast semi join on the partition column, so
+    dynamic partition pruning reads only those partitions; the new rows are
+    checkpointed (which also ends the read of ``path``) and written back with
+    dynamic partition overwrite.  Untouched partitions are not read or
+    rewritten.  Returns the number of rewritten rows.
+    """
+    from movrec.sources.snapshot import load_snapshot
+
+    keys = keys_df if isinstance(keys_df, Measured) else materialize(keys_df)
+    periods = keys.df.select(partition_col).distinct()
+    mov = load_snapshot(spark, path, fmt=fmt, schema=schema)
+    touched = mov.join(F.broadcast(periods) if keys.broadcastable else periods, partition_col, "left_semi")
+    new_rows = materialize(change(touched).select(*mov.columns))
+    (
+        new_rows.df.write.format(fmt)
+        .mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(partition_col)
+        .save(path)
+    )
+    return new_rows.rows

@@ -1,9 +1,9 @@
 """Measured materialisation and size-checked broadcasts.
 
 Small driving-side results (request keys, key pairs, windows) are used by
-several joins.  They are written once as a stage table under the shared
-checkpoint folder (it survives executor loss and cuts the lineage), measured
-in the same job, and broadcast only when the measured size is under the cap.  Above
+several joins.  They are checkpointed once to the shared checkpoint folder
+(reliable: it survives executor loss and cuts the lineage), measured in the
+same job, and broadcast only when the measured size is under the cap.  Above
 the cap the join stays a shuffle join and AQE re-plans it from runtime sizes.
 """
 
@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from movrec.session import scratch_path
+from movrec.session import ensure_checkpoint_dir
 
 CAP_CONF = "spark.movrec.broadcastMaxBytes"
 DEFAULT_CAP = 64 * 1024 * 1024
@@ -54,16 +54,18 @@ def _width(c: T.StructField) -> Column:
 
 
 def materialize(df: DataFrame, extras: dict[str, Column] | None = None) -> Measured:
-    """Write ``df`` once as a stage table and measure it in the same job.
-
-    The stage table goes to a fresh folder under the shared checkpoint
-    directory (``spark.checkpoint.dir``), so it survives executor loss and cuts
-    the lineage: later joins read the written rows instead of recomputing
-    them.  Row count, a byte estimate and the ``extras`` aggregates are
-    collected with ``DataFrame.observe`` while the rows are written, so no
-    second pass is needed.
+    """Checkpoint ``df`` once (reliable, eager) and measure it in the same job.
+
+    The checkpoint goes to the shared checkpoint folder (``spark.checkpoint.dir``),
+    so it survives executor loss and cuts the lineage: later joins read the
+    written rows instead of recomputing them.  Row count, a byte estimate and
+    the ``extras`` aggregates are collected with ``DataFrame.observe`` while the
+    rows are written, so no second pass is needed.  With
+    ``spark.cleaner.referenceTracking.cleanCheckpoints`` the files are removed
+    once the DataFrame is no longer referenced.
     """
     spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
     obs = Observation()
     widths = [_width(f) for f in df.schema.fields] or [F.lit(0)]
     row_bytes = widths[0]
@@ -72,11 +74,10 @@ def materialize(df: DataFrame, extras: dict[str, Column] | None = None) -> Measu
     aggs = [F.count(F.lit(1)).alias("_rows"), F.sum(row_bytes + F.lit(_ROW_OVERHEAD)).alias("_bytes")]
     for name, expr in (extras or {}).items():
         aggs.append(expr.alias(name))
-    path = scratch_path(spark, "stage")
-    df.observe(obs, *aggs).write.parquet(path)
+    ck = df.observe(obs, *aggs).checkpoint(eager=True)
     r = obs.get
     rows = int(r.get("_rows") or 0)
     nbytes = int(r.get("_bytes") or 0)
-    m = Measured(spark.read.schema(df.schema).parquet(path), rows, nbytes, {n: r.get(n) for n in (extras or {})})
+    m = Measured(ck, rows, nbytes, {n: r.get(n) for n in (extras or {})})
     m.broadcastable = nbytes <= broadcast_cap(spark)
     return m

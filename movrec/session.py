@@ -9,12 +9,17 @@ from pyspark.sql import SparkSession
 
 # Settings a cluster job relies on.  AQE re-plans joins from runtime sizes,
 # splits skewed join partitions and coalesces small shuffle partitions; the
-# runtime bloom filter shrinks the big side of shuffle joins.
+# runtime bloom filter shrinks the big side of shuffle joins.  (Cluster jobs
+# set these in their own configuration; ``local_session`` applies them.)
 RECOMMENDED_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    # build bloom filters from driving sides up to 256 MB, not only tiny ones
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "256MB",
+    # remove checkpoint files of stage results once they are unreferenced
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.sql.session.timeZone": "UTC",
 }
 

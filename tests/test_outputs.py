@@ -133,3 +133,28 @@ def test_jdbc_round_trip_embedded_derby(spark):
                         root_cert="/r", client_cert="/c", key_cert="/k", partition_column="periodo",
                         lower_bound="2024-01-01", upper_bound="2024-12-31", num_partitions=12)
     assert opts["sslmode"] == "verify-ca" and opts["sslkey"] == "/k" and opts["numPartitions"] == "12"
+
+
+def test_rewrite_only_touched_partitions(spark):
+    import os
+
+    from movrec.schema import movement_schema
+    from movrec.session import local_path
+    from movrec.sources.snapshot import load_snapshot, write_snapshot
+
+    path = scratch_path(spark, "partitioned")
+    mov = movements_df(spark, LEDGER)
+    write_snapshot(mov, path, partition_by="periodo", files=2)
+    base = local_path(path)
+    untouched = os.path.join(base, "periodo=2024-02-05")
+    before = {f: os.path.getmtime(os.path.join(untouched, f)) for f in os.listdir(untouched)}
+    keys = spark.createDataFrame([(D(2024, 1, 5), "S2"), (D(2024, 1, 6), "P2")], "periodo date, id_transaccion string")
+    n = ap.rewrite_touched_partitions(
+        spark, path, keys, lambda part: ap.apply_updates(part, keys, WRITE_KEY, ch.RELEASE_ASSIGN), schema=movement_schema()
+    )
+    assert n == 3  # the rows of 2024-01-05 (S2) and 2024-01-06 (P2, E2)
+    after = load_snapshot(spark, path, schema=movement_schema())
+    want = ap.apply_updates(mov, keys, WRITE_KEY, ch.RELEASE_ASSIGN)
+    as_set = lambda df: sorted((r["id_transaccion"], str(r["periodo"]), r["tipo_procesamiento"]) for r in df.collect())
+    assert as_set(after) == as_set(want)
+    assert {f: os.path.getmtime(os.path.join(untouched, f)) for f in os.listdir(untouched)} == before
