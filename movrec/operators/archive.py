@@ -59,5 +59,8 @@ def archive_and_purge(
     written = read_lake(mov.sparkSession, path, fmt=fmt)
     if batch_id is not None:
         written = written.filter(F.col("archive_batch_id") == F.lit(batch_id))
-    keys = materialize(result_keys(sel.df))
+    # the keys are a projection of the measured selection: its size bounds them
+    keys = result_keys(sel.df)
+    if sel.broadcastable:
+        keys = F.broadcast(keys)
     return ArchiveResult(written, apply_deletes(mov, keys, WRITE_KEY), sel.rows)
