@@ -29,7 +29,12 @@ def pattern_for(name: str) -> str | None:
     return None
 
 
-def as_text(df: DataFrame, name: str, source: str | None = None) -> Column:
+def column_types(df: DataFrame) -> dict[str, T.DataType]:
+    """Column name -> type, fetched once (each ``df.schema`` call is a JVM round trip)."""
+    return {f.name: f.dataType for f in df.schema.fields}
+
+
+def as_text(df: DataFrame, name: str, source: str | None = None, types: dict | None = None) -> Column:
     """Render one movement column as text.
 
     Dates and timestamps use the column's fixed pattern (milliseconds are
@@ -37,7 +42,7 @@ def as_text(df: DataFrame, name: str, source: str | None = None) -> Column:
     is already text passes through unchanged, so formatting is idempotent.
     """
     src = source or name
-    dtype = df.schema[src].dataType
+    dtype = (types or column_types(df))[src]
     c = F.col(src)
     pattern = pattern_for(name)
     if pattern is not None and isinstance(dtype, _TEMPORAL):
@@ -48,7 +53,18 @@ def as_text(df: DataFrame, name: str, source: str | None = None) -> Column:
 
 
 def movement_text_columns(df: DataFrame) -> list[Column]:
-    return [as_text(df, c) for c in MOVEMENT_COLUMNS]
+    types = column_types(df)
+    return [as_text(df, c, types=types) for c in MOVEMENT_COLUMNS]
+
+
+def text_expr(name: str, dtype: T.DataType) -> str:
+    """SQL text of :func:`as_text` for one column (one parse for the whole projection)."""
+    pattern = pattern_for(name)
+    if pattern is not None and isinstance(dtype, _TEMPORAL):
+        return f"date_format(`{name}`, '{pattern}') AS `{name}`"
+    if isinstance(dtype, T.StringType):
+        return f"`{name}`"
+    return f"CAST(`{name}` AS STRING) AS `{name}`"
 
 
 def format_movements(df: DataFrame, extra: tuple[str, ...] = (), repeat: str | None = None) -> DataFrame:
@@ -58,5 +74,6 @@ def format_movements(df: DataFrame, extra: tuple[str, ...] = (), repeat: str | N
     generator in the same projection step, no shuffle).
     """
     if repeat is not None:
-        df = df.select(*MOVEMENT_COLUMNS, *extra, F.explode(F.sequence(F.lit(1), F.col(repeat).cast("int"))).alias("_i"))
-    return df.select(*movement_text_columns(df), *[F.col(c) for c in extra])
+        df = df.selectExpr(*MOVEMENT_COLUMNS, *extra, f"explode(sequence(1, CAST(`{repeat}` AS INT))) AS _i")
+    types = column_types(df)
+    return df.selectExpr(*[text_expr(c, types[c]) for c in MOVEMENT_COLUMNS], *[f"`{c}`" for c in extra])

@@ -24,9 +24,10 @@ def truthy(df: DataFrame, name: str) -> Column:
     text, ``0`` for numbers or ``False`` for booleans.  A column that does
     not exist in ``df`` is treated as always missing.
     """
-    if name not in df.columns:
+    types = {f.name: f.dataType for f in df.schema.fields}
+    if name not in types:
         return F.lit(False)
-    dtype = df.schema[name].dataType
+    dtype = types[name]
     c = F.col(name)
     if isinstance(dtype, T.StringType):
         return c.isNotNull() & (c != F.lit(""))

@@ -55,9 +55,10 @@ def apply_updates(
     joined = mov.join(ch, cond, "left")
     targets = {col: i for i, col in enumerate(assignments)}
     out = []
-    for c in mov.columns:
+    types = {f.name: f.dataType for f in mov.schema.fields}
+    for c in types:
         if c in targets:
-            new = F.col(f"_v{targets[c]}").cast(mov.schema[c].dataType)
+            new = F.col(f"_v{targets[c]}").cast(types[c])
             out.append(F.when(F.col("_hit"), new).otherwise(mov[c]).alias(c))
         else:
             out.append(mov[c])
