@@ -27,9 +27,19 @@ def batch_in_lake(spark, path: str, fmt: str, batch_id: str) -> bool:
 
 @dataclass
 class ArchiveResult:
-    archived: DataFrame  # the rows as written to the lake (read back)
     remaining: DataFrame  # the snapshot without the archived keys
-    rows: int
+    rows: int  # rows appended by this batch
+    path: str
+    fmt: str
+    batch_id: str | None = None
+
+    @property
+    def archived(self) -> DataFrame:
+        """The rows of this batch as stored in the lake (read back on demand)."""
+        written = read_lake(self.remaining.sparkSession, self.path, fmt=self.fmt)
+        if self.batch_id is not None:
+            written = written.filter(F.col("archive_batch_id") == F.lit(self.batch_id))
+        return written
 
 
 def archive_and_purge(
@@ -56,11 +66,8 @@ def archive_and_purge(
     sel = materialize(selection)
     if batch_id is None or not batch_in_lake(mov.sparkSession, path, fmt, batch_id):
         append_to_lake(sel.df, path, fmt=fmt)
-    written = read_lake(mov.sparkSession, path, fmt=fmt)
-    if batch_id is not None:
-        written = written.filter(F.col("archive_batch_id") == F.lit(batch_id))
     # the keys are a projection of the measured selection: its size bounds them
     keys = result_keys(sel.df)
     if sel.broadcastable:
         keys = F.broadcast(keys)
-    return ArchiveResult(written, apply_deletes(mov, keys, WRITE_KEY), sel.rows)
+    return ArchiveResult(apply_deletes(mov, keys, WRITE_KEY), sel.rows, path, fmt, batch_id)

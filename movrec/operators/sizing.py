@@ -46,11 +46,15 @@ def broadcast_cap(spark) -> int:
     return int(raw)
 
 
-def _width(c: T.StructField) -> Column:
-    dt = c.dataType
-    if isinstance(dt, (T.StringType, T.BinaryType)):
-        return F.coalesce(F.length(F.col(c.name)).cast("long"), F.lit(0)) + F.lit(_FIELD_BYTES)
-    return F.lit(_FIELD_BYTES)
+def _row_bytes(schema: T.StructType) -> Column:
+    """Estimated bytes of one row: 8 per field plus the length of text fields (one SQL expression)."""
+    parts = [str(_ROW_OVERHEAD)]
+    for f in schema.fields:
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            parts.append(f"coalesce(length(`{f.name}`), 0) + {_FIELD_BYTES}")
+        else:
+            parts.append(str(_FIELD_BYTES))
+    return F.expr(" + ".join(f"CAST({p} AS BIGINT)" for p in parts))
 
 
 def materialize(df: DataFrame, extras: dict[str, Column] | None = None) -> Measured:
@@ -67,11 +71,7 @@ def materialize(df: DataFrame, extras: dict[str, Column] | None = None) -> Measu
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     obs = Observation()
-    widths = [_width(f) for f in df.schema.fields] or [F.lit(0)]
-    row_bytes = widths[0]
-    for w in widths[1:]:
-        row_bytes = row_bytes + w
-    aggs = [F.count(F.lit(1)).alias("_rows"), F.sum(row_bytes + F.lit(_ROW_OVERHEAD)).alias("_bytes")]
+    aggs = [F.count(F.lit(1)).alias("_rows"), F.sum(_row_bytes(df.schema)).alias("_bytes")]
     for name, expr in (extras or {}).items():
         aggs.append(expr.alias(name))
     ck = df.observe(obs, *aggs).checkpoint(eager=True)
