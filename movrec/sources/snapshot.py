@@ -94,14 +94,16 @@ def write_snapshot(df: DataFrame, path: str, files: int | None = None, partition
     """Write a snapshot clustered by ``periodo`` so period filters skip files and row groups.
 
     With ``partition_by`` the folders are partitioned (pruned at planning
-    time); otherwise the rows are range-partitioned and sorted by period.
-    Always write to a new path; never overwrite the path being read.
+    time).  Otherwise rows are hash-distributed by period and sorted within
+    each file, so every Parquet row group covers a narrow period range and
+    min/max statistics skip the rest (no sampling pass, unlike a range
+    repartition).  Always write to a new path; never overwrite the path being
+    read.
     """
-    out = df
+    n = files or df.sparkSession.sparkContext.defaultParallelism
+    out = df.repartition(n, "periodo").sortWithinPartitions("periodo")
+    writer = out.write.mode(mode)
     if partition_by:
-        out = out.repartition(files or df.sparkSession.sparkContext.defaultParallelism, partition_by)
-        out.sortWithinPartitions("periodo").write.mode(mode).partitionBy(partition_by).parquet(path)
-    else:
-        n = files or df.sparkSession.sparkContext.defaultParallelism
-        out.repartitionByRange(n, "periodo").sortWithinPartitions("periodo").write.mode(mode).parquet(path)
+        writer = writer.partitionBy(partition_by)
+    writer.parquet(path)
     return path
