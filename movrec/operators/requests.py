@@ -10,16 +10,20 @@ Here the per-request loop is decorrelated into set-based joins over all
 requests at once:
 
     requests --guard/collapse--> request keys (one row per distinct request)
-      --(id, period range)--> legs            [N1]
-      --explode 4 pairs-----> key pairs        [A3] (multiplicity counted)
-      --(account, doc, range) narrow--> verdict per request [A1]
-      --(account, doc, range) wide----> 50 movement columns + verdict [N2]
+      --(id, period range)--> legs                    [N1]
+      --explode 4 pairs-----> key pairs                [A3] (multiplicity counted)
+      --(account, doc, range)--> matched movements     [N2] (checkpointed)
+      matched --bool_or per request--> verdict         [A1]
+      matched + verdict --> 50 text columns + verdict
 
 Scale notes: the request side is checkpointed and measured, then broadcast
 only under the byte cap; otherwise the joins shuffle and AQE splits skewed
-partitions.  The verdict is a partial (map-side) aggregate, so one request
-that matches a third of the table never lands in a single task, and it is
-computed from four narrow columns instead of re-shuffling the wide rows.
+partitions.  The snapshot is scanned twice (5 columns for the legs, all 50
+for the matches), both restricted to the requests' period range.  The matched
+rows - a small fraction of the snapshot - are checkpointed once; the verdict
+is a partial (map-side) aggregate over them, so one request that matches a
+third of the table never lands in a single task, and it is attached by a
+broadcast join when the request count allows (one verdict row per request).
 Duplicate requests and duplicate key pairs are counted, not materialised,
 until the final local ``explode``.
 """
@@ -33,7 +37,7 @@ from pyspark.sql import types as T
 from movrec.functions.formatting import format_movements
 from movrec.functions.predicates import all_truthy, column_or_null, strip_leading_zeros
 from movrec.operators.sizing import Measured, materialize
-from movrec.schema import MATCH, NO_MATCH, STANDIN, VERDICT_COLUMN
+from movrec.schema import MATCH, MOVEMENT_COLUMNS, NO_MATCH, STANDIN, VERDICT_COLUMN
 from movrec.sources.snapshot import restrict_period
 
 REQUEST_GUARD = ("producto_ordenante", "producto_beneficiario", "numero_documento_original")
@@ -139,20 +143,27 @@ def _pair_join(mov: DataFrame, pairs: DataFrame) -> Column:
     )
 
 
-def request_verdict(pairs: Measured, mov: DataFrame) -> DataFrame:
-    """A1: per request, MATCH when its movements hold a NULL type and a ``'STANDIN'`` type.
+def request_movements(pairs: Measured, mov: DataFrame) -> DataFrame:
+    """N2: every movement carrying one of the request's keys inside its range.
 
-    Only the four key columns of the movements are read; every request with
-    at least one movement gets a verdict.  ``bool_or`` aggregates map-side
-    first, so a request matching a huge share of the table stays spread over
-    many tasks.
+    Returns the 50 movement columns (typed), the request key and ``_rep`` =
+    how many times the row repeats in the result (duplicate requests times
+    duplicate keys).
     """
-    narrow = restrict_period(mov, pairs.extras["_lo"], pairs.extras["_hi"]).select(
-        "numero_cuenta_id", "numero_documento", "periodo", "tipo_procesamiento"
-    )
+    wide = restrict_period(mov, pairs.extras["_lo"], pairs.extras["_hi"])
     p = pairs.side()
-    joined = narrow.join(p, _pair_join(narrow, p))
-    flags = joined.groupBy(*REQ_KEY).agg(
+    joined = wide.join(p, _pair_join(wide, p))
+    return joined.select(*MOVEMENT_COLUMNS, *REQ_KEY, (F.col("rq_n") * F.col("kp_m")).alias("_rep"))
+
+
+def request_verdict(matched: DataFrame) -> DataFrame:
+    """A1: per request, MATCH when its movements hold a NULL type and a ``'STANDIN'`` type.
+
+    Every request with at least one movement gets a verdict.  ``bool_or``
+    aggregates map-side first, so a request matching a huge share of the
+    table stays spread over many tasks.
+    """
+    flags = matched.groupBy(*REQ_KEY).agg(
         F.bool_or(F.col("tipo_procesamiento").isNull()).alias("has_core"),
         F.bool_or(F.col("tipo_procesamiento") == F.lit(STANDIN)).alias("has_standin"),
     )
@@ -162,32 +173,21 @@ def request_verdict(pairs: Measured, mov: DataFrame) -> DataFrame:
     )
 
 
-def request_movements(pairs: Measured, mov: DataFrame, verdict: DataFrame | None = None) -> DataFrame:
-    """N2: every movement carrying one of the request's keys inside its range.
+def matched_movements(pairs: Measured, mov: DataFrame) -> Measured:
+    """N2 rows checkpointed once; the verdict and the result both read them."""
+    return materialize(request_movements(pairs, mov))
+
 
-    Returns the movement columns (typed) plus the request key, the verdict
-    when given, and ``_rep`` = how many times the row repeats in the result.
+def with_verdict(matched: Measured, pairs: Measured) -> DataFrame:
+    """Matched rows with their request's verdict.
 
-    The verdict has one row per request, never more rows than the measured
-    pairs.  On the broadcast path both are probed from the movement stream
-    (the pairs broadcast is shared with the verdict subtree).  On the shuffle
-    path the verdict is attached to the pairs first, so the wide movement rows
-    are shuffled once, by their (account, document) key only.
+    The verdict has one row per distinct request, so the measured pairs bound
+    its size: broadcast under the cap, otherwise a shuffle join on the request
+    key whose hot keys AQE splits.
     """
-    wide = restrict_period(mov, pairs.extras["_lo"], pairs.extras["_hi"])
-    if pairs.broadcastable:
-        p = F.broadcast(pairs.df)
-        joined = wide.join(p, _pair_join(wide, p))
-        if verdict is not None:
-            joined = joined.join(F.broadcast(verdict), list(REQ_KEY), "left")
-    else:
-        p = pairs.df
-        if verdict is not None:
-            p = p.join(verdict, list(REQ_KEY), "left")
-        joined = wide.join(p, _pair_join(wide, p))
-    if verdict is not None:
-        joined = joined.withColumn(VERDICT_COLUMN, F.coalesce(F.col(VERDICT_COLUMN), F.lit(NO_MATCH)))
-    return joined.withColumn("_rep", F.col("rq_n") * F.col("kp_m"))
+    verdict = request_verdict(matched.df)
+    v = F.broadcast(verdict) if pairs.broadcastable else verdict
+    return matched.df.join(v, list(REQ_KEY))
 
 
 def expand(df: DataFrame, count_col: str = "_rep") -> DataFrame:
@@ -215,6 +215,5 @@ def match_requests(req: DataFrame, mov: DataFrame) -> DataFrame:
     pairs = prepare_pairs(req, mov)
     if pairs is None or pairs.rows == 0:
         return empty_result(mov.sparkSession, True)
-    verdict = request_verdict(pairs, mov)
-    rows = request_movements(pairs, mov, verdict)
+    rows = with_verdict(matched_movements(pairs, mov), pairs)
     return format_movements(rows, extra=(VERDICT_COLUMN,), repeat="_rep")

@@ -118,14 +118,15 @@ def q_request_movements(spark, sf_dir):
     return rq.expand(rows).select(
         *_request_cols(),
         "id_transaccion",
-        _day(mov["periodo"]).alias("periodo_movimiento"),
+        _day("periodo").alias("periodo_movimiento"),
         "tipo_procesamiento",
     )
 
 
 def q_request_verdict(spark, sf_dir):
     mov, pairs = _pairs(spark, sf_dir)
-    return rq.request_verdict(pairs, mov).select(*_request_cols(), "reposting_completo")
+    matched = rq.matched_movements(pairs, mov)
+    return rq.request_verdict(matched.df).select(*_request_cols(), "reposting_completo")
 
 
 def q_match_requests(spark, sf_dir):

@@ -39,17 +39,21 @@ def test_period_bounds_reach_the_scan(spark):
     assert "GreaterThanOrEqual(periodo" in pushed and "LessThanOrEqual(periodo" in pushed
 
 
-def test_verdict_reads_four_columns(spark):
+def test_verdict_reads_matched_rows_not_the_snapshot(spark):
     mov, req = C.movements(spark, SF001), C.requests(spark, SF001)
     pairs = rq.prepare_pairs(req, mov)
-    verdict = rq.request_verdict(pairs, mov)
-    mov_scans = [s for s in scans(verdict) if "movimientos" in s.get("Location", "")]
-    fields = mov_scans[0]["ReadSchema"].count(":")
-    assert fields == 4, mov_scans[0]["ReadSchema"]
+    verdict = rq.request_verdict(rq.matched_movements(pairs, mov).df)
+    assert [s for s in scans(verdict) if "movimientos" in s.get("Location", "")] == []
+    text = plan_text(verdict)
+    assert "partial_max" in text or "partial_bool_or" in text
 
 
-def test_verdict_aggregates_map_side(spark):
+def test_transform_a_scans_the_snapshot_twice(spark):
     mov, req = C.movements(spark, SF001), C.requests(spark, SF001)
-    pairs = rq.prepare_pairs(req, mov)
-    text = plan_text(rq.request_verdict(pairs, mov))
-    assert "partial_max" in text or "partial_bool_or" in text
+    keys = rq.measure_keys(rq.request_keys(req), "rq_lo", "rq_hi")
+    legs = rq.request_legs(keys, mov)
+    (leg_scan,) = [s for s in scans(legs) if "movimientos" in s.get("Location", "")]
+    assert leg_scan["ReadSchema"].count(":") == 5
+    pairs = rq.measure_pairs(rq.request_key_pairs(legs))
+    final = rq.with_verdict(rq.matched_movements(pairs, mov), pairs)
+    assert [s for s in scans(final) if "movimientos" in s.get("Location", "")] == []
