@@ -12,7 +12,9 @@ set-based results; writes are change sets applied to a new snapshot version.
 * ``JDBC_URL``, ``JDBC_TABLE``, ``JDBC_USER``, ``ROOT_CERT``, ``CLIENT_CERT``,
   ``KEY_CERT``, ``JDBC_PARTITIONS``, ``JDBC_LOWER``, ``JDBC_UPPER`` - the hot table
   over JDBC;
-* ``SNAPSHOT_OUT`` - where an output step writes the new snapshot version;
+* ``SNAPSHOT_OUT`` - where an output step writes the new snapshot version, or
+  ``REWRITE_IN_PLACE`` - for a Parquet snapshot partitioned by ``periodo``,
+  rewrite only the partitions the change set touches;
 * ``LAKE_PATH`` or ``LAKE_BUCKET`` + ``TABLE_NAME``, ``LAKE_FORMAT`` - the archive.
 """
 
@@ -65,7 +67,14 @@ class OutputResult:
     written_to: str | None = None
 
 
-def _finish(spark, params, snapshot, status) -> OutputResult:
+def _finish(spark, params, snapshot, status, keys=None, change=None) -> OutputResult:
+    """Write the result: in place (touched partitions only) or as a new version."""
+    if params.get("REWRITE_IN_PLACE") and keys is not None and change is not None:
+        path = params["SNAPSHOT_PATH"]
+        # the audit must describe the snapshot before it is rewritten
+        status = materialize(status).df
+        ap.rewrite_touched_partitions(spark, path, keys, change, schema=snapshot.schema)
+        return OutputResult(load_snapshot(spark, path), status, path)
     out = params.get("SNAPSHOT_OUT")
     if out:
         write_snapshot(snapshot, out)
@@ -99,7 +108,8 @@ def mark_requests(spark: SparkSession, df: DataFrame, write_options: dict, param
     mov = snapshot_from_params(spark, params)
     marks = materialize(ch.mark_reposted_changes(df, mov))
     status = marks.df.select(*ch.MARK_KEYS, "n_documentos")
-    return _finish(spark, params, ap.apply_updates(mov, marks, ch.MARK_KEYS, ch.MARK_ASSIGN), status)
+    change = lambda part: ap.apply_updates(part, marks, ch.MARK_KEYS, ch.MARK_ASSIGN)
+    return _finish(spark, params, change(mov), status, marks, change)
 
 
 def output_delete_legs(spark: SparkSession, df: DataFrame, write_options: dict, params: dict) -> OutputResult:
@@ -114,7 +124,8 @@ def output_delete_legs(spark: SparkSession, df: DataFrame, write_options: dict,
         mov,
         WRITE_KEY,
     )
-    return _finish(spark, params, ap.apply_deletes(mov, keys, WRITE_KEY), status)
+    change = lambda part: ap.apply_deletes(part, keys, WRITE_KEY)
+    return _finish(spark, params, change(mov), status, keys, change)
 
 
 def output_park(spark: SparkSession, df: DataFrame, write_options: dict, params: dict) -> OutputResult:
@@ -122,7 +133,8 @@ def output_park(spark: SparkSession, df: DataFrame, write_options: dict, params:
     mov = snapshot_from_params(spark, params)
     rows = ch.unmatched_rows(df)
     keys = materialize(ch.result_keys(rows))
-    return _finish(spark, params, ap.apply_updates(mov, keys, WRITE_KEY, ch.PARK_ASSIGN), _key_status(rows, mov))
+    change = lambda part: ap.apply_updates(part, keys, WRITE_KEY, ch.PARK_ASSIGN)
+    return _finish(spark, params, change(mov), _key_status(rows, mov), keys, change)
 
 
 def output_release(spark: SparkSession, df: DataFrame, write_options: dict, params: dict) -> OutputResult:
@@ -130,7 +142,8 @@ def output_release(spark: SparkSession, df: DataFrame, write_options: dict, para
     mov = snapshot_from_params(spark, params)
     rows = ch.parked_rows(df)
     keys = materialize(ch.result_keys(rows))
-    return _finish(spark, params, ap.apply_updates(mov, keys, WRITE_KEY, ch.RELEASE_ASSIGN), _key_status(rows, mov))
+    change = lambda part: ap.apply_updates(part, keys, WRITE_KEY, ch.RELEASE_ASSIGN)
+    return _finish(spark, params, change(mov), _key_status(rows, mov), keys, change)
 
 
 def output_archive(spark: SparkSession, df: DataFrame, write_options: dict, params: dict) -> OutputResult:

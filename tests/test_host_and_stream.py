@@ -46,3 +46,20 @@ def test_request_stream_matches_batch(spark):
     out = spark.read.parquet(sink)
     got = Counter((r["id_transaccion"], r["periodo"], r["reposting_completo"]) for r in out.collect())
     assert got == brute.match_requests(LEDGER, batch)
+
+
+def test_release_in_place_rewrites_touched_partitions(spark):
+    from movrec.schema import movement_schema
+
+    path = scratch_path(spark, "snap-part")
+    write_snapshot(movements_df(spark, LEDGER), path, files=2, partition_by="periodo")
+    params = {"SNAPSHOT_PATH": path, "REWRITE_IN_PLACE": "true"}
+    parked = load_snapshot(spark, path, schema=movement_schema()).filter("tipo_procesamiento = 'STANDIN_P'")
+    before = parked.count()
+    res = host.output_release(spark, parked, {}, params)
+    after = load_snapshot(spark, path, schema=movement_schema())
+    assert before == 3
+    assert after.filter("tipo_procesamiento = 'STANDIN_P'").count() == 0
+    assert after.count() == len(LEDGER)
+    assert res.written_to == path
+    assert sorted(r["outcome"] for r in res.status.collect()) == ["applied"] * 3
