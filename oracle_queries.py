@@ -125,33 +125,34 @@ req AS (
 def a_steps(source: str = "movimientos", suffix: str = "") -> str:
     """Transform A over the movement view ``source``; CTE names get ``suffix``."""
     return f"""
-unicidad{suffix} AS (
+legs_r{suffix} AS (
   SELECT r.rid, r.periodo_tope AS lo, r.periodo AS hi, r.guid_ordenante, r.numero_documento_original,
-         u.id_transaccion, u.periodo AS leg_periodo,
-         u.numero_cuenta_id AS cuenta_ordenante, ltrim(u.cuenta_beneficiario, '0') AS cuenta_beneficiario,
-         u.numero_documento
-  FROM req r JOIN {source} u
-    ON u.id_transaccion = r.guid_ordenante AND u.periodo >= r.periodo_tope AND u.periodo <= r.periodo
+         m.numero_cuenta_id AS acct_a, ltrim(m.cuenta_beneficiario, '0') AS acct_b, m.numero_documento AS doc_leg
+  FROM req r
+  JOIN {source} m ON m.id_transaccion = r.guid_ordenante AND m.periodo BETWEEN r.periodo_tope AND r.periodo
 ),
-cuentas_docs{suffix} AS (
-  SELECT rid, lo, hi, cuenta_ordenante AS cuenta, numero_documento AS documento FROM unicidad{suffix}
-  UNION ALL SELECT rid, lo, hi, cuenta_beneficiario, numero_documento FROM unicidad{suffix}
-  UNION ALL SELECT rid, lo, hi, cuenta_ordenante, numero_documento_original FROM unicidad{suffix}
-  UNION ALL SELECT rid, lo, hi, cuenta_beneficiario, numero_documento_original FROM unicidad{suffix}
+keys_r{suffix} AS (
+  SELECT rid, lo, hi, acct_a AS cuenta, doc_leg AS documento FROM legs_r{suffix}
+  UNION ALL SELECT rid, lo, hi, acct_b, doc_leg FROM legs_r{suffix}
+  UNION ALL SELECT rid, lo, hi, acct_a, numero_documento_original FROM legs_r{suffix}
+  UNION ALL SELECT rid, lo, hi, acct_b, numero_documento_original FROM legs_r{suffix}
 ),
-reposting_bancs{suffix} AS (
-  SELECT u.rid, mc.*
-  FROM {source} mc JOIN cuentas_docs{suffix} u ON mc.numero_cuenta_id = u.cuenta AND mc.numero_documento = u.documento
-  WHERE mc.periodo >= u.lo AND mc.periodo <= u.hi
+hits_r{suffix} AS (
+  SELECT k.rid, m.*
+  FROM keys_r{suffix} k
+  JOIN {source} m ON m.numero_cuenta_id = k.cuenta AND m.numero_documento = k.documento
+                 AND m.periodo BETWEEN k.lo AND k.hi
 ),
-verdict{suffix} AS (
+flags_r{suffix} AS (
   SELECT rid,
-         CASE WHEN bool_or(tipo_procesamiento IS NULL) AND bool_or(tipo_procesamiento = 'STANDIN')
+         CASE WHEN max(CASE WHEN tipo_procesamiento IS NULL THEN 1 ELSE 0 END) = 1
+               AND max(CASE WHEN tipo_procesamiento = 'STANDIN' THEN 1 ELSE 0 END) = 1
               THEN 'MATCH' ELSE 'NO MATCH' END AS reposting_completo
-  FROM reposting_bancs{suffix} GROUP BY rid
+  FROM hits_r{suffix}
+  GROUP BY rid
 ),
-resultado_a{suffix} AS (
-  SELECT rb.*, v.reposting_completo FROM reposting_bancs{suffix} rb JOIN verdict{suffix} v USING (rid)
+rows_r{suffix} AS (
+  SELECT h.*, f.reposting_completo FROM hits_r{suffix} h JOIN flags_r{suffix} f ON f.rid = h.rid
 )"""
 
 
@@ -163,26 +164,29 @@ win AS (
   SELECT row_number() OVER () AS wid, periodo_tope AS lo, periodo AS hi
   FROM ventanas WHERE periodo IS NOT NULL AND periodo_tope IS NOT NULL
 ),
-cuentas_docs_b AS (
-  SELECT w.wid, w.lo, w.hi, mc.numero_cuenta_id, mc.numero_documento, mc.numero_comprobante_reposting
-  FROM win w JOIN movimientos mc ON mc.periodo BETWEEN w.lo AND w.hi
-  WHERE mc.tipo_procesamiento IN ('STANDIN_P', 'STANDIN')
+standins_w AS (
+  SELECT w.wid, w.lo, w.hi, m.numero_cuenta_id, m.numero_documento, m.numero_comprobante_reposting
+  FROM win w
+  JOIN movimientos m ON m.periodo BETWEEN w.lo AND w.hi AND m.tipo_procesamiento IN ('STANDIN', 'STANDIN_P')
 ),
-reposting_bancs_b AS (
-  SELECT u.wid, u.lo, u.hi, mc.numero_cuenta_id, mc.numero_documento, u.numero_documento AS numero_comprobante_standin
-  FROM movimientos mc JOIN cuentas_docs_b u
-    ON mc.numero_cuenta_id = u.numero_cuenta_id AND mc.numero_documento = u.numero_comprobante_reposting
-  WHERE mc.periodo BETWEEN u.lo AND u.hi AND mc.tipo_procesamiento IS NULL
+core_hits_w AS (
+  SELECT s.wid, s.lo, s.hi, c.numero_cuenta_id, c.numero_documento, s.numero_documento AS numero_comprobante_standin
+  FROM standins_w s
+  JOIN movimientos c ON c.numero_cuenta_id = s.numero_cuenta_id AND c.numero_documento = s.numero_comprobante_reposting
+                    AND c.periodo BETWEEN s.lo AND s.hi AND c.tipo_procesamiento IS NULL
 ),
-simil AS (
-  SELECT wid, lo, hi, numero_cuenta_id AS cuenta, numero_documento AS documento FROM reposting_bancs_b
-  UNION
-  SELECT wid, lo, hi, numero_cuenta_id, numero_comprobante_standin FROM reposting_bancs_b
+keys_w AS (
+  SELECT DISTINCT wid, lo, hi, cuenta, documento FROM (
+    SELECT wid, lo, hi, numero_cuenta_id AS cuenta, numero_documento AS documento FROM core_hits_w
+    UNION ALL
+    SELECT wid, lo, hi, numero_cuenta_id, numero_comprobante_standin FROM core_hits_w
+  ) t
 ),
-resultado_b AS (
-  SELECT u.wid, mc.*
-  FROM movimientos mc JOIN simil u ON mc.numero_cuenta_id = u.cuenta AND mc.numero_documento = u.documento
-  WHERE mc.periodo BETWEEN u.lo AND u.hi
+rows_w AS (
+  SELECT k.wid, m.*
+  FROM keys_w k
+  JOIN movimientos m ON m.numero_cuenta_id = k.cuenta AND m.numero_documento = k.documento
+                    AND m.periodo BETWEEN k.lo AND k.hi
 )"""
 
 MARK_CTES = """
@@ -199,7 +203,7 @@ marks AS (
 
 
 MARKED_CTES = """
-movimientos_marcados AS (
+movimientos_marked AS (
   SELECT m.* REPLACE (
     CASE WHEN c.id_transaccion IS NOT NULL THEN c.numero_comprobante_reposting ELSE m.numero_comprobante_reposting END
       AS numero_comprobante_reposting,
@@ -255,47 +259,35 @@ def _sql() -> dict[str, str]:
     )
     q["request_leg_lookup"] = with_fixtures(
         REQ_CTES,
-        f"""SELECT u.guid_ordenante, u.numero_documento_original, {day('u.lo', 'periodo_tope')}, {day('u.hi', 'periodo')},
-  u.cuenta_ordenante, u.cuenta_beneficiario, u.numero_documento FROM unicidad u""",
+        f"""SELECT l.guid_ordenante, l.numero_documento_original, {day('l.lo', 'periodo_tope')}, {day('l.hi', 'periodo')},
+  l.acct_a AS cuenta_ordenante, l.acct_b AS cuenta_beneficiario, l.doc_leg AS numero_documento FROM legs_r l""",
     )
     q["request_key_pairs"] = with_fixtures(
         REQ_CTES,
         f"""SELECT r.guid_ordenante, r.numero_documento_original, {day('c.lo', 'periodo_tope')}, {day('c.hi', 'periodo')},
   c.cuenta, c.documento
-FROM cuentas_docs c JOIN req r USING (rid)
+FROM keys_r c JOIN req r USING (rid)
 WHERE c.cuenta IS NOT NULL AND c.documento IS NOT NULL""",
     )
     q["request_movements"] = with_fixtures(
         REQ_CTES,
         f"""SELECT r.guid_ordenante, r.numero_documento_original, {day('r.periodo_tope', 'periodo_tope')}, {day('r.periodo', 'periodo')},
   b.id_transaccion, {day('b.periodo', 'periodo_movimiento')}, b.tipo_procesamiento
-FROM reposting_bancs b JOIN req r USING (rid)""",
+FROM hits_r b JOIN req r USING (rid)""",
     )
     q["request_verdict"] = with_fixtures(
         REQ_CTES,
         f"""SELECT DISTINCT r.guid_ordenante, r.numero_documento_original, {day('r.periodo_tope', 'periodo_tope')},
   {day('r.periodo', 'periodo')}, v.reposting_completo
-FROM verdict v JOIN req r USING (rid)""",
+FROM flags_r v JOIN req r USING (rid)""",
     )
     q["match_requests"] = with_fixtures(
-        REQ_CTES, f"SELECT {text_columns('a')},\n  a.reposting_completo FROM resultado_a a"
+        REQ_CTES, f"SELECT {text_columns('a')},\n  a.reposting_completo FROM rows_r a"
     )
     q["mark_reposted_changes"] = with_fixtures(
         REQ_CTES + "," + MARK_CTES,
         f"""SELECT {day('periodo', 'periodo')}, id_transaccion, tipo_procesamiento, numero_comprobante_reposting,
   estado_transaccion, n_documentos FROM marks""",
-    )
-    q["mark_reposted_apply"] = with_fixtures(
-        REQ_CTES + "," + MARK_CTES,
-        f"""SELECT {text_columns('x')}
-FROM (
-  SELECT m.* REPLACE (
-    CASE WHEN c.id_transaccion IS NOT NULL THEN c.numero_comprobante_reposting ELSE m.numero_comprobante_reposting END
-      AS numero_comprobante_reposting,
-    CASE WHEN c.id_transaccion IS NOT NULL THEN c.estado_transaccion ELSE m.estado_transaccion END AS estado_transaccion)
-  FROM movimientos m LEFT JOIN marks c
-    ON m.periodo = c.periodo AND m.id_transaccion = c.id_transaccion AND m.tipo_procesamiento = c.tipo_procesamiento
-) x""",
     )
     q["guard_windows"] = with_fixtures(
         "",
@@ -305,17 +297,17 @@ WHERE periodo IS NOT NULL AND periodo_tope IS NOT NULL""",
     q["window_standins"] = with_fixtures(
         WIN_CTES,
         f"""SELECT {day('lo', 'periodo_tope')}, {day('hi', 'periodo')}, numero_cuenta_id, numero_documento,
-  numero_comprobante_reposting FROM cuentas_docs_b""",
+  numero_comprobante_reposting FROM standins_w""",
     )
     q["window_core_pairs"] = with_fixtures(
         WIN_CTES,
         f"""SELECT DISTINCT {day('lo', 'periodo_tope')}, {day('hi', 'periodo')}, numero_cuenta_id AS cuenta,
-  numero_documento, numero_comprobante_standin FROM reposting_bancs_b""",
+  numero_documento, numero_comprobante_standin FROM core_hits_w""",
     )
     q["window_key_union"] = with_fixtures(
-        WIN_CTES, f"SELECT {day('lo', 'periodo_tope')}, {day('hi', 'periodo')}, cuenta, documento FROM simil"
+        WIN_CTES, f"SELECT {day('lo', 'periodo_tope')}, {day('hi', 'periodo')}, cuenta, documento FROM keys_w"
     )
-    q["match_windows"] = with_fixtures(WIN_CTES, f"SELECT {text_columns('b')} FROM resultado_b b")
+    q["match_windows"] = with_fixtures(WIN_CTES, f"SELECT {text_columns('b')} FROM rows_w b")
     q["request_leg_delete"] = with_fixtures(
         "", f"SELECT {text_columns('m')} FROM movimientos m WHERE NOT {_leg_delete_match('m')}"
     )
@@ -323,19 +315,19 @@ WHERE periodo IS NOT NULL AND periodo_tope IS NOT NULL""",
         "", f"SELECT {text_columns('m')} FROM movimientos m WHERE {_leg_delete_match('m')}"
     )
     q["park_unmatched"] = with_fixtures(
-        REQ_CTES, _keyed_type_update("resultado_a", "s.reposting_completo = 'NO MATCH'", "STANDIN_P")
+        REQ_CTES, _keyed_type_update("rows_r", "s.reposting_completo = 'NO MATCH'", "STANDIN_P")
     )
     q["release_parked"] = with_fixtures(
-        WIN_CTES, _keyed_type_update("resultado_b", "s.tipo_procesamiento = 'STANDIN_P'", "STANDIN")
+        WIN_CTES, _keyed_type_update("rows_w", "s.tipo_procesamiento = 'STANDIN_P'", "STANDIN")
     )
     q["archive_rows"] = with_fixtures(
-        WIN_CTES, f"SELECT {text_columns('b')} FROM resultado_b b WHERE {ARCHIVE_COND}"
+        WIN_CTES, f"SELECT {text_columns('b')} FROM rows_w b WHERE {ARCHIVE_COND}"
     )
     q["purge_archived"] = with_fixtures(
         WIN_CTES,
         f"""SELECT {text_columns('m')} FROM movimientos m
 WHERE NOT EXISTS (
-  SELECT 1 FROM resultado_b b
+  SELECT 1 FROM rows_w b
   WHERE {ARCHIVE_COND} AND {KEY_GUARD.format(a='b')}
     AND b.periodo = m.periodo AND b.id_transaccion = m.id_transaccion)""",
     )
@@ -345,13 +337,13 @@ WHERE NOT EXISTS (
   CASE WHEN NOT ({KEY_GUARD.format(a='b')}) THEN 'skipped'
        WHEN EXISTS (SELECT 1 FROM movimientos m WHERE m.periodo = b.periodo AND m.id_transaccion = b.id_transaccion)
        THEN 'applied' ELSE 'not_found' END AS outcome
-FROM resultado_b b WHERE b.tipo_procesamiento = 'STANDIN_P'""",
+FROM rows_w b WHERE b.tipo_procesamiento = 'STANDIN_P'""",
     )
     marked = REQ_CTES + "," + MARK_CTES + "," + MARKED_CTES
-    q["mark_reposted_apply"] = with_fixtures(marked, f"SELECT {text_columns('x')} FROM movimientos_marcados x")
+    q["mark_reposted_apply"] = with_fixtures(marked, f"SELECT {text_columns('x')} FROM movimientos_marked x")
     q["match_requests_after_mark"] = with_fixtures(
-        marked + "," + a_steps("movimientos_marcados", "_m"),
-        f"SELECT {text_columns('a')},\n  a.reposting_completo FROM resultado_a_m a",
+        marked + "," + a_steps("movimientos_marked", "_m"),
+        f"SELECT {text_columns('a')},\n  a.reposting_completo FROM rows_r_m a",
     )
     q["reconcile_batch"] = with_fixtures(
         marked,
@@ -359,11 +351,11 @@ FROM resultado_b b WHERE b.tipo_procesamiento = 'STANDIN_P'""",
 FROM (
   SELECT m.* REPLACE (
     CASE WHEN EXISTS (
-      SELECT 1 FROM resultado_a s
+      SELECT 1 FROM rows_r s
       WHERE s.reposting_completo = 'NO MATCH' AND {KEY_GUARD.format(a='s')}
         AND s.periodo = m.periodo AND s.id_transaccion = m.id_transaccion)
     THEN 'STANDIN_P' ELSE m.tipo_procesamiento END AS tipo_procesamiento)
-  FROM movimientos_marcados m
+  FROM movimientos_marked m
 ) x""",
     )
     _ = both
