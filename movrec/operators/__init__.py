@@ -1,0 +1 @@
+"""Set-based reconciliation operators (transforms A and B, change sets, apply)."""
