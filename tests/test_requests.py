@@ -121,3 +121,15 @@ def test_mark_apply_only_touches_standin_rows(spark):
     out = apply_updates(mov, marks, ch.MARK_KEYS, ch.MARK_ASSIGN).collect()
     by_type = {r["tipo_procesamiento"]: (r["numero_comprobante_reposting"], r["estado_transaccion"]) for r in out}
     assert by_type == {"STANDIN": ("D1", 10), "STANDIN_P": (None, 1)}
+
+
+def test_invariant_under_partitioning(spark, ledger):
+    mov, req = ledger
+    want = spark_counter(rq.match_requests(req, mov))
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "3")
+    try:
+        got = spark_counter(rq.match_requests(req.repartition(5), mov.repartition(7)))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert got == want
