@@ -97,9 +97,22 @@ def unmatched_rows(matched: DataFrame) -> DataFrame:
     return matched.filter(F.col(VERDICT_COLUMN) == F.lit(NO_MATCH)).drop(VERDICT_COLUMN)
 
 
-def park_unmatched_keys(matched: DataFrame) -> DataFrame:
-    """P5 keys: every (periodo, id) in a NO MATCH group is parked (any current type)."""
-    return result_keys(unmatched_rows(matched))
+def park_unmatched_keys(matched: DataFrame, only_standin: bool = False) -> DataFrame:
+    """P5 keys: every (periodo, id) in a NO MATCH group is parked, whatever its
+    current type (core rows included, as the original does).
+
+    ``only_standin=True`` parks only the group's ``'STANDIN'`` rows; the keys
+    then carry ``tipo_procesamiento`` and apply with :data:`PARK_STANDIN_KEYS`.
+    """
+    rows = unmatched_rows(matched)
+    if not only_standin:
+        return result_keys(rows)
+    rows = rows.filter(F.col("tipo_procesamiento") == F.lit(STANDIN))
+    g = rows.filter(all_truthy(rows, WRITE_KEY))
+    return g.select(as_date(g, "periodo").alias("periodo"), "id_transaccion", "tipo_procesamiento").distinct()
+
+
+PARK_STANDIN_KEYS = ("periodo", "id_transaccion", "tipo_procesamiento")
 
 
 PARK_ASSIGN = {"tipo_procesamiento": lambda: F.lit(STANDIN_PARKED)}

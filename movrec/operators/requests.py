@@ -143,17 +143,20 @@ def _pair_join(mov: DataFrame, pairs: DataFrame) -> Column:
     )
 
 
-def request_movements(pairs: Measured, mov: DataFrame) -> DataFrame:
+def request_movements(pairs: Measured, mov: DataFrame, dedupe: bool = False) -> DataFrame:
     """N2: every movement carrying one of the request's keys inside its range.
 
     Returns the 50 movement columns (typed), the request key and ``_rep`` =
     how many times the row repeats in the result (duplicate requests times
-    duplicate keys).
+    duplicate keys).  A movement has one (account, document), so it meets
+    exactly one distinct key of a request: ``dedupe`` drops the key
+    multiplicity and keeps one row per driving row and movement.
     """
     wide = restrict_period(mov, pairs.extras["_lo"], pairs.extras["_hi"])
     p = pairs.side()
     joined = wide.join(p, _pair_join(wide, p))
-    return joined.select(*MOVEMENT_COLUMNS, *REQ_KEY, (F.col("rq_n") * F.col("kp_m")).alias("_rep"))
+    rep = F.col("rq_n") if dedupe else F.col("rq_n") * F.col("kp_m")
+    return joined.select(*MOVEMENT_COLUMNS, *REQ_KEY, rep.alias("_rep"))
 
 
 def request_verdict(matched: DataFrame) -> DataFrame:
@@ -173,9 +176,9 @@ def request_verdict(matched: DataFrame) -> DataFrame:
     )
 
 
-def matched_movements(pairs: Measured, mov: DataFrame) -> Measured:
+def matched_movements(pairs: Measured, mov: DataFrame, dedupe: bool = False) -> Measured:
     """N2 rows checkpointed once; the verdict and the result both read them."""
-    return materialize(request_movements(pairs, mov))
+    return materialize(request_movements(pairs, mov, dedupe))
 
 
 def with_verdict(matched: Measured, pairs: Measured) -> DataFrame:
@@ -209,11 +212,16 @@ def empty_result(spark, with_verdict: bool) -> DataFrame:
     return spark.createDataFrame([], result_schema(with_verdict))
 
 
-def match_requests(req: DataFrame, mov: DataFrame) -> DataFrame:
+def match_requests(req: DataFrame, mov: DataFrame, dedupe: bool = False) -> DataFrame:
     """P1: the 50 movement columns as text plus ``reposting_completo``, one row per
-    (driving request row, key occurrence, movement), as transform A returns them."""
+    (driving request row, key occurrence, movement), as transform A returns them.
+
+    ``dedupe=True`` drops the repetition that comes from equal keys of one
+    request (the four key branches), keeping one row per driving row and
+    movement.
+    """
     pairs = prepare_pairs(req, mov)
     if pairs is None or pairs.rows == 0:
         return empty_result(mov.sparkSession, True)
-    rows = with_verdict(matched_movements(pairs, mov), pairs)
+    rows = with_verdict(matched_movements(pairs, mov, dedupe), pairs)
     return format_movements(rows, extra=(VERDICT_COLUMN,), repeat="_rep")

@@ -129,11 +129,13 @@ def output_delete_legs(spark: SparkSession, df: DataFrame, write_options: dict,
 
 
 def output_park(spark: SparkSession, df: DataFrame, write_options: dict, params: dict) -> OutputResult:
-    """O4: park every key of NO MATCH groups."""
+    """O4: park every key of NO MATCH groups (``PARK_ONLY_STANDIN`` limits it to stand-in rows)."""
     mov = snapshot_from_params(spark, params)
     rows = ch.unmatched_rows(df)
-    keys = materialize(ch.result_keys(rows))
-    change = lambda part: ap.apply_updates(part, keys, WRITE_KEY, ch.PARK_ASSIGN)
+    only_standin = str(params.get("PARK_ONLY_STANDIN", "")).lower() in ("1", "true", "yes")
+    keys = materialize(ch.park_unmatched_keys(df, only_standin=only_standin))
+    key_cols = ch.PARK_STANDIN_KEYS if only_standin else WRITE_KEY
+    change = lambda part: ap.apply_updates(part, keys, key_cols, ch.PARK_ASSIGN)
     return _finish(spark, params, change(mov), _key_status(rows, mov), keys, change)
 
 

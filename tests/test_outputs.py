@@ -158,3 +158,13 @@ def test_rewrite_only_touched_partitions(spark):
     as_set = lambda df: sorted((r["id_transaccion"], str(r["periodo"]), r["tipo_procesamiento"]) for r in df.collect())
     assert as_set(after) == as_set(want)
     assert {f: os.path.getmtime(os.path.join(untouched, f)) for f in os.listdir(untouched)} == before
+
+
+def test_park_only_standin_rows(spark):
+    mov = movements_df(spark, LEDGER)
+    matched = rq.match_requests(requests_df(spark, REQUESTS), mov)
+    keys = ch.park_unmatched_keys(matched, only_standin=True)
+    out = {r["id_transaccion"]: r["tipo_procesamiento"] for r in ap.apply_updates(mov, keys, ch.PARK_STANDIN_KEYS, ch.PARK_ASSIGN).collect()}
+    full = {r["id_transaccion"]: r["tipo_procesamiento"] for r in ap.apply_updates(mov, ch.park_unmatched_keys(matched), WRITE_KEY, ch.PARK_ASSIGN).collect()}
+    # the empty-type row E2 of the NO MATCH group is parked only in the faithful mode
+    assert full["E2"] == "STANDIN_P" and out["E2"] == ""

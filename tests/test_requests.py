@@ -133,3 +133,14 @@ def test_invariant_under_partitioning(spark, ledger):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
     assert got == want
+
+
+def test_dedupe_option(spark, ledger):
+    mov, req = ledger
+    got = spark_counter(rq.match_requests(req, mov, dedupe=True))
+    full = brute.match_requests(LEDGER, REQUESTS)
+    assert set(got) == set(full)
+    # C3 matched four times by equal keys of one request: once after dedupe
+    assert got[("C3", "2024-01-31", "MATCH")] == 1
+    # duplicate driving rows still repeat
+    assert got[("C1", "2024-01-12", "MATCH")] == 2
