@@ -97,13 +97,17 @@ def audit(
     ``delete_status`` is NULL as in the reference (a failed statement fails the
     Spark job instead of becoming text); ``outcome`` tells ``skipped`` (guard
     failed), ``applied`` (the key exists in the snapshot) or ``not_found``.
-    Existence is checked with a semi join of the distinct input keys, so the
-    snapshot is never aggregated.
+    The distinct input keys are measured; the snapshot streams against them
+    (semi join, broadcast under the cap) and only the distinct hits - at most
+    one per input key - come back, so the snapshot is never shuffled or
+    aggregated.
     """
     rows = inputs.select(*[e.alias(n) for n, e in key_cols.items()], guard.alias("_ok"))
-    distinct_keys = rows.filter(F.col("_ok")).select(*keys).distinct()
-    present = touched_rows_keys(mov, distinct_keys, keys)
-    flagged = rows.join(present.withColumn("_found", F.lit(True)), list(keys), "left")
+    distinct_keys = materialize(rows.filter(F.col("_ok")).select(*keys).distinct())
+    present = touched_rows(mov, distinct_keys, keys).select(*keys).distinct().withColumn("_found", F.lit(True))
+    if distinct_keys.broadcastable:
+        present = F.broadcast(present)
+    flagged = rows.join(present, list(keys), "left")
     outcome = (
         F.when(~F.col("_ok"), F.lit("skipped"))
         .when(F.col("_found"), F.lit("applied"))
@@ -112,16 +116,6 @@ def audit(
     return flagged.select(*keys, F.lit(None).cast("string").alias(STATUS_COLUMN), outcome.alias("outcome"))
 
 
-def touched_rows_keys(mov: DataFrame, keys_df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Distinct keys of ``keys_df`` that exist in ``mov``."""
-    m = mov.select(*[F.col(c).alias(f"_m{i}") for i, c in enumerate(keys)])
-    cond = None
-    for i, c in enumerate(keys):
-        e = keys_df[c] == m[f"_m{i}"]
-        cond = e if cond is None else cond & e
-    return keys_df.join(m, cond, "left_semi")
-
-
 def preview(status: DataFrame, rows: int = 10000) -> DataFrame:
     """The bounded console preview of an audit; the action itself is never limited."""
     return status.limit(rows)
