@@ -56,10 +56,20 @@ def window_standins(bins: Measured, mov: DataFrame, bin_days: int = DEFAULT_BIN_
     )
 
 
-def _window_cores(bins: Measured, mov: DataFrame, bin_days: int) -> DataFrame:
+def _window_cores(bins: Measured, mov: DataFrame, bin_days: int, candidates: DataFrame) -> DataFrame:
+    """Core rows (type NULL) whose (account, document) some stand-in references, per window.
+
+    The equality semi join runs first, on the bulk of the snapshot, so only
+    the few candidate rows reach the window range join.
+    """
     m = restrict_period(mov, bins.extras["_lo"], bins.extras["_hi"]).filter(
         F.col("tipo_procesamiento").isNull()
     ).select("periodo", "numero_cuenta_id", "numero_documento")
+    m = m.join(
+        candidates,
+        (m["numero_cuenta_id"] == candidates["cuenta"]) & (m["numero_documento"] == candidates["documento_core"]),
+        "left_semi",
+    )
     return attach_windows(m, bins, "periodo", "wn_lo", "wn_hi", bin_days).select(
         *WIN_KEY, "numero_cuenta_id", "numero_documento"
     )
@@ -84,10 +94,13 @@ def window_matched_standins(bins: Measured, mov: DataFrame, bin_days: int = DEFA
         )
         .distinct()
     )
+    # both key sets are projections of the measured stand-ins: same size bound
     standin_keys = standins.df.select(*WIN_KEY, "cuenta", "documento_core").distinct()
+    candidates = standins.df.select("cuenta", "documento_core").distinct()
     if standins.broadcastable:
         standin_keys = F.broadcast(standin_keys)
-    cores = _window_cores(bins, mov, bin_days)
+        candidates = F.broadcast(candidates)
+    cores = _window_cores(bins, mov, bin_days, candidates)
     core_keys = (
         cores.join(
             standin_keys,
