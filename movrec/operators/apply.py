@@ -129,7 +129,7 @@ def rewrite_touched_partitions(
     spark,
     path: str,
     keys_df: DataFrame | Measured,
-    change: "Callable[[DataFrame], DataFrame]",
+    change: Callable[[DataFrame], DataFrame],
     partition_col: str = "periodo",
     fmt: str = "parquet",
     schema=None,

@@ -7,16 +7,17 @@ effect is inspectable before it is applied (see :mod:`movrec.operators.apply`).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from movrec.functions.predicates import all_truthy, column_or_null, is_blank
 from movrec.operators.requests import as_date, guard_requests
+from movrec.operators.sizing import materialize
 from movrec.schema import NO_MATCH, REPOSTED_STATE, STANDIN, STANDIN_PARKED, VERDICT_COLUMN, WRITE_KEY
 from movrec.sources.snapshot import restrict_period
 
 
-def _two_ids(df: DataFrame) -> F.Column:
+def _two_ids(df: DataFrame) -> Column:
     return F.explode(F.array(column_or_null(df, "guid_ordenante"), column_or_null(df, "guid_beneficiario")))
 
 
@@ -41,8 +42,6 @@ def mark_reposted_changes(req: DataFrame, mov: DataFrame) -> DataFrame:
         .filter(F.col("mk_id").isNotNull() & F.col("mk_lo").isNotNull())
         .distinct()
     )
-    from movrec.operators.sizing import materialize
-
     ids_m = materialize(ids, {"_lo": F.min("mk_lo")})
     if ids_m.rows == 0:
         return _empty_marks(mov)
