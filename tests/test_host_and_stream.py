@@ -63,3 +63,44 @@ def test_release_in_place_rewrites_touched_partitions(spark):
     assert after.count() == len(LEDGER)
     assert res.written_to == path
     assert sorted(r["outcome"] for r in res.status.collect()) == ["applied"] * 3
+
+
+def test_transform_requests_over_jdbc_partitioned_read(spark):
+    import datetime as dt
+
+    url = f"jdbc:derby:memory:hostjdbc{dt.datetime.now().strftime('%H%M%S%f')};create=true"
+    movements_df(spark, LEDGER).write.format("jdbc").options(
+        url=url, dbtable="MOVIMIENTOS", driver="org.apache.derby.jdbc.EmbeddedDriver"
+    ).save()
+    params = {
+        "JDBC_URL": url,
+        "JDBC_TABLE": "MOVIMIENTOS",
+        "JDBC_PARTITIONS": "3",
+        "JDBC_LOWER": "2024-01-01",
+        "JDBC_UPPER": "2024-03-01",
+    }
+    assert host.snapshot_from_params(spark, params).rdd.getNumPartitions() == 3
+    matched = host.transform_requests(spark, requests_df(spark, REQUESTS), params)
+    got = Counter((r["id_transaccion"], r["periodo"], r["reposting_completo"]) for r in matched.collect())
+    assert got == brute.match_requests(LEDGER, REQUESTS)
+
+
+def test_windows_delete_and_archive_entry_points(spark):
+    from rows import WINDOWS, windows_df
+
+    path = _snapshot(spark)
+    params = {"SNAPSHOT_PATH": path}
+    found = host.transform_windows(spark, windows_df(spark, WINDOWS), params)
+    assert Counter((r["id_transaccion"], r["periodo"]) for r in found.collect()) == brute.match_windows(LEDGER, WINDOWS)
+
+    lake = scratch_path(spark, "host-lake")
+    res = host.output_archive(spark, found, {}, {**params, "LAKE_PATH": lake, "LAKE_FORMAT": "parquet", "BATCH_ID": "w1"})
+    archived = {(r["periodo"], r["id_transaccion"]) for r in spark.read.parquet(lake).collect()}
+    remaining = {(str(r["periodo"]), r["id_transaccion"]) for r in res.snapshot.collect()}
+    assert archived and not (archived & remaining)
+    assert len(remaining) + len(archived) == len({(str(m["periodo"]), m["id_transaccion"]) for m in LEDGER})
+
+    legs = host.output_delete_legs(spark, requests_df(spark, REQUESTS), {}, params)
+    # O3 keys on the request's upper period: none of the ledger's legs is dated on it
+    assert legs.snapshot.count() == len(LEDGER)
+    assert {r["outcome"] for r in legs.status.collect()} <= {"not_found", "skipped"}
