@@ -49,20 +49,26 @@ def main():
     t = time.perf_counter()
     fixture_snapshot(spark, sf_dir).write.format("noop").mode("overwrite").save()
     setup = time.perf_counter() - t
-    results = {}
+    results, errors = {}, {}
     for n in names:
-        run_once(spark, n, sf_dir)
-        results[n] = round(statistics.median(run_once(spark, n, sf_dir) for _ in range(reps)), 3)
+        try:
+            run_once(spark, n, sf_dir)
+            results[n] = round(statistics.median(run_once(spark, n, sf_dir) for _ in range(reps)), 3)
+        except Exception as e:  # report the failure, keep benchmarking the rest
+            results[n] = None
+            errors[n] = f"{type(e).__name__}: {str(e)[:200]}"
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     out = {
         "metric": "total_headline_query_seconds",
-        "value": round(sum(results.values()), 3),
+        "value": round(sum(v for v in results.values() if v is not None), 3),
         "unit": "sec",
         "queries": results,
         "load_snapshot": round(setup, 3),
         "sf": float(sf) if sf.replace(".", "").isdigit() else sf,
         "cpus": cpus,
     }
+    if errors:
+        out["errors"] = errors
     print(json.dumps(out))
     spark.stop()
 
