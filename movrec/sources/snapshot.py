@@ -49,7 +49,8 @@ def jdbc_options(
     ``partition_column`` with bounds splits the read into ``num_partitions``
     parallel range queries instead of one connection.
     """
-    opts = {"url": url, "dbtable": table, "fetchsize": str(fetch_size)}
+    # timestamps without time zone stay wall-clock values (rendered as stored)
+    opts = {"url": url, "dbtable": table, "fetchsize": str(fetch_size), "preferTimestampNTZ": "true"}
     if user is not None:
         opts["user"] = user
     if password is not None:

@@ -144,3 +144,14 @@ def test_dedupe_option(spark, ledger):
     assert got[("C3", "2024-01-31", "MATCH")] == 1
     # duplicate driving rows still repeat
     assert got[("C1", "2024-01-12", "MATCH")] == 2
+
+
+def test_empty_snapshot(spark, ledger):
+    from movrec.operators import windows as wn
+    from rows import WINDOWS, windows_df
+
+    mov, req = ledger
+    empty = mov.limit(0)
+    assert rq.match_requests(req, empty).count() == 0
+    assert wn.match_windows(windows_df(spark, WINDOWS), empty).count() == 0
+    assert ch.mark_reposted_changes(req, empty).count() == 0
