@@ -125,6 +125,9 @@ def measured(df: DataFrame) -> Measured:
     return materialize(df)
 
 
+MAX_LITERAL_PERIODS = 10000
+
+
 def rewrite_touched_partitions(
     spark,
     path: str,
@@ -137,18 +140,24 @@ def rewrite_touched_partitions(
     """Apply ``change`` to a snapshot partitioned by ``partition_col`` at ``path``,
     rewriting only the partitions whose period occurs in ``keys_df``.
 
-    The touched periods are a broadcast semi join on the partition column, so
-    dynamic partition pruning reads only those partitions; the new rows are
-    checkpointed (which also ends the read of ``path``) and written back with
-    dynamic partition overwrite.  Untouched partitions are not read or
-    rewritten.  Returns the number of rewritten rows.
+    The touched periods are at most the number of period partitions, so up
+    to ``MAX_LITERAL_PERIODS`` of them are fetched and used as a literal
+    ``IN`` partition filter: only those folders are listed and read.  Beyond
+    that bound the exact semi join on the partition column selects them.  The
+    new rows are checkpointed (which also ends the read of ``path``) and
+    written back with dynamic partition overwrite, so untouched partitions are
+    neither read nor rewritten.  Returns the number of rewritten rows.
     """
     from movrec.sources.snapshot import load_snapshot
 
     keys = keys_df if isinstance(keys_df, Measured) else materialize(keys_df)
     periods = keys.df.select(partition_col).distinct()
     mov = load_snapshot(spark, path, fmt=fmt, schema=schema)
-    touched = mov.join(F.broadcast(periods) if keys.broadcastable else periods, partition_col, "left_semi")
+    few = [r[0] for r in periods.limit(MAX_LITERAL_PERIODS + 1).collect()]
+    if len(few) <= MAX_LITERAL_PERIODS:
+        touched = mov.filter(F.col(partition_col).isin(few))
+    else:
+        touched = mov.join(F.broadcast(periods) if keys.broadcastable else periods, partition_col, "left_semi")
     new_rows = materialize(change(touched).select(*mov.columns))
     (
         new_rows.df.write.format(fmt)
