@@ -128,6 +128,27 @@ def measured(df: DataFrame) -> Measured:
 MAX_LITERAL_PERIODS = 10000
 
 
+def touched_partitions(
+    spark, path: str, keys_df: DataFrame | Measured, partition_col: str = "periodo", fmt: str = "parquet", schema=None
+) -> DataFrame:
+    """The rows of the partitions whose period occurs in ``keys_df``.
+
+    Up to ``MAX_LITERAL_PERIODS`` touched periods (a bounded set: at most the
+    number of period partitions) become a literal ``IN`` partition filter, so
+    only those folders are listed and read; beyond that the exact semi join
+    on the partition column selects them.
+    """
+    from movrec.sources.snapshot import load_snapshot
+
+    keys = keys_df if isinstance(keys_df, Measured) else materialize(keys_df)
+    periods = keys.df.select(partition_col).distinct()
+    mov = load_snapshot(spark, path, fmt=fmt, schema=schema)
+    few = [r[0] for r in periods.limit(MAX_LITERAL_PERIODS + 1).collect()]
+    if len(few) <= MAX_LITERAL_PERIODS:
+        return mov.filter(F.col(partition_col).isin(few))
+    return mov.join(F.broadcast(periods) if keys.broadcastable else periods, partition_col, "left_semi")
+
+
 def rewrite_touched_partitions(
     spark,
     path: str,
@@ -140,25 +161,13 @@ def rewrite_touched_partitions(
     """Apply ``change`` to a snapshot partitioned by ``partition_col`` at ``path``,
     rewriting only the partitions whose period occurs in ``keys_df``.
 
-    The touched periods are at most the number of period partitions, so up
-    to ``MAX_LITERAL_PERIODS`` of them are fetched and used as a literal
-    ``IN`` partition filter: only those folders are listed and read.  Beyond
-    that bound the exact semi join on the partition column selects them.  The
+    The touched partitions are selected by :func:`touched_partitions`.  The
     new rows are checkpointed (which also ends the read of ``path``) and
     written back with dynamic partition overwrite, so untouched partitions are
     neither read nor rewritten.  Returns the number of rewritten rows.
     """
-    from movrec.sources.snapshot import load_snapshot
-
-    keys = keys_df if isinstance(keys_df, Measured) else materialize(keys_df)
-    periods = keys.df.select(partition_col).distinct()
-    mov = load_snapshot(spark, path, fmt=fmt, schema=schema)
-    few = [r[0] for r in periods.limit(MAX_LITERAL_PERIODS + 1).collect()]
-    if len(few) <= MAX_LITERAL_PERIODS:
-        touched = mov.filter(F.col(partition_col).isin(few))
-    else:
-        touched = mov.join(F.broadcast(periods) if keys.broadcastable else periods, partition_col, "left_semi")
-    new_rows = materialize(change(touched).select(*mov.columns))
+    mov = touched_partitions(spark, path, keys_df, partition_col, fmt, schema)
+    new_rows = materialize(change(mov).select(*mov.columns))
     (
         new_rows.df.write.format(fmt)
         .mode("overwrite")

@@ -57,3 +57,21 @@ def test_transform_a_scans_the_snapshot_twice(spark):
     pairs = rq.measure_pairs(rq.request_key_pairs(legs))
     final = rq.with_verdict(rq.matched_movements(pairs, mov), pairs)
     assert [s for s in scans(final) if "movimientos" in s.get("Location", "")] == []
+
+
+def test_touched_partitions_prune_at_planning(spark):
+    import datetime as dt
+
+    from movrec.operators.apply import touched_partitions
+    from movrec.schema import movement_schema
+    from movrec.session import scratch_path
+    from movrec.sources.snapshot import write_snapshot
+    from rows import LEDGER, movements_df
+
+    path = scratch_path(spark, "pruned")
+    write_snapshot(movements_df(spark, LEDGER), path, partition_by="periodo", files=2)
+    keys = spark.createDataFrame([(dt.date(2024, 1, 5), "S2")], "periodo date, id_transaccion string")
+    part = touched_partitions(spark, path, keys, schema=movement_schema())
+    (scan,) = [s for s in scans(part) if "Location" in s]
+    assert "periodo" in scan["PartitionFilters"] and " IN (" in scan["PartitionFilters"]
+    assert {r["id_transaccion"] for r in part.collect()} == {"S2"}
