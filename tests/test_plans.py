@@ -73,5 +73,5 @@ def test_touched_partitions_prune_at_planning(spark):
     keys = spark.createDataFrame([(dt.date(2024, 1, 5), "S2")], "periodo date, id_transaccion string")
     part = touched_partitions(spark, path, keys, schema=movement_schema())
     (scan,) = [s for s in scans(part) if "Location" in s]
-    assert "periodo" in scan["PartitionFilters"] and " IN (" in scan["PartitionFilters"]
+    assert "periodo" in scan["PartitionFilters"] and "2024-01-05" in scan["PartitionFilters"]
     assert {r["id_transaccion"] for r in part.collect()} == {"S2"}
