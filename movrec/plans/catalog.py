@@ -155,6 +155,10 @@ def q_mark_reposted_apply(spark, sf_dir):
     return format_movements(ap.apply_updates(mov, materialize(marks), ch.MARK_KEYS, ch.MARK_ASSIGN))
 
 
+def q_match_requests_dedupe(spark, sf_dir):
+    return rq.match_requests(requests(spark, sf_dir), movements(spark, sf_dir), dedupe=True)
+
+
 def q_match_requests_after_mark(spark, sf_dir):
     from movrec.plans.batch import reconcile_batch
 
@@ -232,6 +236,13 @@ def q_park_unmatched(spark, sf_dir):
     return format_movements(ap.apply_updates(mov, keys, WRITE_KEY, ch.PARK_ASSIGN))
 
 
+def q_park_unmatched_standin_only(spark, sf_dir):
+    mov = movements(spark, sf_dir)
+    matched = q_match_requests(spark, sf_dir)
+    keys = materialize(ch.park_unmatched_keys(matched, only_standin=True))
+    return format_movements(ap.apply_updates(mov, keys, ch.PARK_STANDIN_KEYS, ch.PARK_ASSIGN))
+
+
 def q_release_parked(spark, sf_dir):
     mov = movements(spark, sf_dir)
     found = q_match_windows(spark, sf_dir)
@@ -275,6 +286,7 @@ PLANS: dict[str, Plan] = {
     "request_movements": q_request_movements,
     "request_verdict": q_request_verdict,
     "match_requests": q_match_requests,
+    "match_requests_dedupe": q_match_requests_dedupe,
     "mark_reposted_changes": q_mark_reposted_changes,
     "mark_reposted_apply": q_mark_reposted_apply,
     "match_requests_after_mark": q_match_requests_after_mark,
@@ -287,6 +299,7 @@ PLANS: dict[str, Plan] = {
     "request_leg_delete": q_request_leg_delete,
     "request_leg_delete_rows": q_request_leg_delete_rows,
     "park_unmatched": q_park_unmatched,
+    "park_unmatched_standin_only": q_park_unmatched_standin_only,
     "release_parked": q_release_parked,
     "archive_rows": q_archive_rows,
     "purge_archived": q_purge_archived,

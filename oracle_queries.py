@@ -356,6 +356,25 @@ FROM (
         AND s.periodo = m.periodo AND s.id_transaccion = m.id_transaccion)
     THEN 'STANDIN_P' ELSE m.tipo_procesamiento END AS tipo_procesamiento)
   FROM movimientos_marked m
+) x""",
+    )
+    q["match_requests_dedupe"] = with_fixtures(
+        REQ_CTES + """,
+distinct_hits AS (SELECT DISTINCT * FROM hits_r)""",
+        f"""SELECT {text_columns('h')},
+  f.reposting_completo FROM distinct_hits h JOIN flags_r f ON f.rid = h.rid""",
+    )
+    q["park_unmatched_standin_only"] = with_fixtures(
+        REQ_CTES,
+        f"""SELECT {text_columns('x')}
+FROM (
+  SELECT m.* REPLACE (
+    CASE WHEN m.tipo_procesamiento = 'STANDIN' AND EXISTS (
+      SELECT 1 FROM rows_r s
+      WHERE s.reposting_completo = 'NO MATCH' AND s.tipo_procesamiento = 'STANDIN' AND {KEY_GUARD.format(a='s')}
+        AND s.periodo = m.periodo AND s.id_transaccion = m.id_transaccion)
+    THEN 'STANDIN_P' ELSE m.tipo_procesamiento END AS tipo_procesamiento)
+  FROM movimientos m
 ) x""",
     )
     _ = both
