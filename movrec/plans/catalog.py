@@ -177,7 +177,9 @@ def _window_cols() -> list[Column]:
 
 
 def q_guard_windows(spark, sf_dir):
-    g = wn.guard_windows(windows(spark, sf_dir))
+    """F2 over a window set that grows with the data: every request's own bounds."""
+    bounds = requests(spark, sf_dir).select("periodo", "periodo_tope")
+    g = wn.guard_windows(bounds)
     return g.select(_day("periodo").alias("periodo"), _day("periodo_tope").alias("periodo_tope"))
 
 

@@ -291,7 +291,7 @@ FROM flags_r v JOIN req r USING (rid)""",
     )
     q["guard_windows"] = with_fixtures(
         "",
-        f"""SELECT {day('periodo', 'periodo')}, {day('periodo_tope', 'periodo_tope')} FROM ventanas
+        f"""SELECT {day('periodo', 'periodo')}, {day('periodo_tope', 'periodo_tope')} FROM solicitudes
 WHERE periodo IS NOT NULL AND periodo_tope IS NOT NULL""",
     )
     q["window_standins"] = with_fixtures(
