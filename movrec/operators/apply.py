@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from movrec.operators.sizing import Measured, materialize
-from movrec.schema import STATUS_COLUMN
+from movrec.schema import PREVIEW_ROWS, STATUS_COLUMN
 
 
 def _small(changes: DataFrame | Measured) -> DataFrame:
@@ -116,15 +116,11 @@ def audit(
     return flagged.select(*keys, F.lit(None).cast("string").alias(STATUS_COLUMN), outcome.alias("outcome"))
 
 
-def preview(status: DataFrame, rows: int = 10000) -> DataFrame:
+def preview(status: DataFrame, rows: int = PREVIEW_ROWS) -> DataFrame:
     """The bounded console preview of an audit; the action itself is never limited."""
     return status.limit(rows)
 
 
-def measured(df: DataFrame) -> Measured:
-    return materialize(df)
-
-
 MAX_LITERAL_PERIODS = 10000
 
 
