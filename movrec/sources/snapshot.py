@@ -108,3 +108,20 @@ def write_snapshot(df: DataFrame, path: str, files: int | None = None, partition
         writer = writer.partitionBy(partition_by)
     writer.parquet(path)
     return path
+
+
+def stage_changes_jdbc(changes: DataFrame, table: str, partitions: int | None = None, mode: str = "overwrite", **jdbc_kw) -> None:
+    """Bulk-load a change set into a staging table over JDBC.
+
+    Executors write the keys (and new values) in parallel batches, so a
+    database-resident hot table can apply the whole set with one set-based
+    statement (for example ``UPDATE … FROM staging`` or ``DELETE … USING
+    staging``) instead of one statement and commit per key.  ``jdbc_kw`` are
+    the connection arguments of :func:`jdbc_options` (``url``, ``user``,
+    certificates).
+    """
+    opts = jdbc_options(table=table, **jdbc_kw)
+    for k in ("partitionColumn", "lowerBound", "upperBound", "numPartitions", "fetchsize", "preferTimestampNTZ"):
+        opts.pop(k, None)
+    out = changes.coalesce(partitions) if partitions else changes
+    out.write.format("jdbc").options(**opts).option("batchsize", "10000").mode(mode).save()

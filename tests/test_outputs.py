@@ -168,3 +168,14 @@ def test_park_only_standin_rows(spark):
     full = {r["id_transaccion"]: r["tipo_procesamiento"] for r in ap.apply_updates(mov, ch.park_unmatched_keys(matched), WRITE_KEY, ch.PARK_ASSIGN).collect()}
     # the empty-type row E2 of the NO MATCH group is parked only in the faithful mode
     assert full["E2"] == "STANDIN_P" and out["E2"] == ""
+
+
+def test_stage_change_set_over_jdbc(spark):
+    from movrec.sources.snapshot import stage_changes_jdbc
+
+    url = f"jdbc:derby:memory:stage{dt.datetime.now().strftime('%H%M%S%f')};create=true"
+    matched = rq.match_requests(requests_df(spark, REQUESTS), movements_df(spark, LEDGER))
+    keys = ch.park_unmatched_keys(matched)
+    stage_changes_jdbc(keys, "PARK_KEYS", partitions=2, url=url)
+    back = spark.read.format("jdbc").options(url=url, dbtable="PARK_KEYS").load()
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, keys.collect()))
