@@ -15,6 +15,9 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # respect the advisory partition size instead of maximising task count
+    # (Spark's advice for busy clusters; fewer tiny tasks for small stages)
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
     # build bloom filters from driving sides up to 256 MB, not only tiny ones
     "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "256MB",
