@@ -9,8 +9,9 @@ from movrec.operators.ranges import window_bins
 from movrec.plans import catalog as C
 from movrec.plans.inspect import plan_text, plan_violations, scans
 
-CHECKED = ["match_requests", "match_windows", "mark_reposted_apply", "park_unmatched",
-           "release_parked", "request_leg_delete", "purge_archived", "action_audit"]
+CHECKED = ["match_requests", "match_requests_dedupe", "match_windows", "mark_reposted_apply", "park_unmatched",
+           "park_unmatched_standin_only", "release_parked", "request_leg_delete", "purge_archived", "action_audit",
+           "reconcile_batch"]
 
 
 @pytest.mark.parametrize("name", CHECKED)
