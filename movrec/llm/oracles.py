@@ -60,7 +60,7 @@ WITH sizes AS (
          sum(source_size) OVER () AS total
   FROM sources
 ), levels AS (
-  SELECT min((total - full_size::DOUBLE * 3.0) / open_weight) FILTER ((total - full_size::DOUBLE * 3.0) / open_weight * weight < source_size::DOUBLE * 3.0) AS level FROM filled
+  SELECT arg_min((total - full_size::DOUBLE * 3.0) / open_weight, 3.0 * source_size / weight) FILTER ((total - full_size::DOUBLE * 3.0) / open_weight * weight < source_size::DOUBLE * 3.0) AS level FROM filled
 ), targets AS (
   SELECT source, source_size, least(source_size::DOUBLE * 3.0, weight * coalesce((SELECT level FROM levels), 0)) AS target FROM sources
 ), steps AS (

@@ -34,6 +34,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from movrec.llm.common import arrow_map, ascii_lower, settle
+from movrec.llm.words import mix
 
 MAX_FILTER_BYTES = 256 << 20
 BITS_PER_KEY = 12
@@ -49,6 +50,13 @@ def split_url(url: str = "url") -> tuple[Column, Column]:
     return ascii_lower(host), path
 
 
+def places(h1: np.ndarray, h2: np.ndarray, hashes: int, salt: int, bits: int):
+    """The bit places of keys in one level; every level hashes anew, so keys that collide in one part in the next."""
+    a, b = mix(h1 + np.uint64(salt) * np.uint64(0x9E3779B97F4A7C15)), mix(h2 ^ np.uint64(salt)) | np.uint64(1)
+    for i in range(hashes):
+        yield (a + np.uint64(i) * b) % np.uint64(bits)
+
+
 @dataclass
 class Level:
     """One Bloom filter."""
@@ -58,10 +66,8 @@ class Level:
     salt: int
 
     def has(self, h1: np.ndarray, h2: np.ndarray) -> np.ndarray:
-        bits = np.uint64(len(self.words) * 64)
         out = np.ones(len(h1), bool)
-        for i in range(self.hashes):
-            at = (h1 + np.uint64(i + self.salt * 64) * h2) % bits
+        for at in places(h1, h2, self.hashes, self.salt, len(self.words) * 64):
             out &= (self.words[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63)) & np.uint64(1)).astype(bool)
         return out
 
@@ -101,14 +107,14 @@ def _build_level(keys: DataFrame, salt: int, bits_per_key: float, room: int) ->
         raise ValueError(f"{n} keys need a filter of {words * 8} bytes; {room} are left of max_filter_bytes")
     hashes = max(1, round(bits_per_key * math.log(2)))
 
-    def places(batches):
+    def set_bits(batches):
         for batch in batches:
             h1, h2 = (batch.column(c).to_numpy().view(np.uint64) for c in (0, 1))
-            at = np.concatenate([(h1 + np.uint64(i + salt * 64) * h2) % np.uint64(words * 64) for i in range(hashes)])
+            at = np.concatenate(list(places(h1, h2, hashes, salt, words * 64)))
             bit = (np.uint64(1) << (at & np.uint64(63))).view(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array((at >> np.uint64(6)).astype(np.int64)), pa.array(bit)], ["word", "bit"])
 
-    rows = arrow_map(keys.select("h1", "h2"), places, "word bigint, bit bigint").groupBy("word").agg(F.bit_or("bit").alias("bits"))
+    rows = arrow_map(keys.select("h1", "h2"), set_bits, "word bigint, bit bigint").groupBy("word").agg(F.bit_or("bit").alias("bits"))
     out = np.zeros(words, np.uint64)
     for batch in _batches(rows):
         out[batch.column("word").to_numpy()] = batch.column("bits").to_numpy().view(np.uint64)

@@ -83,7 +83,7 @@ def per_text(owner: np.ndarray, n: int) -> np.ndarray:
     return np.concatenate(([0], np.cumsum(np.bincount(owner, minlength=n)))).astype(np.int64)
 
 
-def _mix(x: np.ndarray) -> np.ndarray:
+def mix(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser, so that every input bit reaches every output bit."""
     x = x ^ (x >> np.uint64(31))
     x = x * np.uint64(0x7FB5D329728EA185)
@@ -122,4 +122,4 @@ class Sums:
         return out
 
     def slices(self, running: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-        return _mix((running[j] - running[i]) * self.down[i] + (j - i).astype(np.uint64))
+        return mix((running[j] - running[i]) * self.down[i] + (j - i).astype(np.uint64))
