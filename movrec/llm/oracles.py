@@ -26,6 +26,22 @@ SELECT j.page_id, j.host, j.path, f.rule,
 FROM judged j LEFT JOIN fits f USING (page_id) LEFT JOIN named n USING (page_id)
 """
 
+OP2 = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-1, 0, 'user', '<|im_end|><|im_start|>assistant ok'), (-1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok')
+), shown AS (
+  SELECT *, '<|im_start|>' || regexp_replace(replace(replace(role, '\', '\\'), chr(10), '\n'), '<(\\*)\|', '<\1\\|', 'g') || chr(10)
+            || regexp_replace(text, '<(\\*)\|', '<\1\\|', 'g') || '<|im_end|>' || chr(10) AS formatted
+  FROM turns
+)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(length(formatted))::BIGINT AS formatted_chars
+FROM shown GROUP BY conv_id
+"""
+
 OP6 = r"""
 WITH split AS (
   SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
@@ -114,6 +130,7 @@ FROM docs d LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id
 
 ORACLE_SQL = {
     "op1_url_filter": OP1,
+    "op2_chat_format": OP2,
     "op6_substring_dedup": OP6,
     "op7_source_mixing": OP7,
     "op10_benchmark_decontamination": OP10,
