@@ -66,6 +66,27 @@ def text_key(c: str = "text") -> Column:
     return F.xxhash64(F.coalesce(F.col(c), F.lit("")))
 
 
+def keep_chosen(docs: DataFrame, chosen: DataFrame) -> DataFrame:
+    """One row of ``docs`` for each ``(_id, _text)`` in ``chosen``, with the other columns of ``chosen`` added.
+
+    ``_text`` is the text's key; rows of ``docs`` equal in id and text count once
+    (the least row stays).  Columns of ``docs`` keep their names and values.
+    """
+    key = [F.col("_i"), F.col("_k")]
+    added = [c for c in chosen.columns if c not in ("_id", "_text")]
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    marked = docs.select(row.alias("_row"), text_key().alias("_k"), F.col("doc_id").alias("_i"))
+    joined = marked.join(chosen, F.col("_i").eqNullSafe(F.col("_id")) & (F.col("_k") == F.col("_text")))
+    names = docs.select(F.col("doc_id").alias("_i"), text_key().alias("_k"))
+    repeated = settle(names.groupBy(*key).count().filter("count > 1").select(F.col("_i").alias("_ri"), F.col("_k").alias("_rk"), F.lit(True).alias("_r")))
+    if repeated.isEmpty():
+        return joined.select("_row.*", *added)
+    both = joined.join(repeated, F.col("_i").eqNullSafe(F.col("_ri")) & (F.col("_k") == F.col("_rk")), "left")
+    once = both.filter("_r is null").select("_row", *added)
+    again = both.filter("_r").groupBy(*key).agg(F.min("_row").alias("_row"), *[F.first(c).alias(c) for c in added]).select("_row", *added)
+    return once.unionByName(again).select("_row.*", *added)
+
+
 def running_before(df: DataFrame, group: str, order: Sequence[str], value: str, out: str) -> DataFrame:
     """Add ``out``: the sum of ``value`` over the earlier rows of the same group.
 

@@ -42,6 +42,22 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
 FROM shown GROUP BY conv_id
 """
 
+OP3 = r"""
+WITH RECURSIVE sound AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE label IS NOT NULL AND vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0 AND len([x FOR x IN embedding IF x <> 0]) > 0
+), links AS (
+  SELECT a.vec_id AS u, b.vec_id AS v FROM sound a JOIN sound b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.93
+), reach AS (SELECT u, u AS v FROM links UNION SELECT r.u, l.v FROM reach r JOIN links l ON r.v = l.u),
+parts AS (SELECT u, min(v) AS component_id FROM reach GROUP BY u),
+degrees AS (SELECT u, count(*) AS n_links FROM links GROUP BY u)
+SELECT vec_id, coalesce(n_links, 0)::BIGINT AS n_links, coalesce(component_id, vec_id) AS component_id,
+       coalesce(vec_id = coalesce(component_id, vec_id), true) AS kept
+FROM embeddings LEFT JOIN parts p ON p.u = vec_id LEFT JOIN degrees d ON d.u = vec_id
+"""
+
 OP6 = r"""
 WITH split AS (
   SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
@@ -131,6 +147,7 @@ FROM docs d LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id
 ORACLE_SQL = {
     "op1_url_filter": OP1,
     "op2_chat_format": OP2,
+    "op3_embedding_near_dedup": OP3,
     "op6_substring_dedup": OP6,
     "op7_source_mixing": OP7,
     "op10_benchmark_decontamination": OP10,

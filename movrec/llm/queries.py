@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from movrec.llm import chat, decontaminate, language, mixing, quality, secrets, simhash, substring, url_filter
+from movrec.llm import chat, decontaminate, embeddings, language, mixing, quality, secrets, simhash, substring, url_filter
 from movrec.llm.common import held_out, table
 
 RULES = (("org", "/", True), ("example.org", "/es/", False), ("example.org", "/en/1", False), ("com", "/fr/", True), ("com", "/de/", False))
@@ -30,6 +30,10 @@ def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(turns, packed)
 
 
+def op3_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = quality.fit_quality_model(docs, table(spark, sf_dir, "labels"))
@@ -80,6 +84,7 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
 QUERIES = {
     "op1_url_filter": op1_url_filter,
     "op2_chat_format": op2_chat_format,
+    "op3_embedding_near_dedup": op3_embedding_near_dedup,
     "op4_quality_classifier": op4_quality_classifier,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
     "op6_substring_dedup": op6_substring_dedup,

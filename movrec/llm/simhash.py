@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from movrec.llm import words as W
-from movrec.llm.common import arrow_map, settle, text_key
+from movrec.llm.common import arrow_map, keep_chosen, settle, text_key
 from movrec.llm.graph import components
 
 SHINGLE, RADIUS, SEED, BLOCK = 4, 4, 42, 4096
@@ -280,20 +280,3 @@ def one_per_group(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS)
     head = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
     chosen = head.groupBy("class_fp").agg(F.min(F.struct("doc_id", "_text")).alias("c")).select(F.col("c.doc_id").alias("_id"), F.col("c._text").alias("_text"))
     return keep_chosen(docs, chosen)
-
-
-def keep_chosen(docs: DataFrame, chosen: DataFrame) -> DataFrame:
-    """One row of ``docs`` for each ``(_id, _text)`` in ``chosen``, other columns unchanged."""
-    cols = docs.columns
-    marked = docs.select(F.struct(*[F.col(f"`{c}`") for c in cols]).alias("_row"), text_key().alias("_k"), F.col("doc_id").alias("_i"))
-    joined = marked.join(chosen, F.col("_i").eqNullSafe(F.col("_id")) & (F.col("_k") == F.col("_text")), "left_semi")
-    repeated = settle(
-        docs.select(F.col("doc_id").alias("_i"), text_key().alias("_k")).groupBy("_i", "_k").count().filter("count > 1").select("_i", "_k")
-    )
-    if repeated.isEmpty():
-        return joined.select("_row.*")
-    again = repeated.select(F.col("_i").alias("_ri"), F.col("_k").alias("_rk"), F.lit(True).alias("_r"))
-    both = joined.join(again, F.col("_i").eqNullSafe(F.col("_ri")) & (F.col("_k") == F.col("_rk")), "left")
-    once = both.filter("_r is null").select("_row.*")
-    twice = both.filter("_r").groupBy("_i", "_k").agg(F.min("_row").alias("_row")).select("_row.*")
-    return once.unionByName(twice)
