@@ -8,7 +8,8 @@ Defined results: null and empty texts go through every stage like other rows
 (their quality score decides first; all empty texts are one near-duplicate
 group); null ids are kept; rows equal in id and text become one row in the
 near-duplicate and mixing stages; columns beyond those of ``documents`` are
-carried along unchanged; an empty table gives an empty table.
+carried along unchanged, but columns named as the last stage's are replaced by
+them; an empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -47,7 +48,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     taken = mixed.filter("copies > 0").groupBy(F.col("doc_id").alias("_id"), F.col("_key").alias("_text")).agg(
         F.max("size").alias("size"), F.sum("copies").alias("copies"), F.sum("taken").alias("taken")
     )
-    return keep_chosen(docs, taken)
+    return keep_chosen(docs.drop("size", "copies", "taken"), taken)
 
 
 STAGES = [

@@ -176,7 +176,7 @@ def document_frequencies(texts: DataFrame, dims: int = DIMS) -> tuple[int, np.nd
                 total += (gram_counts(part[at : at + 512], dims) > 0).sum(axis=0)
             rows += len(part)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(np.arange(-1, dims)), pa.array(np.concatenate(([rows], total)))], ["bin", "n"]
+            [pa.array(np.arange(-1, dims), pa.int32()), pa.array(np.concatenate(([rows], total)))], ["bin", "n"]
         )
 
     found = arrow_map(texts.select("text"), run, "bin int, n bigint").groupBy("bin").agg(F.sum("n").alias("n")).collect()

@@ -52,7 +52,7 @@ def split_url(url: str = "url") -> tuple[Column, Column]:
 
 def places(h1: np.ndarray, h2: np.ndarray, hashes: int, salt: int, bits: int):
     """The bit places of keys in one level; every level hashes anew, so keys that collide in one part in the next."""
-    a, b = mix(h1 + np.uint64(salt) * np.uint64(0x9E3779B97F4A7C15)), mix(h2 ^ np.uint64(salt)) | np.uint64(1)
+    a, b = mix(h1 + np.uint64(salt * 0x9E3779B97F4A7C15 % (1 << 64))), mix(h2 ^ np.uint64(salt)) | np.uint64(1)
     for i in range(hashes):
         yield (a + np.uint64(i) * b) % np.uint64(bits)
 
