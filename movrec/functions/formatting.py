@@ -38,18 +38,36 @@ def as_text(df: DataFrame, name: str, source: str | None = None, types: dict | N
     """Render one movement column as text.
 
     Dates and timestamps use the column's fixed pattern (milliseconds are
-    truncated, not rounded); everything else is a plain cast.  A column that
-    is already text passes through unchanged, so formatting is idempotent.
+    truncated, not rounded); everything else is a plain cast.  Dates and
+    timestamps without zone are rendered from their own text, so the session's
+    zone has no part in it.  A column that is already text passes through
+    unchanged, so formatting is idempotent.
     """
     src = source or name
     dtype = (types or column_types(df))[src]
-    c = F.col(src)
-    pattern = pattern_for(name)
-    if pattern is not None and isinstance(dtype, _TEMPORAL):
-        return F.date_format(c, pattern).alias(name)
+    return F.expr(_rendered(src, name, dtype)).alias(name)
+
+
+def _rendered(src: str, name: str, dtype: T.DataType) -> str:
+    """SQL text of one rendered column."""
     if isinstance(dtype, T.StringType):
-        return c.alias(name)
-    return c.cast("string").alias(name)
+        return f"`{src}`"
+    text = f"CAST(`{src}` AS STRING)"
+    pattern = pattern_for(name)
+    if pattern is None or not isinstance(dtype, _TEMPORAL):
+        return text
+    if isinstance(dtype, T.TimestampType):  # an instant: shown in the session's zone
+        return f"date_format(`{src}`, '{pattern}')"
+    if isinstance(dtype, T.DateType):
+        wall = f"concat({text}, ' 00:00:00')"
+    else:
+        wall = text
+    if pattern == DATE_PATTERN:
+        return f"substring({text}, 1, 10)"
+    if pattern == SECOND_PATTERN:
+        return f"substring({wall}, 1, 19)"
+    # a whole second has no fraction in its text, others up to six digits without trailing zeros
+    return f"substring(rpad(concat({wall}, CASE WHEN length({wall}) = 19 THEN '.' ELSE '' END), 23, '0'), 1, 23)"
 
 
 def movement_text_columns(df: DataFrame) -> list[Column]:
@@ -59,12 +77,7 @@ def movement_text_columns(df: DataFrame) -> list[Column]:
 
 def text_expr(name: str, dtype: T.DataType) -> str:
     """SQL text of :func:`as_text` for one column (one parse for the whole projection)."""
-    pattern = pattern_for(name)
-    if pattern is not None and isinstance(dtype, _TEMPORAL):
-        return f"date_format(`{name}`, '{pattern}') AS `{name}`"
-    if isinstance(dtype, T.StringType):
-        return f"`{name}`"
-    return f"CAST(`{name}` AS STRING) AS `{name}`"
+    return f"{_rendered(name, name, dtype)} AS `{name}`"
 
 
 def format_movements(df: DataFrame, extra: tuple[str, ...] = (), repeat: str | None = None) -> DataFrame:
