@@ -3,10 +3,10 @@
 The reference's transforms run on whatever driving DataFrame the host hands
 them.  When requests arrive continuously, each micro-batch is such a
 DataFrame: ``foreachBatch`` runs the same set-based ``match_requests`` on it
-against the current snapshot.  Results are written partitioned by
-``batch_id`` with dynamic partition overwrite, so a micro-batch replayed after
-a failure replaces its own output instead of duplicating it.  The stream's
-checkpoint lives under the shared checkpoint folder unless given.
+against the current snapshot.  Each micro-batch overwrites its own
+``batch_id=<n>`` folder, so one that is replayed after a failure replaces its
+output, also when it now has no rows.  The checkpoint location is required: only
+a stream that is restarted from its own checkpoint continues its batch numbers.
 """
 
 from __future__ import annotations
@@ -14,28 +14,20 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from movrec.operators.requests import match_requests
-from movrec.session import scratch_path
 
 
 def write_batch(result: DataFrame, path: str, batch_id: int) -> None:
-    (
-        result.withColumn("batch_id", F.lit(batch_id))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("batch_id")
-        .parquet(path)
-    )
+    result.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch_id={batch_id}")
 
 
 def start_request_stream(
     requests_stream: DataFrame,
     snapshot: Callable[[], DataFrame],
     sink_path: str,
-    checkpoint_location: str | None = None,
+    checkpoint_location: str,
     available_now: bool = False,
     processing_time: str | None = None,
 ) -> StreamingQuery:
@@ -44,14 +36,10 @@ def start_request_stream(
     ``snapshot`` is called per micro-batch so each batch sees the current
     movement snapshot.
     """
-    spark = requests_stream.sparkSession
-
     def per_batch(batch: DataFrame, batch_id: int) -> None:
         write_batch(match_requests(batch, snapshot()), sink_path, batch_id)
 
-    writer = requests_stream.writeStream.foreachBatch(per_batch).option(
-        "checkpointLocation", checkpoint_location or scratch_path(spark, "request-stream")
-    )
+    writer = requests_stream.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint_location)
     if available_now:
         writer = writer.trigger(availableNow=True)
     elif processing_time:
