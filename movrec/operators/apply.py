@@ -10,6 +10,7 @@ partitions of the snapshot side.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,6 +19,13 @@ from movrec.operators.sizing import Measured, materialize
 from movrec.schema import PREVIEW_ROWS, STATUS_COLUMN
 
 
+@dataclass(frozen=True)
+class Constant:
+    """A plain value to assign (a bare string names a column of the change set)."""
+
+    value: object
+
+
 def _small(changes: DataFrame | Measured) -> DataFrame:
     if isinstance(changes, Measured):
         return changes.side()
@@ -28,21 +36,20 @@ def apply_updates(
     mov: DataFrame,
     changes: DataFrame | Measured,
     keys: Sequence[str],
-    assignments: Mapping[str, str | Column],
+    assignments: Mapping[str, str | Column | Constant],
 ) -> DataFrame:
     """New snapshot: for rows whose ``keys`` appear in ``changes``, set ``assignments``.
 
     ``assignments`` maps a snapshot column to a column of ``changes`` (by name),
-    a Column, or a zero-argument callable returning a Column (for constants
-    declared before a session exists).  ``changes`` must hold one row per key.
+    a Column or a :class:`Constant`.  ``changes`` must hold one row per key.
     """
     ch = _small(changes)
     sel = [F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]
     for i, (col, value) in enumerate(assignments.items()):
         if isinstance(value, str):
             v = F.col(value)
-        elif callable(value) and not isinstance(value, Column):
-            v = value()
+        elif isinstance(value, Constant):
+            v = F.lit(value.value)
         else:
             v = value
         sel.append(v.alias(f"_v{i}"))
@@ -102,18 +109,22 @@ def audit(
     one per input key - come back, so the snapshot is never shuffled or
     aggregated.
     """
-    rows = inputs.select(*[e.alias(n) for n, e in key_cols.items()], guard.alias("_ok"))
-    distinct_keys = materialize(rows.filter(F.col("_ok")).select(*keys).distinct())
-    present = touched_rows(mov, distinct_keys, keys).select(*keys).distinct().withColumn("_found", F.lit(True))
-    if distinct_keys.broadcastable:
-        present = F.broadcast(present)
+    ok = F.coalesce(guard, F.lit(False))
+    rows = inputs.select(*[e.alias(n) for n, e in key_cols.items()], ok.alias("_ok"))
+    present = present_keys(rows.filter(F.col("_ok")).select(*keys), mov, keys)
     flagged = rows.join(present, list(keys), "left")
-    outcome = (
-        F.when(~F.col("_ok"), F.lit("skipped"))
-        .when(F.col("_found"), F.lit("applied"))
-        .otherwise(F.lit("not_found"))
-    )
-    return flagged.select(*keys, F.lit(None).cast("string").alias(STATUS_COLUMN), outcome.alias("outcome"))
+    return flagged.select(*keys, F.lit(None).cast("string").alias(STATUS_COLUMN), outcome(F.col("_ok"), F.col("_found")).alias("outcome"))
+
+
+def present_keys(wanted: DataFrame, mov: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The distinct ``wanted`` keys that the snapshot holds, with ``_found`` = true."""
+    distinct_keys = materialize(wanted.distinct())
+    present = touched_rows(mov, distinct_keys, keys).select(*keys).distinct().withColumn("_found", F.lit(True))
+    return F.broadcast(present) if distinct_keys.broadcastable else present
+
+
+def outcome(ok: Column, found: Column) -> Column:
+    return F.when(~ok, F.lit("skipped")).when(found, F.lit("applied")).otherwise(F.lit("not_found"))
 
 
 def preview(status: DataFrame, rows: int = PREVIEW_ROWS) -> DataFrame:
@@ -121,28 +132,21 @@ def preview(status: DataFrame, rows: int = PREVIEW_ROWS) -> DataFrame:
     return status.limit(rows)
 
 
-MAX_LITERAL_PERIODS = 10000
+def touched_periods(keys_df: DataFrame | Measured, partition_col: str = "periodo") -> list:
+    """The distinct periods of a change set: at most one value per partition folder the driver lists anyway."""
+    keys = keys_df.df if isinstance(keys_df, Measured) else keys_df
+    return [r[0] for r in keys.select(partition_col).distinct().collect() if r[0] is not None]
 
 
 def touched_partitions(
-    spark, path: str, keys_df: DataFrame | Measured, partition_col: str = "periodo", fmt: str = "parquet", schema=None
+    spark, path: str, periods: Sequence, partition_col: str = "periodo", fmt: str = "parquet", schema=None
 ) -> DataFrame:
-    """The rows of the partitions whose period occurs in ``keys_df``.
-
-    Up to ``MAX_LITERAL_PERIODS`` touched periods (a bounded set: at most the
-    number of period partitions) become a literal ``IN`` partition filter, so
-    only those folders are listed and read; beyond that the exact semi join
-    on the partition column selects them.
-    """
+    """The rows of the partitions of the given periods (a literal ``IN`` partition
+    filter, so only those folders are listed and read)."""
     from movrec.sources.snapshot import load_snapshot
 
-    keys = keys_df if isinstance(keys_df, Measured) else materialize(keys_df)
-    periods = keys.df.select(partition_col).distinct()
     mov = load_snapshot(spark, path, fmt=fmt, schema=schema)
-    few = [r[0] for r in periods.limit(MAX_LITERAL_PERIODS + 1).collect()]
-    if len(few) <= MAX_LITERAL_PERIODS:
-        return mov.filter(F.col(partition_col).isin(few))
-    return mov.join(F.broadcast(periods) if keys.broadcastable else periods, partition_col, "left_semi")
+    return mov.filter(F.col(partition_col).isin(list(periods)))
 
 
 def rewrite_touched_partitions(
@@ -151,24 +155,34 @@ def rewrite_touched_partitions(
     keys_df: DataFrame | Measured,
     change: Callable[[DataFrame], DataFrame],
     partition_col: str = "periodo",
-    fmt: str = "parquet",
     schema=None,
 ) -> int:
-    """Apply ``change`` to a snapshot partitioned by ``partition_col`` at ``path``,
+    """Apply ``change`` to a Parquet snapshot partitioned by ``partition_col`` at ``path``,
     rewriting only the partitions whose period occurs in ``keys_df``.
 
-    The touched partitions are selected by :func:`touched_partitions`.  The
-    new rows are checkpointed (which also ends the read of ``path``) and
-    written back with dynamic partition overwrite, so untouched partitions are
-    neither read nor rewritten.  Returns the number of rewritten rows.
+    The new rows of the touched partitions are written to a scratch table
+    first (which also ends the read of ``path``), then replace their
+    partitions by dynamic overwrite.  A partition that got no rows is not
+    reached by that overwrite, so its folder is removed afterwards.  Changes
+    are keyed, so repeating the call after a crash completes it.  Returns the
+    number of rows in the touched partitions.
     """
-    mov = touched_partitions(spark, path, keys_df, partition_col, fmt, schema)
-    new_rows = materialize(change(mov).select(*mov.columns))
-    (
-        new_rows.df.write.format(fmt)
-        .mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition_col)
-        .save(path)
-    )
-    return new_rows.rows
+    from movrec.session import hadoop_path, scratch_path
+    from movrec.sources.snapshot import load_snapshot
+
+    periods = touched_periods(keys_df, partition_col)
+    if not periods:
+        return 0
+    mov = touched_partitions(spark, path, periods, partition_col, schema=schema)
+    staged = scratch_path(spark, "rewrite")
+    change(mov).select(*mov.columns).write.parquet(staged)
+    new_rows = load_snapshot(spark, staged, schema=mov.schema)
+    left = {r[0]: r[1] for r in new_rows.groupBy(partition_col).count().collect()}
+    if left:
+        writer = new_rows.hint("rebalance", partition_col).write.mode("overwrite")
+        writer.option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(path)
+    for period in periods:
+        if period not in left:
+            fs, folder = hadoop_path(spark, f"{path.rstrip('/')}/{partition_col}={period}")
+            fs.delete(folder, True)
+    return sum(left.values())

@@ -4,31 +4,39 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from movrec.operators.apply import apply_deletes
 from movrec.operators.changes import archive_rows, result_keys
-from movrec.operators.sizing import materialize
+from movrec.operators.sizing import Measured, materialize
 from movrec.schema import WRITE_KEY
 from movrec.sources.lake import append_to_lake, read_lake
 
 
-def batch_in_lake(spark, path: str, fmt: str, batch_id: str) -> bool:
-    """Whether a batch with this id was already appended (a rerun after a crash)."""
+BATCH_COLUMN = "archive_batch_id"
+NO_LAKE = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA", "DELTA_TABLE_NOT_FOUND", "DELTA_PATH_DOES_NOT_EXIST", "DELTA_MISSING_DELTA_TABLE")
+
+
+def batch_rows(spark, path: str, fmt: str, batch_id: str) -> DataFrame | None:
+    """The rows a batch has in the lake; None if there is no lake yet (any other failure is raised)."""
     try:
         lake = read_lake(spark, path, fmt=fmt)
-    except Exception:  # no lake yet
-        return False
-    if "archive_batch_id" not in lake.columns:
-        return False
-    return lake.filter(F.col("archive_batch_id") == F.lit(batch_id)).limit(1).count() > 0
+    except AnalysisException as e:
+        if e.getCondition() in NO_LAKE:
+            return None
+        raise
+    if BATCH_COLUMN not in lake.columns:
+        return None
+    return lake.filter(F.col(BATCH_COLUMN) == F.lit(batch_id))
 
 
 @dataclass
 class ArchiveResult:
     remaining: DataFrame  # the snapshot without the archived keys
-    rows: int  # rows appended by this batch
+    keys: DataFrame | Measured  # the purged keys
+    rows: int  # rows this call appended
     path: str
     fmt: str
     batch_id: str | None = None
@@ -38,7 +46,7 @@ class ArchiveResult:
         """The rows of this batch as stored in the lake (read back on demand)."""
         written = read_lake(self.remaining.sparkSession, self.path, fmt=self.fmt)
         if self.batch_id is not None:
-            written = written.filter(F.col("archive_batch_id") == F.lit(self.batch_id))
+            written = written.filter(F.col(BATCH_COLUMN) == F.lit(self.batch_id))
         return written
 
 
@@ -51,23 +59,31 @@ def archive_and_purge(
 ) -> ArchiveResult:
     """Append the archive selection to ``path`` and derive the purged snapshot.
 
-    The selection is checkpointed once, so the append and the purge see the
-    same rows.  The append runs first (one action) and the purge keys come from
-    that same materialised selection: a failed append raises before anything
+    The append runs first (one action): a failed append raises before anything
     is purged, and every written key is purged - the reference only purges the
-    keys its 10,000-row preview happened to evaluate.  ``batch_id`` tags the
-    rows; a rerun with the same id finds the batch already in the lake, skips
-    the append and only purges, so a crash between append and purge never
-    archives a batch twice.
+    keys its 10,000-row preview happened to evaluate.  Without ``batch_id`` the
+    purge keys come from the materialised selection.  With one, rows are tagged,
+    only those that the lake does not hold yet for this batch are appended
+    (counted, so repeated rows stay repeated), and the purge keys are read back
+    from the lake: after a rerun with the same, a larger or a smaller selection, or
+    after a half-written append, exactly what the lake holds is purged.
     """
+    spark = mov.sparkSession
     selection = archive_rows(rows)
     if batch_id is not None:
-        selection = selection.withColumn("archive_batch_id", F.lit(batch_id))
+        selection = selection.withColumn(BATCH_COLUMN, F.lit(batch_id))
     sel = materialize(selection)
-    if batch_id is None or not batch_in_lake(mov.sparkSession, path, fmt, batch_id):
-        append_to_lake(sel.df, path, fmt=fmt)
-    # the keys are a projection of the measured selection: its size bounds them
-    keys = result_keys(sel.df)
-    if sel.broadcastable:
-        keys = F.broadcast(keys)
-    return ArchiveResult(apply_deletes(mov, keys, WRITE_KEY), sel.rows, path, fmt, batch_id)
+    held = None if batch_id is None else batch_rows(spark, path, fmt, batch_id)
+    missing = sel if held is None else materialize(sel.df.exceptAll(_aligned(held, sel.df)))
+    if missing.rows or held is None:
+        append_to_lake(missing.df, path, fmt=fmt)
+    archived = sel.df if batch_id is None else batch_rows(spark, path, fmt, batch_id)
+    keys = materialize(result_keys(archived))
+    return ArchiveResult(apply_deletes(mov, keys, WRITE_KEY), keys, missing.rows, path, fmt, batch_id)
+
+
+def _aligned(held: DataFrame, like: DataFrame) -> DataFrame:
+    """The columns of ``like``, in its order and types (null where the lake has none)."""
+    return held.select(*[
+        (F.col(f.name) if f.name in held.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in like.schema.fields
+    ])

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from movrec.functions.predicates import all_truthy, column_or_null, is_blank
+from movrec.operators.apply import Constant
 from movrec.operators.requests import as_date, guard_requests
 from movrec.operators.sizing import materialize
 from movrec.schema import NO_MATCH, REPOSTED_STATE, STANDIN, STANDIN_PARKED, VERDICT_COLUMN, WRITE_KEY
@@ -59,6 +60,20 @@ def mark_reposted_changes(req: DataFrame, mov: DataFrame) -> DataFrame:
     )
 
 
+def mark_hits(req: DataFrame, mov: DataFrame) -> DataFrame:
+    """Requests of ``req`` (with a ``_row`` each) that mark at least one movement: distinct ``_row``."""
+    g = guard_requests(req)
+    ids = g.select("_row", _two_ids(g).alias("mk_id"), as_date(g, "periodo_tope").alias("mk_lo")).filter(
+        F.col("mk_id").isNotNull() & F.col("mk_lo").isNotNull()
+    )
+    ids_m = materialize(ids, {"_lo": F.min("mk_lo")})
+    side = ids_m.side()
+    standins = restrict_period(mov, ids_m.extras["_lo"], None).filter(F.col("tipo_procesamiento") == F.lit(STANDIN))
+    standins = standins.select("periodo", "id_transaccion")
+    hit = (standins["id_transaccion"] == side["mk_id"]) & (standins["periodo"] >= side["mk_lo"])
+    return standins.join(side, hit).select("_row").distinct()
+
+
 def _empty_marks(mov: DataFrame) -> DataFrame:
     spark = mov.sparkSession
     return spark.createDataFrame(
@@ -88,7 +103,7 @@ def request_leg_delete_keys(req: DataFrame) -> DataFrame:
 def result_keys(rows: DataFrame) -> DataFrame:
     """Distinct (periodo, id) of result rows whose ``periodo`` and id are truthy."""
     g = rows.filter(all_truthy(rows, WRITE_KEY))
-    return g.select(as_date(g, "periodo").alias("periodo"), F.col("id_transaccion")).distinct()
+    return g.select(as_date(g, "periodo").alias("periodo"), column_or_null(g, "id_transaccion").alias("id_transaccion")).distinct()
 
 
 def unmatched_rows(matched: DataFrame) -> DataFrame:
@@ -114,7 +129,7 @@ def park_unmatched_keys(matched: DataFrame, only_standin: bool = False) -> DataF
 PARK_STANDIN_KEYS = ("periodo", "id_transaccion", "tipo_procesamiento")
 
 
-PARK_ASSIGN = {"tipo_procesamiento": lambda: F.lit(STANDIN_PARKED)}
+PARK_ASSIGN = {"tipo_procesamiento": Constant(STANDIN_PARKED)}
 
 
 def parked_rows(rows: DataFrame) -> DataFrame:
@@ -127,7 +142,7 @@ def release_parked_keys(rows: DataFrame) -> DataFrame:
     return result_keys(parked_rows(rows))
 
 
-RELEASE_ASSIGN = {"tipo_procesamiento": lambda: F.lit(STANDIN)}
+RELEASE_ASSIGN = {"tipo_procesamiento": Constant(STANDIN)}
 
 
 def archive_rows(rows: DataFrame) -> DataFrame:

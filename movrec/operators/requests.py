@@ -18,14 +18,15 @@ requests at once:
 
 Scale notes: the request side is checkpointed and measured, then broadcast
 only under the byte cap; otherwise the joins shuffle and AQE splits skewed
-partitions.  The snapshot is scanned twice (5 columns for the legs, all 50
-for the matches), both restricted to the requests' period range.  The matched
-rows - a small fraction of the snapshot - are checkpointed once; the verdict
-is a partial (map-side) aggregate over them, so one request that matches a
-third of the table never lands in a single task, and it is attached by a
-broadcast join when the request count allows (one verdict row per request).
-Duplicate requests and duplicate key pairs are counted, not materialised,
-until the final local ``explode``.
+partitions.  All scans of the snapshot are restricted to the requests' period
+range and to the columns they need: five for the legs, four for the verdict.
+The verdict is a partial (map-side) aggregate straight over that join, so one
+request that matches a third of the table never lands in a single task; it is
+attached to the key pairs, and the 50 columns are joined once, lazily, with
+the verdict already on the small side.  No matched rows are staged, and a
+consumer that reads three result columns (the park step) scans only what they
+need.  Duplicate requests and duplicate key pairs are counted, not
+materialised, until the final local ``explode``.
 """
 
 from __future__ import annotations
@@ -45,14 +46,14 @@ REQ_KEY = ("rq_guid", "rq_doc", "rq_lo", "rq_hi")
 
 
 def as_date(df: DataFrame, name: str) -> Column:
-    """A driving bound as a date (text is parsed, timestamps are truncated)."""
+    """A driving bound as a date (text is parsed, empty text is NULL, timestamps are truncated)."""
     if name not in df.columns:
         return F.lit(None).cast("date")
     dtype = df.schema[name].dataType
     if isinstance(dtype, T.DateType):
         return F.col(name)
     if isinstance(dtype, T.StringType):
-        return F.to_date(F.col(name))
+        return F.to_date(F.nullif(F.col(name), F.lit("")))
     return F.col(name).cast("date")
 
 
@@ -143,20 +144,22 @@ def _pair_join(mov: DataFrame, pairs: DataFrame) -> Column:
     )
 
 
-def request_movements(pairs: Measured, mov: DataFrame, dedupe: bool = False) -> DataFrame:
+def request_movements(pairs: Measured, mov: DataFrame, dedupe: bool = False, columns: tuple[str, ...] = MOVEMENT_COLUMNS) -> DataFrame:
     """N2: every movement carrying one of the request's keys inside its range.
 
-    Returns the 50 movement columns (typed), the request key and ``_rep`` =
-    how many times the row repeats in the result (duplicate requests times
-    duplicate keys).  A movement has one (account, document), so it meets
-    exactly one distinct key of a request: ``dedupe`` drops the key
-    multiplicity and keeps one row per driving row and movement.
+    Returns the movement ``columns`` (typed), the request key, the verdict where
+    ``pairs`` carry one, and ``_rep`` = how many times the row repeats in the
+    result (duplicate requests times duplicate keys).  A movement has one
+    (account, document), so it meets exactly one distinct key of a request:
+    ``dedupe`` drops the key multiplicity and keeps one row per driving row and
+    movement.
     """
     wide = restrict_period(mov, pairs.extras["_lo"], pairs.extras["_hi"])
     p = pairs.side()
     joined = wide.join(p, _pair_join(wide, p))
     rep = F.col("rq_n") if dedupe else F.col("rq_n") * F.col("kp_m")
-    return joined.select(*MOVEMENT_COLUMNS, *REQ_KEY, rep.alias("_rep"))
+    verdict = [VERDICT_COLUMN] if VERDICT_COLUMN in p.columns else []
+    return joined.select(*columns, *REQ_KEY, *verdict, rep.alias("_rep"))
 
 
 def request_verdict(matched: DataFrame) -> DataFrame:
@@ -176,21 +179,20 @@ def request_verdict(matched: DataFrame) -> DataFrame:
     )
 
 
-def matched_movements(pairs: Measured, mov: DataFrame, dedupe: bool = False) -> Measured:
-    """N2 rows checkpointed once; the verdict and the result both read them."""
-    return materialize(request_movements(pairs, mov, dedupe))
+def request_verdicts(pairs: Measured, mov: DataFrame) -> DataFrame:
+    """A1 over the snapshot: one verdict per request with a movement, from the type column alone."""
+    return request_verdict(request_movements(pairs, mov, columns=("tipo_procesamiento",)))
 
 
-def with_verdict(matched: Measured, pairs: Measured) -> DataFrame:
-    """Matched rows with their request's verdict.
+def judged_pairs(pairs: Measured, mov: DataFrame) -> Measured:
+    """The key pairs with their request's verdict (pairs of requests without movements go).
 
-    The verdict has one row per distinct request, so the measured pairs bound
-    its size: broadcast under the cap, otherwise a shuffle join on the request
-    key whose hot keys AQE splits.
+    Both sides are at most one row per key pair, so the measured pairs bound
+    the size of the verdicts: broadcast under the cap, else a shuffle join.
     """
-    verdict = request_verdict(matched.df)
+    verdict = request_verdicts(pairs, mov)
     v = F.broadcast(verdict) if pairs.broadcastable else verdict
-    return matched.df.join(v, list(REQ_KEY))
+    return measure_pairs(pairs.df.join(v, list(REQ_KEY)))
 
 
 def expand(df: DataFrame, count_col: str = "_rep") -> DataFrame:
@@ -223,5 +225,7 @@ def match_requests(req: DataFrame, mov: DataFrame, dedupe: bool = False) -> Data
     pairs = prepare_pairs(req, mov)
     if pairs is None or pairs.rows == 0:
         return empty_result(mov.sparkSession, True)
-    rows = with_verdict(matched_movements(pairs, mov, dedupe), pairs)
-    return format_movements(rows, extra=(VERDICT_COLUMN,), repeat="_rep")
+    judged = judged_pairs(pairs, mov)
+    if judged.rows == 0:
+        return empty_result(mov.sparkSession, True)
+    return format_movements(request_movements(judged, mov, dedupe), extra=(VERDICT_COLUMN,), repeat="_rep")

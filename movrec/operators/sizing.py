@@ -47,11 +47,11 @@ def broadcast_cap(spark) -> int:
 
 
 def _row_bytes(schema: T.StructType) -> Column:
-    """Estimated bytes of one row: 8 per field plus the length of text fields (one SQL expression)."""
+    """Estimated bytes of one row: 8 per field plus the bytes of text fields (one SQL expression)."""
     parts = [str(_ROW_OVERHEAD)]
     for f in schema.fields:
         if isinstance(f.dataType, (T.StringType, T.BinaryType)):
-            parts.append(f"coalesce(length(`{f.name}`), 0) + {_FIELD_BYTES}")
+            parts.append(f"coalesce(octet_length(`{f.name}`), 0) + {_FIELD_BYTES}")
         else:
             parts.append(str(_FIELD_BYTES))
     return F.expr(" + ".join(f"CAST({p} AS BIGINT)" for p in parts))

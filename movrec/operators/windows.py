@@ -9,7 +9,8 @@ one of those (account, document) keys.
 Set-based plan over all windows at once:
 
     windows --guard/collapse--> window keys (multiplicity ``wn_n``)
-    movements(stand-ins) --binned range join--> stand-ins per window        [N3]
+    movements(stand-ins) --semi join on core keys--> stand-ins with a partner anywhere
+    those                --binned range join--> stand-ins per window         [N3]
     movements(core)      --semi join on stand-in keys--> distinct core keys  [N4]
     stand-ins --semi join--> matched stand-ins --explode 2 docs--> distinct keys [A2]
     movements --(account, document, window range)--> 50 columns              [N5]
@@ -46,11 +47,28 @@ def window_keys(win: DataFrame) -> DataFrame:
     return keyed.groupBy(*WIN_KEY).agg(F.count(F.lit(1)).alias("wn_n"))
 
 
-def window_standins(bins: Measured, mov: DataFrame, bin_days: int = DEFAULT_BIN_DAYS) -> DataFrame:
-    """N3: stand-in movements inside each window (account, document, repost reference)."""
-    m = restrict_period(mov, bins.extras["_lo"], bins.extras["_hi"]).filter(
+def _standins(bins: Measured, mov: DataFrame) -> DataFrame:
+    return restrict_period(mov, bins.extras["_lo"], bins.extras["_hi"]).filter(
         F.col("tipo_procesamiento").isin(STANDIN_PARKED, STANDIN)
     ).select("periodo", "numero_cuenta_id", "numero_documento", "numero_comprobante_reposting")
+
+
+def _partnered_standins(bins: Measured, mov: DataFrame) -> DataFrame:
+    """Stand-ins whose repost reference is some core row's document on the account, between the outermost bounds.
+
+    Only these can have a partner inside a window; the equality join drops
+    the others before any stand-in is repeated for the windows it lies in.
+    """
+    cores = restrict_period(mov, bins.extras["_lo"], bins.extras["_hi"]).filter(F.col("tipo_procesamiento").isNull())
+    cores = cores.select(F.col("numero_cuenta_id").alias("_c"), F.col("numero_documento").alias("_d")).distinct()
+    s = _standins(bins, mov)
+    on = (s["numero_cuenta_id"] == cores["_c"]) & (s["numero_comprobante_reposting"] == cores["_d"])
+    return s.join(cores, on, "left_semi")
+
+
+def window_standins(bins: Measured, mov: DataFrame, bin_days: int = DEFAULT_BIN_DAYS, partnered: bool = False) -> DataFrame:
+    """N3: stand-in movements inside each window (account, document, repost reference)."""
+    m = _partnered_standins(bins, mov) if partnered else _standins(bins, mov)
     return attach_windows(m, bins, "periodo", "wn_lo", "wn_hi", bin_days).select(
         *WIN_KEY, "wn_n", "numero_cuenta_id", "numero_documento", "numero_comprobante_reposting"
     )
@@ -83,7 +101,7 @@ def window_matched_standins(bins: Measured, mov: DataFrame, bin_days: int = DEFA
     join without producing the product.
     """
     standins = materialize(
-        window_standins(bins, mov, bin_days)
+        window_standins(bins, mov, bin_days, partnered=True)
         .filter(F.col("numero_comprobante_reposting").isNotNull())
         .select(
             *WIN_KEY,

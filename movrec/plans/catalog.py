@@ -19,11 +19,13 @@ from movrec.operators import apply as ap
 from movrec.operators import changes as ch
 from movrec.operators import requests as rq
 from movrec.operators import windows as wn
-from movrec.operators.archive import archive_and_purge
+from movrec.operators.archive import BATCH_COLUMN, archive_and_purge
 from movrec.operators.sizing import materialize
-from movrec.schema import DATE_PATTERN, WRITE_KEY
+from movrec.plans import host
+from movrec.schema import DATE_PATTERN, WRITE_KEY, movement_schema
 from movrec.session import ensure_checkpoint_dir, scratch_path
-from movrec.sources.fixtures import fixture_snapshot, solicitudes, ventanas
+from movrec.sources.fixtures import fixture_snapshot, solicitudes, ventanas, ventanas_clientes
+from movrec.sources.snapshot import load_snapshot, write_snapshot
 
 Plan = Callable[[SparkSession, str], DataFrame]
 
@@ -32,29 +34,17 @@ def _day(c: str | Column) -> Column:
     return F.date_format(F.col(c) if isinstance(c, str) else c, DATE_PATTERN)
 
 
-_INPUTS: dict[tuple[str, str, str], DataFrame] = {}
-
-
-def _input(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
-    """Input DataFrames are immutable: build each once per application and reuse the handle."""
-    key = (spark.sparkContext.applicationId, sf_dir, name)
-    df = _INPUTS.get(key)
-    if df is None:
-        df = _INPUTS[key] = build(spark, sf_dir)
-    return df
-
-
 def movements(spark: SparkSession, sf_dir: str) -> DataFrame:
     ensure_checkpoint_dir(spark)
-    return _input(spark, sf_dir, "movimientos", fixture_snapshot)
+    return fixture_snapshot(spark, sf_dir)
 
 
 def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _input(spark, sf_dir, "solicitudes", solicitudes)
+    return solicitudes(spark, sf_dir)
 
 
 def windows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _input(spark, sf_dir, "ventanas", ventanas)
+    return ventanas(spark, sf_dir)
 
 
 # --- projections and scalar functions ----------------------------------------
@@ -125,8 +115,7 @@ def q_request_movements(spark, sf_dir):
 
 def q_request_verdict(spark, sf_dir):
     mov, pairs = _pairs(spark, sf_dir)
-    matched = rq.matched_movements(pairs, mov)
-    return rq.request_verdict(matched.df).select(*_request_cols(), "reposting_completo")
+    return rq.request_verdicts(pairs, mov).select(*_request_cols(), "reposting_completo")
 
 
 def q_match_requests(spark, sf_dir):
@@ -177,10 +166,8 @@ def _window_cols() -> list[Column]:
 
 
 def q_guard_windows(spark, sf_dir):
-    """F2 over a window set that grows with the data: every request's own bounds."""
-    bounds = requests(spark, sf_dir).select("periodo", "periodo_tope")
-    g = wn.guard_windows(bounds)
-    return g.select(_day("periodo").alias("periodo"), _day("periodo_tope").alias("periodo_tope"))
+    """F2 over a window set that grows with the data; some bounds are NULL or empty."""
+    return wn.guard_windows(ventanas_clientes(spark, sf_dir)).select("periodo", "periodo_tope")
 
 
 def _bins(spark, sf_dir):
@@ -255,28 +242,65 @@ def q_release_parked(spark, sf_dir):
 def _archive(spark, sf_dir):
     mov = movements(spark, sf_dir)
     found = q_match_windows(spark, sf_dir)
-    return archive_and_purge(found, mov, scratch_path(spark, "lake"), fmt="parquet")
+    return archive_and_purge(found, mov, scratch_path(spark, "lake"), fmt="parquet", batch_id="b1")
 
 
 def q_archive_rows(spark, sf_dir):
-    return _archive(spark, sf_dir).archived
+    return _archive(spark, sf_dir).archived.drop(BATCH_COLUMN)
 
 
 def q_purge_archived(spark, sf_dir):
     return format_movements(_archive(spark, sf_dir).remaining)
 
 
-def q_action_audit(spark, sf_dir):
+def q_archive_rerun(spark, sf_dir):
+    """The lake after a half-appended batch, its rerun with all rows and one with fewer; every row stands once."""
     mov = movements(spark, sf_dir)
+    found = materialize(q_match_windows(spark, sf_dir)).df
+    half = found.filter(F.col("orden_registro").cast("bigint") % 4 == 0)
+    lake = scratch_path(spark, "lake")
+    for rows in (half, found, half):
+        last = archive_and_purge(rows, mov, lake, fmt="parquet", batch_id="b1")
+    hot = format_movements(last.remaining).withColumn("place", F.lit("hot"))
+    return last.archived.drop(BATCH_COLUMN).withColumn("place", F.lit("lake")).unionByName(hot)
+
+
+def _partitioned(spark, sf_dir) -> str:
+    """A copy of the snapshot, partitioned by period, that outputs may rewrite."""
+    return write_snapshot(movements(spark, sf_dir), scratch_path(spark, "in-place"), partition_by="periodo")
+
+
+def q_request_leg_delete_in_place(spark, sf_dir):
+    """O3 in place, read back from disk."""
+    path = _partitioned(spark, sf_dir)
+    host.output_delete_legs(spark, requests(spark, sf_dir), {}, {"SNAPSHOT_PATH": path, "REWRITE_IN_PLACE": "true"})
+    return format_movements(load_snapshot(spark, path, schema=movement_schema()))
+
+
+def q_purge_in_place(spark, sf_dir):
+    """O5 in place, read back from disk."""
+    path = _partitioned(spark, sf_dir)
+    params = {"SNAPSHOT_PATH": path, "REWRITE_IN_PLACE": "true", "LAKE_PATH": scratch_path(spark, "lake"), "LAKE_FORMAT": "parquet", "BATCH_ID": "b1"}
+    host.output_archive(spark, q_match_windows(spark, sf_dir), {}, params)
+    return format_movements(load_snapshot(spark, path, schema=movement_schema()))
+
+
+def _audited(spark, sf_dir) -> DataFrame:
+    """Parked rows audited after the leg delete: some keys are gone, some rows have none."""
+    mov, req = movements(spark, sf_dir), requests(spark, sf_dir)
+    left = ap.apply_deletes(mov, materialize(ch.request_leg_delete_keys(req)), WRITE_KEY)
     parked = ch.parked_rows(q_match_windows(spark, sf_dir))
-    status = ap.audit(
-        parked,
-        {"periodo": rq.as_date(parked, "periodo"), "id_transaccion": F.col("id_transaccion")},
-        all_truthy(parked, WRITE_KEY),
-        mov,
-        WRITE_KEY,
-    )
-    return status.select(_day("periodo").alias("periodo"), "id_transaccion", "delete_status", "outcome")
+    key = {"periodo": rq.as_date(parked, "periodo"), "id_transaccion": F.col("id_transaccion")}
+    return ap.audit(parked, key, all_truthy(parked, WRITE_KEY), left, WRITE_KEY)
+
+
+def q_action_audit(spark, sf_dir):
+    return _audited(spark, sf_dir).select(_day("periodo").alias("periodo"), "id_transaccion", "delete_status", "outcome")
+
+
+def q_status_preview(spark, sf_dir):
+    """How many rows the preview of the audit shows (which ones is unspecified)."""
+    return ap.preview(_audited(spark, sf_dir)).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 PLANS: dict[str, Plan] = {
@@ -305,5 +329,9 @@ PLANS: dict[str, Plan] = {
     "release_parked": q_release_parked,
     "archive_rows": q_archive_rows,
     "purge_archived": q_purge_archived,
+    "archive_rerun": q_archive_rerun,
+    "request_leg_delete_in_place": q_request_leg_delete_in_place,
+    "purge_in_place": q_purge_in_place,
     "action_audit": q_action_audit,
+    "status_preview": q_status_preview,
 }

@@ -6,89 +6,137 @@ driving DataFrames as the reference's plug-ins.  Instead of one database
 round trip per driving row, they read the movement snapshot once and return
 set-based results; writes are change sets applied to a new snapshot version.
 
-``params`` keys (all optional except a snapshot source):
-
-* ``SNAPSHOT_PATH`` (+ ``SNAPSHOT_FORMAT``) - a Parquet/Delta snapshot, or
-* ``JDBC_URL``, ``JDBC_TABLE``, ``JDBC_USER``, ``ROOT_CERT``, ``CLIENT_CERT``,
-  ``KEY_CERT``, ``JDBC_PARTITIONS``, ``JDBC_LOWER``, ``JDBC_UPPER`` - the hot table
-  over JDBC;
-* ``SNAPSHOT_OUT`` - where an output step writes the new snapshot version, or
-  ``REWRITE_IN_PLACE`` - for a Parquet snapshot partitioned by ``periodo``,
-  rewrite only the partitions the change set touches;
-* ``LAKE_PATH`` or ``LAKE_BUCKET`` + ``TABLE_NAME``, ``LAKE_FORMAT`` - the archive.
+``params`` keys:
+
+* the snapshot: ``SNAPSHOT_PATH`` (+ ``SNAPSHOT_FORMAT``), a Parquet or Delta
+  table, or ``JDBC_URL`` and ``JDBC_TABLE`` (+ ``JDBC_USER``, ``ROOT_CERT``,
+  ``CLIENT_CERT``, ``KEY_CERT``).  The JDBC read is split by ``periodo`` into
+  ``JDBC_PARTITIONS`` range queries (default 16) between ``JDBC_LOWER`` and
+  ``JDBC_UPPER``, which default to the bounds the database reports;
+* where an output writes, one of: ``SNAPSHOT_OUT``, a new snapshot version that
+  keeps the partitioning of the old; ``REWRITE_IN_PLACE`` (true), for a Parquet
+  snapshot partitioned by ``periodo``: only touched partitions are rewritten;
+  ``JDBC_STAGE_TABLE``, the change set loaded into a staging table of the
+  database, for one set-based statement there; or ``DRY_RUN`` (true): nothing is
+  written and the result is lazy.  An output with none of these raises;
+* the archive: ``LAKE_PATH``, or ``LAKE_BUCKET``, ``LAKE_PREFIX`` and
+  ``TABLE_NAME``; ``LAKE_FORMAT``; ``BATCH_ID``.
+
+Every output evaluates its driving DataFrame once: the columns it needs are
+materialised, and keys and status are both derived from that.  Driving columns
+that are missing read as NULL, so their rows are skipped.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from movrec.functions.predicates import all_truthy
+from movrec.functions.predicates import all_truthy, column_or_null
 from movrec.operators import apply as ap
 from movrec.operators import changes as ch
 from movrec.operators import requests as rq
 from movrec.operators import windows as wn
 from movrec.operators.archive import archive_and_purge
-from movrec.operators.sizing import materialize
-from movrec.schema import WRITE_KEY
+from movrec.operators.sizing import Measured, materialize
+from movrec.schema import REQUEST_COLUMNS, STANDIN, STATUS_COLUMN, VERDICT_COLUMN, WRITE_KEY
 from movrec.sources.lake import lake_path
-from movrec.sources.snapshot import load_snapshot, read_jdbc_snapshot, write_snapshot
+from movrec.sources.snapshot import (
+    jdbc_period_bounds,
+    load_snapshot,
+    partitioned_by_period,
+    read_jdbc_snapshot,
+    stage_changes_jdbc,
+    write_snapshot,
+)
+
+JDBC_PARTITIONS = 16
+
+
+def flag(params: dict, name: str) -> bool:
+    """A yes/no parameter, given as a boolean or as text."""
+    return str(params.get(name, "")).strip().lower() in ("1", "true", "yes")
+
+
+def _jdbc_connection(params: dict) -> dict:
+    return dict(
+        url=params["JDBC_URL"], user=params.get("JDBC_USER"), root_cert=params.get("ROOT_CERT"),
+        client_cert=params.get("CLIENT_CERT"), key_cert=params.get("KEY_CERT"),
+    )
 
 
 def snapshot_from_params(spark: SparkSession, params: dict) -> DataFrame:
     if params.get("SNAPSHOT_PATH"):
         return load_snapshot(spark, params["SNAPSHOT_PATH"], fmt=params.get("SNAPSHOT_FORMAT", "parquet"))
     if params.get("JDBC_URL"):
-        kw = dict(
-            url=params["JDBC_URL"],
-            table=params.get("JDBC_TABLE", "pas.movimientos_cuenta"),
-            user=params.get("JDBC_USER"),
-            root_cert=params.get("ROOT_CERT"),
-            client_cert=params.get("CLIENT_CERT"),
-            key_cert=params.get("KEY_CERT"),
-        )
-        if params.get("JDBC_PARTITIONS"):
-            kw.update(
-                partition_column="periodo",
-                lower_bound=params["JDBC_LOWER"],
-                upper_bound=params["JDBC_UPPER"],
-                num_partitions=int(params["JDBC_PARTITIONS"]),
-            )
-        return read_jdbc_snapshot(spark, **kw)
-    raise ValueError("params need SNAPSHOT_PATH or JDBC_URL")
+        kw = dict(_jdbc_connection(params), table=params["JDBC_TABLE"])
+        lower, upper = params.get("JDBC_LOWER"), params.get("JDBC_UPPER")
+        if lower is None or upper is None:
+            found = jdbc_period_bounds(spark, **kw)
+            if found is None:  # no row has a period
+                return read_jdbc_snapshot(spark, **kw)
+            lower, upper = lower or found[0], upper or found[1]
+        split = dict(partition_column="periodo", lower_bound=lower, upper_bound=upper, num_partitions=int(params.get("JDBC_PARTITIONS", JDBC_PARTITIONS)))
+        return read_jdbc_snapshot(spark, **kw, **split)
+    raise ValueError("params need SNAPSHOT_PATH, or JDBC_URL and JDBC_TABLE")
 
 
 @dataclass
 class OutputResult:
     snapshot: DataFrame  # the new snapshot version (lazy unless written)
     status: DataFrame  # one audit row per driving row
+    change: DataFrame  # the change set: keys, and new values where there are any
     written_to: str | None = None
 
-
-def _finish(spark, params, snapshot, status, keys=None, change=None) -> OutputResult:
-    """Write the result: in place (touched partitions only) or as a new version."""
-    if params.get("REWRITE_IN_PLACE") and keys is not None and change is not None:
+    def preview(self) -> DataFrame:
+        """The bounded rows an operator's console shows; the action itself is never limited."""
+        return ap.preview(self.status)
+
+
+def _target(params: dict) -> str:
+    """Which of the output targets the parameters name; checked before any work."""
+    targets = [n for n in ("SNAPSHOT_OUT", "JDBC_STAGE_TABLE") if params.get(n)] + [n for n in ("REWRITE_IN_PLACE", "DRY_RUN") if flag(params, n)]
+    if len(targets) != 1:
+        raise ValueError(f"an output needs one of SNAPSHOT_OUT, REWRITE_IN_PLACE, JDBC_STAGE_TABLE or DRY_RUN; got {targets or 'none'}")
+    if targets[0] == "REWRITE_IN_PLACE":
+        if not params.get("SNAPSHOT_PATH") or params.get("SNAPSHOT_FORMAT", "parquet") != "parquet":
+            raise ValueError("REWRITE_IN_PLACE needs a Parquet SNAPSHOT_PATH; table formats apply the change set with their MERGE")
+    return targets[0]
+
+
+def _finish(spark, params, mov, status, keys: Measured, change) -> OutputResult:
+    """Write what the target asks for; the audit describes the snapshot before that."""
+    target = _target(params)
+    if target == "DRY_RUN":
+        return OutputResult(change(mov), status, keys.df)
+    status = materialize(status).df
+    if target == "JDBC_STAGE_TABLE":
+        stage_changes_jdbc(keys.df, params["JDBC_STAGE_TABLE"], **_jdbc_connection(params))
+        return OutputResult(change(mov), status, keys.df, params["JDBC_STAGE_TABLE"])
+    if target == "REWRITE_IN_PLACE":
         path = params["SNAPSHOT_PATH"]
-        # the audit must describe the snapshot before it is rewritten
-        status = materialize(status).df
-        ap.rewrite_touched_partitions(spark, path, keys, change, schema=snapshot.schema)
-        return OutputResult(load_snapshot(spark, path), status, path)
-    out = params.get("SNAPSHOT_OUT")
-    if out:
-        write_snapshot(snapshot, out)
-    return OutputResult(snapshot, status, out)
-
-
-def _key_status(rows: DataFrame, mov: DataFrame) -> DataFrame:
-    return ap.audit(
-        rows,
-        {"periodo": rq.as_date(rows, "periodo"), "id_transaccion": F.col("id_transaccion")},
-        all_truthy(rows, WRITE_KEY),
-        mov,
-        WRITE_KEY,
-    )
+        if not partitioned_by_period(spark, path):
+            raise ValueError(f"{path} is not partitioned by periodo: nothing can be rewritten in place")
+        ap.rewrite_touched_partitions(spark, path, keys, change, schema=mov.schema)
+        return OutputResult(load_snapshot(spark, path, schema=mov.schema), status, keys.df, path)
+    out = params["SNAPSHOT_OUT"]
+    parquet = params.get("SNAPSHOT_PATH") and params.get("SNAPSHOT_FORMAT", "parquet") == "parquet"
+    kept = "periodo" if parquet and partitioned_by_period(spark, params["SNAPSHOT_PATH"]) else None
+    write_snapshot(change(mov), out, partition_by=kept)
+    return OutputResult(load_snapshot(spark, out, schema=mov.schema), status, keys.df, out)
+
+
+def _driving(df: DataFrame, columns: tuple[str, ...]) -> DataFrame:
+    """The named columns (NULL where missing) with a row number, evaluated once."""
+    picked = df.select(*[column_or_null(df, c).alias(c) for c in columns], F.monotonically_increasing_id().alias("_row"))
+    return materialize(picked).df
+
+
+def _key_status(rows: DataFrame, mov: DataFrame, keys: tuple[str, ...] = WRITE_KEY) -> DataFrame:
+    read = {k: rq.as_date(rows, k) if k == "periodo" else F.col(k) for k in keys}
+    return ap.audit(rows, read, all_truthy(rows, WRITE_KEY), mov, keys).select(*WRITE_KEY, STATUS_COLUMN, "outcome")
 
 
 # --- transforms -----------------------------------------------------------------
@@ -103,54 +151,80 @@ def transform_windows(spark: SparkSession, df: DataFrame, params: dict) -> DataF
 
 
 # --- outputs --------------------------------------------------------------------
+def _row_status(rows: DataFrame, ok: Column, found: DataFrame, shown: list[Column]) -> DataFrame:
+    """One status per driving row: ``found`` holds the ``_row`` of those that touch something."""
+    hit = found.select("_row", F.lit(True).alias("_found"))
+    flagged = rows.select("_row", *shown, F.coalesce(ok, F.lit(False)).alias("_ok")).join(hit, "_row", "left")
+    names = [c for c in flagged.columns if c not in ("_row", "_ok", "_found")]
+    return flagged.select(*names, F.lit(None).cast("string").alias(STATUS_COLUMN), ap.outcome(F.col("_ok"), F.col("_found")).alias("outcome"))
+
+
 def mark_requests(spark: SparkSession, df: DataFrame, write_options: dict, params: dict) -> OutputResult:
     """The write half of transform A: mark both stand-in legs of every request."""
+    _target(params)
     mov = snapshot_from_params(spark, params)
-    marks = materialize(ch.mark_reposted_changes(df, mov))
-    status = marks.df.select(*ch.MARK_KEYS, "n_documentos")
+    rows = _driving(df, REQUEST_COLUMNS)
+    marks = materialize(ch.mark_reposted_changes(rows, mov))
+    ids = [F.col("guid_ordenante"), F.col("guid_beneficiario")]
+    status = _row_status(rows, all_truthy(rows, rq.REQUEST_GUARD), ch.mark_hits(rows, mov), ids)
     change = lambda part: ap.apply_updates(part, marks, ch.MARK_KEYS, ch.MARK_ASSIGN)
-    return _finish(spark, params, change(mov), status, marks, change)
+    return _finish(spark, params, mov, status, marks, change)
 
 
 def output_delete_legs(spark: SparkSession, df: DataFrame, write_options: dict, params: dict) -> OutputResult:
-    """O3: delete both legs of each request (keyed on the request's period)."""
+    """O3: delete both legs of each request (keyed on the request's period).
+
+    A row is ``applied`` if the snapshot holds either of its legs.
+    """
+    _target(params)
     mov = snapshot_from_params(spark, params)
-    keys = materialize(ch.request_leg_delete_keys(df))
-    status = ap.audit(
-        df.select(rq.as_date(df, "periodo").alias("periodo"), F.col("guid_ordenante").alias("id_transaccion"),
-                  all_truthy(df, ("periodo", "guid_ordenante")).alias("_g")),
-        {"periodo": F.col("periodo"), "id_transaccion": F.col("id_transaccion")},
-        F.col("_g"),
-        mov,
-        WRITE_KEY,
+    rows = _driving(df, ("periodo", "guid_ordenante", "guid_beneficiario"))
+    keys = materialize(ch.request_leg_delete_keys(rows))
+    ok = all_truthy(rows, ("periodo", "guid_ordenante"))
+    legs = rows.filter(ok).select(
+        "_row", rq.as_date(rows, "periodo").alias("periodo"), F.explode(F.array("guid_ordenante", "guid_beneficiario")).alias("id_transaccion")
     )
+    found = legs.join(ap.present_keys(legs.select(*WRITE_KEY), mov, WRITE_KEY), list(WRITE_KEY)).select("_row").distinct()
+    status = _row_status(rows, ok, found, [F.col("periodo").cast("string").alias("periodo"), F.col("guid_ordenante"), F.col("guid_beneficiario")])
     change = lambda part: ap.apply_deletes(part, keys, WRITE_KEY)
-    return _finish(spark, params, change(mov), status, keys, change)
+    return _finish(spark, params, mov, status, keys, change)
 
 
 def output_park(spark: SparkSession, df: DataFrame, write_options: dict, params: dict) -> OutputResult:
-    """O4: park every key of NO MATCH groups (``PARK_ONLY_STANDIN`` limits it to stand-in rows)."""
+    """O4: park every key of NO MATCH groups.
+
+    ``PARK_ONLY_STANDIN`` limits it to rows that are stand-ins now; only those are audited then.
+    """
+    _target(params)
     mov = snapshot_from_params(spark, params)
-    rows = ch.unmatched_rows(df)
-    only_standin = str(params.get("PARK_ONLY_STANDIN", "")).lower() in ("1", "true", "yes")
-    keys = materialize(ch.park_unmatched_keys(df, only_standin=only_standin))
+    matched = _driving(df, (*WRITE_KEY, "tipo_procesamiento", VERDICT_COLUMN))
+    rows, only_standin = ch.unmatched_rows(matched), flag(params, "PARK_ONLY_STANDIN")
+    if only_standin:
+        rows = rows.filter(F.col("tipo_procesamiento") == F.lit(STANDIN))
+    keys = materialize(ch.park_unmatched_keys(matched, only_standin=only_standin))
     key_cols = ch.PARK_STANDIN_KEYS if only_standin else WRITE_KEY
     change = lambda part: ap.apply_updates(part, keys, key_cols, ch.PARK_ASSIGN)
-    return _finish(spark, params, change(mov), _key_status(rows, mov), keys, change)
+    return _finish(spark, params, mov, _key_status(rows, mov, key_cols), keys, change)
 
 
 def output_release(spark: SparkSession, df: DataFrame, write_options: dict, params: dict) -> OutputResult:
     """O6: release parked keys back to ``STANDIN``."""
+    _target(params)
     mov = snapshot_from_params(spark, params)
-    rows = ch.parked_rows(df)
+    rows = ch.parked_rows(_driving(df, (*WRITE_KEY, "tipo_procesamiento")))
     keys = materialize(ch.result_keys(rows))
     change = lambda part: ap.apply_updates(part, keys, WRITE_KEY, ch.RELEASE_ASSIGN)
-    return _finish(spark, params, change(mov), _key_status(rows, mov), keys, change)
+    return _finish(spark, params, mov, _key_status(rows, mov), keys, change)
 
 
 def output_archive(spark: SparkSession, df: DataFrame, write_options: dict, params: dict) -> OutputResult:
-    """O5: append qualifying rows to the lake, then purge their keys."""
+    """O5: append qualifying rows to the lake, then purge the keys the lake holds."""
+    _target(params)
     mov = snapshot_from_params(spark, params)
-    path = params.get("LAKE_PATH") or lake_path(params["LAKE_BUCKET"], params["TABLE_NAME"])
-    res = archive_and_purge(df, mov, path, fmt=params.get("LAKE_FORMAT", "delta"), batch_id=params.get("BATCH_ID"))
-    return _finish(spark, params, res.remaining, _key_status(ch.archive_rows(df), mov))
+    path = params.get("LAKE_PATH") or lake_path(params["LAKE_BUCKET"], params["TABLE_NAME"], params["LAKE_PREFIX"])
+    missing = [F.lit(None).cast("string").alias(c) for c in (*WRITE_KEY, "numero_comprobante_reposting", "tipo_procesamiento") if c not in df.columns]
+    rows = materialize(df.select("*", *missing)).df
+    status = materialize(_key_status(ch.archive_rows(rows), mov)).df
+    res = archive_and_purge(rows, mov, path, fmt=params.get("LAKE_FORMAT", "delta"), batch_id=params.get("BATCH_ID"))
+    change = lambda part: ap.apply_deletes(part, res.keys, WRITE_KEY)
+    return _finish(spark, params, mov, status, res.keys, change)

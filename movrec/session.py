@@ -73,17 +73,32 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = checkpoint_dir(spark)
     if not configured:
-        if not sc.master.startswith("local"):
+        if not (sc.master == "local" or sc.master.startswith("local[")):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder before running movrec jobs")
         configured = tempfile.mkdtemp(prefix="movrec-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
 
 
+def hadoop_path(spark: SparkSession, path: str):
+    """``(file system, path)`` of the JVM for a path in any store Spark reads."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def remove_path(spark: SparkSession, path: str) -> bool:
+    """Delete a file or folder; False if there was none."""
+    fs, p = hadoop_path(spark, path)
+    return fs.delete(p, True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared checkpoint folder for written tables."""
-    base = ensure_checkpoint_dir(spark)
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A fresh path under the shared checkpoint folder for written tables, removed when the application ends."""
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    fs, p = hadoop_path(spark, folder)
+    fs.mkdirs(p)
+    fs.deleteOnExit(p)
+    return f"{folder}/data"
 
 
 def local_path(uri: str) -> str:
@@ -95,7 +110,9 @@ __all__ = [
     "RECOMMENDED_CONF",
     "checkpoint_dir",
     "ensure_checkpoint_dir",
+    "hadoop_path",
     "local_path",
     "local_session",
+    "remove_path",
     "scratch_path",
 ]

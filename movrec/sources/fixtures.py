@@ -1,10 +1,11 @@
 """Movement, request and window views derived from the given tables.
 
-The derivation follows FIXTURES.md: every order becomes up to three movement
-legs (stand-in ``S``, core repost ``C``, beneficiary ``B``), a share of the
-orders become reconciliation requests, and the regions become period windows.
-The role of each order is decided by its key (fixed rules of the fixture), so
-the views are deterministic and grow with the ``orders`` table.
+The derivation follows FIXTURES.md: every order becomes one to four movement
+legs (stand-in ``S``, core ``C``, second core ``E``, beneficiary ``B``), every
+even order becomes a reconciliation request, the regions become period windows
+and the customers the windows of the guard's fixture.  The role of each order
+is decided by its key (fixed rules of the fixture), so the views are
+deterministic and grow with the given tables.
 """
 
 from __future__ import annotations
@@ -49,7 +50,7 @@ def fx_legs(base: DataFrame) -> DataFrame:
     keyed = lambda prefix: F.concat(F.lit(prefix), _s(k))
     standin = base.filter(k % 2 == 0).select(
         "k", "v", "pri", "ts",
-        keyed("S").alias("id_transaccion"),
+        F.when(k % 132 == 0, F.lit("")).when(k % 156 != 0, keyed("S")).alias("id_transaccion"),
         F.col("acct").alias("numero_cuenta_id"),
         F.lpad("ben", 10, "0").alias("cuenta_beneficiario"),
         keyed("T").alias("numero_documento"),
@@ -57,13 +58,23 @@ def fx_legs(base: DataFrame) -> DataFrame:
         F.when(k % 6 == 0, F.lit(STANDIN_PARKED)).otherwise(F.lit(STANDIN)).alias("tipo_procesamiento"),
         F.when(k % 3 == 0, keyed("D")).alias("numero_comprobante_reposting"),
     )
-    core = base.filter((k % 4 != 3) & (k % 7 != 0)).select(
+    core = base.filter((k % 2 == 1) | (k % 7 != 0)).select(
         "k", "v", "pri", "ts",
         keyed("C").alias("id_transaccion"),
         F.col("acct").alias("numero_cuenta_id"),
         _null_text().alias("cuenta_beneficiario"),
         keyed("D").alias("numero_documento"),
         F.date_add("d", (k % 9).cast("int")).alias("periodo"),
+        F.when((k % 2 == 1) & ((k % 4 == 3) | (k % 7 == 0)), F.lit("")).alias("tipo_procesamiento"),
+        _null_text().alias("numero_comprobante_reposting"),
+    )
+    again = base.filter(k % 26 == 0).select(
+        "k", "v", "pri", "ts",
+        keyed("E").alias("id_transaccion"),
+        F.col("acct").alias("numero_cuenta_id"),
+        _null_text().alias("cuenta_beneficiario"),
+        keyed("D").alias("numero_documento"),
+        F.date_add("d", (k % 9 + 1).cast("int")).alias("periodo"),
         _null_text().alias("tipo_procesamiento"),
         _null_text().alias("numero_comprobante_reposting"),
     )
@@ -77,12 +88,16 @@ def fx_legs(base: DataFrame) -> DataFrame:
         F.when(k % 4 == 0, F.lit(STANDIN)).when(k % 22 == 0, F.lit("")).alias("tipo_procesamiento"),
         F.when(k % 12 == 0, F.lit("")).alias("numero_comprobante_reposting"),
     )
-    return standin.unionByName(core).unionByName(beneficiary)
+    return standin.unionByName(core).unionByName(again).unionByName(beneficiary)
 
 
 def movimientos(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The movement snapshot (50 typed columns) derived from ``orders``."""
-    legs = fx_legs(fx_base(spark, sf_dir))
+    return movement_columns(fx_legs(fx_base(spark, sf_dir)))
+
+
+def movement_columns(legs: DataFrame) -> DataFrame:
+    """The 50 columns of each leg."""
     k, ts, v = F.col("k"), F.col("ts"), F.col("v")
     cols = {
         "id_transaccion": F.col("id_transaccion"),
@@ -140,24 +155,28 @@ def movimientos(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def solicitudes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Reconciliation requests (one per stand-in order, plus exact duplicates)."""
+    """Reconciliation requests: one per stand-in order, plus repeated ones, every
+    other of which carries a document of its own (a conflicting mark)."""
     base = fx_base(spark, sf_dir)
     k, d = F.col("k"), F.col("d")
     upper = F.date_add(d, F.when(k % 3 == 0, F.lit(0)).otherwise(F.lit(5)))
+    document = F.concat(F.lit("D"), _s(k))
     common = [
-        F.concat(F.lit("D"), _s(k)).alias("numero_documento_original"),
         upper.alias("periodo"),
         F.date_sub(d, 30).alias("periodo_tope"),
         F.when(k % 65 != 0, F.concat(F.lit("S"), _s(k))).alias("guid_ordenante"),
         F.when(k % 4 == 0, F.concat(F.lit("B"), _s(k))).alias("guid_beneficiario"),
     ]
-    first = base.filter((k % 2 == 0) & (k % 5 < 2)).select(
+    first = base.filter(k % 2 == 0).select(
         F.when(k % 45 == 0, _null_text()).otherwise(F.lit("AHO")).alias("producto_ordenante"),
         F.when(k % 35 == 0, F.lit("")).otherwise(F.lit("CTE")).alias("producto_beneficiario"),
+        document.alias("numero_documento_original"),
         *common,
     )
     repeated = base.filter(k % 100 == 6).select(
-        F.lit("AHO").alias("producto_ordenante"), F.lit("CTE").alias("producto_beneficiario"), *common
+        F.lit("AHO").alias("producto_ordenante"), F.lit("CTE").alias("producto_beneficiario"),
+        F.when(k % 200 == 6, F.concat(F.lit("X"), _s(k))).otherwise(document).alias("numero_documento_original"),
+        *common,
     )
     return first.unionByName(repeated)
 
@@ -173,23 +192,38 @@ def ventanas(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def ventanas_clientes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One window per customer, with bounds as text; some are NULL, some empty."""
+    c = F.col("c_custkey")
+    day = lambda n: F.date_format(F.date_add(F.lit(_dt.date(1992, 1, 1)), n.cast("int")), "yyyy-MM-dd")
+    return read_table(spark, sf_dir, "customer").select(
+        F.when(c % 7 == 0, F.lit("")).when(c % 11 != 0, day(c % 2400 + 30)).alias("periodo"),
+        F.when(c % 13 == 0, F.lit("")).when(c % 5 != 0, day(c % 2400)).alias("periodo_tope"),
+    )
+
+
 _SNAPSHOTS: dict[tuple[str, str], tuple] = {}
 
 
 def fixture_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The derived movement snapshot, written once per session as Parquet
+    """The derived movement snapshot, written once per application as Parquet
     (clustered by ``periodo``) under the shared checkpoint folder and read back.
 
     This plays the role of the hot table: queries then read a real columnar
-    table, so period filters and column pruning reach the scan.
+    table, so period filters and column pruning reach the scan.  The narrow
+    legs are clustered, and their 50 columns computed after that shuffle.  The
+    copy is removed when the application ends.
     """
     from movrec.session import scratch_path
-    from movrec.sources.snapshot import load_snapshot, write_snapshot
+    from movrec.sources.snapshot import cluster_by_period, load_snapshot, write_clustered
 
     key = (spark.sparkContext.applicationId, sf_dir)
     hit = _SNAPSHOTS.get(key)
     if hit is None:
-        mov = movimientos(spark, sf_dir)
-        hit = (write_snapshot(mov, scratch_path(spark, "movimientos")), mov.schema)
+        legs = cluster_by_period(fx_legs(fx_base(spark, sf_dir)))
+        mov = movement_columns(legs)
+        hit = (write_clustered(mov, scratch_path(spark, "movimientos")), mov.schema)
+        for old in [k for k in _SNAPSHOTS if k[0] != key[0]]:  # their files went with their applications
+            del _SNAPSHOTS[old]
         _SNAPSHOTS[key] = hit
     return load_snapshot(spark, hit[0], schema=hit[1])

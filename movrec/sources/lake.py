@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 
-def lake_path(bucket: str, table: str, prefix: str = "data/pro/bp/acp/pas") -> str:
-    """``<bucket>/<prefix>/<table>``: the archive location of one table."""
+def lake_path(bucket: str, table: str, prefix: str) -> str:
+    """``<bucket>/<prefix>/<table>``: the archive location of one table (the prefix is the caller's)."""
     return f"{bucket.rstrip('/')}/{prefix.strip('/')}/{table}"
 
 

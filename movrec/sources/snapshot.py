@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 
 from movrec.schema import MOVEMENT_COLUMNS
 
+MAX_ROWS_PER_FILE = 5_000_000
+
 
 def load_snapshot(spark: SparkSession, path: str, fmt: str = "parquet", schema=None, **options) -> DataFrame:
     """Read a movement snapshot written by :func:`write_snapshot` (or any table with the 50 columns).
@@ -81,6 +83,15 @@ def read_jdbc_snapshot(spark: SparkSession, **kwargs) -> DataFrame:
     return spark.read.format("jdbc").options(**jdbc_options(**kwargs)).load().select(*MOVEMENT_COLUMNS)
 
 
+def jdbc_period_bounds(spark: SparkSession, table: str, **kwargs) -> tuple[str, str] | None:
+    """The least and greatest ``periodo`` of a database table, asked of the database as one row."""
+    columns = spark.read.format("jdbc").options(**jdbc_options(table=table, **kwargs)).load().columns
+    name = next(c for c in columns if c.lower() == "periodo")  # as the database spells it
+    query = f'(SELECT MIN("{name}") AS lo, MAX("{name}") AS hi FROM {table}) bounds'
+    row = spark.read.format("jdbc").options(**jdbc_options(table=query, **kwargs)).load().first()
+    return None if row[0] is None else (str(row[0]), str(row[1]))
+
+
 def restrict_period(mov: DataFrame, lo: _dt.date | None, hi: _dt.date | None, column: str = "periodo") -> DataFrame:
     """Keep rows with ``lo <= periodo <= hi`` (either bound may be open) using literals."""
     cond = F.col(column).isNotNull()
@@ -91,25 +102,46 @@ def restrict_period(mov: DataFrame, lo: _dt.date | None, hi: _dt.date | None, co
     return mov.filter(cond)
 
 
-def write_snapshot(df: DataFrame, path: str, files: int | None = None, partition_by: str | None = None, mode: str = "errorifexists") -> str:
-    """Write a snapshot clustered by ``periodo`` so period filters skip files and row groups.
+def cluster_by_period(df: DataFrame, files: int | None = None) -> DataFrame:
+    """Rows dealt by ``periodo`` and sorted in each part.
 
-    With ``partition_by`` the folders are partitioned (pruned at planning
-    time).  Otherwise rows are hash-distributed by period and sorted within
-    each file, so every Parquet row group covers a narrow period range and
-    min/max statistics skip the rest (no sampling pass, unlike a range
-    repartition).  Always write to a new path; never overwrite the path being
-    read.
+    The ``rebalance`` hint lets adaptive execution size the parts from the
+    data and split a period that holds more than a part should, so one hot day
+    never becomes one task or one file.
     """
-    n = files or df.sparkSession.sparkContext.defaultParallelism
-    out = df.repartition(n, "periodo").sortWithinPartitions("periodo")
-    writer = out.write.mode(mode)
+    hint = ([files] if files else []) + ["periodo"]
+    return df.hint("rebalance", *hint).sortWithinPartitions("periodo")
+
+
+def write_clustered(df: DataFrame, path: str, partition_by: str | None = None, mode: str = "errorifexists", max_rows_per_file: int = MAX_ROWS_PER_FILE) -> str:
+    """Write rows that are dealt already; no file gets more than ``max_rows_per_file`` rows."""
+    writer = df.write.mode(mode).option("maxRecordsPerFile", max_rows_per_file)
     if partition_by:
         writer = writer.partitionBy(partition_by)
     writer.parquet(path)
     return path
 
 
+def write_snapshot(df: DataFrame, path: str, files: int | None = None, partition_by: str | None = None, mode: str = "errorifexists") -> str:
+    """Write a snapshot clustered by ``periodo`` so period filters skip files and row groups.
+
+    With ``partition_by`` the folders are partitioned (pruned at planning
+    time).  Otherwise each Parquet row group covers a narrow period range and
+    min/max statistics skip the rest.  ``files`` is the number of shuffle
+    partitions the rebalance starts from (default: the session's).  Always
+    write to a new path; never overwrite the path being read.
+    """
+    return write_clustered(cluster_by_period(df, files), path, partition_by, mode)
+
+
+def partitioned_by_period(spark: SparkSession, path: str) -> bool:
+    """Whether the folders directly under ``path`` are ``periodo=`` partitions."""
+    from movrec.session import hadoop_path
+
+    fs, folder = hadoop_path(spark, path)
+    return any(s.isDirectory() and s.getPath().getName().startswith("periodo=") for s in fs.listStatus(folder))
+
+
 def stage_changes_jdbc(changes: DataFrame, table: str, partitions: int | None = None, mode: str = "overwrite", **jdbc_kw) -> None:
     """Bulk-load a change set into a staging table over JDBC.
 

@@ -10,15 +10,6 @@ TABLES = (
 ).split()
 
 
-_SCHEMAS: dict[str, object] = {}
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Read one given table; its schema is inferred once per path, then supplied."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    schema = _SCHEMAS.get(path)
-    if schema is None:
-        df = spark.read.parquet(path)
-        _SCHEMAS[path] = df.schema
-        return df
-    return spark.read.schema(schema).parquet(path)
+    """Read one given table."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

@@ -1,14 +1,16 @@
 """DuckDB oracle SQL for every registered query.
 
 Only the raw tables are registered in the oracle, so each statement starts
-with the fixture views of FIXTURES.md as CTEs.  The reconciliation itself is
-written the way the reference states it: one identity per driving row
-(``row_number()``), ``UNION ALL`` key branches and group-wide flags, so it is
-an independent formulation of what the Spark operators compute.
+with the fixture views of FIXTURES.md as CTEs.  The reconciliation is stated
+from its meaning, not by the steps of the Spark operators: a movement belongs to
+a request as often as one of its four key conditions holds, and to a window if
+the window holds a stand-in and core pair one of whose documents it carries.
 """
 
 from __future__ import annotations
 
+from movrec.schema import DATE_COLUMNS, MILLI_TIMESTAMP_COLUMNS, MOVEMENT_COLUMNS, SECOND_TIMESTAMP_COLUMNS
+
 FIXTURE_CTES = """
 fx_base AS (
   SELECT o_orderkey AS k,
@@ -22,15 +24,19 @@ fx_base AS (
   FROM orders
 ),
 fx_legs AS (
-  SELECT k, v, pri, ts, concat('S', CAST(k AS STRING)) AS id_transaccion, acct AS numero_cuenta_id,
+  SELECT k, v, pri, ts, CASE WHEN k % 132 = 0 THEN '' WHEN k % 156 <> 0 THEN concat('S', CAST(k AS STRING)) END AS id_transaccion, acct AS numero_cuenta_id,
          lpad(ben, 10, '0') AS cuenta_beneficiario, concat('T', CAST(k AS STRING)) AS numero_documento, d AS periodo,
          CASE WHEN k % 6 = 0 THEN 'STANDIN_P' ELSE 'STANDIN' END AS tipo_procesamiento,
          CASE WHEN k % 3 = 0 THEN concat('D', CAST(k AS STRING)) END AS numero_comprobante_reposting
   FROM fx_base WHERE k % 2 = 0
   UNION ALL
   SELECT k, v, pri, ts, concat('C', CAST(k AS STRING)), acct, CAST(NULL AS STRING), concat('D', CAST(k AS STRING)),
-         d + CAST(k % 9 AS INT), CAST(NULL AS STRING), CAST(NULL AS STRING)
-  FROM fx_base WHERE k % 4 <> 3 AND k % 7 <> 0
+         d + CAST(k % 9 AS INT), CASE WHEN k % 2 = 1 AND (k % 4 = 3 OR k % 7 = 0) THEN '' END, CAST(NULL AS STRING)
+  FROM fx_base WHERE k % 2 = 1 OR k % 7 <> 0
+  UNION ALL
+  SELECT k, v, pri, ts, concat('E', CAST(k AS STRING)), acct, CAST(NULL AS STRING), concat('D', CAST(k AS STRING)),
+         d + CAST(k % 9 + 1 AS INT), CAST(NULL AS STRING), CAST(NULL AS STRING)
+  FROM fx_base WHERE k % 26 = 0
   UNION ALL
   SELECT k, v, pri, ts, concat('B', CAST(k AS STRING)), ben, CAST(NULL AS STRING), concat('T', CAST(k AS STRING)),
          d, CASE WHEN k % 4 = 0 THEN 'STANDIN' WHEN k % 22 = 0 THEN '' END, CASE WHEN k % 12 = 0 THEN '' END
@@ -61,9 +67,9 @@ solicitudes AS (
          CASE WHEN k % 35 = 0 THEN '' ELSE 'CTE' END AS producto_beneficiario,
          concat('D', CAST(k AS STRING)) AS numero_documento_original, d + CAST(CASE WHEN k % 3 = 0 THEN 0 ELSE 5 END AS INT) AS periodo, d - 30 AS periodo_tope,
          CASE WHEN k % 65 <> 0 THEN concat('S', CAST(k AS STRING)) END AS guid_ordenante, CASE WHEN k % 4 = 0 THEN concat('B', CAST(k AS STRING)) END AS guid_beneficiario
-  FROM fx_base WHERE k % 2 = 0 AND k % 5 < 2
+  FROM fx_base WHERE k % 2 = 0
   UNION ALL
-  SELECT 'AHO', 'CTE', concat('D', CAST(k AS STRING)), d + CAST(CASE WHEN k % 3 = 0 THEN 0 ELSE 5 END AS INT), d - 30,
+  SELECT 'AHO', 'CTE', concat(CASE WHEN k % 200 = 6 THEN 'X' ELSE 'D' END, CAST(k AS STRING)), d + CAST(CASE WHEN k % 3 = 0 THEN 0 ELSE 5 END AS INT), d - 30,
          CASE WHEN k % 65 <> 0 THEN concat('S', CAST(k AS STRING)) END, CASE WHEN k % 4 = 0 THEN concat('B', CAST(k AS STRING)) END
   FROM fx_base WHERE k % 100 = 6
 ),
@@ -71,35 +77,25 @@ ventanas AS (
   SELECT DATE '1996-06-30' + CAST(r_regionkey * 180 AS INT) AS periodo,
          DATE '1996-06-30' + CAST(r_regionkey * 180 - 200 AS INT) AS periodo_tope
   FROM region
+),
+ventanas_clientes AS (
+  SELECT CASE WHEN c_custkey % 7 = 0 THEN '' WHEN c_custkey % 11 <> 0
+              THEN strftime(DATE '1992-01-01' + CAST(c_custkey % 2400 + 30 AS INT), '%Y-%m-%d') END AS periodo,
+         CASE WHEN c_custkey % 13 = 0 THEN '' WHEN c_custkey % 5 <> 0
+              THEN strftime(DATE '1992-01-01' + CAST(c_custkey % 2400 AS INT), '%Y-%m-%d') END AS periodo_tope
+  FROM customer
 )"""
 
-MOVEMENT_COLUMNS = """id_transaccion, numero_cuenta_id, fecha_transaccion_contable, contrapartida, orden_registro,
-orden_registro_cuenta_id, numero_documento, numero_comprobante, fecha_hora_transaccion_contable,
-descripcion, descripcion_enriquecida, valor_transaccion, moneda_origen, tipo_transaccion,
-numero_documento_comprobante, saldo, codigo_agencia, agencia, origen, codigo_cif_ordenante,
-identificacion_ordenante, nombre_ordenante, cuenta_ordenante, banco_ordenante, pais_ordenante,
-codigo_cif_beneficiario, identificacion_beneficiario, nombre_beneficiario, cuenta_beneficiario,
-banco_beneficiario, pais_beneficiario, estado_transaccion, descripcion_ordenante, descripcion_servicio,
-fecha_transaccion_origen, periodo, fecha_carga, tiene_detalle_extendido, numero_cuenta,
-fecha_hora_operacion, kafka_timestamp_ec, detalle_extendido_json, codigo_usuario_transaccion,
-usuario_transaccion, codigo_transaccion, numero_contrapartida_id, fecha_proceso_nrt,
-completar_detalle_enriquecido, tipo_procesamiento, numero_comprobante_reposting"""
-
-_DATES = {"fecha_transaccion_contable", "fecha_transaccion_origen", "periodo"}
-_SECONDS = {"fecha_hora_transaccion_contable", "fecha_carga", "fecha_hora_operacion"}
-_MILLIS = {"kafka_timestamp_ec", "fecha_proceso_nrt"}
-
-
 def text_columns(alias: str) -> str:
     """The 50 movement columns of ``alias`` rendered as text (DuckDB)."""
     out = []
-    for c in [x.strip() for x in MOVEMENT_COLUMNS.split(",")]:
+    for c in MOVEMENT_COLUMNS:
         ref = f"{alias}.{c}"
-        if c in _DATES:
+        if c in DATE_COLUMNS:
             out.append(f"strftime({ref}, '%Y-%m-%d') AS {c}")
-        elif c in _SECONDS:
+        elif c in SECOND_TIMESTAMP_COLUMNS:
             out.append(f"strftime({ref}, '%Y-%m-%d %H:%M:%S') AS {c}")
-        elif c in _MILLIS:
+        elif c in MILLI_TIMESTAMP_COLUMNS:
             out.append(f"strftime({ref}, '%Y-%m-%d %H:%M:%S.%g') AS {c}")
         else:
             out.append(f"CAST({ref} AS VARCHAR) AS {c}")
@@ -122,41 +118,39 @@ req AS (
 )"""
 
 
-def a_steps(source: str = "movimientos", suffix: str = "") -> str:
-    """Transform A over the movement view ``source``; CTE names get ``suffix``."""
+def requests_over(source: str = "movimientos", suffix: str = "") -> str:
+    """Transform A over the movement view ``source``; CTE names get ``suffix``.
+
+    ``times`` is how many of the four conditions (ordering or beneficiary
+    account, the leg's or the request's document) hold for a movement and a
+    leg: the accounts that are equal times the documents that are equal.
+    """
     return f"""
-legs_r{suffix} AS (
-  SELECT r.rid, r.periodo_tope AS lo, r.periodo AS hi, r.guid_ordenante, r.numero_documento_original,
-         m.numero_cuenta_id AS acct_a, ltrim(m.cuenta_beneficiario, '0') AS acct_b, m.numero_documento AS doc_leg
-  FROM req r
-  JOIN {source} m ON m.id_transaccion = r.guid_ordenante AND m.periodo BETWEEN r.periodo_tope AND r.periodo
+legs{suffix} AS (
+  SELECT r.rid, r.numero_documento_original AS asked_doc, r.periodo_tope AS lo, r.periodo AS hi,
+         leg.numero_cuenta_id AS own_acct, ltrim(leg.cuenta_beneficiario, '0') AS other_acct, leg.numero_documento AS leg_doc
+  FROM {source} leg JOIN req r ON leg.id_transaccion = r.guid_ordenante
+  WHERE leg.periodo >= r.periodo_tope AND leg.periodo <= r.periodo
 ),
-keys_r{suffix} AS (
-  SELECT rid, lo, hi, acct_a AS cuenta, doc_leg AS documento FROM legs_r{suffix}
-  UNION ALL SELECT rid, lo, hi, acct_b, doc_leg FROM legs_r{suffix}
-  UNION ALL SELECT rid, lo, hi, acct_a, numero_documento_original FROM legs_r{suffix}
-  UNION ALL SELECT rid, lo, hi, acct_b, numero_documento_original FROM legs_r{suffix}
+counted{suffix} AS (
+  SELECT l.rid, m AS mov,
+         (coalesce((m.numero_cuenta_id = own_acct)::INT, 0) + coalesce((m.numero_cuenta_id = other_acct)::INT, 0))
+         * (coalesce((m.numero_documento = leg_doc)::INT, 0) + coalesce((m.numero_documento = asked_doc)::INT, 0)) AS times
+  FROM (SELECT *, unnest(list_distinct([leg_doc, asked_doc])) AS either_doc FROM legs{suffix}) l
+  JOIN {source} m ON m.numero_documento = l.either_doc AND m.periodo BETWEEN l.lo AND l.hi
 ),
-hits_r{suffix} AS (
-  SELECT k.rid, m.*
-  FROM keys_r{suffix} k
-  JOIN {source} m ON m.numero_cuenta_id = k.cuenta AND m.numero_documento = k.documento
-                 AND m.periodo BETWEEN k.lo AND k.hi
+judged{suffix} AS (
+  SELECT rid, CASE WHEN count(*) FILTER (mov.tipo_procesamiento IS NULL) > 0
+                    AND count(*) FILTER (mov.tipo_procesamiento = 'STANDIN') > 0 THEN 'MATCH' ELSE 'NO MATCH' END AS reposting_completo
+  FROM counted{suffix} WHERE times > 0 GROUP BY rid
 ),
-flags_r{suffix} AS (
-  SELECT rid,
-         CASE WHEN max(CASE WHEN tipo_procesamiento IS NULL THEN 1 ELSE 0 END) = 1
-               AND max(CASE WHEN tipo_procesamiento = 'STANDIN' THEN 1 ELSE 0 END) = 1
-              THEN 'MATCH' ELSE 'NO MATCH' END AS reposting_completo
-  FROM hits_r{suffix}
-  GROUP BY rid
-),
-rows_r{suffix} AS (
-  SELECT h.*, f.reposting_completo FROM hits_r{suffix} h JOIN flags_r{suffix} f ON f.rid = h.rid
+matched{suffix} AS (
+  SELECT rid, unnest(mov), reposting_completo
+  FROM (SELECT rid, mov, unnest(range(times)) FROM counted{suffix} WHERE times > 0) JOIN judged{suffix} USING (rid)
 )"""
 
 
-REQ_CTES = REQ_BASE + "," + a_steps()
+REQ_CTES = REQ_BASE + "," + requests_over()
 
 
 WIN_CTES = """
@@ -164,29 +158,17 @@ win AS (
   SELECT row_number() OVER () AS wid, periodo_tope AS lo, periodo AS hi
   FROM ventanas WHERE periodo IS NOT NULL AND periodo_tope IS NOT NULL
 ),
-standins_w AS (
-  SELECT w.wid, w.lo, w.hi, m.numero_cuenta_id, m.numero_documento, m.numero_comprobante_reposting
-  FROM win w
-  JOIN movimientos m ON m.periodo BETWEEN w.lo AND w.hi AND m.tipo_procesamiento IN ('STANDIN', 'STANDIN_P')
-),
-core_hits_w AS (
-  SELECT s.wid, s.lo, s.hi, c.numero_cuenta_id, c.numero_documento, s.numero_documento AS numero_comprobante_standin
-  FROM standins_w s
-  JOIN movimientos c ON c.numero_cuenta_id = s.numero_cuenta_id AND c.numero_documento = s.numero_comprobante_reposting
-                    AND c.periodo BETWEEN s.lo AND s.hi AND c.tipo_procesamiento IS NULL
+pairs AS (
+  SELECT w.wid, w.lo, w.hi, standin.numero_cuenta_id AS acct, core.numero_documento AS core_doc, standin.numero_documento AS standin_doc
+  FROM movimientos standin JOIN movimientos core
+    ON standin.numero_cuenta_id = core.numero_cuenta_id AND standin.numero_comprobante_reposting = core.numero_documento
+  JOIN win w ON standin.periodo BETWEEN w.lo AND w.hi AND core.periodo BETWEEN w.lo AND w.hi
+  WHERE standin.tipo_procesamiento LIKE 'STANDIN%' AND core.tipo_procesamiento IS NULL
 ),
-keys_w AS (
-  SELECT DISTINCT wid, lo, hi, cuenta, documento FROM (
-    SELECT wid, lo, hi, numero_cuenta_id AS cuenta, numero_documento AS documento FROM core_hits_w
-    UNION ALL
-    SELECT wid, lo, hi, numero_cuenta_id, numero_comprobante_standin FROM core_hits_w
-  ) t
-),
-rows_w AS (
-  SELECT k.wid, m.*
-  FROM keys_w k
-  JOIN movimientos m ON m.numero_cuenta_id = k.cuenta AND m.numero_documento = k.documento
-                    AND m.periodo BETWEEN k.lo AND k.hi
+discovered AS (
+  SELECT w.wid, m.* FROM win w JOIN movimientos m ON m.periodo >= w.lo AND m.periodo <= w.hi
+  WHERE (w.wid, m.numero_cuenta_id, m.numero_documento) IN (SELECT wid, acct, core_doc FROM pairs)
+     OR (w.wid, m.numero_cuenta_id, m.numero_documento) IN (SELECT wid, acct, standin_doc FROM pairs)
 )"""
 
 MARK_CTES = """
@@ -246,7 +228,6 @@ FROM (
 
 def _sql() -> dict[str, str]:
     q: dict[str, str] = {}
-    both = REQ_CTES + "," + WIN_CTES
     q["format_movements"] = with_fixtures("", f"SELECT {text_columns('m')} FROM movimientos m")
     q["strip_leading_zeros"] = with_fixtures(
         "",
@@ -259,30 +240,29 @@ def _sql() -> dict[str, str]:
     )
     q["request_leg_lookup"] = with_fixtures(
         REQ_CTES,
-        f"""SELECT l.guid_ordenante, l.numero_documento_original, {day('l.lo', 'periodo_tope')}, {day('l.hi', 'periodo')},
-  l.acct_a AS cuenta_ordenante, l.acct_b AS cuenta_beneficiario, l.doc_leg AS numero_documento FROM legs_r l""",
+        f"""SELECT r.guid_ordenante, r.numero_documento_original, {day('l.lo', 'periodo_tope')}, {day('l.hi', 'periodo')},
+  l.own_acct AS cuenta_ordenante, l.other_acct AS cuenta_beneficiario, l.leg_doc AS numero_documento FROM legs l JOIN req r USING (rid)""",
     )
     q["request_key_pairs"] = with_fixtures(
         REQ_CTES,
-        f"""SELECT r.guid_ordenante, r.numero_documento_original, {day('c.lo', 'periodo_tope')}, {day('c.hi', 'periodo')},
-  c.cuenta, c.documento
-FROM keys_r c JOIN req r USING (rid)
-WHERE c.cuenta IS NOT NULL AND c.documento IS NOT NULL""",
+        f"""SELECT r.guid_ordenante, r.numero_documento_original, {day('l.lo', 'periodo_tope')}, {day('l.hi', 'periodo')}, cuenta, documento
+FROM legs l JOIN req r USING (rid), unnest([own_acct, other_acct]) AS a(cuenta), unnest([leg_doc, asked_doc]) AS d(documento)
+WHERE cuenta IS NOT NULL AND documento IS NOT NULL""",
     )
     q["request_movements"] = with_fixtures(
         REQ_CTES,
         f"""SELECT r.guid_ordenante, r.numero_documento_original, {day('r.periodo_tope', 'periodo_tope')}, {day('r.periodo', 'periodo')},
   b.id_transaccion, {day('b.periodo', 'periodo_movimiento')}, b.tipo_procesamiento
-FROM hits_r b JOIN req r USING (rid)""",
+FROM matched b JOIN req r USING (rid)""",
     )
     q["request_verdict"] = with_fixtures(
         REQ_CTES,
         f"""SELECT DISTINCT r.guid_ordenante, r.numero_documento_original, {day('r.periodo_tope', 'periodo_tope')},
   {day('r.periodo', 'periodo')}, v.reposting_completo
-FROM flags_r v JOIN req r USING (rid)""",
+FROM judged v JOIN req r USING (rid)""",
     )
     q["match_requests"] = with_fixtures(
-        REQ_CTES, f"SELECT {text_columns('a')},\n  a.reposting_completo FROM rows_r a"
+        REQ_CTES, f"SELECT {text_columns('a')},\n  a.reposting_completo FROM matched a"
     )
     q["mark_reposted_changes"] = with_fixtures(
         REQ_CTES + "," + MARK_CTES,
@@ -291,23 +271,24 @@ FROM flags_r v JOIN req r USING (rid)""",
     )
     q["guard_windows"] = with_fixtures(
         "",
-        f"""SELECT {day('periodo', 'periodo')}, {day('periodo_tope', 'periodo_tope')} FROM solicitudes
-WHERE periodo IS NOT NULL AND periodo_tope IS NOT NULL""",
+        "SELECT periodo, periodo_tope FROM ventanas_clientes WHERE length(periodo) > 0 AND length(periodo_tope) > 0",
     )
     q["window_standins"] = with_fixtures(
         WIN_CTES,
         f"""SELECT {day('lo', 'periodo_tope')}, {day('hi', 'periodo')}, numero_cuenta_id, numero_documento,
-  numero_comprobante_reposting FROM standins_w""",
+  numero_comprobante_reposting FROM movimientos m JOIN win ON m.periodo BETWEEN lo AND hi AND tipo_procesamiento LIKE 'STANDIN%'""",
     )
     q["window_core_pairs"] = with_fixtures(
         WIN_CTES,
-        f"""SELECT DISTINCT {day('lo', 'periodo_tope')}, {day('hi', 'periodo')}, numero_cuenta_id AS cuenta,
-  numero_documento, numero_comprobante_standin FROM core_hits_w""",
+        f"""SELECT DISTINCT {day('lo', 'periodo_tope')}, {day('hi', 'periodo')}, acct AS cuenta,
+  core_doc AS numero_documento, standin_doc AS numero_comprobante_standin FROM pairs""",
     )
     q["window_key_union"] = with_fixtures(
-        WIN_CTES, f"SELECT {day('lo', 'periodo_tope')}, {day('hi', 'periodo')}, cuenta, documento FROM keys_w"
+        WIN_CTES,
+        f"""SELECT DISTINCT {day('lo', 'periodo_tope')}, {day('hi', 'periodo')}, acct AS cuenta, documento
+FROM pairs, unnest([core_doc, standin_doc]) AS d(documento)""",
     )
-    q["match_windows"] = with_fixtures(WIN_CTES, f"SELECT {text_columns('b')} FROM rows_w b")
+    q["match_windows"] = with_fixtures(WIN_CTES, f"SELECT {text_columns('b')} FROM discovered b")
     q["request_leg_delete"] = with_fixtures(
         "", f"SELECT {text_columns('m')} FROM movimientos m WHERE NOT {_leg_delete_match('m')}"
     )
@@ -315,35 +296,43 @@ WHERE periodo IS NOT NULL AND periodo_tope IS NOT NULL""",
         "", f"SELECT {text_columns('m')} FROM movimientos m WHERE {_leg_delete_match('m')}"
     )
     q["park_unmatched"] = with_fixtures(
-        REQ_CTES, _keyed_type_update("rows_r", "s.reposting_completo = 'NO MATCH'", "STANDIN_P")
+        REQ_CTES, _keyed_type_update("matched", "s.reposting_completo = 'NO MATCH'", "STANDIN_P")
     )
     q["release_parked"] = with_fixtures(
-        WIN_CTES, _keyed_type_update("rows_w", "s.tipo_procesamiento = 'STANDIN_P'", "STANDIN")
+        WIN_CTES, _keyed_type_update("discovered", "s.tipo_procesamiento = 'STANDIN_P'", "STANDIN")
     )
     q["archive_rows"] = with_fixtures(
-        WIN_CTES, f"SELECT {text_columns('b')} FROM rows_w b WHERE {ARCHIVE_COND}"
+        WIN_CTES, f"SELECT {text_columns('b')} FROM discovered b WHERE {ARCHIVE_COND}"
     )
     q["purge_archived"] = with_fixtures(
         WIN_CTES,
         f"""SELECT {text_columns('m')} FROM movimientos m
 WHERE NOT EXISTS (
-  SELECT 1 FROM rows_w b
+  SELECT 1 FROM discovered b
   WHERE {ARCHIVE_COND} AND {KEY_GUARD.format(a='b')}
     AND b.periodo = m.periodo AND b.id_transaccion = m.id_transaccion)""",
     )
-    q["action_audit"] = with_fixtures(
-        WIN_CTES,
-        f"""SELECT {day('b.periodo', 'periodo')}, b.id_transaccion, CAST(NULL AS VARCHAR) AS delete_status,
+    audited = f"""SELECT {day('b.periodo', 'periodo')}, b.id_transaccion, CAST(NULL AS VARCHAR) AS delete_status,
   CASE WHEN NOT ({KEY_GUARD.format(a='b')}) THEN 'skipped'
-       WHEN EXISTS (SELECT 1 FROM movimientos m WHERE m.periodo = b.periodo AND m.id_transaccion = b.id_transaccion)
+       WHEN EXISTS (SELECT 1 FROM movimientos m WHERE m.periodo = b.periodo AND m.id_transaccion = b.id_transaccion AND NOT {_leg_delete_match('m')})
        THEN 'applied' ELSE 'not_found' END AS outcome
-FROM rows_w b WHERE b.tipo_procesamiento = 'STANDIN_P'""",
+FROM discovered b WHERE b.tipo_procesamiento = 'STANDIN_P'"""
+    q["action_audit"] = with_fixtures(WIN_CTES, audited)
+    q["status_preview"] = with_fixtures(WIN_CTES, f"SELECT least(count(*), 10000) AS n_rows FROM ({audited}) shown")
+    q["request_leg_delete_in_place"] = q["request_leg_delete"]
+    q["purge_in_place"] = q["purge_archived"]
+    q["archive_rerun"] = with_fixtures(
+        WIN_CTES,
+        f"""SELECT {text_columns('b')}, 'lake' AS place FROM discovered b WHERE {ARCHIVE_COND}
+UNION ALL SELECT {text_columns('m')}, 'hot' FROM movimientos m
+WHERE NOT EXISTS (SELECT 1 FROM discovered b WHERE {ARCHIVE_COND} AND {KEY_GUARD.format(a='b')}
+                  AND b.periodo = m.periodo AND b.id_transaccion = m.id_transaccion)""",
     )
     marked = REQ_CTES + "," + MARK_CTES + "," + MARKED_CTES
     q["mark_reposted_apply"] = with_fixtures(marked, f"SELECT {text_columns('x')} FROM movimientos_marked x")
     q["match_requests_after_mark"] = with_fixtures(
-        marked + "," + a_steps("movimientos_marked", "_m"),
-        f"SELECT {text_columns('a')},\n  a.reposting_completo FROM rows_r_m a",
+        marked + "," + requests_over("movimientos_marked", "_m"),
+        f"SELECT {text_columns('a')},\n  a.reposting_completo FROM matched_m a",
     )
     q["reconcile_batch"] = with_fixtures(
         marked,
@@ -351,7 +340,7 @@ FROM rows_w b WHERE b.tipo_procesamiento = 'STANDIN_P'""",
 FROM (
   SELECT m.* REPLACE (
     CASE WHEN EXISTS (
-      SELECT 1 FROM rows_r s
+      SELECT 1 FROM matched s
       WHERE s.reposting_completo = 'NO MATCH' AND {KEY_GUARD.format(a='s')}
         AND s.periodo = m.periodo AND s.id_transaccion = m.id_transaccion)
     THEN 'STANDIN_P' ELSE m.tipo_procesamiento END AS tipo_procesamiento)
@@ -359,10 +348,8 @@ FROM (
 ) x""",
     )
     q["match_requests_dedupe"] = with_fixtures(
-        REQ_CTES + """,
-distinct_hits AS (SELECT DISTINCT * FROM hits_r)""",
-        f"""SELECT {text_columns('h')},
-  f.reposting_completo FROM distinct_hits h JOIN flags_r f ON f.rid = h.rid""",
+        REQ_CTES,
+        f"SELECT {text_columns('a')},\n  a.reposting_completo FROM (SELECT DISTINCT * FROM matched) a",
     )
     q["park_unmatched_standin_only"] = with_fixtures(
         REQ_CTES,
@@ -370,14 +357,13 @@ distinct_hits AS (SELECT DISTINCT * FROM hits_r)""",
 FROM (
   SELECT m.* REPLACE (
     CASE WHEN m.tipo_procesamiento = 'STANDIN' AND EXISTS (
-      SELECT 1 FROM rows_r s
+      SELECT 1 FROM matched s
       WHERE s.reposting_completo = 'NO MATCH' AND s.tipo_procesamiento = 'STANDIN' AND {KEY_GUARD.format(a='s')}
         AND s.periodo = m.periodo AND s.id_transaccion = m.id_transaccion)
     THEN 'STANDIN_P' ELSE m.tipo_procesamiento END AS tipo_procesamiento)
   FROM movimientos m
 ) x""",
     )
-    _ = both
     return q
 
 

@@ -2,12 +2,16 @@
 
 from collections import Counter
 
+import pytest
+
 import brute
 from movrec.plans import host
+from movrec.schema import movement_schema
 from movrec.session import scratch_path
 from movrec.sources.snapshot import load_snapshot, write_snapshot
 from movrec.streaming import start_request_stream
-from rows import LEDGER, REQUESTS, movements_df, requests_df, REQ_SCHEMA
+from rows import LEDGER, REQUESTS, REQ_SCHEMA, D, movements_df, mv, requests_df
+from rows import rq as make_rq
 
 
 def _snapshot(spark):
@@ -30,7 +34,7 @@ def test_transform_and_outputs_over_parquet_snapshot(spark):
     assert {"S2", "P2", "E2"} <= parked
     assert {r["outcome"] for r in res.status.collect()} == {"applied"}
 
-    marked = host.mark_requests(spark, req, {}, params).snapshot
+    marked = host.mark_requests(spark, req, {}, {**params, "DRY_RUN": True}).snapshot
     assert marked.filter("estado_transaccion = 10").count() == len(brute.mark_reposted(LEDGER, REQUESTS))
 
 
@@ -41,7 +45,7 @@ def test_request_stream_matches_batch(spark):
     requests_df(spark, batch).write.parquet(src)
     sink = scratch_path(spark, "req-out")
     stream = spark.readStream.schema(REQ_SCHEMA).parquet(src)
-    q = start_request_stream(stream, lambda: load_snapshot(spark, snap), sink, available_now=True)
+    q = start_request_stream(stream, lambda: load_snapshot(spark, snap), sink, scratch_path(spark, "stream"), available_now=True)
     q.awaitTermination(180)
     out = spark.read.parquet(sink)
     got = Counter((r["id_transaccion"], r["periodo"], r["reposting_completo"]) for r in out.collect())
@@ -94,6 +98,7 @@ def test_windows_delete_and_archive_entry_points(spark):
     assert Counter((r["id_transaccion"], r["periodo"]) for r in found.collect()) == brute.match_windows(LEDGER, WINDOWS)
 
     lake = scratch_path(spark, "host-lake")
+    params["DRY_RUN"] = True
     res = host.output_archive(spark, found, {}, {**params, "LAKE_PATH": lake, "LAKE_FORMAT": "parquet", "BATCH_ID": "w1"})
     archived = {(r["periodo"], r["id_transaccion"]) for r in spark.read.parquet(lake).collect()}
     remaining = {(str(r["periodo"]), r["id_transaccion"]) for r in res.snapshot.collect()}
@@ -104,3 +109,138 @@ def test_windows_delete_and_archive_entry_points(spark):
     # O3 keys on the request's upper period: none of the ledger's legs is dated on it
     assert legs.snapshot.count() == len(LEDGER)
     assert {r["outcome"] for r in legs.status.collect()} <= {"not_found", "skipped"}
+
+
+def test_stream_restart_repeats_nothing(spark):
+    """A restart from the same checkpoint goes on where it stopped; a replayed batch replaces its rows, also by none."""
+    from movrec.streaming.requests import write_batch
+
+    snap, src = _snapshot(spark), scratch_path(spark, "req-in2")
+    sink, checkpoint = scratch_path(spark, "req-out2"), scratch_path(spark, "stream2")
+    for part in (REQUESTS[:4], REQUESTS[4:]):
+        requests_df(spark, part).write.mode("append").parquet(src)
+        stream = spark.readStream.schema(REQ_SCHEMA).parquet(src)
+        q = start_request_stream(stream, lambda: load_snapshot(spark, snap), sink, checkpoint, available_now=True)
+        q.awaitTermination(180)
+    out = spark.read.parquet(sink)
+    got = Counter((r["id_transaccion"], r["periodo"], r["reposting_completo"]) for r in out.collect())
+    assert got == brute.match_requests(LEDGER, REQUESTS)
+    kept = out.filter("batch_id <> 0").count()
+    write_batch(out.drop("batch_id").limit(0), sink, 0)
+    assert spark.read.parquet(sink).count() == kept
+
+
+def _partitioned(spark, rows=LEDGER):
+    path = scratch_path(spark, "parts")
+    write_snapshot(movements_df(spark, rows), path, files=2, partition_by="periodo")
+    return path
+
+
+def _ids(df):
+    return sorted(r["id_transaccion"] for r in df.collect())
+
+
+def test_delete_in_place_removes_an_emptied_day(spark):
+    rows = [mv("S1", "A", "T", D(2024, 1, 1), "STANDIN"), mv("B1", "B", "T", D(2024, 1, 1), "STANDIN"), mv("S2", "A", "U", D(2024, 1, 2), "STANDIN")]
+    path = _partitioned(spark, rows)
+    req = requests_df(spark, [make_rq("S1", "D", D(2023, 1, 1), D(2024, 1, 1), ben_id="B1")])
+    res = host.output_delete_legs(spark, req, {}, {"SNAPSHOT_PATH": path, "REWRITE_IN_PLACE": "true"})
+    assert _ids(load_snapshot(spark, path, schema=movement_schema())) == ["S2"] == _ids(res.snapshot)
+    assert [r["outcome"] for r in res.status.collect()] == ["applied"]
+    again = host.output_delete_legs(spark, req, {}, {"SNAPSHOT_PATH": path, "REWRITE_IN_PLACE": "true"})
+    assert _ids(again.snapshot) == ["S2"] and [r["outcome"] for r in again.status.collect()] == ["not_found"]
+
+
+def test_archive_in_place_purges(spark):
+    path, lake = _partitioned(spark), scratch_path(spark, "lake")
+    rows = load_snapshot(spark, path, schema=movement_schema()).filter("periodo < '2024-01-06'")
+    gone = _ids(rows)
+    params = {"SNAPSHOT_PATH": path, "REWRITE_IN_PLACE": True, "LAKE_PATH": lake, "LAKE_FORMAT": "parquet", "BATCH_ID": "b"}
+    res = host.output_archive(spark, rows, {}, params)
+    archived = _ids(spark.read.parquet(lake))
+    assert set(archived) <= set(gone) and archived
+    left = _ids(load_snapshot(spark, path, schema=movement_schema()))
+    assert sorted(left + archived) == sorted(m["id_transaccion"] for m in LEDGER)
+    assert res.written_to == path
+
+
+def test_new_version_keeps_the_partitioning(spark):
+    from movrec.sources.snapshot import partitioned_by_period
+
+    path, out = _partitioned(spark), scratch_path(spark, "next")
+    parked = load_snapshot(spark, path, schema=movement_schema()).filter("tipo_procesamiento = 'STANDIN_P'")
+    host.output_release(spark, parked, {}, {"SNAPSHOT_PATH": path, "SNAPSHOT_OUT": out, "REWRITE_IN_PLACE": "false"})
+    assert partitioned_by_period(spark, out)
+    assert host.output_release(spark, parked, {}, {"SNAPSHOT_PATH": out, "REWRITE_IN_PLACE": "yes"}).written_to == out
+
+
+def test_outputs_refuse_unclear_targets(spark):
+    df = requests_df(spark, REQUESTS)
+    path = _snapshot(spark)
+    bad = [{}, {"REWRITE_IN_PLACE": "false"}, {"SNAPSHOT_OUT": "x", "DRY_RUN": True}, {"REWRITE_IN_PLACE": True, "SNAPSHOT_FORMAT": "delta"}]
+    for extra in bad:
+        with pytest.raises(ValueError):
+            host.output_delete_legs(spark, df, {}, {"SNAPSHOT_PATH": path, **extra})
+    with pytest.raises(ValueError):  # not partitioned
+        host.output_delete_legs(spark, df, {}, {"SNAPSHOT_PATH": path, "REWRITE_IN_PLACE": True})
+    with pytest.raises(KeyError):  # no default table
+        host.snapshot_from_params(spark, {"JDBC_URL": "jdbc:derby:memory:none;create=true"})
+
+
+def test_outputs_with_missing_columns_skip(spark):
+    params = {"SNAPSHOT_PATH": _snapshot(spark), "DRY_RUN": True, "LAKE_PATH": scratch_path(spark, "lake"), "LAKE_FORMAT": "parquet"}
+    bare = spark.createDataFrame([("x",)], "otra string")
+    verdict = spark.createDataFrame([("NO MATCH", "STANDIN_P")], "reposting_completo string, tipo_procesamiento string")
+    for result in (
+        host.mark_requests(spark, bare, {}, params), host.output_delete_legs(spark, bare, {}, params),
+        host.output_park(spark, verdict, {}, params), host.output_release(spark, verdict, {}, params), host.output_archive(spark, bare, {}, params),
+    ):
+        assert [r["outcome"] for r in result.status.collect()] == ["skipped"]
+        assert result.change.count() == 0 and result.snapshot.count() == len(LEDGER) and result.preview().count() == 1
+
+
+def test_audits_tell_what_each_row_did(spark):
+    params = {"SNAPSHOT_PATH": _snapshot(spark), "DRY_RUN": True}
+    req = requests_df(spark, [make_rq("NOPE", "D", D(2024, 1, 1), D(2024, 1, 10), ben_id="B1"), make_rq("NOPE", "D", D(2024, 1, 1), D(2024, 1, 10)), make_rq("", "D", D(2024, 1, 1), D(2024, 1, 10))])
+    legs = {(r["guid_ordenante"], r["guid_beneficiario"]): r["outcome"] for r in host.output_delete_legs(spark, req, {}, params).status.collect()}
+    assert legs == {("NOPE", "B1"): "applied", ("NOPE", None): "not_found", ("", None): "skipped"}
+    marks = host.mark_requests(spark, requests_df(spark, REQUESTS), {}, params).status
+    assert marks.count() == len(REQUESTS)
+    assert Counter(r["outcome"] for r in marks.collect())["skipped"] == 2
+    keyed = "periodo string, id_transaccion string, tipo_procesamiento string, reposting_completo string"
+    rows = [("2024-01-10", "S1", "STANDIN", "NO MATCH"), ("2024-01-05", "S2", "STANDIN_P", "NO MATCH"), ("", "S1", "STANDIN", "NO MATCH"), ("2024-01-10", "Z", "STANDIN", "NO MATCH"), ("2024-01-10", "S1", "STANDIN", "MATCH")]
+    df = spark.createDataFrame(rows, keyed)
+    every = Counter(r["outcome"] for r in host.output_park(spark, df, {}, params).status.collect())
+    assert every == {"applied": 2, "skipped": 1, "not_found": 1}
+    only = Counter(r["outcome"] for r in host.output_park(spark, df, {}, {**params, "PARK_ONLY_STANDIN": "true"}).status.collect())
+    assert only == {"applied": 1, "skipped": 1, "not_found": 1}
+
+
+def test_outputs_evaluate_their_input_once(spark):
+    from pyspark.sql import functions as F
+
+    path, seen = _snapshot(spark), spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def watched(x):
+        seen.add(1)
+        return x
+
+    rows = spark.range(100).select(F.lit("2024-01-05").alias("periodo"), watched(F.concat(F.lit("S"), "id")).alias("id_transaccion"), F.lit("STANDIN_P").alias("tipo_procesamiento"))
+    out = scratch_path(spark, "once")
+    res = host.output_release(spark, rows, {}, {"SNAPSHOT_PATH": path, "SNAPSHOT_OUT": out})
+    assert res.status.count() == 100 and seen.value == 100
+
+
+def test_jdbc_outputs_stage_their_change_set(spark):
+    import datetime as dt
+
+    url = f"jdbc:derby:memory:stagehost{dt.datetime.now().strftime('%H%M%S%f')};create=true"
+    movements_df(spark, LEDGER).write.format("jdbc").options(url=url, dbtable="MOVIMIENTOS", driver="org.apache.derby.jdbc.EmbeddedDriver").save()
+    params = {"JDBC_URL": url, "JDBC_TABLE": "MOVIMIENTOS", "JDBC_STAGE_TABLE": "RELEASE_KEYS", "JDBC_PARTITIONS": 4}
+    mov = host.snapshot_from_params(spark, params)
+    assert mov.rdd.getNumPartitions() == 4 and mov.count() == len(LEDGER)
+    res = host.output_release(spark, mov, {}, params)
+    staged = spark.read.format("jdbc").options(url=url, dbtable="RELEASE_KEYS").load()
+    assert res.written_to == "RELEASE_KEYS"
+    assert sorted(map(tuple, staged.collect())) == sorted(map(tuple, res.change.collect())) and staged.count() == 3

@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from movrec.operators import apply as ap
@@ -10,7 +11,7 @@ from movrec.operators import requests as rq
 from movrec.operators.archive import archive_and_purge
 from movrec.schema import WRITE_KEY
 from movrec.session import scratch_path
-from movrec.sources.lake import append_to_lake, read_lake
+from movrec.sources.lake import append_to_lake, lake_path, read_lake
 from rows import LEDGER, REQUESTS, D, movements_df, mv, requests_df
 
 
@@ -86,6 +87,44 @@ def test_archive_covers_input(spark):
     again = archive_and_purge(mov, mov, lake, fmt="parquet", batch_id="b1")
     assert sorted(ids(again.archived)) == ["B", "C", "E", "F", "G"]
     assert read_lake(spark, lake, fmt="parquet").count() == 5
+    assert again.rows == 0 and sorted(ids(again.remaining)) == ["A", "G"]
+
+
+@pytest.mark.parametrize("first,second", [(["S1"], ["S1", "B1", "S2"]), (["S1", "B1", "S2"], ["S1"]), ([], ["S1", "B1"])])
+def test_archive_rerun_loses_nothing(spark, first, second):
+    """A rerun with more, fewer or other rows: the lake and the hot table cover every row once."""
+    mov = movements_df(spark, [mv(i, "X", i, D(2024, 1, 1), "STANDIN") for i in ("S1", "B1", "S2")])
+    lake = scratch_path(spark, "lake-rerun")
+    pick = lambda names: mov.filter(F.col("id_transaccion").isin(names)) if names else mov.limit(0)
+    archive_and_purge(pick(first), mov, lake, fmt="parquet", batch_id="b1")
+    res = archive_and_purge(pick(second), mov, lake, fmt="parquet", batch_id="b1")
+    assert ids(res.archived) == sorted(set(first) | set(second))
+    assert sorted(ids(res.archived) + ids(res.remaining)) == ["B1", "S1", "S2"]
+
+
+def test_archive_completes_a_half_written_append(spark):
+    mov = movements_df(spark, [mv(f"S{i}", "X", str(i), D(2024, 1, 1), "STANDIN") for i in range(6)])
+    lake = scratch_path(spark, "lake-half")
+    rows = mov.union(mov.filter("id_transaccion = 'S5'"))  # one row stands twice
+    append_to_lake(rows.limit(3).withColumn("archive_batch_id", F.lit("b1")), lake, fmt="parquet")
+    append_to_lake(mov.filter("id_transaccion = 'S0'").withColumn("archive_batch_id", F.lit("b0")), lake, fmt="parquet")
+    res = archive_and_purge(rows, mov, lake, fmt="parquet", batch_id="b1")
+    assert ids(res.archived) == ["S0", "S1", "S2", "S3", "S4", "S5", "S5"] and ids(res.remaining) == []
+    assert read_lake(spark, lake, fmt="parquet").count() == 8
+
+
+def test_archive_raises_what_is_not_a_missing_lake(spark, tmp_path):
+    (tmp_path / "broken").mkdir()
+    (tmp_path / "broken" / "part-0.parquet").write_text("no parquet")
+    mov = movements_df(spark, LEDGER)
+    with pytest.raises(Exception):
+        archive_and_purge(mov, mov, str(tmp_path / "broken"), fmt="parquet", batch_id="b1")
+
+
+def test_lake_path_has_no_default_place():
+    assert lake_path("s3://bucket/", "moves", "/archive/cold/") == "s3://bucket/archive/cold/moves"
+    with pytest.raises(TypeError):
+        lake_path("s3://bucket", "moves")
 
 
 def test_lake_schema_evolution(spark):
@@ -129,7 +168,7 @@ def test_jdbc_round_trip_embedded_derby(spark):
     mov.write.format("jdbc").options(url=url, dbtable="MOVIMIENTOS", driver="org.apache.derby.jdbc.EmbeddedDriver").save()
     back = read_jdbc_snapshot(spark, url=url, table="MOVIMIENTOS")
     assert back.count() == len(LEDGER)
-    opts = jdbc_options(url="jdbc:postgresql://h:5432/db", table="pas.movimientos_cuenta", user="u",
+    opts = jdbc_options(url="jdbc:postgresql://h:5432/db", table="movements", user="u",
                         root_cert="/r", client_cert="/c", key_cert="/k", partition_column="periodo",
                         lower_bound="2024-01-01", upper_bound="2024-12-31", num_partitions=12)
     assert opts["sslmode"] == "verify-ca" and opts["sslkey"] == "/k" and opts["numPartitions"] == "12"

@@ -11,7 +11,7 @@ from movrec.plans.inspect import plan_text, plan_violations, scans
 
 CHECKED = ["match_requests", "match_requests_dedupe", "match_windows", "mark_reposted_apply", "park_unmatched",
            "park_unmatched_standin_only", "release_parked", "request_leg_delete", "purge_archived", "action_audit",
-           "reconcile_batch"]
+           "status_preview", "request_verdict", "reconcile_batch"]
 
 
 @pytest.mark.parametrize("name", CHECKED)
@@ -40,24 +40,33 @@ def test_period_bounds_reach_the_scan(spark):
     assert "GreaterThanOrEqual(periodo" in pushed and "LessThanOrEqual(periodo" in pushed
 
 
-def test_verdict_reads_matched_rows_not_the_snapshot(spark):
+def _movement_scans(df):
+    return [s for s in scans(df) if "movimientos" in s.get("Location", "")]
+
+
+def test_verdict_scans_few_columns_and_aggregates_first(spark):
     mov, req = C.movements(spark, SF001), C.requests(spark, SF001)
     pairs = rq.prepare_pairs(req, mov)
-    verdict = rq.request_verdict(rq.matched_movements(pairs, mov).df)
-    assert [s for s in scans(verdict) if "movimientos" in s.get("Location", "")] == []
+    verdict = rq.request_verdicts(pairs, mov)
+    (scan,) = _movement_scans(verdict)
+    assert scan["ReadSchema"].count(":") <= 6
     text = plan_text(verdict)
     assert "partial_max" in text or "partial_bool_or" in text
 
 
-def test_transform_a_scans_the_snapshot_twice(spark):
+def test_transform_a_stages_no_wide_rows(spark):
     mov, req = C.movements(spark, SF001), C.requests(spark, SF001)
     keys = rq.measure_keys(rq.request_keys(req), "rq_lo", "rq_hi")
     legs = rq.request_legs(keys, mov)
-    (leg_scan,) = [s for s in scans(legs) if "movimientos" in s.get("Location", "")]
+    (leg_scan,) = _movement_scans(legs)
     assert leg_scan["ReadSchema"].count(":") == 5
-    pairs = rq.measure_pairs(rq.request_key_pairs(legs))
-    final = rq.with_verdict(rq.matched_movements(pairs, mov), pairs)
-    assert [s for s in scans(final) if "movimientos" in s.get("Location", "")] == []
+    judged = rq.judged_pairs(rq.measure_pairs(rq.request_key_pairs(legs)), mov)
+    assert len(judged.df.columns) <= 9  # the staged key pairs with their verdict
+    matched = rq.match_requests(req, mov)
+    (wide,) = _movement_scans(matched)  # the 50 columns are joined once, lazily
+    park = C.ch.park_unmatched_keys(matched)
+    (narrow,) = _movement_scans(park)
+    assert wide["ReadSchema"].count(":") == 50 and narrow["ReadSchema"].count(":") <= 6
 
 
 def test_touched_partitions_prune_at_planning(spark):
@@ -71,8 +80,7 @@ def test_touched_partitions_prune_at_planning(spark):
 
     path = scratch_path(spark, "pruned")
     write_snapshot(movements_df(spark, LEDGER), path, partition_by="periodo", files=2)
-    keys = spark.createDataFrame([(dt.date(2024, 1, 5), "S2")], "periodo date, id_transaccion string")
-    part = touched_partitions(spark, path, keys, schema=movement_schema())
+    part = touched_partitions(spark, path, [dt.date(2024, 1, 5)], schema=movement_schema())
     (scan,) = [s for s in scans(part) if "Location" in s]
     assert "periodo" in scan["PartitionFilters"] and "2024-01-05" in scan["PartitionFilters"]
     assert {r["id_transaccion"] for r in part.collect()} == {"S2"}

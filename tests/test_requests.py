@@ -58,7 +58,7 @@ def test_edge_cases_by_name(spark, ledger):
 def test_verdict_constant_per_request(spark, ledger):
     mov, req = ledger
     pairs = rq.prepare_pairs(req, mov)
-    rows = rq.with_verdict(rq.matched_movements(pairs, mov), pairs)
+    rows = rq.request_movements(rq.judged_pairs(pairs, mov), mov)
     n = rows.groupBy(*rq.REQ_KEY).agg(F.countDistinct(VERDICT_COLUMN).alias("n")).filter("n > 1").count()
     assert n == 0
 
