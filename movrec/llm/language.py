@@ -203,6 +203,8 @@ def fit_language_model(docs: DataFrame, dims: int = DIMS, per_language: int = PE
     """Train on ``docs`` (doc_id, text, lang); the sample reaches the driver as n-gram counts."""
     rows = _learnable(docs)
     picked = bounded_sample(rows, "lang", "doc_id", per_language, max_languages)
+    # one text for each id and language, however often the id is repeated
+    picked = picked.groupBy("doc_id", "lang").agg(F.min("text").alias("text")).select("doc_id", "text", "lang")
 
     def counts(batches):
         for batch in batches:

@@ -176,7 +176,9 @@ def fit_quality_model(docs: DataFrame, labels: DataFrame, max_labelled: int = MA
     marks = marks.groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("quality").alias("other")).filter("quality = other").drop("other")
     picked = bounded_sample(marks, "quality", "doc_id", max_labelled // 2, 2)
     kind = docs.schema["doc_id"].dataType.simpleString()
-    texts = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id")  # at most max_labelled ids
+    texts = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id")  # about max_labelled ids
+    # one text for each id, however often the id is repeated
+    texts = texts.groupBy("doc_id").agg(F.min("text").alias("text"), F.first("quality").alias("quality"))
 
     def run(batches):
         for batch in batches:
