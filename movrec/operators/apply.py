@@ -160,29 +160,50 @@ def rewrite_touched_partitions(
     """Apply ``change`` to a Parquet snapshot partitioned by ``partition_col`` at ``path``,
     rewriting only the partitions whose period occurs in ``keys_df``.
 
-    The new rows of the touched partitions are written to a scratch table
-    first (which also ends the read of ``path``), then replace their
-    partitions by dynamic overwrite.  A partition that got no rows is not
-    reached by that overwrite, so its folder is removed afterwards.  Changes
-    are keyed, so repeating the call after a crash completes it.  Returns the
-    number of rows in the touched partitions.
+    The new rows of the touched partitions and the list of their periods are
+    written next to the table first (``<path>.rewrite``), then switched in by
+    :func:`finish_rewrite`.  After a crash during the switch the next call
+    finishes it from there before it does anything else.  Returns the number of
+    rows in the touched partitions.
     """
-    from movrec.session import hadoop_path, scratch_path
-    from movrec.sources.snapshot import load_snapshot
+    from movrec.session import remove_path
 
+    finish_rewrite(spark, path, partition_col)
     periods = touched_periods(keys_df, partition_col)
     if not periods:
         return 0
     mov = touched_partitions(spark, path, periods, partition_col, schema=schema)
-    staged = scratch_path(spark, "rewrite")
-    change(mov).select(*mov.columns).write.parquet(staged)
-    new_rows = load_snapshot(spark, staged, schema=mov.schema)
-    left = {r[0]: r[1] for r in new_rows.groupBy(partition_col).count().collect()}
+    aside = _aside(path)
+    remove_path(spark, aside)
+    change(mov).select(*mov.columns).write.parquet(f"{aside}/rows")
+    spark.createDataFrame([(p,) for p in periods], mov.select(partition_col).schema).write.parquet(f"{aside}/periods")
+    return finish_rewrite(spark, path, partition_col)
+
+
+def _aside(path: str) -> str:
+    return f"{path.rstrip('/')}.rewrite"
+
+
+def finish_rewrite(spark, path: str, partition_col: str = "periodo") -> int:
+    """Switch in the rewritten partitions that lie next to ``path``, if they are complete.
+
+    Partitions with rows are replaced by dynamic overwrite; a period that got no
+    rows is not reached by that, so its folder is removed.  Repeating any of
+    this gives the same table.
+    """
+    from movrec.session import hadoop_path, remove_path
+
+    aside = _aside(path)
+    fs, ready = hadoop_path(spark, f"{aside}/periods/_SUCCESS")  # written last
+    if not fs.exists(ready):
+        return 0
+    rows = spark.read.parquet(f"{aside}/rows")
+    left = {r[0]: r[1] for r in rows.groupBy(partition_col).count().collect()}
     if left:
-        writer = new_rows.hint("rebalance", partition_col).write.mode("overwrite")
+        writer = rows.hint("rebalance", partition_col).write.mode("overwrite")
         writer.option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(path)
-    for period in periods:
+    for (period,) in spark.read.parquet(f"{aside}/periods").collect():
         if period not in left:
-            fs, folder = hadoop_path(spark, f"{path.rstrip('/')}/{partition_col}={period}")
-            fs.delete(folder, True)
+            remove_path(spark, f"{path.rstrip('/')}/{partition_col}={period}")
+    remove_path(spark, aside)
     return sum(left.values())

@@ -151,6 +151,23 @@ def test_delete_in_place_removes_an_emptied_day(spark):
     assert _ids(again.snapshot) == ["S2"] and [r["outcome"] for r in again.status.collect()] == ["not_found"]
 
 
+def test_a_broken_rewrite_is_finished_by_the_next_call(spark, monkeypatch):
+    from movrec.operators import apply as ap
+
+    rows = [mv("S1", "A", "T", D(2024, 1, 1), "STANDIN"), mv("S2", "A", "U", D(2024, 1, 2), "STANDIN"), mv("S3", "A", "U", D(2024, 1, 2), "STANDIN")]
+    path = _partitioned(spark, rows)
+    delete = lambda i, d: host.output_delete_legs(
+        spark, requests_df(spark, [make_rq(i, "D", D(2023, 1, 1), d)]), {}, {"SNAPSHOT_PATH": path, "REWRITE_IN_PLACE": "true"}
+    )
+    finish = ap.finish_rewrite
+    monkeypatch.setattr(ap, "finish_rewrite", lambda *a: None)
+    delete("S1", D(2024, 1, 1))  # staged, never switched in
+    monkeypatch.setattr(ap, "finish_rewrite", finish)
+    assert _ids(load_snapshot(spark, path, schema=movement_schema())) == ["S1", "S2", "S3"]
+    delete("S2", D(2024, 1, 2))
+    assert _ids(load_snapshot(spark, path, schema=movement_schema())) == ["S3"]
+
+
 def test_archive_in_place_purges(spark):
     path, lake = _partitioned(spark), scratch_path(spark, "lake")
     rows = load_snapshot(spark, path, schema=movement_schema()).filter("periodo < '2024-01-06'")
