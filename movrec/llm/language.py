@@ -4,8 +4,8 @@ Texts are lower-cased; n-grams of 1 to 3 code points inside words (with one
 space at each word end) are hashed to ``dims`` bins.  Inverse document
 frequencies come from all learnable rows.  The weights are trained by
 follow-the-regularised-leader (FTRL-proximal) with elastic-net penalties on a
-bounded sample (``per_language`` rows of each language, the documents with the
-least hash of their id), so most weights are exactly zero.  A slice of that
+bounded sample (``PER_LANGUAGE`` rows of each language and ``MAX_SAMPLE`` in all,
+the documents with the least hash of their id), so most weights are exactly zero.  A slice of that
 sample is kept from training and fits one temperature for calibration.
 
 Learnable rows have a text with a letter, a non-null language and a
@@ -32,7 +32,7 @@ from movrec.llm.common import arrow_map, held_out
 
 DIMS = 4096
 GRAMS = (1, 2, 3)
-PER_LANGUAGE = 1500
+PER_LANGUAGE, MAX_SAMPLE = 800, 4000
 MAX_LANGUAGES = 512
 #: code points of text that a task turns to counts at once
 CHUNK_POINTS = 1 << 18
@@ -93,9 +93,11 @@ class LanguageModel:
     sparsity: float = 0.0
 
     def features(self, counts: np.ndarray) -> np.ndarray:
-        x = np.log1p(counts) * self.idf
+        x = np.log1p(counts)
+        x *= self.idf
         norm = np.linalg.norm(x, axis=1, keepdims=True)
-        return x / np.where(norm > 0, norm, 1)
+        x /= np.where(norm > 0, norm, 1)
+        return x
 
     def logits(self, counts: np.ndarray) -> np.ndarray:
         return self.features(counts) @ self.weights[:-1] + self.weights[-1]
@@ -124,17 +126,17 @@ def train_ftrl(
     x: np.ndarray, y: np.ndarray, classes: int, alpha: float = 0.5, beta: float = 1.0, l1: float = 0.02, l2: float = 0.01, epochs: int = 4, batch: int = 16, seed: int = 5
 ) -> np.ndarray:
     """FTRL-proximal with per-coordinate rates; coordinates below ``l1`` are exactly zero."""
-    rows = np.hstack([x, np.ones((len(x), 1), x.dtype)])
-    z = np.zeros((rows.shape[1], classes))
+    z = np.zeros((x.shape[1] + 1, classes))
     n = np.zeros_like(z)
     w = np.zeros_like(z)
     order = np.random.Generator(np.random.PCG64(seed))
     hot = np.eye(classes)[y]
     for _ in range(epochs):
-        shuffled = order.permutation(len(rows))
-        for at in range(0, len(rows), batch):
+        shuffled = order.permutation(len(x))
+        for at in range(0, len(x), batch):
             part = shuffled[at : at + batch]
-            g = rows[part].T @ (softmax(rows[part] @ w) - hot[part]) / len(part)
+            rows = np.hstack([x[part], np.ones((len(part), 1), x.dtype)])
+            g = rows.T @ (softmax(rows @ w) - hot[part]) / len(part)
             sigma = (np.sqrt(n + g * g) - np.sqrt(n)) / alpha
             z += g - sigma * w
             n += g * g
@@ -184,14 +186,16 @@ def document_frequencies(texts: DataFrame, dims: int = DIMS) -> tuple[int, np.nd
     return counts.get(-1, 0), np.array([counts.get(b, 0) for b in range(dims)], float)
 
 
-def bounded_sample(rows: DataFrame, by: str, key: str, per_class: int, max_classes: int) -> DataFrame:
-    """About ``per_class`` rows of each class: those whose key hash lies below the class's share.
+def bounded_sample(rows: DataFrame, by: str, key: str, per_class: int, max_classes: int, most: int | None = None) -> DataFrame:
+    """About ``per_class`` rows of each class, ``most`` in all: those whose key hash lies below the class's share.
 
     Classes are counted over all rows; only the counts reach the driver.
     """
     counts = rows.groupBy(by).count().orderBy(by).limit(max_classes + 1).collect()
     if len(counts) > max_classes:
         raise ValueError(f"more than {max_classes} classes in {by}")
+    if most is not None and counts:
+        per_class = min(per_class, max(1, most // len(counts)))
     share = F.lit(0.0)
     for r in counts:
         share = F.when(F.col(by) == F.lit(r[0]), F.lit(min(1.0, per_class / r["count"]))).otherwise(share)
@@ -199,10 +203,10 @@ def bounded_sample(rows: DataFrame, by: str, key: str, per_class: int, max_class
     return rows.filter(point < share)
 
 
-def fit_language_model(docs: DataFrame, dims: int = DIMS, per_language: int = PER_LANGUAGE, max_languages: int = MAX_LANGUAGES) -> LanguageModel:
+def fit_language_model(docs: DataFrame, dims: int = DIMS, per_language: int = PER_LANGUAGE, max_sample: int = MAX_SAMPLE, max_languages: int = MAX_LANGUAGES) -> LanguageModel:
     """Train on ``docs`` (doc_id, text, lang); the sample reaches the driver as n-gram counts."""
     rows = _learnable(docs)
-    picked = bounded_sample(rows, "lang", "doc_id", per_language, max_languages)
+    picked = bounded_sample(rows, "lang", "doc_id", per_language, max_languages, max_sample)
     # one text for each id and language, however often the id is repeated
     picked = picked.groupBy("doc_id", "lang").agg(F.min("text").alias("text")).select("doc_id", "text", "lang")
 
@@ -221,20 +225,29 @@ def fit_language_model(docs: DataFrame, dims: int = DIMS, per_language: int = PE
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     sample = arrow_map(picked, counts, f"doc_id {kind}, lang string, bins array<int>, counts array<float>")
-    table = sample.withColumn("h", F.xxhash64(F.lit("order"), "doc_id")).toPandas()
-    # the same order in every run; never more rows than the parameter allows
-    table["first"] = [tuple(b[:8]) for b in table["bins"]]
-    table = table.sort_values(["h", "lang", "first"]).groupby("lang").head(per_language)
+    table = sample.withColumn("h", F.xxhash64(F.lit("order"), "doc_id")).drop("doc_id").toArrow().combine_chunks()
+    # the same order in every run; never more rows than the parameters allow
+    names = np.array(table.column("lang").to_pylist(), dtype=object)
+    order = np.lexsort((names.astype(str), table.column("h").to_numpy()))
+    place = dict.fromkeys(names.tolist(), 0)
+    kept = []
+    for i in order.tolist():
+        if place[names[i]] < per_language and len(kept) < max_sample:
+            place[names[i]] += 1
+            kept.append(i)
+    table = table.take(pa.array(kept, pa.int64())).combine_chunks()
+    names = names[kept]
     total, df = document_frequencies(rows, dims)
-    languages = sorted(table["lang"].unique())
+    languages = sorted(set(names.tolist()))
     idf = (np.log((1 + total) / (1 + df)) + 1).astype(np.float32)
     model = LanguageModel(languages, idf, np.zeros((dims + 1, max(1, len(languages))), np.float32))
     if not languages:
         return model
-    c = np.zeros((len(table), dims), np.float32)
-    for r, (b, v) in enumerate(zip(table["bins"], table["counts"])):
-        c[r, b] = v
-    x, y = model.features(c), np.searchsorted(languages, table["lang"].to_numpy())
+    c = np.zeros((len(names), dims), np.float32)
+    for r in range(len(names)):
+        c[r, table.column("bins")[r].values.to_numpy()] = table.column("counts")[r].values.to_numpy()
+    x, y = model.features(c), np.searchsorted(languages, names.astype(str))
+    del c, table
     calibrate = np.arange(len(x)) % 5 == 4
     w = train_ftrl(x[~calibrate], y[~calibrate], len(languages))
     model.weights = w.astype(np.float32)
