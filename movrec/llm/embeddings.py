@@ -42,7 +42,7 @@ K, REVERSE, LARGEST = 8, 8, 64
 ORDERS, BLOCK, CODE_BITS = 6, 128, 48
 ROUNDS, MOST_ROUNDS = 2, 8
 AUDIT, RECALL = 256, 0.99
-CELL = 1024
+CELL = 192
 
 
 def vectors(rows: DataFrame, vector: str = "embedding") -> DataFrame:
