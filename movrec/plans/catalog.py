@@ -25,6 +25,7 @@ from movrec.plans import host
 from movrec.schema import DATE_PATTERN, WRITE_KEY, movement_schema
 from movrec.session import ensure_checkpoint_dir, scratch_path
 from movrec.sources.fixtures import fixture_snapshot, solicitudes, ventanas, ventanas_clientes
+from movrec.sources.lake import lake_path
 from movrec.sources.snapshot import load_snapshot, write_snapshot
 
 Plan = Callable[[SparkSession, str], DataFrame]
@@ -242,7 +243,8 @@ def q_release_parked(spark, sf_dir):
 def _archive(spark, sf_dir):
     mov = movements(spark, sf_dir)
     found = q_match_windows(spark, sf_dir)
-    return archive_and_purge(found, mov, scratch_path(spark, "lake"), fmt="parquet", batch_id="b1")
+    lake = lake_path(scratch_path(spark, "lake"), "movimientos", "archive/cold")
+    return archive_and_purge(found, mov, lake, fmt="parquet", batch_id="b1")
 
 
 def q_archive_rows(spark, sf_dir):
