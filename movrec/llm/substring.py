@@ -12,6 +12,10 @@ equal seeds wherever they stand, and only about one word in seven is an anchor.
    directions; all but the first are repeats with every window in them.
    Copies inside one task are settled before the shuffle, so a passage shared by
    a third of all documents sends a few rows per task, and no pairs are made.
+   An anchor that has more than ``crowded`` reaches inside one task (a common
+   phrase) needs no grouping to know that it has several: its occurrences go
+   straight to the comparison of windows, and one witness per task stands for
+   them among the rows of the anchor.
    First occurrences whose anchor has other reaches extend only part of the
    way: their windows are compared one by one by their own hashes, the least
    (document, position) first.
@@ -41,6 +45,8 @@ from movrec.llm.common import arrow_map, text_key, written
 LENGTH, SEED_WORDS = 20, 8
 #: anchors that a task holds before it settles copies and passes them on
 HELD = 1 << 20
+#: reaches of one anchor in one task from which it counts as crowded
+CROWDED = 64
 
 _LAST_ID = (1 << 63) - 1
 
@@ -90,7 +96,9 @@ def _pack(tag: np.ndarray, start: np.ndarray) -> np.ndarray:
 
 
 _ROW = ["ah", "rh", "id", "loc", "windows"]
-_ROWS = "ah bigint, rh bigint, id bigint, loc bigint, windows int, settled boolean"
+_ROWS = "ah bigint, rh bigint, id bigint, loc bigint, windows int, state int"
+#: states of rows: to be grouped by anchor, known to be a repeat, known to need comparison
+_OPEN, _SETTLED, _CROWDED = 0, 1, 2
 #: kinds of findings: a reach that stands earlier, and a first reach whose windows must be compared
 _REPEAT, _COMPARE = 0, 1
 
@@ -108,8 +116,8 @@ def _settle_copies(parts: list) -> tuple[list[np.ndarray], list[np.ndarray]]:
     return [x[head] for x in cols], [x[again] for x in cols]
 
 
-def _flushed(rows):
-    """Hold (anchor, reach, id, place, windows) arrays up to ``HELD`` rows, settle copies, emit both kinds."""
+def _flushed(rows, crowded: int | None = None):
+    """Hold (anchor, reach, id, place, windows) arrays up to ``HELD`` rows, settle copies, emit every state."""
     held, size = [], 0
     for part in rows:
         if not len(part[0]):
@@ -117,21 +125,32 @@ def _flushed(rows):
         held.append(part)
         size += len(part[0])
         if size >= HELD:
-            yield from _emit(held)
+            yield from _emit(held, crowded)
             held, size = [], 0
     if held:
-        yield from _emit(held)
+        yield from _emit(held, crowded)
 
 
-def _emit(held):
+def _emit(held, crowded: int | None):
     heads, again = _settle_copies(held)
-    for rows, settled in ((heads, False), (again, True)):
+    out = [(heads, _OPEN), (again, _SETTLED)]
+    if crowded is not None:
+        new = np.concatenate(([True], np.diff(heads[0]) != 0))
+        group = np.cumsum(new) - 1
+        many = np.bincount(group)[group] > crowded
+        if many.any():
+            # a witness: least of all reaches, no windows
+            witness = [x[many & new] for x in heads]
+            witness[1] = np.full(len(witness[0]), np.iinfo(np.int64).min)
+            witness[4] = np.zeros(len(witness[0]), np.int32)
+            out = [([x[~many] for x in heads], _OPEN), (witness, _OPEN), ([x[many] for x in heads], _CROWDED), (again, _SETTLED)]
+    for rows, state in out:
         for at in range(0, len(rows[0]), 65536):
             part = [x[at : at + 65536] for x in rows]
-            yield pa.RecordBatch.from_arrays([*map(pa.array, part), pa.array(np.full(len(part[0]), settled))], [*_ROW, "settled"])
+            yield pa.RecordBatch.from_arrays([*map(pa.array, part), pa.array(np.full(len(part[0]), state, np.int32))], [*_ROW, "state"])
 
 
-def _seeds(length: int, seed: int):
+def _seeds(length: int, seed: int, crowded: int = CROWDED):
     def rows(batches):
         h = _Hashes()
         for batch in batches:
@@ -141,7 +160,7 @@ def _seeds(length: int, seed: int):
                 own, ah, rh, begin, windows, _, _, border = anchors(h, raw[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], length, seed)
                 yield ah.view(np.int64), rh.view(np.int64), doc[i + own], _pack(tag[i + own], begin - border[own]), windows.astype(np.int32)
 
-    return lambda batches: _flushed(rows(batches))
+    return lambda batches: _flushed(rows(batches), crowded)
 
 
 def _windows(length: int, seed: int):
@@ -167,7 +186,7 @@ def _windows(length: int, seed: int):
 
 
 def _classify(compare: bool):
-    """One pass over rows sorted by (settled, anchor, reach, id, place), with one row carried over.
+    """One pass over rows sorted by (state, anchor, reach, id, place), with one row carried over.
 
     Every row but the first of its (anchor, reach) is a repeat.  With
     ``compare``, first rows of anchors that have more than one reach come out
@@ -178,10 +197,11 @@ def _classify(compare: bool):
         carry = None
         for batch in batches:
             cols = [batch.column(c).to_numpy(zero_copy_only=False) for c in range(6)]
-            done = cols[5]
-            if done.any():
-                yield _found(_REPEAT, cols[2][done], cols[3][done], cols[4][done])
-                cols = [c[~done] for c in cols]
+            for state, kind in ((_SETTLED, _REPEAT), (_CROWDED, _COMPARE)):
+                known = cols[5] == state
+                if known.any():
+                    yield _found(kind, cols[2][known], cols[3][known], cols[4][known])
+            cols = [c[cols[5] == _OPEN] for c in cols]
             if not len(cols[0]):
                 continue
             sent = False
@@ -194,7 +214,7 @@ def _classify(compare: bool):
             head[1:] |= np.diff(rh) != 0
             heads = np.flatnonzero(head)
             first = heads[np.cumsum(head) - 1]
-            again = ~head & ((doc != doc[first]) | (loc != loc[first]))
+            again = ~head & ((doc != doc[first]) | (loc != loc[first])) & (windows > 0)
             if again.any():
                 yield _found(_REPEAT, doc[again], loc[again], windows[again])
             group = np.cumsum(anchor)[heads] - 1
@@ -205,6 +225,7 @@ def _classify(compare: bool):
                 out = heads[several]
                 if sent:
                     out = out[out != 0]
+                out = out[windows[out] > 0]  # a witness is only counted
                 if len(out):
                     yield _found(_COMPARE, doc[out], loc[out], windows[out])
             last = heads[-1]
@@ -222,9 +243,9 @@ def _found(kind: int, doc, loc, windows) -> pa.RecordBatch:
 
 
 def _dealt(rows: DataFrame) -> DataFrame:
-    """Rows by anchor, in order; settled rows go anywhere."""
-    place = F.when(F.col("settled"), F.xxhash64("id", "loc")).otherwise(F.col("ah"))
-    return rows.repartition(place).sortWithinPartitions("settled", "ah", "rh", "id", "loc")
+    """Rows by anchor, in order; rows whose state is known go anywhere."""
+    place = F.when(F.col("state") > _OPEN, F.xxhash64("id", "loc")).otherwise(F.col("ah"))
+    return rows.repartition(place).sortWithinPartitions("state", "ah", "rh", "id", "loc")
 
 
 def _by_document(found: DataFrame) -> DataFrame:
@@ -250,7 +271,7 @@ def _pressed(texts: DataFrame) -> DataFrame:
     return arrow_map(texts, run, f"text binary, {rest}")
 
 
-def repeated_runs(docs: DataFrame, length: int = LENGTH, seed: int = SEED_WORDS) -> tuple[DataFrame, DataFrame]:
+def repeated_runs(docs: DataFrame, length: int = LENGTH, seed: int = SEED_WORDS, crowded: int = CROWDED) -> tuple[DataFrame, DataFrame]:
     """The keyed texts, and ``id, tag, runs`` of all windows that stand earlier."""
     if not 0 < seed <= length:
         raise ValueError("the seed must be between one word and the whole length")
@@ -261,7 +282,7 @@ def repeated_runs(docs: DataFrame, length: int = LENGTH, seed: int = SEED_WORDS)
         "doc_id",
     )
     wide = texts.select("text", "id", F.col("tag").cast("bigint").alias("tag"))
-    seeds = arrow_map(wide, _seeds(length, seed), _ROWS)
+    seeds = arrow_map(wide, _seeds(length, seed, crowded), _ROWS)
     found = written(arrow_map(_dealt(seeds), _classify(True), "kind int, id bigint, loc bigint, windows int"))
     ask = _by_document(found.filter(F.col("kind") == _COMPARE))
     asked = _pressed(wide).join(ask.withColumn("tag", F.col("tag").cast("bigint")), ["id", "tag"])
@@ -270,13 +291,13 @@ def repeated_runs(docs: DataFrame, length: int = LENGTH, seed: int = SEED_WORDS)
     return texts, _by_document(found.filter(F.col("kind") == _REPEAT).unionByName(partly))
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, seed: int = SEED_WORDS) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = LENGTH, seed: int = SEED_WORDS, crowded: int = CROWDED) -> DataFrame:
     """``doc_id, n_words, n_removed, repeats, kept`` for every row of ``docs``.
 
     ``repeats`` are the maximal repeats as word ranges, ``kept`` the remaining
     words joined by one space.
     """
-    texts, runs = repeated_runs(docs, length, seed)
+    texts, runs = repeated_runs(docs, length, seed, crowded)
     joined = _pressed(texts).join(runs, ["id", "tag"], "left").select("text", "doc_id", "runs")
     kind = docs.schema["doc_id"].dataType.simpleString()
 

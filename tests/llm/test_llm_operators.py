@@ -117,8 +117,9 @@ def test_substring_equals_brute_force(spark, length, seed):
             t += "  " + base[d % 4] + "\n" + " ".join(rng.choice(vocabulary, 5))
         texts.append((d, t if d else None))
     texts += [(90, "a " * 100), (91, "a " * 35), (92, base[0]), (93, base[0])]
-    got = {r["doc_id"]: (r["n_words"], r["n_removed"], r["kept"]) for r in rows(substring.remove_repeats(docs_of(spark, texts), length, seed))}
-    assert got == brute_substring(texts, length)
+    for crowded in (substring.CROWDED, 1):  # also with every anchor of two reaches in a task sent past the grouping
+        found = rows(substring.remove_repeats(docs_of(spark, texts).repartition(3), length, seed, crowded))
+        assert {r["doc_id"]: (r["n_words"], r["n_removed"], r["kept"]) for r in found} == brute_substring(texts, length)
 
 
 def test_substring_awkward_rows(spark, monkeypatch):
@@ -137,7 +138,7 @@ def test_substring_stream_carries_one_row():
     rng = np.random.default_rng(5)
     cols = [rng.integers(0, 4, 60), rng.integers(0, 3, 60), rng.integers(0, 9, 60), rng.integers(0, 5, 60)]
     order = np.lexsort(cols[::-1])
-    table = pa.table([pa.array(c[order]) for c in cols] + [pa.array(np.ones(60, np.int32)), pa.array(np.zeros(60, bool))], ["ah", "rh", "id", "loc", "windows", "settled"])
+    table = pa.table([pa.array(c[order]) for c in cols] + [pa.array(np.ones(60, np.int32)), pa.array(np.zeros(60, np.int32))], ["ah", "rh", "id", "loc", "windows", "state"])
     found = []
     for size in (60, 7, 1):
         out = [r for b in substring._classify(True)(table.to_batches(max_chunksize=size)) for r in b.to_pylist()]
