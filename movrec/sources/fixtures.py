@@ -215,14 +215,17 @@ def fixture_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     copy is removed when the application ends.
     """
     from movrec.session import scratch_path
-    from movrec.sources.snapshot import cluster_by_period, load_snapshot, write_clustered
+    from movrec.sources.snapshot import MAX_ROWS_PER_FILE, cluster_by_period, load_snapshot, write_clustered
 
     key = (spark.sparkContext.applicationId, sf_dir)
     hit = _SNAPSHOTS.get(key)
     if hit is None:
         legs = cluster_by_period(fx_legs(fx_base(spark, sf_dir)))
         mov = movement_columns(legs)
-        hit = (write_clustered(mov, scratch_path(spark, "movimientos")), mov.schema)
+        # files for every core also where the whole table is small (about two legs an order)
+        even = read_table(spark, sf_dir, "orders").count() // spark.sparkContext.defaultParallelism
+        per_file = min(MAX_ROWS_PER_FILE, max(10_000, even))
+        hit = (write_clustered(mov, scratch_path(spark, "movimientos"), max_rows_per_file=per_file), mov.schema)
         for old in [k for k in _SNAPSHOTS if k[0] != key[0]]:  # their files went with their applications
             del _SNAPSHOTS[old]
         _SNAPSHOTS[key] = hit
