@@ -125,6 +125,11 @@ def _tokens(shared) -> Tokens:
     return _LOADED[1]
 
 
+def _batch(rows: list[tuple], first: pa.DataType, types: list[pa.DataType], names: list[str]) -> pa.RecordBatch:
+    """Rows as a record batch whose first column has the type of the input's ids."""
+    return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*rows), [first, *types])], names)
+
+
 def load_vocabulary(spark, path: str):
     if os.path.getsize(path) > MAX_VOCABULARY_BYTES:
         raise ValueError(f"{path} is larger than {MAX_VOCABULARY_BYTES} bytes")
@@ -139,9 +144,9 @@ def conversation_nodes(conversations: DataFrame) -> DataFrame:
     rows = rows.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
 
     def run(batches):
-        now, path, waiting = None, bytearray(), None
+        now, path, waiting, ids = None, bytearray(), None, None
         for batch in batches:
-            out = []
+            out, ids = [], batch.schema.field(0).type
             for conv, role, text in zip(*(batch.column(c).to_pylist() for c in (0, 2, 3))):
                 if waiting is None or conv != now:
                     if waiting is not None:
@@ -155,17 +160,12 @@ def conversation_nodes(conversations: DataFrame) -> DataFrame:
                 waiting = (conv, len(path) // NODE, digest.digest(), role, text)
                 path += waiting[2]
             if out:
-                yield batch_of(out)
+                yield _batch(out, ids, types, names)
         if waiting is not None:
-            yield batch_of([(*waiting, bytes(path))])
+            yield _batch([(*waiting, bytes(path))], ids, types, names)
 
     names = ["conv_id", "depth", "node", "role", "text", "path"]
-    from pyspark.sql.pandas.types import to_arrow_type
-
-    types = [to_arrow_type(kind), pa.int32(), pa.binary(), pa.string(), pa.string(), pa.binary()]
-
-    def batch_of(out):
-        return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*out), types)], names)
+    types = [pa.int32(), pa.binary(), pa.string(), pa.string(), pa.binary()]
 
     return arrow_map(rows, run, f"conv_id {kind.simpleString()}, depth int, node binary, role string, text string, path binary")
 
@@ -257,14 +257,12 @@ def read_back(turns: DataFrame, packed: DataFrame, vocabulary: str = VOCABULARY)
     rows = turns.select("conv_id", "depth", "node").join(packed.select("node", "ids", "loss_from", "loss_to"), "node")
     rows = rows.repartition("conv_id").sortWithinPartitions("conv_id", "depth").select("conv_id", "depth", "ids", "loss_from", "loss_to")
     names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
-    from pyspark.sql.pandas.types import to_arrow_type
-
-    types = [to_arrow_type(kind), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
+    types = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
 
     def run(batches):
-        tokens, state = _tokens(shared), None
+        tokens, state, kinds = _tokens(shared), None, None
         for batch in batches:
-            done = []
+            done, kinds = [], batch.schema.field(0).type
             for k, (conv, depth) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())):
                 if depth == 0:
                     if state is not None:
@@ -280,16 +278,13 @@ def read_back(turns: DataFrame, packed: DataFrame, vocabulary: str = VOCABULARY)
                 state[4].update(learned.encode())
                 state[5] += len(formatted)
             if done:
-                yield batch_of(done)
+                yield _batch(done, kinds, types, names)
         if state is not None:
-            yield batch_of([close(state)])
+            yield _batch([close(state)], kinds, types, names)
 
     def close(s):
         return s[0], s[1], s[2].hexdigest(), s[3], s[4].hexdigest(), s[5]
 
-    def batch_of(out):
-        return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*out), types)], names)
-
     return arrow_map(
         rows, run,
         f"conv_id {kind.simpleString()}, n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, formatted_chars bigint",
