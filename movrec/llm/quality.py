@@ -57,7 +57,8 @@ def encode(data: np.ndarray, offsets: np.ndarray, passage: int = PASSAGE, dims:
     bag = np.repeat(np.arange(n), parts)
     total = int(first_part[-1])
     out = np.zeros((total, dims + _STATS), np.float32)
-    if not len(starts):
+    if not len(starts):  # what the statistics below give for a passage without words
+        out[:, dims + 4], out[:, dims + 6], out[:, dims + 7] = 1, np.log1p(1) / 5, float(1 < passage)
         return out, bag
     of_word = first_part[owner] + (np.arange(len(starts)) - border[owner]) // passage
     # byte trigrams of classes belong to the passage of the word they start in
