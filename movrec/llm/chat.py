@@ -33,6 +33,7 @@ import hashlib
 import os
 import re
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -98,19 +99,24 @@ class Tokens:
         tail = [self.end, *self.encode(["\n"])[0]]
         return [([self.start, *h, *b, *tail], 1 + len(h), 1 + len(h) + len(b)) for h, b in zip(heads, bodies)]
 
+    def texts(self, rows: list[np.ndarray]) -> list[str]:
+        """Ids of each row back to its formatted text."""
+        pieces, plans = [], []
+        for ids in rows:
+            plan, at = [], 0
+            for cut in [*np.flatnonzero(ids >= self.start).tolist(), len(ids)]:
+                if cut > at:
+                    plan.append(len(pieces))
+                    pieces.append(ids[at:cut].tolist())
+                if cut < len(ids):
+                    plan.append(START if ids[cut] == self.start else END)
+                at = cut + 1
+            plans.append(plan)
+        decoded = self.model.decode_batch(pieces, skip_special_tokens=False)
+        return ["".join(x if isinstance(x, str) else decoded[x] for x in plan) for plan in plans]
+
     def text(self, ids: list[int]) -> str:
-        """Ids back to the formatted text."""
-        out, part = [], []
-        for i in [*ids, None]:
-            if i is None or i >= self.start:
-                if part:
-                    out.append(self.model.decode(part, skip_special_tokens=False))
-                    part = []
-                if i is not None:
-                    out.append(START if i == self.start else END)
-            else:
-                part.append(i)
-        return "".join(out)
+        return self.texts([np.asarray(ids, np.int64)])[0]
 
 
 _LOADED: list = []
@@ -263,20 +269,25 @@ def read_back(turns: DataFrame, packed: DataFrame, vocabulary: str = VOCABULARY)
         tokens, state, kinds = _tokens(shared), None, None
         for batch in batches:
             done, kinds = [], batch.schema.field(0).type
-            for k, (conv, depth) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())):
-                if depth == 0:
-                    if state is not None:
-                        done.append(close(state))
-                    state = [conv, 0, hashlib.sha256(), 0, hashlib.sha256(), 0]
-                ids, a, b = (batch.column(c)[k].as_py() for c in (2, 3, 4))
-                formatted = tokens.text(ids)
-                role, text = parse_turn(formatted)
-                state[1] += 1
-                state[2].update(f"{role}\n{text}\n".encode())
-                learned = unescape(tokens.text(ids[a:b]))
-                state[3] += len(learned)
-                state[4].update(learned.encode())
-                state[5] += len(formatted)
+            convs, depths, starts, ends = (batch.column(c).to_pylist() for c in (0, 1, 3, 4))
+            values, offsets = batch.column(2).values.to_numpy(), np.asarray(batch.column(2).offsets)
+            for at in range(0, batch.num_rows, 256):
+                part = range(at, min(at + 256, batch.num_rows))
+                ids = [values[offsets[k] : offsets[k + 1]] for k in part]
+                whole = tokens.texts(ids)
+                masked = tokens.texts([x[starts[k] : ends[k]] for k, x in zip(part, ids)])
+                for k, formatted, learned in zip(part, whole, masked):
+                    if depths[k] == 0:
+                        if state is not None:
+                            done.append(close(state))
+                        state = [convs[k], 0, hashlib.sha256(), 0, hashlib.sha256(), 0]
+                    role, text = parse_turn(formatted)
+                    learned = unescape(learned)
+                    state[1] += 1
+                    state[2].update(f"{role}\n{text}\n".encode())
+                    state[3] += len(learned)
+                    state[4].update(learned.encode())
+                    state[5] += len(formatted)
             if done:
                 yield _batch(done, kinds, types, names)
         if state is not None:
