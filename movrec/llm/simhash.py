@@ -5,11 +5,14 @@
    fingerprint bit is 1 if it is set in over half of the shingles' XXH64
    (seed 42).  Fewer words: the whole sequence is one shingle; none: zero.
 2. Candidates.  Only distinct fingerprints go on.  The 64 bits are cut into
-   ``radius + 1`` bands; two fingerprints within ``radius`` bits agree in at
-   least one band (pigeonhole), so comparing inside equal bands loses no link.
-   A band value shared by more than ``block`` fingerprints is cut into blocks
-   by hash and each pair of blocks is compared in its own group: no group is
-   larger than two blocks, and every pair of blocks still meets.
+   ``n`` pieces; two fingerprints within ``radius`` bits agree in at least ``n -
+   radius`` of them (pigeonhole), so comparing those that agree in some choice
+   of that many pieces loses no link.  ``n`` follows the measured number of
+   fingerprints, so that a key is shared by few: radius + 1 pieces and as many
+   choices up to millions of them, more and longer keys beyond; every ``n``
+   finds the same links.  A key shared by more than ``block`` fingerprints is
+   cut into blocks by hash and each pair of blocks is compared in its own group:
+   no group is larger than two blocks, and every pair of blocks still meets.
 3. Comparison.  Inside a group the fingerprints are turned into 64 vertical
    bit planes.  Differences are added plane by plane to bitwise carry-save
    counters, 64 distances in one word; rows whose lanes all exceed the radius
@@ -26,6 +29,8 @@ not read.
 
 from __future__ import annotations
 
+import itertools
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -172,9 +177,21 @@ def star_edges(n: int, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.nda
     return member, root[member]
 
 
-def band_edges(radius: int) -> list[int]:
-    """Borders of ``radius + 1`` bands over 64 bits."""
-    return [round(64 * k / (radius + 1)) for k in range(radius + 2)]
+def band_masks(radius: int, pieces: int) -> list[int]:
+    """Bits that two fingerprints within ``radius`` share in at least one mask (signed 64-bit numbers)."""
+    edges = [round(64 * k / pieces) for k in range(pieces + 1)]
+    piece = [(1 << hi) - (1 << lo) for lo, hi in zip(edges, edges[1:])]
+    masks = [sum(chosen) for chosen in itertools.combinations(piece, pieces - radius)]
+    return [m - (1 << 64) if m >> 63 else m for m in masks]
+
+
+def pieces_for(count: int, radius: int, block: int) -> int:
+    """Pieces with which a key of evenly spread fingerprints is shared by at most half a block of them."""
+    for pieces in range(radius + 1, radius + 5):
+        key_bits = (pieces - radius) * (64 // pieces)
+        if count >> key_bits <= block // 2:
+            break
+    return pieces
 
 
 def fingerprint_documents(docs: DataFrame, shingle: int = SHINGLE, seed: int = SEED, extra: tuple[str, ...] = ()) -> DataFrame:
@@ -193,12 +210,11 @@ def fingerprint_documents(docs: DataFrame, shingle: int = SHINGLE, seed: int = S
     return arrow_map(docs.select("text", *[f.name for f in fields]), run, schema)
 
 
-def near_links(distinct: DataFrame, radius: int = RADIUS, block: int = BLOCK) -> DataFrame:
+def near_links(distinct: DataFrame, radius: int = RADIUS, block: int = BLOCK, pieces: int | None = None) -> DataFrame:
     """Star edges ``(u, v)`` over the distinct fingerprints in column ``fp``."""
-    edges = band_edges(radius)
+    masks = band_masks(radius, pieces or pieces_for(distinct.count(), radius, block))
     bands = F.array(*[
-        F.struct(F.lit(b).alias("band"), F.shiftrightunsigned("fp", lo).bitwiseAND(F.lit((1 << (hi - lo)) - 1)).alias("key"))
-        for b, (lo, hi) in enumerate(zip(edges, edges[1:]))
+        F.struct(F.lit(b).alias("band"), F.col("fp").bitwiseAND(F.lit(m)).alias("key")) for b, m in enumerate(masks)
     ])
     rows = distinct.select("fp", F.explode(bands).alias("b")).select("fp", "b.band", "b.key")
     large = (

@@ -75,10 +75,22 @@ def test_simhash_blocks_of_a_large_band_value(spark):
     """Blocks of four fingerprints: every pair still meets."""
     rng = np.random.default_rng(1)
     prints = sorted({int(x) for x in (np.uint64(0xABCD) | (np.uint64(1) << rng.integers(16, 63, 60, dtype=np.uint64)))} | {0xABCD, 0xABCD | 0xFFFF << 40})
-    edges = simhash.near_links(spark.createDataFrame([(x,) for x in prints], "fp bigint"), block=4)
-    got = {r["id"]: r["component"] for r in rows(graph.components(edges))}
     want = brute_components({x: x for x in prints})
-    assert {x: got.get(x, x) for x in prints} == want
+    for pieces in (None, 5, 6, 7):
+        edges = simhash.near_links(spark.createDataFrame([(x,) for x in prints], "fp bigint"), block=4, pieces=pieces)
+        got = {r["id"]: r["component"] for r in rows(graph.components(edges))}
+        assert {x: got.get(x, x) for x in prints} == want
+
+
+def test_longer_keys_lose_no_pair():
+    rng = np.random.default_rng(7)
+    for pieces in (5, 6, 7, 8):
+        masks = simhash.band_masks(4, pieces)
+        assert len(masks) == {5: 5, 6: 15, 7: 35, 8: 70}[pieces]
+        for _ in range(200):
+            flips = sum(1 << int(b) for b in rng.choice(64, 4, replace=False))
+            assert any(flips & m == 0 for m in masks)
+    assert [simhash.pieces_for(n, 4, 4096) for n in (0, 10**6, 10**8, 10**11)] == [5, 5, 6, 7]
 
 
 def test_fingerprint_of_long_text(spark):
