@@ -14,11 +14,15 @@ precision.  Equal vectors are one node with a count.
 3. Audit.  A bounded, documented sample of nodes is compared with all rows in one
    pass; while the links found fall short of ``recall``, another round runs.
 4. Threshold edges.  Pairs at or above the threshold are links.  A list with
-   ``k`` or more links was saturated, and is at last enlarged to its whole
-   component: the component's nodes are cut into blocks, every pair of blocks is
-   compared in its own group, and only counts per node leave the tasks.  Nothing
-   is capped, and no pair list of a dense group exists.
-5. Components by alternating stars.
+   ``k`` or more links was saturated and may have dropped others; a pair that both
+   ends dropped has two saturated ends.  Components with saturated nodes are
+   therefore neighbours if the angle between their pivots (the saturated node with
+   the least id) is within both radii and the threshold's angle, and neighbours are
+   compared whole: their nodes are cut into blocks, every pair of blocks is
+   compared in its own group, and only counts per node and the pairs of components
+   that turn out to be linked leave the tasks.  Nothing is capped, and no pair list
+   of a dense group exists.
+5. Components by alternating stars, then once more over the pairs of step 4.
 
 Defined results: rows whose vector is null, empty, zero, or holds null or
 non-finite components, or whose label or id is null, link with nothing and
@@ -179,58 +183,114 @@ def descend(nodes: DataFrame, lists: DataFrame, single: bool, reverse: int = REV
     return arrow_map(dealt, compare, _EDGE)
 
 
-def audit(nodes: DataFrame, lists: DataFrame, single: bool, threshold: float, k: int = K, sample: int = AUDIT) -> float:
-    """Share of the true links of a bounded sample that stand in the graph (either way, or by a saturated list)."""
-    asked = nodes.orderBy(F.xxhash64(F.lit("audit"), "id"), "id").limit(sample).select("id", "label", "size", "v").collect()
+def audit(placed: DataFrame, lists: DataFrame, single: bool, threshold: float, sample: int = AUDIT) -> float:
+    """Share of the true links of a bounded sample that stand in the graph.
+
+    ``placed`` are the nodes with ``dense``, the group of components that is compared
+    whole (null outside).  A link inside a group will be counted; any other must be held in a list.
+    """
+    asked = placed.orderBy(F.xxhash64(F.lit("audit"), "id"), "id").limit(sample).select("id", "label", "size", "v", "dense").collect()
     if not asked:
         return 1.0
-    shared = nodes.sparkSession.sparkContext.broadcast([tuple(r) for r in asked])
+    shared = placed.sparkSession.sparkContext.broadcast([tuple(r) for r in asked])
 
     def run(batches):
         known: dict[tuple, list] = {}
-        for q, lab, size, v in shared.value:
-            known.setdefault((lab, size), []).append((q, bytes(v)))
-        units = {k: (np.array([q for q, _ in r]), _unit([v for _, v in r], single)) for k, r in known.items()}
+        for q, lab, size, v, dense in shared.value:
+            known.setdefault((lab, size), []).append((q, bytes(v), dense))
+        units = {k: (np.array([r[0] for r in q]), _unit([r[1] for r in q], single), *_group([r[2] for r in q])) for k, q in known.items()}
         for batch in batches:
-            ids, labels, sizes, cells = (c.to_pylist() for c in batch.columns)
+            ids, labels, sizes, cells, groups = (c.to_pylist() for c in batch.columns)
             parts: dict[tuple, list] = {}
             for i, key in enumerate(zip(labels, sizes)):
                 if key in units:
                     parts.setdefault(key, []).append(i)
             for key, rows in parts.items():
-                q, x = units[key]
-                s = x @ _unit([cells[i] for i in rows], single).T
-                a, b = np.nonzero(s >= threshold)
-                at = np.array([ids[i] for i in rows])
-                u, v = q[a], at[b]
-                yield _edges(u[u != v], v[u != v], s[a, b][u != v])
-
-    true = arrow_map(nodes.select("id", "label", "size", "v"), run, _EDGE)
-    full = lists.filter(F.col("sim") >= threshold).groupBy("u").count().filter(F.col("count") >= k).select("u", F.lit(1).alias("full"))
+                q, x, own, inside = units[key]
+                for at in range(0, len(rows), CELL):
+                    here = rows[at : at + CELL]
+                    a, b = np.nonzero(x @ _unit([cells[i] for i in here], single).T >= threshold)
+                    v, (group, _) = np.array([ids[i] for i in here]), _group([groups[i] for i in here])
+                    a, b = a[q[a] != v[b]], b[q[a] != v[b]]
+                    counted = inside[a] & (own[a] == group[b])
+                    a, b, n = a[~counted], b[~counted], int(counted.sum())
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([*q[a].tolist(), None], pa.int64()), pa.array([*v[b].tolist(), None], pa.int64()), pa.array([*[1] * len(a), n], pa.int64())],
+                        ["u", "v", "n"],
+                    )
+
+    true = arrow_map(placed.select("id", "label", "size", "v", "dense"), run, "u bigint, v bigint, n bigint")
     held = lists.select("u", "v").union(lists.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct().withColumn("held", F.lit(1))
-    row = (
-        true.join(held, ["u", "v"], "left").join(full, "u", "left")
-        .agg(F.count(F.lit(1)).alias("n"), F.sum(F.when(F.col("held").isNotNull() | F.col("full").isNotNull(), 1)).alias("hit")).first()
-    )
+    hit = F.sum(F.when(F.col("u").isNull() | F.col("held").isNotNull(), F.col("n")))
+    row = true.filter("n > 0").join(held, ["u", "v"], "left").agg(F.sum("n").alias("n"), hit.alias("hit")).first()
     return 1.0 if not row["n"] else (row["hit"] or 0) / row["n"]
 
 
+def _group(groups: list[int | None]) -> tuple[np.ndarray, np.ndarray]:
+    """The groups with 0 for none, and where there is one."""
+    return np.array([g or 0 for g in groups], np.int64), np.array([g is not None for g in groups], bool)
+
+
+def _paired(rows: DataFrame, by: list[str], cell: int) -> DataFrame:
+    """``rows`` cut into blocks by hash of ``id`` within ``by``, and dealt so that each pair of blocks (i, j) is one group."""
+    sizes = rows.groupBy(*by).agg(F.ceil(F.count(F.lit(1)) / cell).cast("int").alias("blocks"))
+    cut = rows.join(settle(sizes), by).withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    cut = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    cut = cut.withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other")).drop("blocks", "other")
+    return cut.repartition(*by, "i", "j").sortWithinPartitions(*by, "i", "j", "own", "id")
+
+
+def dense_neighbours(full: DataFrame, single: bool, threshold: float, cell: int = CELL) -> DataFrame:
+    """``id, dense``: groups of components whose saturated nodes ``full`` (component, id, label, size, v) may be linked.
+
+    Components that no other can reach are missing.  By the triangle inequality of
+    angles no link joins saturated nodes of different groups.
+    """
+    pivots = settle(full.groupBy("component").agg(F.min_by(F.struct("label", "size", "v"), "id").alias("p")).select("component", "p.*"))
+
+    def reach(batches):
+        for batch in batches:
+            component, sizes, cells, centres = batch.column(0), *(c.to_pylist() for c in batch.columns[1:])
+            angle = np.zeros(len(sizes))
+            for n in set(sizes):
+                here = [i for i, size in enumerate(sizes) if size == n]
+                x, y = (_unit([w[i] for i in here], single) for w in (cells, centres))
+                angle[here] = np.arccos(np.clip((x * y).sum(axis=1), -1, 1))
+            yield pa.RecordBatch.from_arrays([component, pa.array(angle)], ["component", "angle"])
+
+    both = full.select("component", "size", "v").join(pivots.select("component", F.col("v").alias("pivot")), "component")
+    radius = arrow_map(both, reach, "component bigint, angle double").groupBy("component").agg(F.max("angle").alias("radius"))
+    balls = settle(pivots.join(radius, "component").select("label", "size", F.col("component").alias("id"), "radius", "v"))
+    dealt = _paired(balls, ["label", "size"], cell).select("label", "size", "i", "j", "id", "radius", "v")
+    spread = float(np.arccos(threshold)) + 1e-6
+
+    def near(batches):
+        for _, _, _, _, ids, radius, cells in _groups(batches, (0, 1, 2, 3)):
+            x, r = _unit(list(cells), single), np.array(radius)
+            met = np.arccos(np.clip(x @ x.T, -1, 1)) <= r[:, None] + r[None, :] + spread
+            least, before = np.arange(len(r)), None
+            while before is None or (least != before).any():  # the least member of each connected part
+                before, least = least, np.where(met, least[None, :], len(r)).min(axis=1)
+            far = least != np.arange(len(r))
+            if far.any():
+                ids = np.array(ids)
+                yield pa.RecordBatch.from_arrays([pa.array(ids[far]), pa.array(ids[least[far]])], ["u", "v"])
+
+    met = settle(arrow_map(dealt, near, "u bigint, v bigint").distinct())
+    return components(met).select("id", F.col("component").alias("dense"))
+
+
 def dense_counts(members: DataFrame, single: bool, threshold: float, cell: int = CELL) -> DataFrame:
-    """``id, links``: linked rows for every node of the dense components in ``members`` (component, id, size, copies, v).
+    """``id, links`` and ``id, joins`` of the dense groups in ``members`` (dense, component, id, size, copies, v).
 
-    A component is cut into blocks by hash; each pair of blocks is one group.
+    ``links`` are linked rows of a node and ``joins`` a component to which component ``id`` is linked.
+    A group is cut into blocks by hash; each pair of blocks is compared by itself.
     """
-    sizes = members.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / cell).cast("int").alias("blocks"))
-    rows = members.join(settle(sizes), "component")
-    own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
-    rows = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    keys = ["component", "i", "j"]
-    rows = rows.select("component", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "id", "size", "copies", "v")
-    dealt = rows.repartition(*keys).sortWithinPartitions(*keys, "own", "id")
+    dealt = _paired(members, ["dense"], cell).select("dense", "i", "j", "own", "id", "size", "copies", "v", "component")
 
     def run(batches):
-        for _, i, j, own, ids, size, copies, cells in _groups(batches, (0, 1, 2)):
-            own, size, copies, ids = np.array(own), np.array(size), np.array(copies), np.array(ids)
+        for _, i, j, own, ids, size, copies, cells, parts in _groups(batches, (0, 1, 2)):
+            own, size, copies, ids, parts = np.array(own), np.array(size), np.array(copies), np.array(ids), np.array(parts)
             for n in np.unique(size):
                 here = np.flatnonzero(size == n)
                 a = here if i[0] == j[0] else here[own[here] == i[0]]
@@ -245,12 +305,32 @@ def dense_counts(members: DataFrame, single: bool, threshold: float, cell: int =
                 else:
                     yield _counts(ids[a], near @ copies[b])
                     yield _counts(ids[b], near.T @ copies[a])
+                across = near & (parts[a][:, None] != parts[b][None, :])
+                if across.any():
+                    s, t = np.nonzero(across)
+                    joined = np.unique(np.stack([parts[a][s], parts[b][t]]), axis=1)
+                    yield _counts(joined[0], np.zeros(joined.shape[1]), joined[1])
 
-    return arrow_map(dealt, run, "id bigint, links bigint").groupBy("id").agg(F.sum("links").alias("links"))
+    found = arrow_map(dealt, run, "id bigint, links bigint, joins bigint")
+    return found.groupBy("id", "joins").agg(F.sum("links").alias("links"))
 
 
-def _counts(ids, links) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(links.astype(np.int64))], ["id", "links"])
+def _counts(ids, links, joins=None) -> pa.RecordBatch:
+    joins = pa.nulls(len(ids), pa.int64()) if joins is None else pa.array(joins, pa.int64())
+    return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(links.astype(np.int64)), joins], ["id", "links", "joins"])
+
+
+def dense_groups(nodes: DataFrame, lists: DataFrame, single: bool, threshold: float, k: int) -> tuple[DataFrame, DataFrame]:
+    """The links of the lists, both ways, and the nodes with ``component`` and ``dense`` (null: all its links are held)."""
+    links = lists.filter(F.col("sim") >= threshold)
+    full = links.groupBy("u").count().filter(F.col("count") >= k).select(F.col("u").alias("id"))
+    edges = settle(links.select("u", "v").union(links.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct())
+    comp = settle(components(edges))
+    saturated = settle(comp.join(full, "id").join(nodes.select("id", "label", "size", "v"), "id").select("component", "id", "label", "size", "v"))
+    groups = dense_neighbours(saturated, single, threshold).withColumnRenamed("id", "component")
+    dense = saturated.select("component").distinct().join(groups, "component", "left")
+    dense = settle(dense.select("component", F.coalesce("dense", "component").alias("dense")))
+    return edges, settle(nodes.join(comp, "id", "left").join(dense, "component", "left"))
 
 
 def near_duplicates(
@@ -268,29 +348,25 @@ def near_duplicates(
     lists = settle(_lists(found, None, k))
     done = 0
     while True:
-        if done >= rounds and (done >= most_rounds or audit(nodes, lists, single, threshold, k) >= recall):
-            break
+        if done >= rounds:
+            edges, placed = dense_groups(nodes, lists, single, threshold, k)
+            if done >= most_rounds or audit(placed, lists, single, threshold) >= recall:
+                break
         room = lists.groupBy("u").agg(F.first("room").alias("room"), F.count(F.lit(1)).alias("n"), F.min("sim").alias("worst"))
         grown = F.when((F.col("n") >= F.col("room")) & (F.col("worst") >= threshold), F.least(F.col("room") * 2, F.lit(largest))).otherwise(F.col("room"))
         size = settle(room.select("u", grown.alias("room")))
         offers = descend(nodes, lists.drop("room").join(size, "u"), single)
         lists = settle(_lists(lists.select("u", "v", "sim").unionByName(offers), size, k))
         done += 1
-    links = lists.filter(F.col("sim") >= threshold)
-    full = links.groupBy("u").count().filter(F.col("count") >= k).select(F.col("u").alias("id"))
-    edges = settle(links.select("u", "v").union(links.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct())
-    comp = settle(components(edges))
-    dense = settle(comp.join(full, "id").select("component").distinct())
-    marked = settle(comp.join(dense.withColumn("dense", F.lit(True)), "component", "left"))
-    facts = nodes.select("id", "size", "copies", "v")
-    members = marked.filter("dense").select("component", "id").join(facts, "id")
-    counted = dense_counts(members, single, threshold)
-    sparse = edges.join(marked.filter("dense is null").select(F.col("id").alias("u")), "u")
+    counted = settle(dense_counts(placed.filter("dense is not null"), single, threshold))
+    joins = components(counted.filter("joins is not null"), "id", "joins").select(F.col("id").alias("was"), F.col("component").alias("now"))
+    counted = counted.filter("joins is null").select("id", "links")
+    sparse = edges.join(placed.filter("dense is null").select(F.col("id").alias("u")), "u")
     counted = counted.union(sparse.join(nodes.select(F.col("id").alias("v"), "copies"), "v").groupBy("u").agg(F.sum("copies").alias("links")))
     counted = counted.withColumnRenamed("id", "cid")
     result = (
-        nodes.join(counted, nodes.id == counted.cid, "left").join(comp.withColumnRenamed("id", "gid"), F.col("id") == F.col("gid"), "left")
-        .select("label", "size", "v", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "id").alias("component_id"))
+        placed.join(counted, placed.id == counted.cid, "left").join(joins, F.col("component") == F.col("was"), "left")
+        .select("label", "size", "v", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("now", "component", "id").alias("component_id"))
     )
     linked = usable.join(settle(result), ["label", "size", "v"]).select("vec_id", "n_links", "component_id")
     alone = all_rows.filter(F.col("v").isNull()).select("vec_id", F.lit(0).cast("bigint").alias("n_links"), F.col("vec_id").cast("bigint").alias("component_id"))

@@ -315,6 +315,24 @@ def test_embeddings_dense_and_sparse_groups(spark):
     assert [got[i] for i in range(600)] == near.sum(axis=1).tolist()
 
 
+def test_embeddings_tight_clusters_linked_across(spark):
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(280, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    side = x[1] - (x[1] @ x[0]) * x[0]
+    centre = 0.965 * x[0] + np.sqrt(1 - 0.965**2) * side / np.linalg.norm(side)
+    x[40:80] = centre * np.sqrt(0.98) + x[40:80] * np.sqrt(0.02)
+    x[:40] = x[0] * np.sqrt(0.98) + x[80:120] * np.sqrt(0.02)
+    df = spark.createDataFrame([(i, [float(v) for v in r], 0) for i, r in enumerate(x)], "vec_id bigint, embedding array<double>, label int")
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    near = u @ u.T >= 0.93
+    assert near[:40, 40:80].sum() > 400 and not near[:80, 80:].any()
+    np.fill_diagonal(near, False)
+    got = {r["vec_id"]: r for r in rows(embeddings.near_duplicates(df))}
+    assert [got[i]["n_links"] for i in range(280)] == near.sum(axis=1).tolist()
+    assert [got[i]["component_id"] for i in range(80)] == [0] * 80
+
+
 # --- classifiers -----------------------------------------------------------------
 def test_quality_without_labels_and_awkward_rows(spark):
     labels = spark.createDataFrame([(1, None, 0)], "doc_id bigint, quality int, toxic int")
