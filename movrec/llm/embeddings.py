@@ -6,13 +6,18 @@ precision.  Equal vectors are one node with a count.
 1. First graph.  Every node is sorted by the sign codes of several sets of
    random hyperplanes (label first); in each order, blocks of consecutive nodes
    are compared and the best ``k`` of each node are kept.  Blocks are cut from
-   range partitions, so no bucket can be large.
+   range partitions, so no bucket can be large.  A label has as many orders as
+   its nodes need: a pair at the threshold meets in one block of some order with
+   probability ``1 - MISS`` or more, and no label has fewer than ``ORDERS``.
 2. Descent.  Each node's list (neighbours and best reverse neighbours) is
    gathered with their vectors; all members are compared with each other,
    and pairs better than a member's worst neighbour are offered to it.  A
    list whose every neighbour reaches the threshold is saturated and doubles.
-3. Audit.  A bounded, documented sample of nodes is compared with all rows in one
-   pass; while the links found fall short of ``recall``, another round runs.
+3. Audit.  A sample of all nodes, and one of the nodes outside dense groups, are
+   compared with all rows.  The second grows until ``AUDIT_LINKS`` true links are
+   seen, all such nodes are asked, or ``MOST_AUDIT`` are.  While the links found
+   in either fall short of ``recall``, fresh orders and another round run; after
+   ``most_rounds`` that is an error, never a result.
 4. Threshold edges.  Pairs at or above the threshold are links.  A list with
    ``k`` or more links was saturated and may have dropped others; a pair that both
    ends dropped has two saturated ends.  Components with saturated nodes are
@@ -43,9 +48,11 @@ from movrec.llm.graph import components
 
 THRESHOLD = 0.93
 K, REVERSE, LARGEST = 8, 8, 64
-ORDERS, BLOCK, CODE_BITS = 6, 128, 48
+ORDERS, BLOCK, CODE_BITS, MISS = 6, 128, 48, 0.005
 ROUNDS, MOST_ROUNDS = 2, 8
-AUDIT, RECALL = 256, 0.99
+AUDIT, AUDIT_LINKS, MOST_AUDIT, RECALL = 256, 300, 16384, 0.99
+#: a pair this near the threshold may be a link in one product and none in another
+ROUNDING = 1e-9
 CELL = 192
 
 
@@ -101,28 +108,40 @@ def _groups(batches, keys: tuple[int, ...], most: int | None = None):
         yield list(zip(*held))
 
 
-def first_graph(nodes: DataFrame, single: bool, k: int = K, orders: int = ORDERS, block: int = BLOCK) -> DataFrame:
-    """Edges ``u, v, sim`` to the best ``k`` neighbours inside blocks of each order."""
+def orders_needed(rows, threshold: float, least: int = ORDERS, block: int = BLOCK):
+    """Orders in which a pair at the threshold, among ``rows`` nodes (a column), shares a block at least once but for ``MISS``."""
+    agree = 1 - np.arccos(threshold) / np.pi  # one sign bit; about log2(rows / block) of them name a block
+    p = F.pow(F.lit(float(agree)), F.greatest(F.lit(0.0), F.log2(rows / F.lit(block))))
+    needed = F.ceil(F.lit(float(np.log(MISS))) / F.log1p(-p)).cast("int")
+    return F.when(p > 1 - 1e-6, F.lit(least)).otherwise(F.greatest(F.lit(least), needed))
+
+
+def first_graph(nodes: DataFrame, single: bool, k: int = K, threshold: float = THRESHOLD, orders: int = ORDERS, block: int = BLOCK, seed: int = 0) -> DataFrame:
+    """Edges ``u, v, sim`` to the best ``k`` neighbours inside blocks of each order; another ``seed`` gives other orders."""
 
     def codes(batches):
-        planes: dict[int, np.ndarray] = {}
+        planes: dict[tuple, np.ndarray] = {}
         for batch in batches:
-            size = np.asarray(pa.compute.binary_length(batch.column(3)))
+            size, most = np.asarray(pa.compute.binary_length(batch.column(3))), batch.column(4).to_numpy()
             for n in np.unique(size):
-                part = batch.filter(pa.array(size == n))
-                x = _unit(part.column(3).to_pylist(), single)
-                if n not in planes:
-                    planes[n] = np.random.Generator(np.random.PCG64(17)).normal(size=(x.shape[1], orders * CODE_BITS))
-                bits = (x @ planes[n] > 0).reshape(len(x), orders, CODE_BITS)
-                code = bits @ (1 << np.arange(CODE_BITS, dtype=np.int64)[::-1])
-                for t in range(orders):
+                here = np.flatnonzero(size == n)
+                x = _unit(batch.column(3).take(pa.array(here)).to_pylist(), single)
+                for t in range(int(most[here].max())):
+                    if (n, t) not in planes:
+                        planes[n, t] = np.random.Generator(np.random.PCG64([17, seed, t])).normal(size=(x.shape[1], CODE_BITS))
+                    taken = most[here] > t
+                    part = batch.take(pa.array(here[taken]))
+                    code = (x[taken] @ planes[n, t] > 0) @ (1 << np.arange(CODE_BITS, dtype=np.int64)[::-1])
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(x), t, np.int32)), part.column(1), part.column(2), pa.array(code[:, t]), part.column(0), part.column(3)],
+                        [pa.array(np.full(len(code), t, np.int32)), part.column(1), part.column(2), pa.array(code), part.column(0), part.column(3)],
                         ["t", "label", "size", "code", "id", "v"],
                     )
 
     label = nodes.schema["label"].dataType.simpleString()
-    coded = arrow_map(nodes.select("id", "label", "size", "v"), codes, f"t int, label {label}, size int, code bigint, id bigint, v binary")
+    # only labels of some thousand nodes need more orders than the least
+    large = nodes.groupBy("label", "size").count().withColumn("orders", orders_needed(F.col("count"), threshold, orders, block)).filter(F.col("orders") > orders)
+    dealt = nodes.join(F.broadcast(large.drop("count")), ["label", "size"], "left").select("id", "label", "size", "v", F.coalesce("orders", F.lit(orders)).alias("orders"))
+    coded = arrow_map(dealt, codes, f"t int, label {label}, size int, code bigint, id bigint, v binary")
     keys = ["t", "label", "size", "code", "id"]
     dealt = coded.repartitionByRange(*keys).sortWithinPartitions(*keys)
 
@@ -183,15 +202,35 @@ def descend(nodes: DataFrame, lists: DataFrame, single: bool, reverse: int = REV
     return arrow_map(dealt, compare, _EDGE)
 
 
-def audit(placed: DataFrame, lists: DataFrame, single: bool, threshold: float, sample: int = AUDIT) -> float:
-    """Share of the true links of a bounded sample that stand in the graph.
+def audit(
+    placed: DataFrame, lists: DataFrame, single: bool, threshold: float,
+    sample: int = AUDIT, links: int = AUDIT_LINKS, most: int = MOST_AUDIT,
+) -> float:
+    """Share of the true links of sampled nodes that stand in the graph; the lesser of all nodes and those outside dense groups.
 
     ``placed`` are the nodes with ``dense``, the group of components that is compared
     whole (null outside).  A link inside a group will be counted; any other must be held in a list.
     """
-    asked = placed.orderBy(F.xxhash64(F.lit("audit"), "id"), "id").limit(sample).select("id", "label", "size", "v", "dense").collect()
+    loose = placed.filter("dense is null")
+    shares = []
+    for rows, size, wanted in ((placed, sample, 0), (loose, 4 * sample, links)):
+        whole = rows.count()
+        while whole:
+            true, hit = _judge(placed, rows, min(1.0, size / whole), lists, single, threshold)
+            if true >= wanted or size >= min(whole, most):
+                shares.append(hit / true if true else 1.0)
+                break
+            size = min(4 * size, most)
+    return min(shares, default=1.0)
+
+
+def _judge(placed: DataFrame, rows: DataFrame, fraction: float, lists: DataFrame, single: bool, threshold: float) -> tuple[int, int]:
+    """True links of a fraction of ``rows`` to any of ``placed``, and how many of them stand in the graph."""
+    point = F.pmod(F.xxhash64(F.lit("audit"), "id"), F.lit(1 << 30)) / float(1 << 30)
+    asked = rows.filter(point < fraction).select("id", "label", "size", "v", "dense").collect()
     if not asked:
-        return 1.0
+        return 0, 0
+    threshold += ROUNDING
     shared = placed.sparkSession.sparkContext.broadcast([tuple(r) for r in asked])
 
     def run(batches):
@@ -223,7 +262,7 @@ def audit(placed: DataFrame, lists: DataFrame, single: bool, threshold: float, s
     held = lists.select("u", "v").union(lists.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct().withColumn("held", F.lit(1))
     hit = F.sum(F.when(F.col("u").isNull() | F.col("held").isNotNull(), F.col("n")))
     row = true.filter("n > 0").join(held, ["u", "v"], "left").agg(F.sum("n").alias("n"), hit.alias("hit")).first()
-    return 1.0 if not row["n"] else (row["hit"] or 0) / row["n"]
+    return row["n"] or 0, row["hit"] or 0
 
 
 def _group(groups: list[int | None]) -> tuple[np.ndarray, np.ndarray]:
@@ -337,25 +376,34 @@ def near_duplicates(
     rows: DataFrame, vector: str = "embedding", threshold: float = THRESHOLD, k: int = K, rounds: int = ROUNDS,
     most_rounds: int = MOST_ROUNDS, largest: int = LARGEST, recall: float = RECALL,
 ) -> DataFrame:
-    """``vec_id, n_links, component_id, kept`` for every row of ``rows`` (vec_id, label, vector)."""
+    """``vec_id, n_links, component_id, kept`` for every row of ``rows`` (vec_id, label, vector).
+
+    Raises ``RuntimeError`` if the audit still falls short of ``recall`` after ``most_rounds``.
+    """
     single = isinstance(rows.schema[vector].dataType.elementType, T.FloatType)
     all_rows = settle(vectors(rows, vector))
     usable = all_rows.filter(F.col("v").isNotNull()).withColumn("size", F.octet_length("v"))
     nodes = settle(
         usable.groupBy("label", "size", "v").agg(F.min("vec_id").cast("bigint").alias("id"), F.count(F.lit(1)).alias("copies"))
     )
-    found = first_graph(nodes, single, k)
+    found = first_graph(nodes, single, k, threshold)
     lists = settle(_lists(found, None, k))
     done = 0
     while True:
+        fresh = None
         if done >= rounds:
             edges, placed = dense_groups(nodes, lists, single, threshold, k)
-            if done >= most_rounds or audit(placed, lists, single, threshold) >= recall:
+            share = audit(placed, lists, single, threshold)
+            if share >= recall:
                 break
+            if done >= most_rounds:
+                raise RuntimeError(f"{share:.4f} of the audited links found after {done} rounds; {recall} are asked for")
+            fresh = first_graph(nodes, single, k, threshold, seed=done)
         room = lists.groupBy("u").agg(F.first("room").alias("room"), F.count(F.lit(1)).alias("n"), F.min("sim").alias("worst"))
         grown = F.when((F.col("n") >= F.col("room")) & (F.col("worst") >= threshold), F.least(F.col("room") * 2, F.lit(largest))).otherwise(F.col("room"))
         size = settle(room.select("u", grown.alias("room")))
         offers = descend(nodes, lists.drop("room").join(size, "u"), single)
+        offers = offers.unionByName(fresh) if fresh is not None else offers
         lists = settle(_lists(lists.select("u", "v", "sim").unionByName(offers), size, k))
         done += 1
     counted = settle(dense_counts(placed.filter("dense is not null"), single, threshold))

@@ -333,6 +333,32 @@ def test_embeddings_tight_clusters_linked_across(spark):
     assert [got[i]["component_id"] for i in range(80)] == [0] * 80
 
 
+def isolated_pairs(spark, n, pairs):
+    """``n`` nodes of one label; node ``i`` below ``pairs`` is linked to ``pairs + i`` at 0.935 and to no other."""
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(n, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    side = x[pairs : 2 * pairs] - (x[pairs : 2 * pairs] * x[:pairs]).sum(axis=1, keepdims=True) * x[:pairs]
+    x[pairs : 2 * pairs] = 0.935 * x[:pairs] + np.sqrt(1 - 0.935**2) * side / np.linalg.norm(side, axis=1, keepdims=True)
+    rows_ = [(i, 0, 512, bytearray(r.astype("<f8").tobytes())) for i, r in enumerate(x)]
+    return spark.createDataFrame(rows_, "id bigint, label int, size int, v binary")
+
+
+def test_embeddings_orders_follow_the_rows_of_a_label(spark):
+    nodes = isolated_pairs(spark, 4000, 400)
+    found = {(r["u"], r["v"]) for r in embeddings.first_graph(nodes, False, block=8).collect()}
+    assert sum((i, 400 + i) in found for i in range(400)) >= 392
+
+
+def test_embeddings_audit_sees_rare_links_and_is_binding(spark):
+    nodes = isolated_pairs(spark, 4000, 20)
+    none = spark.createDataFrame([], "u bigint, v bigint, sim double")
+    assert embeddings.audit(nodes.selectExpr("*", "cast(null as bigint) dense"), none, False, 0.93) == 0
+    df = spark.createDataFrame([(1, [1.0, 0.0], 1), (2, [1.0, 0.1], 1)], "vec_id bigint, embedding array<double>, label int")
+    with pytest.raises(RuntimeError, match="audited links"):
+        embeddings.near_duplicates(df, rounds=1, most_rounds=1, recall=1.5)
+
+
 # --- classifiers -----------------------------------------------------------------
 def test_quality_without_labels_and_awkward_rows(spark):
     labels = spark.createDataFrame([(1, None, 0)], "doc_id bigint, quality int, toxic int")
