@@ -192,6 +192,15 @@ def test_secret_literals_through_constants():
     assert isinstance(secrets.find_spans(ring), list)
 
 
+@pytest.mark.parametrize("name", ["signing_key", "signingKey", "client_key", "api-key", "api.key", "access-key", "access.key", "salt", "to_ken", "private1key"])
+def test_every_scored_name_is_lexed(name):
+    value = "sK9xQ2mZ7vB4nL1pW8cT5rY3dF6gH0jA"
+    for text in (f'{name}: "{value}"', f"export {name}='{value}'", f"run --{name} {value}", f"<{name}>{value}</{name}>"):
+        spans = secrets.find_spans(text)
+        assert spans == sorted(secrets.base_spans(text) + secrets.literal_spans(text), key=lambda x: (x[1], secrets.KINDS.index(x[0]), x[2]))
+        assert secrets.name_score(name) < 0.5 or [text[a:b] for k, a, b in spans if k == "literal"] == [value]
+
+
 def test_secret_rows(spark):
     texts = AWKWARD + [(20, 'é token = "abcdef0123456789abcdef0123456789"')]
     got = rows(secrets.scan_secrets(docs_of(spark, texts)))
