@@ -2,9 +2,9 @@
 
 A document is a bag of passages of ``passage`` words.  Every passage of the
 whole text is encoded by counts of hashed byte-class trigrams (letters by case,
-digits, white space, each punctuation mark) and by a few word statistics
-(repeated neighbours, share of distinct words, lengths); a linear layer with
-tanh turns that into an embedding.  Gated attention, ``softmax(w . (tanh(V h) *
+digits, white space, each punctuation mark), by a few word statistics
+(repeated neighbours, share of distinct words, lengths) and by counts of its
+hashed words, ASCII letters lowered; a linear layer with tanh turns that into an embedding.  Gated attention, ``softmax(w . (tanh(V h) *
 sigmoid(U h)))``, weights the passages, and a logistic layer scores the weighted
 sum.  All layers are trained together from document labels by Adam.
 
@@ -19,6 +19,7 @@ repeated rows are scored one by one; other columns are not read.
 
 from __future__ import annotations
 
+import zlib
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -31,7 +32,7 @@ from movrec.llm.common import arrow_map, held_out
 from movrec.llm.language import bounded_sample
 
 PASSAGE = 96
-DIMS = 512
+DIMS, WORDS = 512, 512
 HIDDEN, ATTENTION = 24, 16
 MAX_LABELLED = 4000
 EPOCHS = 30
@@ -56,7 +57,7 @@ def encode(data: np.ndarray, offsets: np.ndarray, passage: int = PASSAGE, dims:
     first_part = np.concatenate(([0], np.cumsum(parts)))
     bag = np.repeat(np.arange(n), parts)
     total = int(first_part[-1])
-    out = np.zeros((total, dims + _STATS), np.float32)
+    out = np.zeros((total, dims + _STATS + WORDS), np.float32)
     if not len(starts):  # what the statistics below give for a passage without words
         out[:, dims + 4], out[:, dims + 6], out[:, dims + 7] = 1, np.log1p(1) / 5, float(1 < passage)
         return out, bag
@@ -73,8 +74,7 @@ def encode(data: np.ndarray, offsets: np.ndarray, passage: int = PASSAGE, dims:
         ok = (at_byte[:-2] >= 0) & (text[:-2] == text[2:])
         bins = (W.mix(code[ok].astype(np.uint64)) % np.uint64(dims)).astype(np.int64)
         seen = np.bincount(at_byte[:-2][ok] * dims + bins, minlength=total * dims).reshape(total, dims)
-        share = np.sqrt(seen)
-        out[:, :dims] = share / np.maximum(1e-9, np.linalg.norm(share, axis=1, keepdims=True))
+        out[:, :dims] = _scaled(seen)
     sums = W.Sums(21)
     word = sums.slices(sums.over(sums.bytes[W.LOWER[data]]), starts, ends)
     words = np.maximum(1, np.bincount(of_word, minlength=total))
@@ -84,14 +84,21 @@ def encode(data: np.ndarray, offsets: np.ndarray, passage: int = PASSAGE, dims:
     per = lambda v: np.bincount(of_word, weights=v, minlength=total) / words
     upper = np.cumsum(np.concatenate(([0], (data >= 0x41) & (data <= 0x5A))))
     plain = np.cumsum(np.concatenate(([0], W.ALNUM[W.LOWER[data]])))
-    out[:, dims:] = np.stack([
+    out[:, dims : dims + _STATS] = np.stack([
         per(same.astype(float)), np.bincount(of_word[order][new], minlength=total) / words, per(lens.astype(float)) / 10,
         per((upper[ends] - upper[starts]) / lens), 1 - per((plain[ends] - plain[starts]) / lens),
         per((lens == 1).astype(float)), np.log1p(words) / 5, (words < passage).astype(float),
     ], axis=1)
+    bins = (W.mix(word.view(np.uint64)) % np.uint64(WORDS)).astype(np.int64)
+    out[:, dims + _STATS :] = _scaled(np.bincount(of_word * WORDS + bins, minlength=total * WORDS).reshape(total, WORDS))
     return out, bag
 
 
+def _scaled(seen: np.ndarray) -> np.ndarray:
+    share = np.sqrt(seen)
+    return share / np.maximum(1e-9, np.linalg.norm(share, axis=1, keepdims=True))
+
+
 @dataclass
 class AttentionModel:
     """Encoder, gated attention and classifier."""
@@ -186,7 +193,7 @@ def fit_quality_model(docs: DataFrame, labels: DataFrame, max_labelled: int = MA
             raw, offsets = W.buffers(batch.column(1))
             for i, j in W.runs(offsets):
                 x, bag = encode(raw[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], passage, dims)
-                cells = [x[bag == k].astype("<f4").tobytes() for k in range(j - i)]
+                cells = [zlib.compress(x[bag == k].astype("<f4").tobytes(), 1) for k in range(j - i)]  # mostly zeros
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), batch.column(2).slice(i, j - i), pa.array(cells, pa.binary())], ["doc_id", "quality", "x"])
 
     rows = arrow_map(texts, run, f"doc_id {kind}, quality int, x binary").withColumn("h", F.xxhash64(F.lit("order"), "doc_id")).toPandas()
@@ -196,8 +203,12 @@ def fit_quality_model(docs: DataFrame, labels: DataFrame, max_labelled: int = MA
     if len(set(y)) < 2:
         model.constant = float(y[0]) if len(y) else 1.0
         return model
-    bags = [np.frombuffer(b, "<f4").reshape(-1, dims + _STATS) for b in rows["x"]]
-    x, bag = np.concatenate(bags), np.repeat(np.arange(len(bags)), [len(b) for b in bags])
+    cells, ends = bytearray(), [0]
+    for b in rows["x"]:  # the driver holds one copy
+        cells += zlib.decompress(b)
+        ends.append(len(cells))
+    x = np.frombuffer(cells, "<f4").reshape(-1, dims + _STATS + WORDS)
+    bag = np.repeat(np.arange(len(rows)), np.diff(ends) // (4 * x.shape[1]))
     model.constant, model.p = None, train(x, bag, y, dims)
     return model
 

@@ -134,6 +134,17 @@ def test_attention_training_learns_from_one_bad_passage():
     assert weight.min() >= 0 and np.allclose(np.bincount(bag[bag >= 120] - 120, weights=weight), 1)
 
 
+def test_attention_training_learns_from_wording_alone():
+    rng = np.random.default_rng(11)
+    good, bad = (["stone", "river", "cloud", "field", "plant"], ["lucky", "prize", "spins", "bonus", "wager"])
+    texts = [" ".join(rng.choice(bad if n % 2 else good, 60)) for n in range(160)]
+    x, bag = quality.encode(*W.buffers(pa.array(texts)), passage=24)
+    y = np.array([1 - n % 2 for n in range(160)])
+    p = quality.train(x[bag < 120], bag[bag < 120], y[:120])
+    out = quality.AttentionModel(passage=24, constant=None, p=p).forward(x[bag >= 120], bag[bag >= 120] - 120, 40)[0]
+    assert ((out >= 0.5) == (y[120:] == 1)).mean() >= 0.95
+
+
 @pytest.mark.parametrize("dtype", ["<f4", "<f8"])
 def test_unit_vectors_survive_extreme_sizes(dtype):
     from movrec.llm import embeddings
