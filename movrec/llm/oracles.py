@@ -144,6 +144,28 @@ SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hi
 FROM docs d LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)
 """
 
+OP11 = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS d, doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents
+), terms AS (
+  SELECT d, doc_id, unnest(regexp_extract_all(t, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM docs
+), lengths AS (SELECT d, count(*) AS n FROM terms GROUP BY d),
+corpus AS (SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS total FROM lengths),
+asked AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                     '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark
+), counts AS (
+  SELECT d, doc_id, term, count(*)::BIGINT AS tf FROM terms WHERE term IN (SELECT term FROM asked) GROUP BY d, doc_id, term
+), weights AS (SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM counts, corpus GROUP BY term, docs),
+scores AS (
+  SELECT item_id, d, doc_id, sum(w * ((1000000000::BIGINT * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * docs) // total))))::BIGINT AS score
+  FROM asked JOIN weights USING (term) JOIN counts USING (term) JOIN lengths USING (d), corpus GROUP BY item_id, d, doc_id
+), ranked AS (
+  SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST)::INT AS rank, doc_id, score FROM scores WHERE score > 0
+)
+SELECT * FROM ranked WHERE rank <= 10
+"""
+
 ORACLE_SQL = {
     "op1_url_filter": OP1,
     "op2_chat_format": OP2,
@@ -151,4 +173,5 @@ ORACLE_SQL = {
     "op6_substring_dedup": OP6,
     "op7_source_mixing": OP7,
     "op10_benchmark_decontamination": OP10,
+    "op11_ranked_search": OP11,
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from movrec.llm import chat, decontaminate, embeddings, language, mixing, quality, secrets, simhash, substring, url_filter
+from movrec.llm import chat, decontaminate, embeddings, language, licenses, mixing, periodic, quality, ranked_search, secrets, simhash, substring, url_filter
 from movrec.llm.common import held_out, table
 
 RULES = (("org", "/", True), ("example.org", "/es/", False), ("example.org", "/en/1", False), ("com", "/fr/", True), ("com", "/de/", False))
@@ -81,6 +81,44 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     )
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan_licenses(table(spark, sf_dir, "documents"))
+    base = F.filter("places", lambda p: p.base)
+    words = F.transform(base, lambda p: p.word)
+    return found.select(
+        "doc_id", "n_words", F.size(base).cast("bigint").alias("n_base"), F.array_min(words).alias("first_word"), F.array_max(words).alias("last_word"),
+        F.array_join(F.array_sort(F.array_distinct(F.transform(base, lambda p: p.label))), ",").alias("base_labels"),
+        F.array_join("labels", ",").alias("labels"), "score",
+    )
+
+
+def planted_runs(docs: DataFrame) -> DataFrame:
+    """The texts of op13: in every tenth document, by its id, the end repeats the words from one place on."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    split = docs.select("doc_id", "text", F.floor(h / 10).alias("g"), F.when(h % 10 == 0, words).alias("w")).withColumn("n", F.size("w"))
+    places = split.withColumn("a", F.when(F.col("n") > 0, (F.col("g") % F.col("n")).cast("int")))
+    places = places.withColumn("p", (1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))).cast("int"))
+    tail = F.expr("slice(flatten(array_repeat(slice(w, a + 1, p), int(ceil((n - a) / p)))), 1, n - a)")
+    planted = F.array_join(F.concat(F.expr("slice(w, 1, a)"), tail), " ")
+    return places.select("doc_id", F.when(F.col("n") > 0, planted).otherwise(F.col("text")).alias("text"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.find_runs(planted_runs(table(spark, sf_dir, "documents")))
+    best = F.aggregate("runs", F.get("runs", F.lit(0)), lambda b, r: F.when(r.length * b.period > b.length * r.period, r).otherwise(b))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r.start, r.length, r.period), F.lit("\n")))
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES = {
     "op1_url_filter": op1_url_filter,
     "op2_chat_format": op2_chat_format,
@@ -92,4 +130,7 @@ QUERIES = {
     "op8_language_id": op8_language_id,
     "op9_secret_scan": op9_secret_scan,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
+    "op11_ranked_search": op11_ranked_search,
+    "op12_license_scan": op12_license_scan,
+    "op13_periodic_runs": op13_periodic_runs,
 }
