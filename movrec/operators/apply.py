@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from movrec.operators.sizing import Measured, materialize
-from movrec.schema import PREVIEW_ROWS, STATUS_COLUMN
+from movrec.schema import PREVIEW_ROWS, STATUS_COLUMN, WRITE_KEY
 
 
 @dataclass(frozen=True)
@@ -26,6 +26,20 @@ class Constant:
     value: object
 
 
+@dataclass(frozen=True)
+class Change:
+    """A measured change set with the columns it is keyed on and what it assigns (nothing: it deletes)."""
+
+    keys: Measured
+    columns: Sequence[str]
+    assign: Mapping[str, str | Column | Constant] | None = None
+
+    def __call__(self, mov: DataFrame) -> DataFrame:
+        if self.assign is None:
+            return apply_deletes(mov, self.keys, self.columns)
+        return apply_updates(mov, self.keys, self.columns, self.assign)
+
+
 def _small(changes: DataFrame | Measured) -> DataFrame:
     if isinstance(changes, Measured):
         return changes.side()
@@ -138,17 +152,6 @@ def touched_periods(keys_df: DataFrame | Measured, partition_col: str = "periodo
     return [r[0] for r in keys.select(partition_col).distinct().collect() if r[0] is not None]
 
 
-def touched_partitions(
-    spark, path: str, periods: Sequence, partition_col: str = "periodo", fmt: str = "parquet", schema=None
-) -> DataFrame:
-    """The rows of the partitions of the given periods (a literal ``IN`` partition
-    filter, so only those folders are listed and read)."""
-    from movrec.sources.snapshot import load_snapshot
-
-    mov = load_snapshot(spark, path, fmt=fmt, schema=schema)
-    return mov.filter(F.col(partition_col).isin(list(periods)))
-
-
 def rewrite_touched_partitions(
     spark,
     path: str,
@@ -156,54 +159,97 @@ def rewrite_touched_partitions(
     change: Callable[[DataFrame], DataFrame],
     partition_col: str = "periodo",
     schema=None,
+    key_columns: Sequence[str] = WRITE_KEY,
 ) -> int:
     """Apply ``change`` to a Parquet snapshot partitioned by ``partition_col`` at ``path``,
-    rewriting only the partitions whose period occurs in ``keys_df``.
-
-    The new rows of the touched partitions and the list of their periods are
-    written next to the table first (``<path>.rewrite``), then switched in by
-    :func:`finish_rewrite`.  After a crash during the switch the next call
-    finishes it from there before it does anything else.  Returns the number of
-    rows in the touched partitions.
+    rewriting only the files that hold a row of ``keys_df``.
+
+    The periods of the keys prune the partitions (a literal ``IN``), a semi join on
+    the keys and the files' names finds the files, and only those are read in full.
+    Their new rows and the list of the old files are written next to the table
+    (``<path>.rewrite``), then switched in by :func:`finish_rewrite`.  Files that
+    come into the table meanwhile, or hold none of the keys, are never read, moved
+    or removed.  Returns the number of rows in the new files.  One writer at a time.
     """
     from movrec.session import remove_path
+    from movrec.sources.snapshot import load_snapshot
 
     finish_rewrite(spark, path, partition_col)
     periods = touched_periods(keys_df, partition_col)
-    if not periods:
+    files = touched_files(spark, path, keys_df, key_columns, periods, partition_col, schema)
+    if not files:
         return 0
-    mov = touched_partitions(spark, path, periods, partition_col, schema=schema)
+    part = load_snapshot(spark, files, schema=schema, basePath=path)
     aside = _aside(path)
     remove_path(spark, aside)
-    change(mov).select(*mov.columns).write.parquet(f"{aside}/rows")
-    spark.createDataFrame([(p,) for p in periods], mov.select(partition_col).schema).write.parquet(f"{aside}/periods")
-    return finish_rewrite(spark, path, partition_col)
+    new = change(part).select(*part.columns).hint("rebalance", partition_col)
+    new.write.partitionBy(partition_col).parquet(f"{aside}/rows")
+    rows = load_snapshot(spark, f"{aside}/rows", schema=part.schema).count()
+    spark.createDataFrame([(f,) for f in files], "file string").coalesce(1).write.parquet(f"{aside}/replaced")
+    finish_rewrite(spark, path, partition_col)
+    return rows
+
+
+def touched_files(
+    spark, path: str, keys_df: DataFrame | Measured, key_columns: Sequence[str], periods: Sequence, partition_col: str = "periodo", schema=None
+) -> list[str]:
+    """The files of the given periods that hold a row with one of the keys: at most the files the driver lists anyway."""
+    if not periods:
+        return []
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    rows = reader.parquet(path).filter(F.col(partition_col).isin(list(periods)))
+    named = rows.select(*key_columns, F.col("_metadata.file_path").alias("_file"))
+    uris = touched_rows(named, keys_df, key_columns).select("_file").distinct().collect()
+    jvm = spark._jvm
+    return sorted(jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(r[0])).toString() for r in uris)
 
 
 def _aside(path: str) -> str:
     return f"{path.rstrip('/')}.rewrite"
 
 
-def finish_rewrite(spark, path: str, partition_col: str = "periodo") -> int:
-    """Switch in the rewritten partitions that lie next to ``path``, if they are complete.
+def finish_rewrite(spark, path: str, partition_col: str = "periodo") -> bool:
+    """Switch in the rewritten files that lie next to ``path``, if they are complete.
 
-    Partitions with rows are replaced by dynamic overwrite; a period that got no
-    rows is not reached by that, so its folder is removed.  Repeating any of
-    this gives the same table.
+    New files are moved into the table one by one, then the old ones that the list
+    names are removed; whatever was done before a crash is passed over, so calling
+    this again ends in the same table.  Between the two a reader may see a row
+    twice, never lose one; outputs and transforms finish a pending switch before
+    they read.  False if there was none (staging that never became complete is
+    ignored, and replaced by the next rewrite).
     """
     from movrec.session import hadoop_path, remove_path
 
     aside = _aside(path)
-    fs, ready = hadoop_path(spark, f"{aside}/periods/_SUCCESS")  # written last
+    fs, ready = hadoop_path(spark, f"{aside}/replaced/_SUCCESS")  # written last
     if not fs.exists(ready):
-        return 0
-    rows = spark.read.parquet(f"{aside}/rows")
-    left = {r[0]: r[1] for r in rows.groupBy(partition_col).count().collect()}
-    if left:
-        writer = rows.hint("rebalance", partition_col).write.mode("overwrite")
-        writer.option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(path)
-    for (period,) in spark.read.parquet(f"{aside}/periods").collect():
-        if period not in left:
-            remove_path(spark, f"{path.rstrip('/')}/{partition_col}={period}")
+        return False
+    replaced = [r[0] for r in spark.read.schema("file string").parquet(f"{aside}/replaced").collect()]
+    for name in staged_files(spark, f"{aside}/rows", partition_col):
+        _, source = hadoop_path(spark, f"{aside}/rows/{name}")
+        _, target = hadoop_path(spark, f"{path.rstrip('/')}/{name}")
+        fs.mkdirs(target.getParent())
+        if not fs.rename(source, target):
+            raise OSError(f"could not move {source} to {target}")
+    for name in replaced:
+        _, old = hadoop_path(spark, name)
+        fs.delete(old, False)
+        folder = old.getParent()
+        if fs.exists(folder) and not any(_is_data(f) for f in fs.listStatus(folder)):
+            fs.delete(folder, True)  # a period without rows
     remove_path(spark, aside)
-    return sum(left.values())
+    spark.catalog.refreshByPath(path)
+    return True
+
+
+def _is_data(status) -> bool:
+    return status.isFile() and not status.getPath().getName().startswith(("_", "."))
+
+
+def staged_files(spark, folder: str, partition_col: str) -> list[str]:
+    """``<partition>/<file>`` of every data file one level below ``folder``."""
+    from movrec.session import hadoop_path
+
+    fs, root = hadoop_path(spark, folder)
+    parts = [p.getPath() for p in fs.listStatus(root) if p.isDirectory() and p.getPath().getName().startswith(f"{partition_col}=")]
+    return [f"{p.getName()}/{f.getPath().getName()}" for p in parts for f in fs.listStatus(p) if _is_data(f)]

@@ -20,13 +20,14 @@ from movrec.operators import changes as ch
 from movrec.operators import requests as rq
 from movrec.operators import windows as wn
 from movrec.operators.archive import BATCH_COLUMN, archive_and_purge
+from movrec.operators.changelog import ChangeLog
 from movrec.operators.sizing import materialize
 from movrec.plans import host
 from movrec.schema import DATE_PATTERN, WRITE_KEY, movement_schema
 from movrec.session import ensure_checkpoint_dir, scratch_path
-from movrec.sources.fixtures import fixture_snapshot, solicitudes, ventanas, ventanas_clientes
+from movrec.sources.fixtures import fixture_snapshot, fixture_snapshot_place, solicitudes, ventanas, ventanas_clientes
 from movrec.sources.lake import lake_path
-from movrec.sources.snapshot import load_snapshot, write_snapshot
+from movrec.sources.snapshot import load_snapshot, write_clustered
 
 Plan = Callable[[SparkSession, str], DataFrame]
 
@@ -269,7 +270,8 @@ def q_archive_rerun(spark, sf_dir):
 
 def _partitioned(spark, sf_dir) -> str:
     """A copy of the snapshot, partitioned by period, that outputs may rewrite."""
-    return write_snapshot(movements(spark, sf_dir), scratch_path(spark, "in-place"), partition_by="periodo")
+    dealt = movements(spark, sf_dir).repartition(spark.sparkContext.defaultParallelism, "periodo")
+    return write_clustered(dealt, scratch_path(spark, "in-place"), partition_by="periodo")
 
 
 def q_request_leg_delete_in_place(spark, sf_dir):
@@ -287,6 +289,44 @@ def q_purge_in_place(spark, sf_dir):
     return format_movements(load_snapshot(spark, path, schema=movement_schema()))
 
 
+def _logged(spark, sf_dir, compact: bool) -> ChangeLog:
+    """Mark, park, delete and release committed to a log, in this order; each step reads what the ones before it left."""
+    ensure_checkpoint_dir(spark)
+    path, schema = fixture_snapshot_place(spark, sf_dir)
+    log = ChangeLog(spark, path, scratch_path(spark, "changes"), schema)
+    req = requests(spark, sf_dir)
+    before = log.read()
+    marks = materialize(ch.mark_reposted_changes(req, before))
+    park = materialize(ch.park_unmatched_keys(rq.match_requests(req, before)))
+    log.commit(ap.Change(marks, ch.MARK_KEYS, ch.MARK_ASSIGN))
+    log.commit(ap.Change(park, WRITE_KEY, ch.PARK_ASSIGN))
+    log.commit(ap.Change(materialize(ch.request_leg_delete_keys(req)), WRITE_KEY))
+    if compact:
+        log.compact()
+        log.clean()
+    found = wn.match_windows(windows(spark, sf_dir), log.read())
+    log.commit(ap.Change(materialize(ch.release_parked_keys(found)), WRITE_KEY, ch.RELEASE_ASSIGN))
+    return log
+
+
+def q_overlay_snapshot(spark, sf_dir):
+    """The base with four change sets laid over it."""
+    return format_movements(_logged(spark, sf_dir, compact=False).read())
+
+
+def q_overlay_compacted(spark, sf_dir):
+    """Three change sets folded into a new base, the fourth laid over that."""
+    return format_movements(_logged(spark, sf_dir, compact=True).read())
+
+
+def q_park_in_place(spark, sf_dir):
+    """O4 in place, by file, read back from disk."""
+    path = _partitioned(spark, sf_dir)
+    params = {"SNAPSHOT_PATH": path, "REWRITE_IN_PLACE": "true"}
+    host.output_park(spark, q_match_requests(spark, sf_dir), {}, params)
+    return format_movements(load_snapshot(spark, path, schema=movement_schema()))
+
+
 def _audited(spark, sf_dir) -> DataFrame:
     """Parked rows audited after the leg delete: some keys are gone, some rows have none."""
     mov, req = movements(spark, sf_dir), requests(spark, sf_dir)
@@ -334,6 +374,9 @@ PLANS: dict[str, Plan] = {
     "archive_rerun": q_archive_rerun,
     "request_leg_delete_in_place": q_request_leg_delete_in_place,
     "purge_in_place": q_purge_in_place,
+    "park_in_place": q_park_in_place,
+    "overlay_snapshot": q_overlay_snapshot,
+    "overlay_compacted": q_overlay_compacted,
     "action_audit": q_action_audit,
     "status_preview": q_status_preview,
 }

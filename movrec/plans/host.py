@@ -15,7 +15,10 @@ set-based results; writes are change sets applied to a new snapshot version.
   ``JDBC_UPPER``, which default to the bounds the database reports;
 * where an output writes, one of: ``SNAPSHOT_OUT``, a new snapshot version that
   keeps the partitioning of the old; ``REWRITE_IN_PLACE`` (true), for a Parquet
-  snapshot partitioned by ``periodo``: only touched partitions are rewritten;
+  snapshot partitioned by ``periodo``: only the files that hold a touched row are
+  rewritten; ``CHANGE_LOG`` (true), for a Parquet snapshot: the change set is
+  committed to the log beside it (:mod:`movrec.operators.changelog`), and whoever
+  names the snapshot here reads it with all committed changes;
   ``JDBC_STAGE_TABLE``, the change set loaded into a staging table of the
   database, for one set-based statement there; or ``DRY_RUN`` (true): nothing is
   written and the result is lazy.  An output with none of these raises;
@@ -40,6 +43,7 @@ from movrec.operators import changes as ch
 from movrec.operators import requests as rq
 from movrec.operators import windows as wn
 from movrec.operators.archive import archive_and_purge
+from movrec.operators.changelog import ChangeLog
 from movrec.operators.sizing import Measured, materialize
 from movrec.schema import REQUEST_COLUMNS, STANDIN, STATUS_COLUMN, VERDICT_COLUMN, WRITE_KEY
 from movrec.sources.lake import lake_path
@@ -67,7 +71,17 @@ def _jdbc_connection(params: dict) -> dict:
     )
 
 
+def _parquet(params: dict) -> bool:
+    return bool(params.get("SNAPSHOT_PATH")) and params.get("SNAPSHOT_FORMAT", "parquet") == "parquet"
+
+
 def snapshot_from_params(spark: SparkSession, params: dict) -> DataFrame:
+    """The snapshot as it stands: an in-place rewrite that a crash broke off is finished, a change log laid over it."""
+    if _parquet(params):
+        ap.finish_rewrite(spark, params["SNAPSHOT_PATH"])
+        log = ChangeLog(spark, params["SNAPSHOT_PATH"])
+        if log.entries():
+            return log.read()
     if params.get("SNAPSHOT_PATH"):
         return load_snapshot(spark, params["SNAPSHOT_PATH"], fmt=params.get("SNAPSHOT_FORMAT", "parquet"))
     if params.get("JDBC_URL"):
@@ -97,33 +111,37 @@ class OutputResult:
 
 def _target(params: dict) -> str:
     """Which of the output targets the parameters name; checked before any work."""
-    targets = [n for n in ("SNAPSHOT_OUT", "JDBC_STAGE_TABLE") if params.get(n)] + [n for n in ("REWRITE_IN_PLACE", "DRY_RUN") if flag(params, n)]
+    targets = [n for n in ("SNAPSHOT_OUT", "JDBC_STAGE_TABLE") if params.get(n)] + [n for n in ("REWRITE_IN_PLACE", "CHANGE_LOG", "DRY_RUN") if flag(params, n)]
     if len(targets) != 1:
-        raise ValueError(f"an output needs one of SNAPSHOT_OUT, REWRITE_IN_PLACE, JDBC_STAGE_TABLE or DRY_RUN; got {targets or 'none'}")
-    if targets[0] == "REWRITE_IN_PLACE":
-        if not params.get("SNAPSHOT_PATH") or params.get("SNAPSHOT_FORMAT", "parquet") != "parquet":
-            raise ValueError("REWRITE_IN_PLACE needs a Parquet SNAPSHOT_PATH; table formats apply the change set with their MERGE")
+        raise ValueError(f"an output needs one of SNAPSHOT_OUT, REWRITE_IN_PLACE, CHANGE_LOG, JDBC_STAGE_TABLE or DRY_RUN; got {targets or 'none'}")
+    if targets[0] in ("REWRITE_IN_PLACE", "CHANGE_LOG") and not _parquet(params):
+        raise ValueError(f"{targets[0]} needs a Parquet SNAPSHOT_PATH; table formats apply the change set with their MERGE")
     return targets[0]
 
 
-def _finish(spark, params, mov, status, keys: Measured, change) -> OutputResult:
+def _finish(spark, params, mov, status, change: ap.Change) -> OutputResult:
     """Write what the target asks for; the audit describes the snapshot before that."""
-    target = _target(params)
+    target, keys = _target(params), change.keys
     if target == "DRY_RUN":
         return OutputResult(change(mov), status, keys.df)
     status = materialize(status).df
+    path = params.get("SNAPSHOT_PATH")
     if target == "JDBC_STAGE_TABLE":
         stage_changes_jdbc(keys.df, params["JDBC_STAGE_TABLE"], **_jdbc_connection(params))
         return OutputResult(change(mov), status, keys.df, params["JDBC_STAGE_TABLE"])
+    if target == "CHANGE_LOG":
+        log = ChangeLog(spark, path)
+        log.commit(change)
+        return OutputResult(log.read(), status, keys.df, log.log)
     if target == "REWRITE_IN_PLACE":
-        path = params["SNAPSHOT_PATH"]
         if not partitioned_by_period(spark, path):
             raise ValueError(f"{path} is not partitioned by periodo: nothing can be rewritten in place")
-        ap.rewrite_touched_partitions(spark, path, keys, change, schema=mov.schema)
+        if ChangeLog(spark, path).entries():
+            raise ValueError(f"{path} has a change log: commit to that (CHANGE_LOG), or write a new version (SNAPSHOT_OUT)")
+        ap.rewrite_touched_partitions(spark, path, keys, change, schema=mov.schema, key_columns=change.columns)
         return OutputResult(load_snapshot(spark, path, schema=mov.schema), status, keys.df, path)
     out = params["SNAPSHOT_OUT"]
-    parquet = params.get("SNAPSHOT_PATH") and params.get("SNAPSHOT_FORMAT", "parquet") == "parquet"
-    kept = "periodo" if parquet and partitioned_by_period(spark, params["SNAPSHOT_PATH"]) else None
+    kept = "periodo" if _parquet(params) and partitioned_by_period(spark, path) else None
     write_snapshot(change(mov), out, partition_by=kept)
     return OutputResult(load_snapshot(spark, out, schema=mov.schema), status, keys.df, out)
 
@@ -167,8 +185,7 @@ def mark_requests(spark: SparkSession, df: DataFrame, write_options: dict, param
     marks = materialize(ch.mark_reposted_changes(rows, mov))
     ids = [F.col("guid_ordenante"), F.col("guid_beneficiario")]
     status = _row_status(rows, all_truthy(rows, rq.REQUEST_GUARD), ch.mark_hits(rows, mov), ids)
-    change = lambda part: ap.apply_updates(part, marks, ch.MARK_KEYS, ch.MARK_ASSIGN)
-    return _finish(spark, params, mov, status, marks, change)
+    return _finish(spark, params, mov, status, ap.Change(marks, ch.MARK_KEYS, ch.MARK_ASSIGN))
 
 
 def output_delete_legs(spark: SparkSession, df: DataFrame, write_options: dict, params: dict) -> OutputResult:
@@ -186,8 +203,7 @@ def output_delete_legs(spark: SparkSession, df: DataFrame, write_options: dict,
     )
     found = legs.join(ap.present_keys(legs.select(*WRITE_KEY), mov, WRITE_KEY), list(WRITE_KEY)).select("_row").distinct()
     status = _row_status(rows, ok, found, [F.col("periodo").cast("string").alias("periodo"), F.col("guid_ordenante"), F.col("guid_beneficiario")])
-    change = lambda part: ap.apply_deletes(part, keys, WRITE_KEY)
-    return _finish(spark, params, mov, status, keys, change)
+    return _finish(spark, params, mov, status, ap.Change(keys, WRITE_KEY))
 
 
 def output_park(spark: SparkSession, df: DataFrame, write_options: dict, params: dict) -> OutputResult:
@@ -203,8 +219,7 @@ def output_park(spark: SparkSession, df: DataFrame, write_options: dict, params:
         rows = rows.filter(F.col("tipo_procesamiento") == F.lit(STANDIN))
     keys = materialize(ch.park_unmatched_keys(matched, only_standin=only_standin))
     key_cols = ch.PARK_STANDIN_KEYS if only_standin else WRITE_KEY
-    change = lambda part: ap.apply_updates(part, keys, key_cols, ch.PARK_ASSIGN)
-    return _finish(spark, params, mov, _key_status(rows, mov, key_cols), keys, change)
+    return _finish(spark, params, mov, _key_status(rows, mov, key_cols), ap.Change(keys, key_cols, ch.PARK_ASSIGN))
 
 
 def output_release(spark: SparkSession, df: DataFrame, write_options: dict, params: dict) -> OutputResult:
@@ -213,8 +228,7 @@ def output_release(spark: SparkSession, df: DataFrame, write_options: dict, para
     mov = snapshot_from_params(spark, params)
     rows = ch.parked_rows(_driving(df, (*WRITE_KEY, "tipo_procesamiento")))
     keys = materialize(ch.result_keys(rows))
-    change = lambda part: ap.apply_updates(part, keys, WRITE_KEY, ch.RELEASE_ASSIGN)
-    return _finish(spark, params, mov, _key_status(rows, mov), keys, change)
+    return _finish(spark, params, mov, _key_status(rows, mov), ap.Change(keys, WRITE_KEY, ch.RELEASE_ASSIGN))
 
 
 def output_archive(spark: SparkSession, df: DataFrame, write_options: dict, params: dict) -> OutputResult:
@@ -226,5 +240,4 @@ def output_archive(spark: SparkSession, df: DataFrame, write_options: dict, para
     rows = materialize(df.select("*", *missing)).df
     status = materialize(_key_status(ch.archive_rows(rows), mov)).df
     res = archive_and_purge(rows, mov, path, fmt=params.get("LAKE_FORMAT", "delta"), batch_id=params.get("BATCH_ID"))
-    change = lambda part: ap.apply_deletes(part, res.keys, WRITE_KEY)
-    return _finish(spark, params, mov, status, res.keys, change)
+    return _finish(spark, params, mov, status, ap.Change(res.keys, WRITE_KEY))

@@ -205,17 +205,15 @@ def ventanas_clientes(spark: SparkSession, sf_dir: str) -> DataFrame:
 _SNAPSHOTS: dict[tuple[str, str], tuple] = {}
 
 
-def fixture_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The derived movement snapshot, written once per application as Parquet
-    (clustered by ``periodo``) under the shared checkpoint folder and read back.
+def fixture_snapshot_place(spark: SparkSession, sf_dir: str) -> tuple:
+    """``(path, schema)`` of the derived movement snapshot, written once per application
+    as Parquet (clustered by ``periodo``) under the shared checkpoint folder.
 
-    This plays the role of the hot table: queries then read a real columnar
-    table, so period filters and column pruning reach the scan.  The narrow
-    legs are clustered, and their 50 columns computed after that shuffle.  The
-    copy is removed when the application ends.
+    The narrow legs are clustered, and their 50 columns computed after that
+    shuffle.  The copy is removed when the application ends.
     """
     from movrec.session import scratch_path
-    from movrec.sources.snapshot import MAX_ROWS_PER_FILE, cluster_by_period, load_snapshot, write_clustered
+    from movrec.sources.snapshot import MAX_ROWS_PER_FILE, cluster_by_period, write_clustered
 
     key = (spark.sparkContext.applicationId, sf_dir)
     hit = _SNAPSHOTS.get(key)
@@ -229,4 +227,16 @@ def fixture_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
         for old in [k for k in _SNAPSHOTS if k[0] != key[0]]:  # their files went with their applications
             del _SNAPSHOTS[old]
         _SNAPSHOTS[key] = hit
-    return load_snapshot(spark, hit[0], schema=hit[1])
+    return hit
+
+
+def fixture_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The derived movement snapshot, read back from disk.
+
+    This plays the role of the hot table: queries then read a real columnar
+    table, so period filters and column pruning reach the scan.
+    """
+    from movrec.sources.snapshot import load_snapshot
+
+    path, schema = fixture_snapshot_place(spark, sf_dir)
+    return load_snapshot(spark, path, schema=schema)

@@ -19,7 +19,7 @@ from movrec.schema import MOVEMENT_COLUMNS
 MAX_ROWS_PER_FILE = 5_000_000
 
 
-def load_snapshot(spark: SparkSession, path: str, fmt: str = "parquet", schema=None, **options) -> DataFrame:
+def load_snapshot(spark: SparkSession, path: str | list[str], fmt: str = "parquet", schema=None, **options) -> DataFrame:
     """Read a movement snapshot written by :func:`write_snapshot` (or any table with the 50 columns).
 
     Pass ``schema`` when it is known to skip schema inference on the files.

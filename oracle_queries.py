@@ -153,24 +153,29 @@ matched{suffix} AS (
 REQ_CTES = REQ_BASE + "," + requests_over()
 
 
-WIN_CTES = """
+def windows_over(source: str = "movimientos", suffix: str = "") -> str:
+    """Transform B over the movement view ``source``; CTE names but ``win`` get ``suffix``."""
+    return f"""
 win AS (
   SELECT row_number() OVER () AS wid, periodo_tope AS lo, periodo AS hi
   FROM ventanas WHERE periodo IS NOT NULL AND periodo_tope IS NOT NULL
 ),
-pairs AS (
+pairs{suffix} AS (
   SELECT w.wid, w.lo, w.hi, standin.numero_cuenta_id AS acct, core.numero_documento AS core_doc, standin.numero_documento AS standin_doc
-  FROM movimientos standin JOIN movimientos core
+  FROM {source} standin JOIN {source} core
     ON standin.numero_cuenta_id = core.numero_cuenta_id AND standin.numero_comprobante_reposting = core.numero_documento
   JOIN win w ON standin.periodo BETWEEN w.lo AND w.hi AND core.periodo BETWEEN w.lo AND w.hi
   WHERE standin.tipo_procesamiento LIKE 'STANDIN%' AND core.tipo_procesamiento IS NULL
 ),
-discovered AS (
-  SELECT w.wid, m.* FROM win w JOIN movimientos m ON m.periodo >= w.lo AND m.periodo <= w.hi
-  WHERE (w.wid, m.numero_cuenta_id, m.numero_documento) IN (SELECT wid, acct, core_doc FROM pairs)
-     OR (w.wid, m.numero_cuenta_id, m.numero_documento) IN (SELECT wid, acct, standin_doc FROM pairs)
+discovered{suffix} AS (
+  SELECT w.wid, m.* FROM win w JOIN {source} m ON m.periodo >= w.lo AND m.periodo <= w.hi
+  WHERE (w.wid, m.numero_cuenta_id, m.numero_documento) IN (SELECT wid, acct, core_doc FROM pairs{suffix})
+     OR (w.wid, m.numero_cuenta_id, m.numero_documento) IN (SELECT wid, acct, standin_doc FROM pairs{suffix})
 )"""
 
+
+WIN_CTES = windows_over()
+
 MARK_CTES = """
 marks AS (
   SELECT m.periodo, m.id_transaccion, m.tipo_procesamiento,
@@ -364,6 +369,23 @@ FROM (
   FROM movimientos m
 ) x""",
     )
+    q["park_in_place"] = q["park_unmatched"]
+    touched = lambda rows: f"""EXISTS (SELECT 1 FROM {rows} s WHERE {KEY_GUARD.format(a='s')}
+        AND s.periodo = m.periodo AND s.id_transaccion = m.id_transaccion)"""
+    steps = f"""
+unmatched AS MATERIALIZED (SELECT DISTINCT periodo, id_transaccion FROM matched WHERE reposting_completo = 'NO MATCH'),
+deleted AS MATERIALIZED (
+  SELECT m.* REPLACE (CASE WHEN {touched('unmatched')} THEN 'STANDIN_P' ELSE m.tipo_procesamiento END AS tipo_procesamiento)
+  FROM movimientos_marked m WHERE NOT {_leg_delete_match('m')}
+),{windows_over('deleted', '_d')},
+parked AS MATERIALIZED (SELECT DISTINCT periodo, id_transaccion FROM discovered_d WHERE tipo_procesamiento = 'STANDIN_P')"""
+    q["overlay_snapshot"] = with_fixtures(
+        marked + "," + steps,
+        f"""SELECT {text_columns('x')} FROM (
+  SELECT m.* REPLACE (CASE WHEN {touched('parked')} THEN 'STANDIN' ELSE m.tipo_procesamiento END AS tipo_procesamiento) FROM deleted m
+) x""",
+    )
+    q["overlay_compacted"] = q["overlay_snapshot"]
     return q
 
 

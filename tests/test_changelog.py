@@ -1,0 +1,188 @@
+"""Change log over a snapshot: order, conditions, appended rows, compaction, and crashes at every step."""
+
+import random
+
+import pytest
+
+from movrec.operators import apply as ap
+from movrec.operators import changes as ch
+from movrec.operators.changelog import ChangeLog
+from movrec.operators.sizing import materialize
+from movrec.plans import host
+from movrec.schema import WRITE_KEY, movement_schema
+from movrec.session import remove_path, scratch_path
+from movrec.sources.snapshot import load_snapshot, write_snapshot
+from rows import LEDGER, REQUESTS, D, movements_df, mv, requests_df
+
+KEYS = "periodo date, id_transaccion string"
+TYPED = KEYS + ", tipo_procesamiento string"
+
+
+def log_of(spark, rows, partition_by=None):
+    path = scratch_path(spark, "logged")
+    write_snapshot(movements_df(spark, rows), path, files=2, partition_by=partition_by)
+    return ChangeLog(spark, path)
+
+
+def change(spark, keys, assign=None, typed=False):
+    schema = TYPED if typed else KEYS
+    return ap.Change(materialize(spark.createDataFrame(keys, schema)), tuple(n.split()[0] for n in schema.split(", ")), assign)
+
+
+def state(df):
+    return sorted((str(r["periodo"]), str(r["id_transaccion"]), str(r["tipo_procesamiento"]), str(r["numero_comprobante_reposting"]), r["estado_transaccion"]) for r in df.collect())
+
+
+def types(df):
+    return {r["id_transaccion"]: r["tipo_procesamiento"] for r in df.collect()}
+
+
+def test_an_empty_log_is_the_table(spark):
+    log = log_of(spark, LEDGER)
+    assert log.entries() == [] and state(log.read()) == state(movements_df(spark, LEDGER))
+    assert log.compact() == log.path and log.clean() == 0
+
+
+def test_changes_apply_in_order_under_their_conditions(spark):
+    d = D(2024, 1, 1)
+    rows = [mv("A", "X", "1", d, "STANDIN"), mv("A", "X", "2", d, None), mv("B", "X", "3", d, "STANDIN_P"), mv("C", "X", "4", d, "STANDIN"), mv(None, "X", "5", d, "STANDIN")]
+    log = log_of(spark, rows)
+    log.commit(change(spark, [(d, "A", "STANDIN"), (d, "B", "STANDIN")], ch.PARK_ASSIGN, typed=True))  # B is parked already
+    log.commit(change(spark, [(d, "A", "STANDIN")], {"estado_transaccion": ap.Constant(99)}, typed=True))  # A is no stand-in any more
+    log.commit(change(spark, [(d, "A", "STANDIN_P")], {"estado_transaccion": ap.Constant(7)}, typed=True))
+    log.commit(change(spark, [(d, "B")], ch.RELEASE_ASSIGN))
+    log.commit(change(spark, [(d, "C")]))
+    log.commit(change(spark, [(d, "C")], ch.PARK_ASSIGN))  # too late
+    got = sorted((str(r["id_transaccion"]), str(r["tipo_procesamiento"]), r["estado_transaccion"]) for r in log.read().collect())
+    assert got == [("A", "None", 1), ("A", "STANDIN_P", 7), ("B", "STANDIN", 1), ("None", "STANDIN", 1)]
+
+
+def test_one_change_set_is_judged_on_the_state_before_it(spark):
+    d = D(2024, 1, 1)
+    log = log_of(spark, [mv("A", "X", "1", d, "STANDIN")])
+    swap = spark.createDataFrame([(d, "A", "STANDIN", "STANDIN_P"), (d, "A", "STANDIN_P", "STANDIN")], TYPED + ", nuevo string")
+    log.commit(ap.Change(materialize(swap), (*WRITE_KEY, "tipo_procesamiento"), {"tipo_procesamiento": "nuevo"}))
+    assert types(log.read()) == {"A": "STANDIN_P"}
+    with pytest.raises(ValueError):
+        log.commit(ap.Change(materialize(swap), ("id_transaccion",), None))
+
+
+def test_appended_movements_are_born_after_earlier_changes(spark):
+    d = D(2024, 1, 1)
+    log = log_of(spark, [mv("A", "X", "1", d, "STANDIN"), mv("B", "X", "2", d, "STANDIN")])
+    log.commit(change(spark, [(d, "A")]))
+    log.append(movements_df(spark, [mv("A", "X", "1", d, "STANDIN"), mv("N", "X", "9", d)]))
+    assert types(log.read()) == {"A": "STANDIN", "B": "STANDIN", "N": None}
+    log.commit(change(spark, [(d, "A"), (d, "B")], ch.PARK_ASSIGN))
+    want = {"A": "STANDIN_P", "B": "STANDIN_P", "N": None}
+    assert types(log.read()) == want
+    log.compact()
+    assert types(log.read()) == want
+    log.commit(change(spark, [(d, "N")]))
+    assert set(types(log.read())) == {"A", "B"}
+
+
+@pytest.mark.parametrize("path", ["broadcast", "shuffle"])
+def test_random_logs_equal_plain_replay(spark, request, path):
+    """Every change set applied to a plain table in turn, against the overlay, compacted or not."""
+    if path == "shuffle":
+        request.getfixturevalue("no_broadcast")
+    rnd = random.Random(path)
+    days = [D(2024, 1, 1 + i) for i in range(3)]
+    names = ["STANDIN", "STANDIN_P", None, ""]
+    row = lambda i: mv(rnd.choice("ABCDEF"), "X", str(i), rnd.choice(days), rnd.choice(names), ref=None)
+    log = log_of(spark, [row(i) for i in range(20)], partition_by="periodo")
+    plain = log.read()
+    for step in range(6):
+        kind = rnd.choice(["update", "when", "delete", "append"])
+        keys = list({(rnd.choice(days), rnd.choice("ABCDEF")) for _ in range(4)})
+        if kind == "append":
+            new = movements_df(spark, [row(100 + 10 * step + i) for i in range(3)])
+            log.append(new)
+            plain = plain.unionByName(new)
+        else:
+            if kind == "when":
+                c = change(spark, [(*k, rnd.choice(names[:2])) for k in keys], {"estado_transaccion": ap.Constant(step + 50), **(ch.PARK_ASSIGN if step % 2 else {})}, typed=True)
+            else:
+                c = change(spark, keys, ch.RELEASE_ASSIGN if kind == "update" else None)
+            log.commit(c)
+            plain = c(plain)
+        plain = plain.checkpoint()
+        if step == 3:
+            log.compact()
+        assert state(log.read()) == state(plain)
+
+
+def test_crashes_at_every_step_lose_nothing(spark, monkeypatch):
+    d = D(2024, 1, 1)
+    log = log_of(spark, [mv("A", "X", "1", d, "STANDIN"), mv("B", "X", "2", d, "STANDIN")], partition_by="periodo")
+    park, gone = change(spark, [(d, "A")], ch.PARK_ASSIGN), change(spark, [(d, "B")])
+    new = movements_df(spark, [mv("N", "X", "9", d)])
+
+    class Crash(Exception):
+        pass
+
+    def crash(*a, **k):
+        raise Crash
+
+    def broken(step, attribute):
+        with monkeypatch.context() as m:
+            m.setattr(ChangeLog, attribute, crash)
+            with pytest.raises(Crash):
+                step()
+
+    want = {"A": "STANDIN", "B": "STANDIN"}
+    for step, after in (
+        (lambda: log.commit(park), {"A": "STANDIN_P", "B": "STANDIN"}),
+        (lambda: log.append(new), {"A": "STANDIN_P", "B": "STANDIN", "N": None}),
+        (lambda: log.commit(gone), {"A": "STANDIN_P", "N": None}),
+        (log.compact, {"A": "STANDIN_P", "N": None}),
+    ):
+        broken(step, "_commit")  # the rows are written, the entry is not
+        assert types(log.read()) == want
+        step()
+        want = after
+        assert types(log.read()) == want
+    log.append(movements_df(spark, [mv("M", "X", "10", d)]))
+    want["M"] = None
+    with monkeypatch.context() as m:  # cleaning stops after its first removal
+        from movrec.operators import changelog as cl
+
+        calls = []
+        m.setattr(cl, "remove_path", lambda s, p: crash() if calls else calls.append(remove_path(s, p)))
+        with pytest.raises(Crash):
+            log.clean()
+    assert types(log.read()) == want
+    log.clean()
+    assert types(log.read()) == want and len(log.entries()) == 2
+    log.commit(change(spark, [(d, "M")]))
+    assert set(types(log.read())) == {"A", "N"}
+
+
+def test_a_second_commit_with_a_taken_number_is_taken_back(spark, monkeypatch):
+    d = D(2024, 1, 1)
+    log = log_of(spark, [mv("A", "X", "1", d, "STANDIN")])
+    monkeypatch.setattr(ChangeLog, "_next", lambda self: 1)
+    log.commit(change(spark, [(d, "A")], ch.PARK_ASSIGN))
+    with pytest.raises(RuntimeError):
+        log.commit(change(spark, [(d, "A")]))
+    assert types(log.read()) == {"A": "STANDIN_P"}
+
+
+def test_outputs_through_the_log(spark):
+    """Mark, park and delete with CHANGE_LOG give what new versions give; the base files never change."""
+    log = log_of(spark, LEDGER)
+    params, req = {"SNAPSHOT_PATH": log.path}, requests_df(spark, REQUESTS)
+    first = state(load_snapshot(spark, log.path, schema=movement_schema()))
+    matched = host.transform_requests(spark, req, params).checkpoint()
+    version = {"SNAPSHOT_PATH": log.path}
+    for i, step in enumerate((lambda p: host.mark_requests(spark, req, {}, p), lambda p: host.output_park(spark, matched, {}, p), lambda p: host.output_delete_legs(spark, req, {}, p))):
+        out = scratch_path(spark, f"version{i}")
+        plain = step({**version, "SNAPSHOT_OUT": out})
+        logged = step({**params, "CHANGE_LOG": True})
+        version = {"SNAPSHOT_PATH": out}
+        assert state(logged.snapshot) == state(plain.snapshot) == state(host.snapshot_from_params(spark, params))
+        assert sorted(map(str, logged.status.collect())) == sorted(map(str, plain.status.collect()))
+    assert state(load_snapshot(spark, log.path, schema=movement_schema())) == first and len(log.entries()) == 3
+    with pytest.raises(ValueError):
+        host.output_park(spark, matched, {}, {**params, "REWRITE_IN_PLACE": True})

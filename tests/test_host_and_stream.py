@@ -168,6 +168,80 @@ def test_a_broken_rewrite_is_finished_by_the_next_call(spark, monkeypatch):
     assert _ids(load_snapshot(spark, path, schema=movement_schema())) == ["S3"]
 
 
+def _day_of_files(spark, days=3, files=4):
+    """A table partitioned by period whose days have several files each: ids ``<day>-<file>-<n>``."""
+    path = scratch_path(spark, "files")
+    for f in range(files):
+        rows = [mv(f"{d}-{f}-{n}", "A", "T", D(2024, 1, d), "STANDIN_P") for d in range(1, days + 1) for n in range(3)]
+        movements_df(spark, rows).coalesce(1).write.mode("append").partitionBy("periodo").parquet(path)
+    return path
+
+
+def _files(path):
+    import os
+
+    from movrec.session import local_path
+
+    return {os.path.join(f, n): os.stat(os.path.join(f, n)).st_mtime_ns for f, _, names in os.walk(local_path(path)) for n in names if n.endswith(".parquet")}
+
+
+def test_only_files_with_a_touched_row_are_rewritten(spark):
+    path = _day_of_files(spark)
+    before = _files(path)
+    keys = spark.createDataFrame([("2024-01-02", "2-1-0", "STANDIN_P"), ("2024-01-02", "2-1-2", "STANDIN_P"), ("2024-01-03", "nowhere", "STANDIN_P")], "periodo string, id_transaccion string, tipo_procesamiento string")
+    host.output_release(spark, keys, {}, {"SNAPSHOT_PATH": path, "REWRITE_IN_PLACE": True})
+    after = _files(path)
+    assert len(before) == 12 and len(set(before) - set(after)) == 1 and len(set(after) - set(before)) == 1
+    assert all(after[f] == t for f, t in before.items() if f in after)  # three files of the touched day stay as they were
+    left = load_snapshot(spark, path, schema=movement_schema())
+    assert sorted(r["id_transaccion"] for r in left.filter("tipo_procesamiento = 'STANDIN'").collect()) == ["2-1-0", "2-1-2"]
+    assert left.count() == 36 and left.select("id_transaccion").distinct().count() == 36
+
+
+def test_a_crash_in_the_switch_loses_no_row(spark, monkeypatch):
+    """Broken off before, between and after the moves, with movements appended meanwhile; the next read finishes it."""
+    from movrec import session
+    from movrec.operators import apply as ap
+
+    delete = lambda path, i, d: host.output_delete_legs(
+        spark, requests_df(spark, [make_rq(i, "D", D(2023, 1, 1), d)]), {}, {"SNAPSHOT_PATH": path, "REWRITE_IN_PLACE": "true"}
+    )
+    for stop in range(6):
+        path = _day_of_files(spark, days=2, files=2)
+        calls, real = [], session.hadoop_path
+
+        def failing(s, p):
+            if len(calls) == stop and "/periodo=" in p:
+                raise RuntimeError("crash")
+            calls.extend([p] if "/periodo=" in p else [])
+            return real(s, p)
+
+        with monkeypatch.context() as m:
+            m.setattr(session, "hadoop_path", failing)
+            try:
+                delete(path, "1-0-1", D(2024, 1, 1))
+            except RuntimeError:
+                pass
+        late = movements_df(spark, [mv("late", "A", "T", D(2024, 1, 1), "STANDIN")])
+        late.coalesce(1).write.mode("append").partitionBy("periodo").parquet(path)
+        status = delete(path, "1-0-1", D(2024, 1, 1)).status.collect()
+        assert [r["outcome"] for r in status] == ["not_found"]  # the audit describes the table after the broken switch
+        found = _ids(load_snapshot(spark, path, schema=movement_schema()))
+        assert found == sorted(["late"] + [f"{d}-{f}-{n}" for d in (1, 2) for f in (0, 1) for n in range(3) if (d, f, n) != (1, 0, 1)])
+
+
+def test_transforms_finish_a_broken_switch(spark, monkeypatch):
+    from movrec.operators import apply as ap
+
+    path = _partitioned(spark, [mv("S1", "A", "T", D(2024, 1, 1), "STANDIN"), mv("S2", "A", "U", D(2024, 1, 2), "STANDIN")])
+    params = {"SNAPSHOT_PATH": path}
+    with monkeypatch.context() as m:
+        m.setattr(ap, "finish_rewrite", lambda *a: False)
+        host.output_delete_legs(spark, requests_df(spark, [make_rq("S1", "D", D(2023, 1, 1), D(2024, 1, 1))]), {}, {**params, "REWRITE_IN_PLACE": True})
+    asked = requests_df(spark, [make_rq("S1", "D", D(2023, 1, 1), D(2024, 1, 1)), make_rq("S2", "D", D(2023, 1, 1), D(2024, 1, 2))])
+    assert [r["id_transaccion"] for r in host.transform_requests(spark, asked, params).collect()] == ["S2"]
+
+
 def test_archive_in_place_purges(spark):
     path, lake = _partitioned(spark), scratch_path(spark, "lake")
     rows = load_snapshot(spark, path, schema=movement_schema()).filter("periodo < '2024-01-06'")

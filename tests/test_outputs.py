@@ -121,6 +121,49 @@ def test_archive_raises_what_is_not_a_missing_lake(spark, tmp_path):
         archive_and_purge(mov, mov, str(tmp_path / "broken"), fmt="parquet", batch_id="b1")
 
 
+def test_a_batch_touches_its_own_folder_only(spark):
+    """A rerun neither reads nor writes other batches, whatever they hold; ids keep their text."""
+    import os
+
+    from movrec.operators.archive import BATCH_COLUMN
+    from movrec.plans.inspect import plan_text
+    from movrec.session import local_path
+    from movrec.sources.lake import batch_folder, read_batch
+
+    mov = movements_df(spark, [mv(f"S{i}", "X", str(i), D(2024, 1, 1), "STANDIN") for i in range(6)])
+    lake = scratch_path(spark, "lake-batches")
+    for n, b in enumerate(("b/0", "001")):
+        archive_and_purge(mov.filter(f"id_transaccion < 'S{n + 2}'"), mov, lake, fmt="parquet", batch_id=b)
+    folders = {b: local_path(batch_folder(spark, lake, b)) for b in ("b/0", "001")}
+    assert all(os.path.isdir(f) for f in folders.values())
+    with open(os.path.join(folders["b/0"], "part-broken.parquet"), "w") as f:
+        f.write("no parquet")  # another batch cannot be read at all
+    again = archive_and_purge(mov, mov, lake, fmt="parquet", batch_id="001")
+    assert again.rows == 3 and ids(again.archived) == [f"S{i}" for i in range(6)] and ids(again.remaining) == []
+    assert {r[0] for r in again.archived.select(BATCH_COLUMN).collect()} == {"001"}
+    text = plan_text(read_batch(spark, lake, "001", fmt="parquet"))
+    assert f"{BATCH_COLUMN}=001" in text and f"{BATCH_COLUMN}=b" not in text
+
+
+def test_a_rerun_reads_two_columns_for_its_keys_and_compares_digests(spark):
+    from movrec.operators.archive import missing_rows
+    from movrec.operators.changes import result_keys
+    from movrec.plans.inspect import plan_text, scans
+    from movrec.sources.lake import read_batch
+
+    mov = movements_df(spark, [mv(f"S{i % 3}", "X", str(i), D(2024, 1, 1), "STANDIN", ref="" if i % 2 else None) for i in range(6)])
+    lake = scratch_path(spark, "lake-digest")
+    archive_and_purge(mov, mov, lake, fmt="parquet", batch_id="b")
+    held = read_batch(spark, lake, "b", fmt="parquet")
+    scan = next(s for s in scans(result_keys(held)) if "ReadSchema" in s)
+    assert scan["ReadSchema"].count(":") == 2
+    twice = mov.unionByName(mov)
+    assert missing_rows(twice, held).count() == 6 and missing_rows(mov, held).count() == 0
+    assert "Window" not in plan_text(missing_rows(twice, held)) and "Except" not in plan_text(missing_rows(twice, held))
+    other = mov.filter("id_transaccion = 'S0'").withColumn("numero_comprobante_reposting", F.lit("R"))
+    assert missing_rows(other, held).count() == 2  # only a null became text
+
+
 def test_lake_path_has_no_default_place():
     assert lake_path("s3://bucket/", "moves", "/archive/cold/") == "s3://bucket/archive/cold/moves"
     with pytest.raises(TypeError):
