@@ -112,22 +112,30 @@ def audit(
     guard: Column,
     mov: DataFrame,
     keys: Sequence[str],
+    reason: Column | None = None,
 ) -> DataFrame:
     """One status row per input row of an output step.
 
-    ``delete_status`` is NULL as in the reference (a failed statement fails the
-    Spark job instead of becoming text); ``outcome`` tells ``skipped`` (guard
-    failed), ``applied`` (the key exists in the snapshot) or ``not_found``.
+    ``outcome`` tells ``skipped`` (guard failed), ``failed`` (the row passes the
+    guard and ``reason`` is not NULL: its statement could not have run),
+    ``applied`` (the key exists in the snapshot) or ``not_found``.
+    ``delete_status`` is NULL as in the reference, or ``ERROR: <reason>``; the
+    other rows go on.
     The distinct input keys are measured; the snapshot streams against them
     (semi join, broadcast under the cap) and only the distinct hits - at most
     one per input key - come back, so the snapshot is never shuffled or
     aggregated.
     """
     ok = F.coalesce(guard, F.lit(False))
-    rows = inputs.select(*[e.alias(n) for n, e in key_cols.items()], ok.alias("_ok"))
-    present = present_keys(rows.filter(F.col("_ok")).select(*keys), mov, keys)
+    why = F.when(ok, F.lit(None).cast("string") if reason is None else reason)
+    rows = inputs.select(*[e.alias(n) for n, e in key_cols.items()], ok.alias("_ok"), why.alias("_why"))
+    present = present_keys(rows.filter(F.col("_ok") & F.col("_why").isNull()).select(*keys), mov, keys)
     flagged = rows.join(present, list(keys), "left")
-    return flagged.select(*keys, F.lit(None).cast("string").alias(STATUS_COLUMN), outcome(F.col("_ok"), F.col("_found")).alias("outcome"))
+    return flagged.select(*keys, status_text("_why"), outcome(F.col("_ok"), F.col("_found"), F.col("_why")).alias("outcome"))
+
+
+def status_text(why: str) -> Column:
+    return F.when(F.col(why).isNotNull(), F.concat(F.lit("ERROR: "), F.col(why))).alias(STATUS_COLUMN)
 
 
 def present_keys(wanted: DataFrame, mov: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -137,8 +145,8 @@ def present_keys(wanted: DataFrame, mov: DataFrame, keys: Sequence[str]) -> Data
     return F.broadcast(present) if distinct_keys.broadcastable else present
 
 
-def outcome(ok: Column, found: Column) -> Column:
-    return F.when(~ok, F.lit("skipped")).when(found, F.lit("applied")).otherwise(F.lit("not_found"))
+def outcome(ok: Column, found: Column, why: Column) -> Column:
+    return F.when(~ok, F.lit("skipped")).when(why.isNotNull(), F.lit("failed")).when(found, F.lit("applied")).otherwise(F.lit("not_found"))
 
 
 def preview(status: DataFrame, rows: int = PREVIEW_ROWS) -> DataFrame:

@@ -37,7 +37,7 @@ def mark_reposted_changes(req: DataFrame, mov: DataFrame) -> DataFrame:
     ids = (
         g.select(
             _two_ids(g).alias("mk_id"),
-            as_date(g, "periodo_tope").alias("mk_lo"),
+            as_date(g, "periodo_tope", strict=False).alias("mk_lo"),
             column_or_null(g, "numero_documento_original").alias("mk_doc"),
         )
         .filter(F.col("mk_id").isNotNull() & F.col("mk_lo").isNotNull())
@@ -63,7 +63,7 @@ def mark_reposted_changes(req: DataFrame, mov: DataFrame) -> DataFrame:
 def mark_hits(req: DataFrame, mov: DataFrame) -> DataFrame:
     """Requests of ``req`` (with a ``_row`` each) that mark at least one movement: distinct ``_row``."""
     g = guard_requests(req)
-    ids = g.select("_row", _two_ids(g).alias("mk_id"), as_date(g, "periodo_tope").alias("mk_lo")).filter(
+    ids = g.select("_row", _two_ids(g).alias("mk_id"), as_date(g, "periodo_tope", strict=False).alias("mk_lo")).filter(
         F.col("mk_id").isNotNull() & F.col("mk_lo").isNotNull()
     )
     ids_m = materialize(ids, {"_lo": F.min("mk_lo")})
@@ -90,20 +90,22 @@ MARK_ASSIGN = {"numero_comprobante_reposting": "numero_comprobante_reposting", "
 # --- P4: delete both legs of each request (O3) ------------------------------
 def request_leg_delete_keys(req: DataFrame) -> DataFrame:
     """P4 keys: (periodo, id) for both ids of every request with a truthy
-    ``periodo`` and ``guid_ordenante``; a NULL beneficiary id matches nothing."""
+    ``periodo`` and ``guid_ordenante``; a NULL beneficiary id matches nothing, nor
+    does a ``periodo`` that is no date."""
     g = req.filter(all_truthy(req, ("periodo", "guid_ordenante")))
     return (
-        g.select(as_date(g, "periodo").alias("periodo"), _two_ids(g).alias("id_transaccion"))
-        .filter(F.col("id_transaccion").isNotNull())
+        g.select(as_date(g, "periodo", strict=False).alias("periodo"), _two_ids(g).alias("id_transaccion"))
+        .filter(F.col("id_transaccion").isNotNull() & F.col("periodo").isNotNull())
         .distinct()
     )
 
 
 # --- keyed outputs over transform results (O4, O5, O6) -----------------------
 def result_keys(rows: DataFrame) -> DataFrame:
-    """Distinct (periodo, id) of result rows whose ``periodo`` and id are truthy."""
+    """Distinct (periodo, id) of result rows whose ``periodo`` and id are truthy (a ``periodo`` that is no date has no key)."""
     g = rows.filter(all_truthy(rows, WRITE_KEY))
-    return g.select(as_date(g, "periodo").alias("periodo"), column_or_null(g, "id_transaccion").alias("id_transaccion")).distinct()
+    keys = g.select(as_date(g, "periodo", strict=False).alias("periodo"), column_or_null(g, "id_transaccion").alias("id_transaccion"))
+    return keys.filter(F.col("periodo").isNotNull()).distinct()
 
 
 def unmatched_rows(matched: DataFrame) -> DataFrame:
@@ -123,7 +125,8 @@ def park_unmatched_keys(matched: DataFrame, only_standin: bool = False) -> DataF
         return result_keys(rows)
     rows = rows.filter(F.col("tipo_procesamiento") == F.lit(STANDIN))
     g = rows.filter(all_truthy(rows, WRITE_KEY))
-    return g.select(as_date(g, "periodo").alias("periodo"), "id_transaccion", "tipo_procesamiento").distinct()
+    keys = g.select(as_date(g, "periodo", strict=False).alias("periodo"), "id_transaccion", "tipo_procesamiento")
+    return keys.filter(F.col("periodo").isNotNull()).distinct()
 
 
 PARK_STANDIN_KEYS = ("periodo", "id_transaccion", "tipo_procesamiento")

@@ -45,18 +45,30 @@ REQUEST_GUARD = ("producto_ordenante", "producto_beneficiario", "numero_document
 REQ_KEY = ("rq_guid", "rq_doc", "rq_lo", "rq_hi")
 
 
-def as_date(df: DataFrame, name: str) -> Column:
-    """A driving bound as a date (text is parsed, empty text is NULL, timestamps are truncated)."""
+def as_date(df: DataFrame, name: str, strict: bool = True) -> Column:
+    """A driving bound as a date (text is parsed, empty text is NULL, timestamps are truncated).
+
+    Text that is no date ends a transform, as a failed statement ends the
+    original's; with ``strict=False`` it is NULL, and :func:`no_date` tells it.
+    """
     if name not in df.columns:
         return F.lit(None).cast("date")
     dtype = df.schema[name].dataType
     if isinstance(dtype, T.DateType):
         return F.col(name)
     if isinstance(dtype, T.StringType):
-        return F.to_date(F.nullif(F.col(name), F.lit("")))
+        text = F.nullif(F.col(name), F.lit(""))
+        return F.to_date(text) if strict else text.try_cast("date")
     return F.col(name).cast("date")
 
 
+def no_date(df: DataFrame, name: str) -> Column:
+    """True where the column holds text that is neither empty nor a date."""
+    if name not in df.columns or not isinstance(df.schema[name].dataType, T.StringType):
+        return F.lit(False)
+    return (F.col(name).isNotNull() & (F.col(name) != "")) & as_date(df, name, strict=False).isNull()
+
+
 def guard_requests(req: DataFrame) -> DataFrame:
     """keep requests whose products and original document are all truthy."""
     return req.filter(all_truthy(req, REQUEST_GUARD))

@@ -25,7 +25,7 @@ from movrec.operators.sizing import materialize
 from movrec.plans import host
 from movrec.schema import DATE_PATTERN, WRITE_KEY, movement_schema
 from movrec.session import ensure_checkpoint_dir, scratch_path
-from movrec.sources.fixtures import fixture_snapshot, fixture_snapshot_place, solicitudes, ventanas, ventanas_clientes
+from movrec.sources.fixtures import borrados_texto, fixture_snapshot, fixture_snapshot_place, solicitudes, ventanas, ventanas_clientes
 from movrec.sources.lake import lake_path
 from movrec.sources.snapshot import load_snapshot, write_clustered
 
@@ -340,6 +340,14 @@ def q_action_audit(spark, sf_dir):
     return _audited(spark, sf_dir).select(_day("periodo").alias("periodo"), "id_transaccion", "delete_status", "outcome")
 
 
+def q_action_failures(spark, sf_dir):
+    """The audit of a leg delete some of whose rows hold no date, and what the others left."""
+    path, _ = fixture_snapshot_place(spark, sf_dir)
+    done = host.output_delete_legs(spark, borrados_texto(spark, sf_dir), {}, {"SNAPSHOT_PATH": path, "DRY_RUN": True})
+    left = done.snapshot.select(_day("periodo").alias("periodo"), F.col("id_transaccion").alias("guid_ordenante"))
+    return done.status.unionByName(left.withColumn("outcome", F.lit("left")), allowMissingColumns=True)
+
+
 def q_status_preview(spark, sf_dir):
     """How many rows the preview of the audit shows (which ones is unspecified)."""
     return ap.preview(_audited(spark, sf_dir)).agg(F.count(F.lit(1)).alias("n_rows"))
@@ -378,5 +386,6 @@ PLANS: dict[str, Plan] = {
     "overlay_snapshot": q_overlay_snapshot,
     "overlay_compacted": q_overlay_compacted,
     "action_audit": q_action_audit,
+    "action_failures": q_action_failures,
     "status_preview": q_status_preview,
 }

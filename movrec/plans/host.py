@@ -10,9 +10,12 @@ set-based results; writes are change sets applied to a new snapshot version.
 
 * the snapshot: ``SNAPSHOT_PATH`` (+ ``SNAPSHOT_FORMAT``), a Parquet or Delta
   table, or ``JDBC_URL`` and ``JDBC_TABLE`` (+ ``JDBC_USER``, ``ROOT_CERT``,
-  ``CLIENT_CERT``, ``KEY_CERT``).  The JDBC read is split by ``periodo`` into
-  ``JDBC_PARTITIONS`` range queries (default 16) between ``JDBC_LOWER`` and
-  ``JDBC_UPPER``, which default to the bounds the database reports;
+  ``CLIENT_CERT``, ``KEY_CERT``).  The JDBC read is split into
+  ``JDBC_PARTITIONS`` queries (default 16) of about equal numbers of rows, from a
+  histogram of periods that the database counts; a day that holds more than a
+  part is cut by ``JDBC_HASH``, an expression of the database that hashes the id
+  to whole numbers from 0 (known for PostgreSQL; without one a day stays whole).
+  With ``JDBC_LOWER`` or ``JDBC_UPPER`` it is cut in equal ranges between them;
 * where an output writes, one of: ``SNAPSHOT_OUT``, a new snapshot version that
   keeps the partitioning of the old; ``REWRITE_IN_PLACE`` (true), for a Parquet
   snapshot partitioned by ``periodo``: only the files that hold a touched row are
@@ -27,7 +30,9 @@ set-based results; writes are change sets applied to a new snapshot version.
 
 Every output evaluates its driving DataFrame once: the columns it needs are
 materialised, and keys and status are both derived from that.  Driving columns
-that are missing read as NULL, so their rows are skipped.
+that are missing read as NULL, so their rows are skipped.  A driving row whose
+period is text but no date fails by itself: its status names the reason, the
+other rows go on.  In a transform such a row ends the job, as in the original.
 """
 
 from __future__ import annotations
@@ -51,6 +56,7 @@ from movrec.sources.snapshot import (
     jdbc_period_bounds,
     load_snapshot,
     partitioned_by_period,
+    read_jdbc_equal_depth,
     read_jdbc_snapshot,
     stage_changes_jdbc,
     write_snapshot,
@@ -86,14 +92,15 @@ def snapshot_from_params(spark: SparkSession, params: dict) -> DataFrame:
         return load_snapshot(spark, params["SNAPSHOT_PATH"], fmt=params.get("SNAPSHOT_FORMAT", "parquet"))
     if params.get("JDBC_URL"):
         kw = dict(_jdbc_connection(params), table=params["JDBC_TABLE"])
-        lower, upper = params.get("JDBC_LOWER"), params.get("JDBC_UPPER")
+        lower, upper, parts = params.get("JDBC_LOWER"), params.get("JDBC_UPPER"), int(params.get("JDBC_PARTITIONS", JDBC_PARTITIONS))
+        if lower is None and upper is None:
+            return read_jdbc_equal_depth(spark, parts, params.get("JDBC_HASH"), **kw)
         if lower is None or upper is None:
             found = jdbc_period_bounds(spark, **kw)
             if found is None:  # no row has a period
                 return read_jdbc_snapshot(spark, **kw)
             lower, upper = lower or found[0], upper or found[1]
-        split = dict(partition_column="periodo", lower_bound=lower, upper_bound=upper, num_partitions=int(params.get("JDBC_PARTITIONS", JDBC_PARTITIONS)))
-        return read_jdbc_snapshot(spark, **kw, **split)
+        return read_jdbc_snapshot(spark, **kw, partition_column="periodo", lower_bound=lower, upper_bound=upper, num_partitions=parts)
     raise ValueError("params need SNAPSHOT_PATH, or JDBC_URL and JDBC_TABLE")
 
 
@@ -152,9 +159,15 @@ def _driving(df: DataFrame, columns: tuple[str, ...]) -> DataFrame:
     return materialize(picked).df
 
 
+def _reason(rows: DataFrame, name: str) -> Column:
+    """Why a row cannot be carried out: its date is none (NULL if it is)."""
+    return F.when(rq.no_date(rows, name), F.concat(F.lit(f"{name} is no date: "), F.col(name).cast("string")))
+
+
 def _key_status(rows: DataFrame, mov: DataFrame, keys: tuple[str, ...] = WRITE_KEY) -> DataFrame:
-    read = {k: rq.as_date(rows, k) if k == "periodo" else F.col(k) for k in keys}
-    return ap.audit(rows, read, all_truthy(rows, WRITE_KEY), mov, keys).select(*WRITE_KEY, STATUS_COLUMN, "outcome")
+    """One status per row; a row that failed has no period but the reason names what it gave."""
+    read = {k: rq.as_date(rows, k, strict=False) if k == "periodo" else F.col(k) for k in keys}
+    return ap.audit(rows, read, all_truthy(rows, WRITE_KEY), mov, keys, _reason(rows, "periodo")).select(*WRITE_KEY, STATUS_COLUMN, "outcome")
 
 
 # --- transforms -----------------------------------------------------------------
@@ -169,12 +182,13 @@ def transform_windows(spark: SparkSession, df: DataFrame, params: dict) -> DataF
 
 
 # --- outputs --------------------------------------------------------------------
-def _row_status(rows: DataFrame, ok: Column, found: DataFrame, shown: list[Column]) -> DataFrame:
+def _row_status(rows: DataFrame, ok: Column, found: DataFrame, shown: list[Column], reason: Column) -> DataFrame:
     """One status per driving row: ``found`` holds the ``_row`` of those that touch something."""
     hit = found.select("_row", F.lit(True).alias("_found"))
-    flagged = rows.select("_row", *shown, F.coalesce(ok, F.lit(False)).alias("_ok")).join(hit, "_row", "left")
-    names = [c for c in flagged.columns if c not in ("_row", "_ok", "_found")]
-    return flagged.select(*names, F.lit(None).cast("string").alias(STATUS_COLUMN), ap.outcome(F.col("_ok"), F.col("_found")).alias("outcome"))
+    ok = F.coalesce(ok, F.lit(False))
+    flagged = rows.select("_row", *shown, ok.alias("_ok"), F.when(ok, reason).alias("_why")).join(hit, "_row", "left")
+    names = [c for c in flagged.columns if c not in ("_row", "_ok", "_why", "_found")]
+    return flagged.select(*names, ap.status_text("_why"), ap.outcome(F.col("_ok"), F.col("_found"), F.col("_why")).alias("outcome"))
 
 
 def mark_requests(spark: SparkSession, df: DataFrame, write_options: dict, params: dict) -> OutputResult:
@@ -184,7 +198,7 @@ def mark_requests(spark: SparkSession, df: DataFrame, write_options: dict, param
     rows = _driving(df, REQUEST_COLUMNS)
     marks = materialize(ch.mark_reposted_changes(rows, mov))
     ids = [F.col("guid_ordenante"), F.col("guid_beneficiario")]
-    status = _row_status(rows, all_truthy(rows, rq.REQUEST_GUARD), ch.mark_hits(rows, mov), ids)
+    status = _row_status(rows, all_truthy(rows, rq.REQUEST_GUARD), ch.mark_hits(rows, mov), ids, _reason(rows, "periodo_tope"))
     return _finish(spark, params, mov, status, ap.Change(marks, ch.MARK_KEYS, ch.MARK_ASSIGN))
 
 
@@ -199,10 +213,10 @@ def output_delete_legs(spark: SparkSession, df: DataFrame, write_options: dict,
     keys = materialize(ch.request_leg_delete_keys(rows))
     ok = all_truthy(rows, ("periodo", "guid_ordenante"))
     legs = rows.filter(ok).select(
-        "_row", rq.as_date(rows, "periodo").alias("periodo"), F.explode(F.array("guid_ordenante", "guid_beneficiario")).alias("id_transaccion")
+        "_row", rq.as_date(rows, "periodo", strict=False).alias("periodo"), F.explode(F.array("guid_ordenante", "guid_beneficiario")).alias("id_transaccion")
     )
     found = legs.join(ap.present_keys(legs.select(*WRITE_KEY), mov, WRITE_KEY), list(WRITE_KEY)).select("_row").distinct()
-    status = _row_status(rows, ok, found, [F.col("periodo").cast("string").alias("periodo"), F.col("guid_ordenante"), F.col("guid_beneficiario")])
+    status = _row_status(rows, ok, found, [F.col("periodo").cast("string").alias("periodo"), F.col("guid_ordenante"), F.col("guid_beneficiario")], _reason(rows, "periodo"))
     return _finish(spark, params, mov, status, ap.Change(keys, WRITE_KEY))
 
 

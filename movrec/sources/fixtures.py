@@ -181,6 +181,19 @@ def solicitudes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return first.unionByName(repeated)
 
 
+def borrados_texto(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leg-delete rows whose period is text: of every even order a good one, an impossible date, words, empty text or NULL."""
+    base = fx_base(spark, sf_dir)
+    k = F.col("k")
+    day = F.date_format("d", "yyyy-MM-dd")
+    return base.filter(k % 2 == 0).select(
+        F.when(k % 14 == 0, F.lit("2024-13-45")).when(k % 22 == 0, F.lit("")).when(k % 26 == 0, F.concat(F.lit("day "), _s(k)))
+        .when(k % 34 != 0, day).alias("periodo"),
+        F.when(k % 38 == 0, F.lit("")).otherwise(F.concat(F.lit("S"), _s(k))).alias("guid_ordenante"),
+        F.when(k % 4 == 0, F.concat(F.lit("B"), _s(k))).alias("guid_beneficiario"),
+    )
+
+
 def ventanas(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Period windows, one per region (neighbours overlap by 20 days)."""
     r = read_table(spark, sf_dir, "region")

@@ -92,6 +92,104 @@ def jdbc_period_bounds(spark: SparkSession, table: str, **kwargs) -> tuple[str,
     return None if row[0] is None else (str(row[0]), str(row[1]))
 
 
+def jdbc_period_histogram(spark: SparkSession, table: str, **kwargs) -> tuple[dict[str, str], list[tuple[_dt.date | None, int]]]:
+    """``(column names as the database spells them, [(periodo, rows)] in order, NULL first)``, counted by the database.
+
+    One row for each distinct period comes back.
+    """
+    columns = spark.read.format("jdbc").options(**jdbc_options(table=table, **kwargs)).load().columns
+    names = {c.lower(): c for c in columns}
+    period = f'"{names["periodo"]}"'
+    query = f"(SELECT {period} AS p, COUNT(*) AS n FROM {table} GROUP BY {period}) histogram"
+    found = [(r[0], int(r[1])) for r in spark.read.format("jdbc").options(**jdbc_options(table=query, **kwargs)).load().collect()]
+    return names, sorted(found, key=lambda r: (r[0] is not None, r[0]))
+
+
+def _pieces(counts: list[int], most: int, divisible: bool) -> list[list[tuple[int, int, int]]] | None:
+    """Periods packed in order into parts of at most ``most`` rows: ``(period, piece, pieces)`` each; None if one does not fit."""
+    parts: list[list[tuple[int, int, int]]] = []
+    room = 0
+    for i, n in enumerate(counts):
+        if n > most:
+            if not divisible:
+                return None
+            pieces = -(-n // most)
+            parts.extend([(i, j, pieces)] for j in range(pieces))
+            room = 0
+        elif parts and n <= room:
+            parts[-1].append((i, 0, 1))
+            room -= n
+        else:
+            parts.append([(i, 0, 1)])
+            room = most - n
+    return parts
+
+
+def equal_depth_parts(counts: list[int], parts: int, divisible: bool = True) -> list[list[tuple[int, int, int]]]:
+    """At most ``parts`` parts with the least possible largest one.
+
+    Neighbouring periods share a part; a period above the bound is cut in equal
+    pieces if it is ``divisible``, else the largest one sets the bound.
+    """
+    if not counts:
+        return []
+    low, high = max(1, -(-sum(counts) // parts)), sum(counts)
+    while low < high:
+        mid = (low + high) // 2
+        packed = _pieces(counts, mid, divisible)
+        if packed is not None and len(packed) <= parts:
+            high = mid
+        else:
+            low = mid + 1
+    return _pieces(counts, low, divisible) or []
+
+
+def jdbc_predicates(names: dict[str, str], histogram: list[tuple[_dt.date | None, int]], parts: int, hash_sql: str | None) -> list[str]:
+    """One ``WHERE`` clause for each part; together they hold every row once.
+
+    ``hash_sql`` is an expression of the database that spreads the ids of a hot day
+    over whole numbers from 0 (NULL ids go to the first piece); without it no day is cut.
+    """
+    period = f'"{names["periodo"]}"'
+    day = lambda d: f"{period} IS NULL" if d is None else f"{period} = {{d '{d}'}}"
+    out = []
+    for part in equal_depth_parts([n for _, n in histogram], parts, hash_sql is not None):
+        first, piece, pieces = part[0]
+        if pieces > 1:
+            null = f" OR ({hash_sql}) IS NULL" if piece == 0 else ""
+            out.append(f"{day(histogram[first][0])} AND (MOD({hash_sql}, {pieces}) = {piece}{null})")
+            continue
+        days = [histogram[i][0] for i, _, _ in part]
+        dated = [d for d in days if d is not None]
+        clause = f"{period} >= {{d '{dated[0]}'}} AND {period} <= {{d '{dated[-1]}'}}" if dated else ""
+        out.append(f"({' OR '.join(filter(None, [f'({clause})' if clause else '', day(None) if None in days else '']))})")
+    return out
+
+
+def default_hash_sql(url: str, column: str) -> str | None:
+    """A hash of a text column in the dialect of the database, where one is known."""
+    if url.startswith("jdbc:postgresql:"):
+        return f'(HASHTEXT("{column}") & 2147483647)'
+    return None
+
+
+def read_jdbc_equal_depth(spark: SparkSession, parts: int, hash_sql: str | None = None, **kwargs) -> DataFrame:
+    """The hot table over JDBC in at most ``parts`` queries of about equal numbers of rows.
+
+    The database counts its rows by period; quiet days are read together, and a
+    day above a part's share is cut by a hash of the id, so one hot day is never
+    one connection.
+    """
+    names, histogram = jdbc_period_histogram(spark, **kwargs)
+    hash_sql = hash_sql or default_hash_sql(kwargs["url"], names["id_transaccion"])
+    clauses = jdbc_predicates(names, histogram, parts, hash_sql)
+    if not clauses:
+        return read_jdbc_snapshot(spark, **kwargs)
+    opts = jdbc_options(**kwargs)
+    read = spark.read.jdbc(opts.pop("url"), opts.pop("dbtable"), predicates=clauses, properties=opts)
+    return read.select(*MOVEMENT_COLUMNS)
+
+
 def restrict_period(mov: DataFrame, lo: _dt.date | None, hi: _dt.date | None, column: str = "periodo") -> DataFrame:
     """Keep rows with ``lo <= periodo <= hi`` (either bound may be open) using literals."""
     cond = F.col(column).isNotNull()

@@ -324,6 +324,23 @@ WHERE NOT EXISTS (
 FROM discovered b WHERE b.tipo_procesamiento = 'STANDIN_P'"""
     q["action_audit"] = with_fixtures(WIN_CTES, audited)
     q["status_preview"] = with_fixtures(WIN_CTES, f"SELECT least(count(*), 10000) AS n_rows FROM ({audited}) shown")
+    dated = """borrados_texto AS (
+  SELECT CASE WHEN k % 14 = 0 THEN '2024-13-45' WHEN k % 22 = 0 THEN '' WHEN k % 26 = 0 THEN concat('day ', CAST(k AS VARCHAR)) WHEN k % 34 <> 0 THEN strftime(d, '%Y-%m-%d') END AS periodo,
+         CASE WHEN k % 38 = 0 THEN '' ELSE concat('S', CAST(k AS VARCHAR)) END AS guid_ordenante, CASE WHEN k % 4 = 0 THEN concat('B', CAST(k AS VARCHAR)) END AS guid_beneficiario
+  FROM fx_base WHERE k % 2 = 0
+), asked AS (
+  SELECT *, coalesce(length(periodo) > 0 AND length(guid_ordenante) > 0, false) AS ok, TRY_CAST(periodo AS DATE) AS day FROM borrados_texto
+)"""
+    q["action_failures"] = with_fixtures(
+        dated,
+        f"""SELECT periodo, guid_ordenante, guid_beneficiario, CASE WHEN ok AND day IS NULL THEN concat('ERROR: periodo is no date: ', periodo) END AS delete_status,
+  CASE WHEN NOT ok THEN 'skipped' WHEN day IS NULL THEN 'failed'
+       WHEN EXISTS (SELECT 1 FROM movimientos m WHERE m.periodo = a.day AND (m.id_transaccion = a.guid_ordenante OR m.id_transaccion = a.guid_beneficiario)) THEN 'applied'
+       ELSE 'not_found' END AS outcome
+FROM asked a
+UNION ALL SELECT {day('m.periodo', 'periodo')}, m.id_transaccion, NULL, NULL, 'left' FROM movimientos m
+WHERE NOT EXISTS (SELECT 1 FROM asked a WHERE ok AND a.day = m.periodo AND (m.id_transaccion = a.guid_ordenante OR m.id_transaccion = a.guid_beneficiario))""",
+    )
     q["request_leg_delete_in_place"] = q["request_leg_delete"]
     q["purge_in_place"] = q["purge_archived"]
     q["archive_rerun"] = with_fixtures(
