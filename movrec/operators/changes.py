@@ -15,6 +15,7 @@ from movrec.operators.apply import Constant
 from movrec.operators.requests import as_date, guard_requests
 from movrec.operators.sizing import materialize
 from movrec.schema import NO_MATCH, REPOSTED_STATE, STANDIN, STANDIN_PARKED, VERDICT_COLUMN, WRITE_KEY
+from movrec.sources.layouts import IdIndex
 from movrec.sources.snapshot import restrict_period
 
 
@@ -23,7 +24,7 @@ def _two_ids(df: DataFrame) -> Column:
 
 
 # --- P2: mark the stand-in legs of every request as reposted ----------------
-def mark_reposted_changes(req: DataFrame, mov: DataFrame) -> DataFrame:
+def mark_reposted_changes(req: DataFrame, mov: DataFrame, index: IdIndex | None = None) -> DataFrame:
     """P2 change set: ``STANDIN`` movements whose id is one of the request's two
     ids, with ``periodo >= periodo_tope`` (no upper bound), get the request's
     original document and state 10.
@@ -31,7 +32,8 @@ def mark_reposted_changes(req: DataFrame, mov: DataFrame) -> DataFrame:
     The two-id OR becomes an explode + equi join.  When several requests write
     different documents to one movement, the reference keeps whichever commits
     last; here the largest document wins and ``n_documentos`` reports the
-    conflict.
+    conflict.  With an ``index`` only the periods that hold one of the ids are read,
+    instead of every period from the least bound on.
     """
     g = guard_requests(req)
     ids = (
@@ -46,6 +48,8 @@ def mark_reposted_changes(req: DataFrame, mov: DataFrame) -> DataFrame:
     ids_m = materialize(ids, {"_lo": F.min("mk_lo")})
     if ids_m.rows == 0:
         return _empty_marks(mov)
+    if index is not None:
+        mov = index.restrict(mov, ids_m, "mk_id", "mk_lo")
     standins = restrict_period(mov, ids_m.extras["_lo"], None).filter(
         F.col("tipo_procesamiento") == F.lit(STANDIN)
     ).select("periodo", "id_transaccion", "tipo_procesamiento")

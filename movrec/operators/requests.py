@@ -39,6 +39,7 @@ from movrec.functions.formatting import format_movements
 from movrec.functions.predicates import all_truthy, column_or_null, strip_leading_zeros
 from movrec.operators.sizing import Measured, materialize
 from movrec.schema import MATCH, MOVEMENT_COLUMNS, NO_MATCH, STANDIN, VERDICT_COLUMN
+from movrec.sources.layouts import IdIndex, KeyedSnapshot, salt_matches
 from movrec.sources.snapshot import restrict_period
 
 REQUEST_GUARD = ("producto_ordenante", "producto_beneficiario", "numero_documento_original")
@@ -105,8 +106,13 @@ def _in_range(period: Column, lo: str = "rq_lo", hi: str = "rq_hi") -> Column:
     return (period >= F.col(lo)) & (period <= F.col(hi))
 
 
-def request_legs(keys: Measured, mov: DataFrame) -> DataFrame:
-    """N1: movements whose id is the request's ordering id, inside its period range."""
+def request_legs(keys: Measured, mov: DataFrame, index: IdIndex | None = None) -> DataFrame:
+    """N1: movements whose id is the request's ordering id, inside its period range.
+
+    With an ``index`` only the periods that hold such an id are read.
+    """
+    if index is not None:
+        mov = index.restrict(mov, keys, "rq_guid", "rq_lo", "rq_hi")
     m = restrict_period(mov, keys.extras["_lo"], keys.extras["_hi"]).filter(F.col("id_transaccion").isNotNull())
     m = m.select(
         F.col("id_transaccion").alias("lg_id"),
@@ -153,6 +159,7 @@ def _pair_join(mov: DataFrame, pairs: DataFrame) -> Column:
         (mov["numero_cuenta_id"] == pairs["kp_cuenta"])
         & (mov["numero_documento"] == pairs["kp_documento"])
         & _in_range(mov["periodo"])
+        & salt_matches(mov, pairs)
     )
 
 
@@ -212,12 +219,12 @@ def expand(df: DataFrame, count_col: str = "_rep") -> DataFrame:
     return df.withColumn("_i", F.explode(F.sequence(F.lit(1), F.col(count_col).cast("int")))).drop("_i")
 
 
-def prepare_pairs(req: DataFrame, mov: DataFrame) -> Measured | None:
+def prepare_pairs(req: DataFrame, mov: DataFrame, index: IdIndex | None = None) -> Measured | None:
     """Request keys → legs → key pairs (checkpointed and measured); ``None`` when no request survives."""
     keys = measure_keys(request_keys(req), "rq_lo", "rq_hi")
     if keys.rows == 0:
         return None
-    return measure_pairs(request_key_pairs(request_legs(keys, mov)))
+    return measure_pairs(request_key_pairs(request_legs(keys, mov, index)))
 
 
 def empty_result(spark, with_verdict: bool) -> DataFrame:
@@ -241,3 +248,20 @@ def match_requests(req: DataFrame, mov: DataFrame, dedupe: bool = False) -> Data
     if judged.rows == 0:
         return empty_result(mov.sparkSession, True)
     return format_movements(request_movements(judged, mov, dedupe), extra=(VERDICT_COLUMN,), repeat="_rep")
+
+
+def match_requests_keyed(req: DataFrame, snapshot: KeyedSnapshot, dedupe: bool = False, index: IdIndex | None = None) -> DataFrame:
+    """P1 over a snapshot bucketed by account and document: its 50 columns are joined where they lie.
+
+    The same rows as :func:`match_requests`.  Above the broadcast cap only the key
+    pairs are dealt to the buckets; the legs are still found by id, over five
+    columns and, with an ``index``, the periods that hold them.
+    """
+    mov = snapshot.rows()
+    pairs = prepare_pairs(req, mov, index)
+    if pairs is None or pairs.rows == 0:
+        return empty_result(mov.sparkSession, True)
+    judged = judged_pairs(measure_pairs(snapshot.salted(pairs.df)), mov)
+    if judged.rows == 0:
+        return empty_result(mov.sparkSession, True)
+    return format_movements(request_movements(judged, mov, dedupe), extra=(VERDICT_COLUMN,), repeat="_rep")

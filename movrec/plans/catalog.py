@@ -21,12 +21,15 @@ from movrec.operators import requests as rq
 from movrec.operators import windows as wn
 from movrec.operators.archive import BATCH_COLUMN, archive_and_purge
 from movrec.operators.changelog import ChangeLog
+from movrec.operators.ordered import match_ordered
 from movrec.operators.sizing import materialize
+from movrec.operators.verdicts import Verdicts
 from movrec.plans import host
 from movrec.schema import DATE_PATTERN, WRITE_KEY, movement_schema
 from movrec.session import ensure_checkpoint_dir, scratch_path
 from movrec.sources.fixtures import borrados_texto, fixture_snapshot, fixture_snapshot_place, solicitudes, ventanas, ventanas_clientes
 from movrec.sources.lake import lake_path
+from movrec.sources.layouts import IdIndex, KeyedSnapshot
 from movrec.sources.snapshot import load_snapshot, write_clustered
 
 Plan = Callable[[SparkSession, str], DataFrame]
@@ -162,6 +165,53 @@ def q_reconcile_batch(spark, sf_dir):
     return format_movements(reconcile_batch(requests(spark, sf_dir), movements(spark, sf_dir)).snapshot)
 
 
+def _index(spark, mov: DataFrame) -> IdIndex:
+    """Built over one part of the snapshot, then extended by the rest, as movements come in."""
+    first = F.pmod(F.xxhash64("id_transaccion"), F.lit(3)) > 0
+    index = IdIndex.build(mov.filter(first), scratch_path(spark, "ids"))
+    index.add(mov.filter(~first))
+    return index
+
+
+def q_leg_lookup_indexed(spark, sf_dir):
+    mov, req = movements(spark, sf_dir), requests(spark, sf_dir)
+    keys = rq.measure_keys(rq.request_keys(req), "rq_lo", "rq_hi")
+    legs = rq.request_legs(keys, mov, _index(spark, mov)).withColumn("_rep", F.col("rq_n"))
+    return rq.expand(legs).select(*_request_cols(), "cuenta_ordenante", "cuenta_beneficiario", "numero_documento")
+
+
+def q_mark_indexed(spark, sf_dir):
+    mov, req = movements(spark, sf_dir), requests(spark, sf_dir)
+    marks = ch.mark_reposted_changes(req, mov, _index(spark, mov))
+    return marks.withColumn("periodo", _day("periodo"))
+
+
+def q_match_requests_bucketed(spark, sf_dir):
+    mov = movements(spark, sf_dir)
+    keyed = KeyedSnapshot.write(mov, scratch_path(spark, "keyed"))
+    return rq.match_requests_keyed(requests(spark, sf_dir), keyed)
+
+
+def q_reconcile_ordered(spark, sf_dir):
+    """Every request reads what the earlier ones marked; the rows it returned, and the table in the end."""
+    done = match_ordered(requests(spark, sf_dir), movements(spark, sf_dir))
+    matched = done.matched.withColumn("orden", F.col("orden").cast("bigint")).withColumn("place", F.lit("matched"))
+    return matched.unionByName(format_movements(done.snapshot).withColumn("place", F.lit("snapshot")), allowMissingColumns=True)
+
+
+def q_verdict_incremental(spark, sf_dir):
+    """The verdicts after each of three arrivals that together are the snapshot."""
+    mov = movements(spark, sf_dir)
+    kind = F.when(F.col("id_transaccion").like("S%"), 0).when(F.col("id_transaccion").like("C%"), 1).otherwise(2)
+    turn = (F.col("orden_registro").cast("bigint") + kind) % 3
+    state, out = Verdicts(spark, requests(spark, sf_dir), scratch_path(spark, "verdicts")), []
+    for n in range(3):
+        state.arrive(mov.filter(turn == n))
+        now = materialize(state.verdicts()).df
+        out.append(now.select(F.lit(n + 1).alias("arrival"), *_request_cols(), "reposting_completo"))
+    return out[0].unionByName(out[1]).unionByName(out[2])
+
+
 # --- transform B ----------------------------------------------------------------
 def _window_cols() -> list[Column]:
     return [_day("wn_lo").alias("periodo_tope"), _day("wn_hi").alias("periodo")]
@@ -365,6 +415,11 @@ PLANS: dict[str, Plan] = {
     "match_requests_dedupe": q_match_requests_dedupe,
     "mark_reposted_changes": q_mark_reposted_changes,
     "mark_reposted_apply": q_mark_reposted_apply,
+    "leg_lookup_indexed": q_leg_lookup_indexed,
+    "mark_indexed": q_mark_indexed,
+    "match_requests_bucketed": q_match_requests_bucketed,
+    "reconcile_ordered": q_reconcile_ordered,
+    "verdict_incremental": q_verdict_incremental,
     "match_requests_after_mark": q_match_requests_after_mark,
     "reconcile_batch": q_reconcile_batch,
     "guard_windows": q_guard_windows,

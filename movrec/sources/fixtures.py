@@ -156,7 +156,8 @@ def movement_columns(legs: DataFrame) -> DataFrame:
 
 def solicitudes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reconciliation requests: one per stand-in order, plus repeated ones, every
-    other of which carries a document of its own (a conflicting mark)."""
+    other of which carries a document of its own (a conflicting mark).  ``orden`` is
+    their order of arrival: a repeated one comes right before or right after the first."""
     base = fx_base(spark, sf_dir)
     k, d = F.col("k"), F.col("d")
     upper = F.date_add(d, F.when(k % 3 == 0, F.lit(0)).otherwise(F.lit(5)))
@@ -172,11 +173,13 @@ def solicitudes(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(k % 35 == 0, F.lit("")).otherwise(F.lit("CTE")).alias("producto_beneficiario"),
         document.alias("numero_documento_original"),
         *common,
+        (k * 2).alias("orden"),
     )
     repeated = base.filter(k % 100 == 6).select(
         F.lit("AHO").alias("producto_ordenante"), F.lit("CTE").alias("producto_beneficiario"),
         F.when(k % 200 == 6, F.concat(F.lit("X"), _s(k))).otherwise(document).alias("numero_documento_original"),
         *common,
+        (k * 2 + F.when(k % 400 < 200, F.lit(-1)).otherwise(F.lit(1))).alias("orden"),
     )
     return first.unionByName(repeated)
 

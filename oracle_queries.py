@@ -66,11 +66,12 @@ solicitudes AS (
   SELECT CASE WHEN k % 45 = 0 THEN CAST(NULL AS STRING) ELSE 'AHO' END AS producto_ordenante,
          CASE WHEN k % 35 = 0 THEN '' ELSE 'CTE' END AS producto_beneficiario,
          concat('D', CAST(k AS STRING)) AS numero_documento_original, d + CAST(CASE WHEN k % 3 = 0 THEN 0 ELSE 5 END AS INT) AS periodo, d - 30 AS periodo_tope,
-         CASE WHEN k % 65 <> 0 THEN concat('S', CAST(k AS STRING)) END AS guid_ordenante, CASE WHEN k % 4 = 0 THEN concat('B', CAST(k AS STRING)) END AS guid_beneficiario
+         CASE WHEN k % 65 <> 0 THEN concat('S', CAST(k AS STRING)) END AS guid_ordenante, CASE WHEN k % 4 = 0 THEN concat('B', CAST(k AS STRING)) END AS guid_beneficiario, k * 2 AS orden
   FROM fx_base WHERE k % 2 = 0
   UNION ALL
   SELECT 'AHO', 'CTE', concat(CASE WHEN k % 200 = 6 THEN 'X' ELSE 'D' END, CAST(k AS STRING)), d + CAST(CASE WHEN k % 3 = 0 THEN 0 ELSE 5 END AS INT), d - 30,
-         CASE WHEN k % 65 <> 0 THEN concat('S', CAST(k AS STRING)) END, CASE WHEN k % 4 = 0 THEN concat('B', CAST(k AS STRING)) END
+         CASE WHEN k % 65 <> 0 THEN concat('S', CAST(k AS STRING)) END, CASE WHEN k % 4 = 0 THEN concat('B', CAST(k AS STRING)) END,
+         k * 2 + CASE WHEN k % 400 < 200 THEN -1 ELSE 1 END
   FROM fx_base WHERE k % 100 = 6
 ),
 ventanas AS (
@@ -386,6 +387,42 @@ FROM (
   FROM movimientos m
 ) x""",
     )
+    q["leg_lookup_indexed"], q["mark_indexed"] = q["request_leg_lookup"], q["mark_reposted_changes"]
+    q["match_requests_bucketed"] = q["match_requests"]
+    standin_key = "e.periodo = {a}.periodo AND e.id_transaccion = {a}.id_transaccion AND {a}.tipo_procesamiento = 'STANDIN'"
+    q["reconcile_ordered"] = with_fixtures(
+        REQ_CTES
+        + f""",
+events AS MATERIALIZED (
+  SELECT DISTINCT m.periodo, m.id_transaccion, r.orden, r.numero_documento_original AS doc
+  FROM req r JOIN movimientos m ON (m.id_transaccion = r.guid_ordenante OR m.id_transaccion = r.guid_beneficiario)
+   AND m.periodo >= r.periodo_tope AND m.tipo_procesamiento = 'STANDIN'
+),
+seen AS (
+  SELECT a.*, r.orden, (SELECT arg_max(e.doc, e.orden) FROM events e WHERE {standin_key.format(a='a')} AND e.orden < r.orden) AS doc
+  FROM matched a JOIN req r USING (rid)
+),
+final AS (
+  SELECT m.*, (SELECT arg_max(e.doc, e.orden) FROM events e WHERE {standin_key.format(a='m')}) AS doc FROM movimientos m
+)""",
+        f"""SELECT {text_columns('x')}, x.reposting_completo, x.orden, 'matched' AS place
+FROM (SELECT s.* REPLACE (coalesce(doc, numero_comprobante_reposting) AS numero_comprobante_reposting,
+                          CASE WHEN doc IS NULL THEN estado_transaccion ELSE 10 END AS estado_transaccion) FROM seen s) x
+UNION ALL
+SELECT {text_columns('x')}, NULL, NULL, 'snapshot'
+FROM (SELECT s.* REPLACE (coalesce(doc, numero_comprobante_reposting) AS numero_comprobante_reposting,
+                          CASE WHEN doc IS NULL THEN estado_transaccion ELSE 10 END AS estado_transaccion) FROM final s) x""",
+    )
+    came = """movimientos_{n} AS (
+  SELECT * FROM movimientos WHERE (orden_registro::BIGINT + CASE WHEN id_transaccion LIKE 'S%' THEN 0 WHEN id_transaccion LIKE 'C%' THEN 1 ELSE 2 END) % 3 < {n})"""
+    q["verdict_incremental"] = with_fixtures(
+        ",\n".join([REQ_BASE] + [came.format(n=n) + "," + requests_over(f"movimientos_{n}", f"_{n}") for n in (1, 2, 3)]),
+        "\nUNION ALL\n".join(
+            f"""SELECT DISTINCT {n} AS arrival, r.guid_ordenante, r.numero_documento_original, {day('r.periodo_tope', 'periodo_tope')}, {day('r.periodo', 'periodo')}, v.reposting_completo
+FROM judged_{n} v JOIN req r USING (rid)"""
+            for n in (1, 2, 3)
+        ),
+    )
     q["park_in_place"] = q["park_unmatched"]
     touched = lambda rows: f"""EXISTS (SELECT 1 FROM {rows} s WHERE {KEY_GUARD.format(a='s')}
         AND s.periodo = m.periodo AND s.id_transaccion = m.id_transaccion)"""
