@@ -23,6 +23,7 @@ from movrec.operators.archive import BATCH_COLUMN, archive_and_purge
 from movrec.operators.changelog import ChangeLog
 from movrec.operators.ordered import match_ordered
 from movrec.operators.sizing import materialize
+from movrec.operators.staircases import match_windows_overlapping
 from movrec.operators.verdicts import Verdicts
 from movrec.plans import host
 from movrec.schema import DATE_PATTERN, WRITE_KEY, movement_schema
@@ -257,6 +258,11 @@ def q_match_windows(spark, sf_dir):
     return wn.match_windows(windows(spark, sf_dir), movements(spark, sf_dir))
 
 
+def q_match_windows_overlapping(spark, sf_dir):
+    """One window per customer, most of which overlap others; some have no bounds."""
+    return match_windows_overlapping(ventanas_clientes(spark, sf_dir), movements(spark, sf_dir))
+
+
 # --- outputs ---------------------------------------------------------------------
 def q_request_leg_delete(spark, sf_dir):
     mov, req = movements(spark, sf_dir), requests(spark, sf_dir)
@@ -427,6 +433,7 @@ PLANS: dict[str, Plan] = {
     "window_core_pairs": q_window_core_pairs,
     "window_key_union": q_window_key_union,
     "match_windows": q_match_windows,
+    "match_windows_overlapping": q_match_windows_overlapping,
     "request_leg_delete": q_request_leg_delete,
     "request_leg_delete_rows": q_request_leg_delete_rows,
     "park_unmatched": q_park_unmatched,

@@ -154,13 +154,15 @@ matched{suffix} AS (
 REQ_CTES = REQ_BASE + "," + requests_over()
 
 
-def windows_over(source: str = "movimientos", suffix: str = "") -> str:
-    """Transform B over the movement view ``source``; CTE names but ``win`` get ``suffix``."""
+WINDOWS = "SELECT row_number() OVER () AS wid, periodo_tope AS lo, periodo AS hi FROM ventanas WHERE periodo IS NOT NULL AND periodo_tope IS NOT NULL"
+TEXT_WINDOWS = """SELECT row_number() OVER () AS wid, CAST(periodo_tope AS DATE) AS lo, CAST(periodo AS DATE) AS hi
+  FROM ventanas_clientes WHERE length(periodo) > 0 AND length(periodo_tope) > 0"""
+
+
+def windows_over(source: str = "movimientos", suffix: str = "", given: str = WINDOWS) -> str:
+    """Transform B over the movement view ``source`` and the windows ``given``; CTE names but ``win`` get ``suffix``."""
     return f"""
-win AS (
-  SELECT row_number() OVER () AS wid, periodo_tope AS lo, periodo AS hi
-  FROM ventanas WHERE periodo IS NOT NULL AND periodo_tope IS NOT NULL
-),
+win AS ({given}),
 pairs{suffix} AS (
   SELECT w.wid, w.lo, w.hi, standin.numero_cuenta_id AS acct, core.numero_documento AS core_doc, standin.numero_documento AS standin_doc
   FROM {source} standin JOIN {source} core
@@ -423,6 +425,7 @@ FROM judged_{n} v JOIN req r USING (rid)"""
             for n in (1, 2, 3)
         ),
     )
+    q["match_windows_overlapping"] = with_fixtures(windows_over(given=TEXT_WINDOWS), f"SELECT {text_columns('b')} FROM discovered b")
     q["park_in_place"] = q["park_unmatched"]
     touched = lambda rows: f"""EXISTS (SELECT 1 FROM {rows} s WHERE {KEY_GUARD.format(a='s')}
         AND s.periodo = m.periodo AND s.id_transaccion = m.id_transaccion)"""

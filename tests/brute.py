@@ -75,10 +75,10 @@ def match_windows(movs, wins):
             if not (in_range(m["periodo"], lo, hi) and m["tipo_procesamiento"] is None):
                 continue
             for s in standins:
-                if m["numero_cuenta_id"] == s["numero_cuenta_id"] and s["numero_comprobante_reposting"] is not None and m["numero_documento"] == s["numero_comprobante_reposting"]:
+                if m["numero_cuenta_id"] is not None and m["numero_cuenta_id"] == s["numero_cuenta_id"] and s["numero_comprobante_reposting"] is not None and m["numero_documento"] == s["numero_comprobante_reposting"]:
                     pairs.append((m["numero_cuenta_id"], m["numero_documento"], s["numero_documento"]))
         keys = {(c, d) for c, d, _ in pairs} | {(c, s) for c, _, s in pairs}
         for m in movs:
-            if (m["numero_cuenta_id"], m["numero_documento"]) in keys and in_range(m["periodo"], lo, hi):
+            if m["numero_documento"] is not None and (m["numero_cuenta_id"], m["numero_documento"]) in keys and in_range(m["periodo"], lo, hi):
                 out[(m["id_transaccion"], str(m["periodo"]))] += 1
     return out
