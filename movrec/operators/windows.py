@@ -9,15 +9,17 @@ one of those (account, document) keys.
 Set-based plan over all windows at once:
 
     windows --guard/collapse--> window keys (multiplicity ``wn_n``)
-    movements(stand-ins) --semi join on core keys--> stand-ins with a partner anywhere
-    those                --binned range join--> stand-ins per window         [N3]
-    movements(core)      --semi join on stand-in keys--> distinct core keys  [N4]
-    stand-ins --semi join--> matched stand-ins --explode 2 docs--> distinct keys [A2]
+    movements(stand-ins) --distinct, measured--> stand-ins with a reference
+    movements(core)  --semi join on their keys--> core keys and days, measured
+    stand-ins --semi join on core keys--> those with a partner anywhere
+    both      --binned range join--> per window                              [N3]
+    stand-ins --semi join on cores--> matched --explode 2 docs--> distinct keys [N4, A2]
     movements --(account, document, window range)--> 50 columns              [N5]
 
 No step emits all stand-in × core pairs: the core side is reduced to distinct
 keys (map-side partial aggregate), so a hot (account, document) key collapses
-before it is shuffled.
+before it is shuffled.  The core rows, the bulk of the table, are scanned once
+over four columns; only those on a stand-in's key are moved.
 """
 
 from __future__ import annotations
@@ -53,44 +55,20 @@ def _standins(bins: Measured, mov: DataFrame) -> DataFrame:
     ).select("periodo", "numero_cuenta_id", "numero_documento", "numero_comprobante_reposting")
 
 
-def _partnered_standins(bins: Measured, mov: DataFrame) -> DataFrame:
-    """Stand-ins whose repost reference is some core row's document on the account, between the outermost bounds.
-
-    Only these can have a partner inside a window; the equality join drops
-    the others before any stand-in is repeated for the windows it lies in.
-    """
-    cores = restrict_period(mov, bins.extras["_lo"], bins.extras["_hi"]).filter(F.col("tipo_procesamiento").isNull())
-    cores = cores.select(F.col("numero_cuenta_id").alias("_c"), F.col("numero_documento").alias("_d")).distinct()
-    s = _standins(bins, mov)
-    on = (s["numero_cuenta_id"] == cores["_c"]) & (s["numero_comprobante_reposting"] == cores["_d"])
-    return s.join(cores, on, "left_semi")
-
-
-def window_standins(bins: Measured, mov: DataFrame, bin_days: int = DEFAULT_BIN_DAYS, partnered: bool = False) -> DataFrame:
+def window_standins(bins: Measured, mov: DataFrame, bin_days: int = DEFAULT_BIN_DAYS) -> DataFrame:
     """N3: stand-in movements inside each window (account, document, repost reference)."""
-    m = _partnered_standins(bins, mov) if partnered else _standins(bins, mov)
-    return attach_windows(m, bins, "periodo", "wn_lo", "wn_hi", bin_days).select(
+    return attach_windows(_standins(bins, mov), bins, "periodo", "wn_lo", "wn_hi", bin_days).select(
         *WIN_KEY, "wn_n", "numero_cuenta_id", "numero_documento", "numero_comprobante_reposting"
     )
 
 
-def _window_cores(bins: Measured, mov: DataFrame, bin_days: int, candidates: DataFrame) -> DataFrame:
-    """Core rows (type NULL) whose (account, document) some stand-in references, per window.
-
-    The equality semi join runs first, on the bulk of the snapshot, so only
-    the few candidate rows reach the window range join.
-    """
-    m = restrict_period(mov, bins.extras["_lo"], bins.extras["_hi"]).filter(
-        F.col("tipo_procesamiento").isNull()
-    ).select("periodo", "numero_cuenta_id", "numero_documento")
-    m = m.join(
-        candidates,
-        (m["numero_cuenta_id"] == candidates["cuenta"]) & (m["numero_documento"] == candidates["documento_core"]),
-        "left_semi",
-    )
-    return attach_windows(m, bins, "periodo", "wn_lo", "wn_hi", bin_days).select(
-        *WIN_KEY, "numero_cuenta_id", "numero_documento"
-    )
+def referenced_cores(bins: Measured, mov: DataFrame, standins: Measured) -> Measured:
+    """Distinct ``(day, account, document)`` of the core rows (type NULL) that some stand-in refers to."""
+    keys = standins.df.select(F.col("numero_cuenta_id").alias("_c"), F.col("numero_comprobante_reposting").alias("_d")).distinct()
+    keys = F.broadcast(keys) if standins.broadcastable else keys  # a projection of the measured stand-ins
+    m = restrict_period(mov, bins.extras["_lo"], bins.extras["_hi"]).filter(F.col("tipo_procesamiento").isNull())
+    m = m.select("periodo", F.col("numero_cuenta_id").alias("co_cuenta"), F.col("numero_documento").alias("co_documento"))
+    return materialize(m.join(keys, (F.col("co_cuenta") == F.col("_c")) & (F.col("co_documento") == F.col("_d")), "left_semi").distinct())
 
 
 def window_matched_standins(bins: Measured, mov: DataFrame, bin_days: int = DEFAULT_BIN_DAYS) -> DataFrame:
@@ -100,41 +78,18 @@ def window_matched_standins(bins: Measured, mov: DataFrame, bin_days: int = DEFA
     the result is the distinct projection of the reference's core × stand-in
     join without producing the product.
     """
-    standins = materialize(
-        window_standins(bins, mov, bin_days, partnered=True)
-        .filter(F.col("numero_comprobante_reposting").isNotNull())
-        .select(
-            *WIN_KEY,
-            "wn_n",
-            F.col("numero_cuenta_id").alias("cuenta"),
-            F.col("numero_comprobante_reposting").alias("documento_core"),
-            F.col("numero_documento").alias("documento_standin"),
-        )
-        .distinct()
-    )
-    # both key sets are projections of the measured stand-ins: same size bound
-    standin_keys = standins.df.select(*WIN_KEY, "cuenta", "documento_core").distinct()
-    candidates = standins.df.select("cuenta", "documento_core").distinct()
-    if standins.broadcastable:
-        standin_keys = F.broadcast(standin_keys)
-        candidates = F.broadcast(candidates)
-    cores = _window_cores(bins, mov, bin_days, candidates)
-    core_keys = (
-        cores.join(
-            standin_keys,
-            (cores["wn_lo"] == standin_keys["wn_lo"])
-            & (cores["wn_hi"] == standin_keys["wn_hi"])
-            & (cores["numero_cuenta_id"] == standin_keys["cuenta"])
-            & (cores["numero_documento"] == standin_keys["documento_core"]),
-            "left_semi",
-        )
-        .select(*WIN_KEY, F.col("numero_cuenta_id").alias("cuenta"), F.col("numero_documento").alias("documento_core"))
-        .distinct()
+    standins = materialize(_standins(bins, mov).filter(F.col("numero_comprobante_reposting").isNotNull()).distinct())
+    cores = referenced_cores(bins, mov, standins)
+    on = (F.col("numero_cuenta_id") == F.col("co_cuenta")) & (F.col("numero_comprobante_reposting") == F.col("co_documento"))
+    partnered = standins.df.join(cores.side().drop("periodo"), on, "left_semi")  # before any is repeated for the windows it lies in
+    found = attach_windows(partnered, bins, "periodo", "wn_lo", "wn_hi", bin_days).select(
+        *WIN_KEY, "wn_n", F.col("numero_cuenta_id").alias("cuenta"), F.col("numero_comprobante_reposting").alias("documento_core"),
+        F.col("numero_documento").alias("documento_standin"),
+    )
+    core_keys = attach_windows(cores.df, bins, "periodo", "wn_lo", "wn_hi", bin_days).select(
+        *WIN_KEY, F.col("co_cuenta").alias("cuenta"), F.col("co_documento").alias("documento_core")
     )
-    # distinct core keys are a subset of the distinct stand-in keys: same size bound
-    if standins.broadcastable:
-        core_keys = F.broadcast(core_keys)
-    return standins.df.join(core_keys, [*WIN_KEY, "cuenta", "documento_core"], "left_semi")
+    return found.distinct().join(core_keys.distinct(), [*WIN_KEY, "cuenta", "documento_core"], "left_semi")
 
 
 def window_key_union(matched: DataFrame) -> DataFrame:

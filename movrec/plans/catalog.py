@@ -405,8 +405,12 @@ def q_action_failures(spark, sf_dir):
 
 
 def q_status_preview(spark, sf_dir):
-    """How many rows the preview of the audit shows (which ones is unspecified)."""
-    return ap.preview(_audited(spark, sf_dir)).agg(F.count(F.lit(1)).alias("n_rows"))
+    """How many rows the preview of an audit over the whole snapshot shows (which ones is unspecified)."""
+    mov, req = movements(spark, sf_dir), requests(spark, sf_dir)
+    left = ap.apply_deletes(mov, materialize(ch.request_leg_delete_keys(req)), WRITE_KEY)
+    rows = mov.select(*WRITE_KEY)
+    status = ap.audit(rows, {k: F.col(k) for k in WRITE_KEY}, all_truthy(rows, WRITE_KEY), left, WRITE_KEY)
+    return ap.preview(status).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 PLANS: dict[str, Plan] = {

@@ -326,7 +326,7 @@ WHERE NOT EXISTS (
        THEN 'applied' ELSE 'not_found' END AS outcome
 FROM discovered b WHERE b.tipo_procesamiento = 'STANDIN_P'"""
     q["action_audit"] = with_fixtures(WIN_CTES, audited)
-    q["status_preview"] = with_fixtures(WIN_CTES, f"SELECT least(count(*), 10000) AS n_rows FROM ({audited}) shown")
+    q["status_preview"] = with_fixtures("", "SELECT least(count(*), 10000) AS n_rows FROM movimientos")
     dated = """borrados_texto AS (
   SELECT CASE WHEN k % 14 = 0 THEN '2024-13-45' WHEN k % 22 = 0 THEN '' WHEN k % 26 = 0 THEN concat('day ', CAST(k AS VARCHAR)) WHEN k % 34 <> 0 THEN strftime(d, '%Y-%m-%d') END AS periodo,
          CASE WHEN k % 38 = 0 THEN '' ELSE concat('S', CAST(k AS VARCHAR)) END AS guid_ordenante, CASE WHEN k % 4 = 0 THEN concat('B', CAST(k AS VARCHAR)) END AS guid_beneficiario
