@@ -32,7 +32,9 @@ precision.  Equal vectors are one node with a count.
 Defined results: rows whose vector is null, empty, zero, or holds null or
 non-finite components, or whose label or id is null, link with nothing and
 are their own component; vectors of different lengths are never linked; equal
-rows each get a row and count as links of each other; other columns are not read.
+rows each get a row and count as links of each other, and so do rows with one id
+and different vectors or labels (a component is named by the least id of its
+rows); other columns are not read.
 """
 
 from __future__ import annotations
@@ -43,7 +45,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from movrec.llm.common import arrow_map, settle
+from movrec.llm.common import arrow_map, running_before, settle
 from movrec.llm.graph import components
 
 THRESHOLD = 0.93
@@ -372,6 +374,23 @@ def dense_groups(nodes: DataFrame, lists: DataFrame, single: bool, threshold: fl
     return edges, settle(nodes.join(comp, "id", "left").join(dense, "component", "left"))
 
 
+def numbered_nodes(usable: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """``label, size, v, id, copies``: one row for each different vector with a number of its own, and the numbers' names.
+
+    A node's name is the least id of its rows.  It is the number too (then there
+    are no names), unless one id stands for several nodes; then numbers follow the
+    order of (name, vector), as running sums over range partitions, so that the
+    least number of a component still has its least name.
+    """
+    nodes = settle(usable.groupBy("label", "size", "v").agg(F.min("vec_id").cast("bigint").alias("id"), F.count(F.lit(1)).alias("copies")))
+    if nodes.groupBy("id").count().filter("count > 1").isEmpty():
+        return nodes, None
+    placed = nodes.withColumnRenamed("id", "name").withColumn("_all", F.lit(0)).withColumn("_one", F.lit(1))
+    numbered = running_before(placed, "_all", ["name", "label", "size", "v"], "_one", "id").withColumn("id", F.col("id").cast("bigint"))
+    numbered = settle(numbered)
+    return numbered.select("label", "size", "v", "id", "copies"), numbered.select("id", "name")
+
+
 def near_duplicates(
     rows: DataFrame, vector: str = "embedding", threshold: float = THRESHOLD, k: int = K, rounds: int = ROUNDS,
     most_rounds: int = MOST_ROUNDS, largest: int = LARGEST, recall: float = RECALL,
@@ -383,9 +402,7 @@ def near_duplicates(
     single = isinstance(rows.schema[vector].dataType.elementType, T.FloatType)
     all_rows = settle(vectors(rows, vector))
     usable = all_rows.filter(F.col("v").isNotNull()).withColumn("size", F.octet_length("v"))
-    nodes = settle(
-        usable.groupBy("label", "size", "v").agg(F.min("vec_id").cast("bigint").alias("id"), F.count(F.lit(1)).alias("copies"))
-    )
+    nodes, names = numbered_nodes(usable)
     found = first_graph(nodes, single, k, threshold)
     lists = settle(_lists(found, None, k))
     done = 0
@@ -416,7 +433,11 @@ def near_duplicates(
         placed.join(counted, placed.id == counted.cid, "left").join(joins, F.col("component") == F.col("was"), "left")
         .select("label", "size", "v", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("now", "component", "id").alias("component_id"))
     )
-    linked = usable.join(settle(result), ["label", "size", "v"]).select("vec_id", "n_links", "component_id")
+    result = settle(result)
+    if names is not None:
+        named = result.join(names, F.col("component_id") == F.col("id"))
+        result = named.select("label", "size", "v", "n_links", F.col("name").alias("component_id"))
+    linked = usable.join(result, ["label", "size", "v"]).select("vec_id", "n_links", "component_id")
     alone = all_rows.filter(F.col("v").isNull()).select("vec_id", F.lit(0).cast("bigint").alias("n_links"), F.col("vec_id").cast("bigint").alias("component_id"))
     kept = F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True))
     return linked.unionByName(alone).withColumn("kept", kept)

@@ -28,7 +28,9 @@ independent polynomials; anchor and reach, or anchor and window).
 Defined results: order is by ``doc_id`` (null last), then start.  Rows with equal
 id and text count as one document and get equal results; rows with equal ids
 and different texts are ordered by a key of their text.  Null and empty texts
-have no words.  Other columns are not read.
+have no words, very long ones are read whole.  Other columns are not read.  Texts that share
+an id (all null ids are one) are numbered by their 128-bit digest, at most 2**31
+of them; an id of a single row needs no number.
 """
 
 from __future__ import annotations
@@ -40,7 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from movrec.llm import words as W
-from movrec.llm.common import arrow_map, text_key, written
+from movrec.llm.common import arrow_map, running_before, settle, written
 
 LENGTH, SEED_WORDS = 20, 8
 #: anchors that a task holds before it settles copies and passes them on
@@ -271,16 +273,29 @@ def _pressed(texts: DataFrame) -> DataFrame:
     return arrow_map(texts, run, f"text binary, {rest}")
 
 
+def numbered_texts(docs: DataFrame) -> DataFrame:
+    """``text, id, tag, doc_id``: the texts of one id have different tags, in the order of their digests.
+
+    Only ids that stand on several rows are numbered; the numbers are running sums
+    over range partitions, so an id with a third of all rows is no single task.
+    """
+    texts = docs.select(F.coalesce("text", F.lit("")).alias("text"), F.coalesce(F.col("doc_id").cast("bigint"), F.lit(_LAST_ID)).alias("id"), "doc_id")
+    several = settle(texts.groupBy("id").count().filter("count > 1").select(F.col("id").alias("_id")))
+    if several.isEmpty():
+        return texts.select("text", "id", F.lit(0).alias("tag"), "doc_id")
+    marked = texts.join(several, F.col("id") == F.col("_id"), "left")
+    marked = written(marked.withColumn("_digest", F.when(F.col("_id").isNotNull(), F.md5("text"))).drop("_id"))
+    named = marked.filter("_digest is not null").select("id", F.col("_digest").alias("_d")).distinct().withColumn("_one", F.lit(1))
+    numbers = running_before(named, "id", ["_d"], "_one", "tag").select(F.col("id").alias("_id"), "_d", F.col("tag").cast("int").alias("tag"))
+    joined = marked.join(numbers, (F.col("id") == F.col("_id")) & (F.col("_digest") == F.col("_d")), "left")
+    return joined.select("text", "id", F.coalesce("tag", F.lit(0)).alias("tag"), "doc_id")
+
+
 def repeated_runs(docs: DataFrame, length: int = LENGTH, seed: int = SEED_WORDS, crowded: int = CROWDED) -> tuple[DataFrame, DataFrame]:
     """The keyed texts, and ``id, tag, runs`` of all windows that stand earlier."""
     if not 0 < seed <= length:
         raise ValueError("the seed must be between one word and the whole length")
-    texts = docs.select(
-        F.coalesce("text", F.lit("")).alias("text"),
-        F.coalesce(F.col("doc_id").cast("bigint"), F.lit(_LAST_ID)).alias("id"),
-        F.pmod(text_key(), F.lit(1 << 31)).cast("int").alias("tag"),
-        "doc_id",
-    )
+    texts = numbered_texts(docs)
     wide = texts.select("text", "id", F.col("tag").cast("bigint").alias("tag"))
     seeds = arrow_map(wide, _seeds(length, seed, crowded), _ROWS)
     found = written(arrow_map(_dealt(seeds), _classify(True), "kind int, id bigint, loc bigint, windows int"))
