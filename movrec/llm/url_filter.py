@@ -3,7 +3,8 @@
 Listed keys are rules (``host`` or ``host/path-prefix``, allow or block) and
 listed hosts.  A rule fits its host and all subdomains of it where the url's
 path starts with the rule's; so a url's candidate keys are its host's suffixes
-joined with those prefixes of its path whose lengths occur in rules.
+joined with those prefixes of its path whose lengths occur in rules; suffixes of
+more labels than any listed host has are none.
 
 The key universe is every candidate key of the whole corpus.  Level 0 of the
 cascade encodes the listed keys, level 1 those keys of the universe that pass
@@ -12,20 +13,23 @@ so on until a level lets no wrong key pass.  Over that universe membership is
 exact; a url is judged by looking its candidates up in the broadcast levels,
 without a join.  Bits are set by a grouped ``bit_or`` and only the words of the
 filters reach the driver; their size is checked against ``max_filter_bytes``.
+Where a cascade would be larger, the keys are halved by their hash, as often as
+needed, and the candidates are looked up in one cascade after the other.
 
 The longest listed candidate wins (by the length of host and path together; of
 equal ones the longer host, then block before allow).  Without a rule the
 method's own verdict is block for a listed host or its subdomain, else allow.
 
 Defined results: a null url or one without ``://`` has an empty host and path,
-no candidates, and is allowed; repeated rows are judged one by one; other
-columns are not read; empty rule and host lists are allowed.
+no candidates, and is allowed; very long hosts and paths are read whole, in time
+that grows with their length; repeated rows are judged one by one; other columns
+are not read; empty rule and host lists are allowed.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -38,6 +42,8 @@ from movrec.llm.words import mix
 
 MAX_FILTER_BYTES = 256 << 20
 BITS_PER_KEY = 12
+#: the keys are halved at most until there are so many parts
+MOST_PARTS = 1 << 16
 ALLOW, BLOCK, HOST = "A", "B", "H"
 
 
@@ -72,11 +78,18 @@ class Level:
         return out
 
 
+class FilterTooLarge(ValueError):
+    """A cascade does not fit in the bytes allowed."""
+
+
 class Cascade:
-    """Alternate levels of listed keys and false positives."""
+    """Alternate levels of listed keys and false positives, for part ``part`` of ``parts`` of all keys."""
+
+    def __init__(self, levels: list[Level], part: int = 0, parts: int = 1):
+        self.levels, self.part, self.parts = levels, part, parts
 
-    def __init__(self, levels: list[Level]):
-        self.levels = levels
+    def mine(self, h1: np.ndarray) -> np.ndarray:
+        return h1 % np.uint64(self.parts) == np.uint64(self.part)
 
     def has(self, h1: np.ndarray, h2: np.ndarray) -> np.ndarray:
         listed = np.zeros(len(h1), bool)
@@ -104,7 +117,7 @@ def _build_level(keys: DataFrame, salt: int, bits_per_key: float, room: int) ->
         return None
     words = max(1, math.ceil(n * bits_per_key / 64))
     if words * 8 > room:
-        raise ValueError(f"{n} keys need a filter of {words * 8} bytes; {room} are left of max_filter_bytes")
+        raise FilterTooLarge(f"{n} keys need a filter of {words * 8} bytes; {room} are left of max_filter_bytes")
     hashes = max(1, round(bits_per_key * math.log(2)))
 
     def set_bits(batches):
@@ -159,11 +172,31 @@ def build_cascade(listed: DataFrame, universe: DataFrame, bits_per_key: float =
         wrong, right = settle(_passing(right, level)), wrong
 
 
-def candidate_keys(host: Column, path: Column, lengths: Sequence[int]) -> Column:
-    """Rule candidates (longest first) of a host and path, as an array of strings."""
+def build_cascades(
+    listed: DataFrame, universe: DataFrame, bits_per_key: float = BITS_PER_KEY, max_filter_bytes: int = MAX_FILTER_BYTES, part: int = 0, parts: int = 1
+) -> Iterator[Cascade]:
+    """Cascades of at most ``max_filter_bytes`` each; every key belongs to one of them, by its hash."""
+    mine = F.xxhash64("key").bitwiseAND(F.lit(parts - 1)) == part  # parts is a power of two
+    some, all_ = (listed, universe) if parts == 1 else (listed.filter(mine), universe.filter(mine))
+    try:
+        cascade = build_cascade(some, all_, bits_per_key, max_filter_bytes)
+    except FilterTooLarge:
+        if parts >= MOST_PARTS:
+            raise
+    else:
+        cascade.part, cascade.parts = part, parts
+        yield cascade
+        return
+    yield from build_cascades(listed, universe, bits_per_key, max_filter_bytes, part, 2 * parts)
+    yield from build_cascades(listed, universe, bits_per_key, max_filter_bytes, part + parts, 2 * parts)
+
+
+def candidate_keys(host: Column, path: Column, lengths: Sequence[int], most_labels: int) -> Column:
+    """Rule candidates (longest first) of a host and path, as an array of strings; hosts of up to ``most_labels`` labels."""
     labels = F.split(host, r"\.")
     n = F.size(labels)
-    suffixes = F.when(host != "", F.transform(F.sequence(F.lit(1), n), lambda i: F.array_join(F.slice(labels, i, n), "."))).otherwise(
+    first = F.greatest(F.lit(1), n - (most_labels - 1))
+    suffixes = F.when((host != "") & F.lit(most_labels > 0), F.transform(F.sequence(F.least(first, n), n), lambda i: F.array_join(F.slice(labels, i, n), "."))).otherwise(
         F.array().cast("array<string>")
     )
     lens = F.filter(F.array(*[F.lit(int(x)) for x in sorted(set(lengths), reverse=True)]).cast("array<int>"), lambda x: x <= F.length(path))
@@ -188,42 +221,49 @@ def judge_urls(
     """
     spark = pages.sparkSession
     lengths = [r[0] for r in rules.select(F.length("path")).distinct().collect()]
+    names = rules.select("host") if hosts is None else rules.select("host").unionByName(hosts.select("host"))
+    most_labels = names.agg(F.max(F.size(F.split("host", r"\."))).alias("n")).first()["n"] or 0
     listed = rules.select(F.concat(F.when(F.col("allow"), ALLOW).otherwise(BLOCK), "host", "path").alias("key"))
     if hosts is not None:
         listed = listed.unionByName(hosts.select(F.concat(F.lit(HOST), "host").alias("key")))
     host, path = split_url()
     judged = pages.select(*keep, host.alias("host"), path.alias("path"))
-    rule_keys = candidate_keys(F.col("host"), F.col("path"), lengths)
-    host_keys = candidate_keys(F.col("host"), F.lit(""), [0])
+    rule_keys = candidate_keys(F.col("host"), F.col("path"), lengths, most_labels)
+    host_keys = candidate_keys(F.col("host"), F.lit(""), [0], most_labels)
     tagged = F.concat(
         F.flatten(F.transform(rule_keys, lambda k: F.array(F.concat(F.lit(BLOCK), k), F.concat(F.lit(ALLOW), k)))),
         F.transform(host_keys, lambda k: F.concat(F.lit(HOST), k)),
     )
     universe = judged.select("host", "path").distinct().select(F.explode(tagged).alias("key")).distinct()
-    cascade = build_cascade(listed, universe, bits_per_key, max_filter_bytes)
-    return _look_up(judged.withColumn("_keys", tagged), cascade, spark)
+    rows = judged.withColumn("_keys", tagged).withColumn("_at", F.lit(-1))
+    for cascade in build_cascades(listed, universe, bits_per_key, max_filter_bytes):
+        rows = _look_up(rows, cascade, spark)
+    key = F.when(F.col("_at") >= 0, F.get("_keys", F.col("_at")))
+    rule = F.when(F.substring(key, 1, 1) != HOST, F.substring(key, 2, 1 << 30))
+    verdict = F.when(key.isNull() | (F.substring(key, 1, 1) == ALLOW), "allow").otherwise("block")
+    return rows.select(*keep, "host", "path", rule.alias("rule"), verdict.alias("verdict"))
 
 
 def _look_up(rows: DataFrame, cascade: Cascade, spark: SparkSession) -> DataFrame:
+    """``rows`` with ``_at`` lowered to the first of ``_keys`` that this cascade lists."""
     shared = spark.sparkContext.broadcast(cascade)
-    pairs = F.transform("_keys", lambda k: F.struct(key_hashes(k)[0].alias("a"), key_hashes(k)[1].alias("b")))
-    names = [c for c in rows.columns if c != "_keys"]
-    hashed = rows.withColumn("_a", F.transform(pairs, lambda p: p.a)).withColumn("_b", F.transform(pairs, lambda p: p.b))
+    names = rows.columns
+    hashed = rows.withColumn("_a", F.transform("_keys", lambda k: key_hashes(k)[0])).withColumn("_b", F.transform("_keys", lambda k: key_hashes(k)[1]))
 
     def run(batches):
         for batch in batches:
-            a, b, keys = (batch.column(batch.schema.names.index(c)) for c in ("_a", "_b", "_keys"))
-            hit = shared.value.has(a.flatten().to_numpy().view(np.uint64), b.flatten().to_numpy().view(np.uint64))
+            a, b, before = (batch.column(batch.schema.names.index(c)) for c in ("_a", "_b", "_at"))
+            h1, h2 = a.flatten().to_numpy().view(np.uint64), b.flatten().to_numpy().view(np.uint64)
+            own = np.flatnonzero(shared.value.mine(h1))
+            at = own[shared.value.has(h1[own], h2[own])]
             ends = np.cumsum(np.asarray(a.value_lengths().fill_null(0)))
-            at = np.flatnonzero(hit)
-            place = np.searchsorted(at, np.concatenate(([0], ends[:-1])))
-            found = [int(at[p]) if p < len(at) and at[p] < e else -1 for p, e in zip(place.tolist(), ends.tolist())]
-            flat = keys.flatten()
-            first = [flat[x].as_py() if x >= 0 else None for x in found]
-            rule = [k[1:] if k and k[0] != HOST else None for k in first]
-            verdict = ["allow" if k is None or k[0] == ALLOW else "block" for k in first]
-            cols = [batch.column(batch.schema.names.index(c)) for c in names]
-            yield pa.RecordBatch.from_arrays([*cols, pa.array(rule, pa.string()), pa.array(verdict, pa.string())], [*names, "rule", "verdict"])
-
-    schema = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in names)
-    return arrow_map(hashed, run, f"{schema}, rule string, verdict string")
+            begins = np.concatenate(([0], ends[:-1])).astype(np.int64)
+            place = np.searchsorted(at, begins)
+            found = np.concatenate((at, [-1]))[np.minimum(place, len(at))]
+            hit = (place < len(at)) & (found < ends)
+            old = before.to_numpy()
+            new = np.where(hit & ((old < 0) | (found - begins < old)), found - begins, old)
+            cols = [pa.array(new, pa.int32()) if c == "_at" else batch.column(batch.schema.names.index(c)) for c in names]
+            yield pa.RecordBatch.from_arrays(cols, names)
+
+    return arrow_map(hashed, run, rows.schema)
