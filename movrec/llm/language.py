@@ -4,9 +4,12 @@ Texts are lower-cased; n-grams of 1 to 3 code points inside words (with one
 space at each word end) are hashed to ``dims`` bins.  Inverse document
 frequencies come from all learnable rows.  The weights are trained by
 follow-the-regularised-leader (FTRL-proximal) with elastic-net penalties on a
-bounded sample (``PER_LANGUAGE`` rows of each language and ``MAX_SAMPLE`` in all,
-the documents with the least hash of their id), so most weights are exactly zero.  A slice of that
-sample is kept from training and fits one temperature for calibration.
+bounded sample (``per_language`` rows of each language and ``max_sample`` in all,
+rare languages first, the documents with the least hash of their id), so most
+weights are exactly zero.  Every fifth sampled row of a language is kept from
+training and fits one temperature for calibration.  Of more than
+``max_languages`` values the most frequent ones are learned, and with more values
+than ``max_sample`` rows one row each of as many.
 
 Learnable rows have a text with a letter, a non-null language and a
 ``doc_id`` outside the held-out fold; ``lang``, ``source`` and ``doc_id`` are
@@ -14,8 +17,9 @@ never inputs of a prediction.
 
 Defined results: a null text, or one without letters, is ``und`` with score 0;
 so is every text if nothing can be learned (no rows, no languages); with one
-language only, that one is predicted with score 1.  Repeated rows are judged
-one by one.  Other columns are not read.
+language only, that one is predicted with score 1.  Very long texts are
+counted whole, in parts.  Repeated rows are judged one by one.  Other columns
+are not read.
 """
 
 from __future__ import annotations
@@ -24,7 +28,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from movrec.llm import words as W
@@ -33,7 +37,7 @@ from movrec.llm.common import arrow_map, held_out
 DIMS = 4096
 GRAMS = (1, 2, 3)
 PER_LANGUAGE, MAX_SAMPLE = 800, 4000
-MAX_LANGUAGES = 512
+MAX_LANGUAGES = 2048
 #: code points of text that a task turns to counts at once
 CHUNK_POINTS = 1 << 18
 UNKNOWN = "und"
@@ -186,29 +190,46 @@ def document_frequencies(texts: DataFrame, dims: int = DIMS) -> tuple[int, np.nd
     return counts.get(-1, 0), np.array([counts.get(b, 0) for b in range(dims)], float)
 
 
+def shares(counts: list[int], per_class: int, most: int) -> list[int]:
+    """How many rows each class gives: at most ``per_class``, ``most`` in all, small classes first."""
+    out, left = [0] * len(counts), most
+    order = sorted(range(len(counts)), key=lambda i: counts[i])
+    for place, i in enumerate(order):
+        out[i] = min(counts[i], per_class, -(-left // (len(counts) - place)))
+        left -= out[i]
+    return out
+
+
 def bounded_sample(rows: DataFrame, by: str, key: str, per_class: int, max_classes: int, most: int | None = None) -> DataFrame:
-    """About ``per_class`` rows of each class, ``most`` in all: those whose key hash lies below the class's share.
+    """At most ``per_class`` rows of each class and ``most`` in all, with ``_place``, their place in the class from 0.
 
-    Classes are counted over all rows; only the counts reach the driver.
+    Classes are counted over all rows and the ``max_classes`` most frequent ones
+    (equal counts: in order of name) are sampled; only their counts reach the
+    driver.  A class gives the rows with the least hashes of ``key``: those below
+    a generous share of the class are ranked, so what is ranked is bounded, too.
+    Rows equal in class and key are one row of the sample.
     """
-    counts = rows.groupBy(by).count().orderBy(by).limit(max_classes + 1).collect()
-    if len(counts) > max_classes:
-        raise ValueError(f"more than {max_classes} classes in {by}")
-    if most is not None and counts:
-        per_class = min(per_class, max(1, most // len(counts)))
-    share = F.lit(0.0)
-    for r in counts:
-        share = F.when(F.col(by) == F.lit(r[0]), F.lit(min(1.0, per_class / r["count"]))).otherwise(share)
+    spark = rows.sparkSession
+    counts = rows.groupBy(by).count().orderBy(F.desc("count"), by).limit(max_classes).collect()
+    given = shares([r["count"] for r in counts], per_class, per_class * max_classes if most is None else most)
+    facts = [(r[0], n, min(1.0, (2 * n + 16) / r["count"])) for r, n in zip(counts, given) if n]
+    kind = rows.schema[by].dataType.simpleString()
+    wanted = spark.createDataFrame(facts, f"_class {kind}, _rows int, _share double")  # at most max_classes rows
     point = F.pmod(F.xxhash64(F.lit("sample"), F.col(key)), F.lit(1 << 30)) / float(1 << 30)
-    return rows.filter(point < share)
+    near = rows.withColumn("_point", point).join(F.broadcast(wanted), F.col(by) == F.col("_class")).filter("_point < _share").distinct()
+    place = F.row_number().over(Window.partitionBy(by).orderBy("_point", key)) - 1
+    return near.withColumn("_place", place).filter("_place < _rows").select(*rows.columns, "_place")
 
 
 def fit_language_model(docs: DataFrame, dims: int = DIMS, per_language: int = PER_LANGUAGE, max_sample: int = MAX_SAMPLE, max_languages: int = MAX_LANGUAGES) -> LanguageModel:
     """Train on ``docs`` (doc_id, text, lang); the sample reaches the driver as n-gram counts."""
     rows = _learnable(docs)
-    picked = bounded_sample(rows, "lang", "doc_id", per_language, max_languages, max_sample)
     # one text for each id and language, however often the id is repeated
-    picked = picked.groupBy("doc_id", "lang").agg(F.min("text").alias("text")).select("doc_id", "text", "lang")
+    lettered = rows.filter(F.col("text").rlike(r"\p{L}")).select("doc_id", "lang")
+    picked = bounded_sample(lettered, "lang", "doc_id", per_language, max_languages, max_sample)
+    wanted = picked.select(F.col("doc_id").alias("_i"), F.col("lang").alias("_l"), "_place")  # at most max_sample ids
+    texts = rows.filter(F.col("text").rlike(r"\p{L}")).join(F.broadcast(wanted), F.col("doc_id").eqNullSafe(F.col("_i")) & (F.col("lang") == F.col("_l")))
+    picked = texts.groupBy("doc_id", "lang").agg(F.min("text").alias("text"), F.first("_place").alias("place")).select("place", "text", "lang")
 
     def counts(batches):
         for batch in batches:
@@ -220,23 +241,14 @@ def fit_language_model(docs: DataFrame, dims: int = DIMS, per_language: int = PE
                 bins = [np.flatnonzero(r).astype(np.int32) for r in c]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).take(pa.array(part)), pa.array([langs[i] for i in part]), pa.array(bins, pa.list_(pa.int32())), pa.array([r[b] for r, b in zip(c, bins)], pa.list_(pa.float32()))],
-                    ["doc_id", "lang", "bins", "counts"],
+                    ["place", "lang", "bins", "counts"],
                 )
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    sample = arrow_map(picked, counts, f"doc_id {kind}, lang string, bins array<int>, counts array<float>")
-    table = sample.withColumn("h", F.xxhash64(F.lit("order"), "doc_id")).drop("doc_id").toArrow().combine_chunks()
-    # the same order in every run; never more rows than the parameters allow
-    names = np.array(table.column("lang").to_pylist(), dtype=object)
-    order = np.lexsort((names.astype(str), table.column("h").to_numpy()))
-    place = dict.fromkeys(names.tolist(), 0)
-    kept = []
-    for i in order.tolist():
-        if place[names[i]] < per_language and len(kept) < max_sample:
-            place[names[i]] += 1
-            kept.append(i)
-    table = table.take(pa.array(kept, pa.int64())).combine_chunks()
-    names = names[kept]
+    table = arrow_map(picked, counts, "place int, lang string, bins array<int>, counts array<float>").toArrow().combine_chunks()
+    # the same order in every run
+    place, names = table.column("place").to_numpy(), np.array(table.column("lang").to_pylist(), dtype=object)
+    order = np.lexsort((names.astype(str), place))
+    table, place, names = table.take(pa.array(order)).combine_chunks(), place[order], names[order]
     total, df = document_frequencies(rows, dims)
     languages = sorted(set(names.tolist()))
     idf = (np.log((1 + total) / (1 + df)) + 1).astype(np.float32)
@@ -248,7 +260,7 @@ def fit_language_model(docs: DataFrame, dims: int = DIMS, per_language: int = PE
         c[r, table.column("bins")[r].values.to_numpy()] = table.column("counts")[r].values.to_numpy()
     x, y = model.features(c), np.searchsorted(languages, names.astype(str))
     del c, table
-    calibrate = np.arange(len(x)) % 5 == 4
+    calibrate = place % 5 == 4  # so a rare language has all its rows in training
     w = train_ftrl(x[~calibrate], y[~calibrate], len(languages))
     model.weights = w.astype(np.float32)
     model.sparsity = float((w == 0).mean())
