@@ -10,9 +10,10 @@ sum.  All layers are trained together from document labels by Adam.
 
 Labels come from a bounded sample (``max_labelled`` rows, half of each class
 where there are enough, those with the least hash of their id) of the rows outside
-the held-out fold.  Labels, lang, source and doc_id are never inputs of a score.
+the held-out fold, and from at most about ``max_passages`` passages of them.  Labels, lang, source and doc_id are never inputs of a score.
 
-Defined results: null and empty texts are one empty passage; without labels of
+Defined results: null and empty texts are one empty passage; of very long texts
+all passages are scored; without labels of
 both classes every score is the share of label 1 (1.0 without any label);
 repeated rows are scored one by one; other columns are not read.
 """
@@ -30,11 +31,14 @@ from pyspark.sql import functions as F
 from movrec.llm import words as W
 from movrec.llm.common import arrow_map, held_out
 from movrec.llm.language import bounded_sample
+from movrec.llm.mixing import word_count
 
 PASSAGE = 96
 DIMS, WORDS = 512, 512
 HIDDEN, ATTENTION = 24, 16
 MAX_LABELLED = 4000
+#: passages the driver trains on, 4 KB each
+MAX_PASSAGES = 1 << 16
 EPOCHS = 30
 
 _CLASS = np.arange(256, dtype=np.int64)
@@ -170,30 +174,47 @@ def train(x: np.ndarray, bag: np.ndarray, y: np.ndarray, dims: int = DIMS, epoch
     return p
 
 
-def fit_quality_model(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, passage: int = PASSAGE, dims: int = DIMS) -> AttentionModel:
+def even_level(sizes: list[tuple[int, int]], most: int) -> int:
+    """The largest number of passages a document may give so that all give at most ``most`` (at least one each)."""
+    low, high = 1, max([n for n, _ in sizes], default=1)
+    while low < high:
+        middle = (low + high + 1) // 2
+        low, high = (middle, high) if sum(min(n, middle) * times for n, times in sizes) <= most else (low, middle - 1)
+    return low
+
+
+def spaced(x: np.ndarray, most: int) -> np.ndarray:
+    """All rows, or ``most`` evenly spaced ones."""
+    return x if len(x) <= most else x[np.linspace(0, len(x) - 1, most).round().astype(int)]
+
+
+def fit_quality_model(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, passage: int = PASSAGE, dims: int = DIMS, max_passages: int = MAX_PASSAGES) -> AttentionModel:
     """Train on the labelled rows of ``docs`` outside the held-out fold.
 
     Only ids are sampled and joined first; then the whole texts of at most
-    ``max_labelled`` documents are encoded in tasks, and their passages
-    reach the driver.
+    ``max_labelled`` documents are encoded in tasks, and at most about
+    ``max_passages`` of their passages reach the driver: documents with more than
+    a common number of passages give that many, evenly spaced over the whole text.
     """
     marks = labels.select("doc_id", F.col("quality").cast("int").alias("quality")).filter(
         F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out()
     )
     # contradictory labels of one document say nothing; repeated ones count once
     marks = marks.groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("quality").alias("other")).filter("quality = other").drop("other")
-    picked = bounded_sample(marks, "quality", "doc_id", max_labelled // 2, 2)
+    picked = bounded_sample(marks, "quality", "doc_id", max_labelled // 2, 2).drop("_place")
     kind = docs.schema["doc_id"].dataType.simpleString()
     texts = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id")  # about max_labelled ids
     # one text for each id, however often the id is repeated
     texts = texts.groupBy("doc_id").agg(F.min("text").alias("text"), F.first("quality").alias("quality"))
+    sizes = texts.select(F.greatest(F.lit(1), F.ceil(word_count() / passage)).alias("n")).groupBy("n").count().collect()  # at most max_labelled rows
+    most = even_level([(r["n"], r["count"]) for r in sizes], max_passages)
 
     def run(batches):
         for batch in batches:
             raw, offsets = W.buffers(batch.column(1))
             for i, j in W.runs(offsets):
                 x, bag = encode(raw[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], passage, dims)
-                cells = [zlib.compress(x[bag == k].astype("<f4").tobytes(), 1) for k in range(j - i)]  # mostly zeros
+                cells = [zlib.compress(spaced(x[bag == k], most).astype("<f4").tobytes(), 1) for k in range(j - i)]  # mostly zeros
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), batch.column(2).slice(i, j - i), pa.array(cells, pa.binary())], ["doc_id", "quality", "x"])
 
     rows = arrow_map(texts, run, f"doc_id {kind}, quality int, x binary").withColumn("h", F.xxhash64(F.lit("order"), "doc_id")).toPandas()
