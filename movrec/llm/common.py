@@ -70,7 +70,8 @@ def keep_chosen(docs: DataFrame, chosen: DataFrame) -> DataFrame:
     """One row of ``docs`` for each ``(_id, _text)`` in ``chosen``, with the other columns of ``chosen`` added.
 
     ``_text`` is the text's key; rows of ``docs`` equal in id and text count once
-    (the least row stays).  Columns of ``docs`` keep their names and values.
+    (the least row stays; rows with a map, which have no order, are compared as
+    JSON).  Columns of ``docs`` keep their names and values.
     """
     key = [F.col("_i"), F.col("_k")]
     added = [c for c in chosen.columns if c not in ("_id", "_text")]
@@ -82,8 +83,9 @@ def keep_chosen(docs: DataFrame, chosen: DataFrame) -> DataFrame:
     if repeated.isEmpty():
         return joined.select("_row.*", *added)
     both = joined.join(repeated, F.col("_i").eqNullSafe(F.col("_ri")) & (F.col("_k") == F.col("_rk")), "left")
+    order = F.to_json("_row") if "map<" in docs.schema.simpleString() else F.col("_row")
     once = both.filter("_r is null").select("_row", *added)
-    again = both.filter("_r").groupBy(*key).agg(F.min("_row").alias("_row"), *[F.first(c).alias(c) for c in added]).select("_row", *added)
+    again = both.filter("_r").groupBy(*key).agg(F.min_by("_row", order).alias("_row"), *[F.first(c).alias(c) for c in added]).select("_row", *added)
     return once.unionByName(again).select("_row.*", *added)
 
 
