@@ -8,25 +8,34 @@ starts and ends at word borders, and each document is scanned once.  The
 normalisation maps byte to byte; match offsets therefore point into the
 original text, and are given as code points.
 
+A benchmark whose automaton would be too large (``max_chars`` characters of words
+for each) is cut in pieces that share ``window - 1`` words, and the documents are
+scanned by one automaton after the other; the hits of a row are united.
+
 Defined results: a null or empty text has no words and no hits; a null item id
 counts as one item, written as an empty string; items without words are
-ignored; equal rows are judged one by one; other columns of the inputs are
-neither read nor changed.  The benchmark is broadcast: its size is measured
-first and ``max_benchmark_chars`` is an error, not a cut.
+ignored; very long texts are scanned whole, in time that grows with their length;
+equal rows are judged one by one; other columns of the inputs are neither read nor
+changed.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from movrec.llm import words as W
-from movrec.llm.common import arrow_map
+from movrec.llm.common import arrow_map, settle, written
 
 WINDOW = 10
-MAX_BENCHMARK_CHARS = 64_000_000
+#: characters of benchmark words in one automaton; two millions take some 280 MB in a worker
+MAX_AUTOMATON_CHARS = 2_000_000
+#: windows that start in one piece of an item
+PIECE_WINDOWS = 4096
 
 #: byte to byte: A-Z to a-z, every separator to a space
 NORMAL = bytes(int(W.LOWER[b]) if W.ALNUM[W.LOWER[b]] else 0x20 for b in range(256))
@@ -94,55 +103,96 @@ def _automaton(shared, window: int) -> Automaton:
     return _BUILT[2]
 
 
-def benchmark_items(benchmark: DataFrame, max_chars: int = MAX_BENCHMARK_CHARS) -> list[tuple[str, str]]:
-    """The item texts, after a check of their measured size."""
-    size = benchmark.agg(F.sum(F.length("text") + 16)).first()[0] or 0
-    if size > max_chars:
-        raise ValueError(f"the benchmark has {size} characters; one automaton takes {max_chars}")
-    rows = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")), "text").collect()
-    return [(r[0], r[1]) for r in rows]
+def benchmark_pieces(benchmark: DataFrame, window: int) -> DataFrame:
+    """``item, words``: every item's words, long items in pieces that hold each window once."""
 
+    def cut(batches):
+        for batch in batches:
+            items, pieces = [], []
+            for item, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                words = (text or "").encode().translate(NORMAL).split()
+                for at in range(0, max(len(words) - window + 1, min(len(words), 1)), PIECE_WINDOWS):
+                    items.append(item)
+                    pieces.append(b" ".join(words[at : at + PIECE_WINDOWS + window - 1]).decode())
+            yield pa.RecordBatch.from_arrays([pa.array(items, pa.string()), pa.array(pieces, pa.string())], ["item", "words"])
 
-def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_chars: int = MAX_BENCHMARK_CHARS) -> DataFrame:
-    """``doc_id, n_words, n_hit, items, spans`` for every row of ``docs``."""
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(benchmark_items(benchmark, max_chars))
-    id_type = docs.schema["doc_id"].dataType.simpleString()
+    named = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), "text")
+    return arrow_map(named, cut, "item string, words string").distinct()
+
+
+def benchmark_parts(benchmark: DataFrame, window: int = WINDOW, max_chars: int = MAX_AUTOMATON_CHARS) -> Iterator[tuple[list[tuple[str, str]], bool]]:
+    """The pieces of one automaton after the other, and whether they are the last."""
+    pieces = settle(benchmark_pieces(benchmark, window))
+    size = pieces.agg(F.sum(F.length("words") + 16)).first()[0] or 0
+    parts = max(1, -(-size // max_chars))
+    for part in range(parts):
+        own = pieces.filter(F.pmod(F.xxhash64("item", "words"), F.lit(parts)) == part) if parts > 1 else pieces
+        yield [(r[0], r[1]) for r in own.collect()], part == parts - 1  # about max_chars characters
+
+
+def _hit_words(n: int, ranges: list[tuple[int, int]]) -> np.ndarray:
+    delta = np.zeros(n + 1, np.int64)
+    at = np.array(ranges, np.int64).reshape(-1, 2)
+    np.add.at(delta, at[:, 0], 1)
+    np.add.at(delta, at[:, 1], -1)
+    return np.cumsum(delta)[:n] > 0
+
+
+def _scan(rows: DataFrame, items: list[tuple[str, str]], window: int, last: bool) -> DataFrame:
+    """``rows`` (doc_id, text, items, ranges) with the hits of one automaton added, or the results if it is the last."""
+    shared = rows.sparkSession.sparkContext.broadcast(items)
+    id_type = rows.schema["doc_id"].dataType.simpleString()
 
     def scan(batches):
         automaton = _automaton(shared, window)
         for batch in batches:
             raw, offsets = W.buffers(batch.column(1))
-            counts, hits, items, spans = [], [], [], []
-            for i in range(batch.num_rows):
+            counts, hits, found, spans, united = [], [], [], [], []
+            earlier = zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())
+            for i, (known, covered) in enumerate(earlier):
                 one = raw[offsets[i] : offsets[i + 1]]
                 n, keys, ranges = automaton.scan(one.tobytes())
-                counts.append(n)
-                if not keys:
-                    hits.append(0)
-                    items.append([])
-                    spans.append([])
-                    continue
-                delta = np.zeros(n + 1, np.int64)
-                at = np.array(ranges)
-                np.add.at(delta, at[:, 0], 1)
-                np.add.at(delta, at[:, 1], -1)
-                hit = np.cumsum(delta)[:n] > 0
-                hits.append(int(hit.sum()))
-                items.append(sorted({x for k in set(keys) for x in automaton.items[k]}))
-                spans.append(original_spans(one, hit))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(counts, pa.int64()), pa.array(hits, pa.int64()), pa.array(items, pa.list_(pa.string())), pa.array(spans, _SPAN)],
-                ["doc_id", "n_words", "n_hit", "items", "spans"],
-            )
-
-    return arrow_map(docs.select("doc_id", "text"), scan, f"doc_id {id_type}, {SCHEMA}")
-
-
-def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
+                ranges += zip(covered[::2], covered[1::2])
+                hit = _hit_words(n, ranges) if ranges else None
+                found.append(sorted({x for k in set(keys) for x in automaton.items[k]}.union(known)))
+                if last:
+                    counts.append(n)
+                    hits.append(int(hit.sum()) if ranges else 0)
+                    spans.append(original_spans(one, hit) if ranges else [])
+                else:
+                    united.append(np.flatnonzero(np.diff(np.concatenate(([0], hit.astype(np.int8), [0])))).tolist() if ranges else [])
+            names = pa.array(found, pa.list_(pa.string()))
+            if last:
+                cols = [batch.column(0), pa.array(counts, pa.int64()), pa.array(hits, pa.int64()), names, pa.array(spans, _SPAN)]
+                yield pa.RecordBatch.from_arrays(cols, ["doc_id", "n_words", "n_hit", "items", "spans"])
+            else:
+                cols = [batch.column(0), batch.column(1), names, pa.array(united, pa.list_(pa.int64()))]
+                yield pa.RecordBatch.from_arrays(cols, ["doc_id", "text", "items", "ranges"])
+
+    return arrow_map(rows, scan, f"doc_id {id_type}, {SCHEMA if last else 'text string, items array<string>, ranges array<bigint>'}")
+
+
+def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_chars: int = MAX_AUTOMATON_CHARS) -> DataFrame:
+    """``doc_id, n_words, n_hit, items, spans`` for every row of ``docs``."""
+    rows = docs.select("doc_id", "text", F.array().cast("array<string>").alias("items"), F.array().cast("array<bigint>").alias("ranges"))
+    for items, last in benchmark_parts(benchmark, window, max_chars):
+        rows = _scan(rows, items, window, last)
+        if not last:  # a worker holds one automaton at a time
+            rows = written(rows)
+    return rows
+
+
+def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_chars: int = MAX_AUTOMATON_CHARS) -> DataFrame:
     """The rows of ``docs`` without any benchmark window, columns unchanged."""
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(benchmark_items(benchmark))
+    for items, last in benchmark_parts(benchmark, window, max_chars):
+        docs = _without(docs, items, window)
+        if not last:
+            docs = written(docs)
+    return docs
+
+
+def _without(docs: DataFrame, items: list[tuple[str, str]], window: int) -> DataFrame:
+    shared = docs.sparkSession.sparkContext.broadcast(items)
     at = docs.columns.index("text")
 
     def keep(batches):

@@ -1,13 +1,14 @@
 """Bounds of the operators and what holds beyond them."""
 
+import re
 import time
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from movrec.llm import common, language, quality, simhash, url_filter
-from test_llm_operators import docs_of
+from movrec.llm import common, decontaminate, language, quality, simhash, url_filter
+from test_llm_operators import AWKWARD, docs_of
 from test_llm_queries import rows
 
 RULES = "host string, path string, allow boolean"
@@ -121,3 +122,33 @@ def test_repeated_rows_with_a_map(spark):
     assert sorted((r["doc_id"], r["m"]["k"]) for r in kept) == [(1, 1), (3, 3)] and set(kept[0]) == set(docs.columns)
     chosen = docs.select(F.col("doc_id").alias("_id"), common.text_key().alias("_text"), F.lit(2).alias("copies")).distinct()
     assert sorted((r["doc_id"], r["copies"]) for r in rows(common.keep_chosen(docs, chosen))) == [(1, 2), (2, 2), (3, 2)]
+
+
+# --- op10 ------------------------------------------------------------------------
+@pytest.mark.parametrize("piece", [decontaminate.PIECE_WINDOWS, 3])
+def test_several_automata_give_what_one_gives(spark, monkeypatch, piece):
+    monkeypatch.setattr(decontaminate, "PIECE_WINDOWS", piece)
+    rng = np.random.default_rng(11)
+    text = lambda n: " ".join(rng.choice(list("abc"), n))
+    items = [(i, text(int(rng.integers(0, 14)))) for i in range(60)] + [(60, None), (None, "a A b"), (61, text(4000))]
+    docs = docs_of(spark, [(i, text(int(rng.integers(0, 60)))) for i in range(150)] + [(200, items[62][1]), (200, items[62][1]), *AWKWARD])
+    benchmark = spark.createDataFrame(items, "item_id bigint, text string")
+    plain = lambda df: sorted(map(repr, rows(df)))
+    one = plain(decontaminate.find_contamination(docs, benchmark, 4))
+    assert len(list(decontaminate.benchmark_parts(benchmark, 4, 3000))) > 2
+    assert plain(decontaminate.find_contamination(docs, benchmark, 4, 3000)) == one
+    # by brute force
+    words = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (t or "").lower())
+    keys = {}
+    for i, t in items:
+        w = words(t)
+        for k in [tuple(w)] if 0 < len(w) < 4 else [tuple(w[j : j + 4]) for j in range(len(w) - 3)]:
+            keys.setdefault(k, set()).add("" if i is None else str(i))
+    for r, d in zip(rows(decontaminate.find_contamination(docs, benchmark, 4, 3000).orderBy("doc_id", "n_words", "n_hit")), rows(docs.orderBy("doc_id", F.length("text")))):
+        if r["doc_id"] is None or r["doc_id"] in (1, 2, 3, 4, 5, 6, 7):  # ids of both kinds of rows
+            continue
+        w = words(d["text"])
+        at = [(j, k) for n in (1, 2, 3, 4) for j in range(len(w) - n + 1) for k in [tuple(w[j : j + n])] if k in keys]
+        hit = {x for j, k in at for x in range(j, j + len(k))}
+        assert (r["n_words"], r["n_hit"], set(r["items"])) == (len(w), len(hit), {i for _, k in at for i in keys[k]})
+    assert plain(decontaminate.clean(docs, benchmark, 4, 3000)) == plain(decontaminate.clean(docs, benchmark, 4))

@@ -174,8 +174,8 @@ def test_decontamination_offsets_and_short_items(spark):
     assert sorted(r["doc_id"] for r in rows(decontaminate.clean(docs_of(spark, texts), items))) == [4, 5, 6]
     none = items.limit(0)
     assert len(rows(decontaminate.clean(docs_of(spark, AWKWARD), none))) == len(AWKWARD)
-    with pytest.raises(ValueError):
-        decontaminate.find_contamination(docs_of(spark, texts), items, max_chars=10)
+    # beyond the size of one automaton the results are the same
+    assert {r["doc_id"]: r for r in rows(decontaminate.find_contamination(docs_of(spark, texts), items, max_chars=30))} == got
 
 
 # --- secrets ---------------------------------------------------------------------
