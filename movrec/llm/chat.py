@@ -14,7 +14,8 @@ backslash, so no text can contain a mark, and reading removes exactly that one;
 in roles line feeds and backslashes are written ``\\n`` and ``\\\\`` first.
 
 How it is spread: a conversation's turns are read as a sorted stream (state: one
-digest and its path of 16 bytes a turn).  Distinct paths are range-sorted, and a
+digest and its path of 16 bytes a turn); only its last turn carries the path, and
+a path is cut into its nodes in one pass.  Distinct paths are range-sorted, and a
 node belongs to the first path through it, which makes depth-first order a
 plain rank.  Offsets are running sums over range partitions, split for a tree
 of any size; joins on nodes shared by many conversations are skewed joins with
@@ -22,7 +23,10 @@ one row on the other side.
 
 Defined results: rows of a conversation are ordered by turn (null first), then
 role, then text, and repeated rows count as turns; null text, null role: empty;
-null ``conv_id`` is a conversation of its own; other columns are not read.  The
+null ``conv_id`` is a conversation of its own; other columns are not read.  Texts of
+any length are one turn; a conversation of any number of turns costs 16 bytes a turn
+of memory in one task, and work in step with its turns.  A node's ancestor intervals
+are as many as its ancestors have that do not follow their parent at once.  The
 vocabulary file is a parameter; the driver reads and broadcasts it, after a
 check of its size.
 """
@@ -40,7 +44,6 @@ from pyspark.sql import functions as F
 
 from movrec.llm.common import arrow_map, running_before, settle, written
 
-VOCABULARY = "/opt/tokenizers/byte_bpe_50k.json"
 MAX_VOCABULARY_BYTES = 64 << 20
 START, END = "<|im_start|>", "<|im_end|>"
 LEARNED_ROLE = "assistant"
@@ -197,7 +200,28 @@ def tokenise_nodes(nodes: DataFrame, shared) -> DataFrame:
     return arrow_map(nodes.select("node", "role", "text"), run, "node binary, ids array<int>, n_ids bigint, loss_from int, loss_to int")
 
 
-def pack_trees(turns: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
+def path_steps(ranked: DataFrame) -> DataFrame:
+    """``rank, tree, depth, node`` for every node of the paths in ``ranked`` (path, rank): 36 bytes a node, whatever the path's length."""
+
+    def run(batches):
+        for batch in batches:
+            for path, rank in zip(batch.column(0), batch.column(1).to_pylist()):
+                nodes = path.as_buffer()
+                for at in range(0, nodes.size // NODE, 8192):
+                    n = min(8192, nodes.size // NODE - at)
+                    node = pa.Array.from_buffers(pa.binary(NODE), n, [None, nodes.slice(at * NODE, n * NODE)])
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array(np.full(n, rank)), pa.array([nodes.slice(0, NODE).to_pybytes()] * n, pa.binary()),
+                            pa.array(np.arange(at, at + n, dtype=np.int32)), node.cast(pa.binary()),
+                        ],
+                        ["rank", "tree", "depth", "node"],
+                    )
+
+    return arrow_map(ranked.select("path", "rank"), run, "rank bigint, tree binary, depth int, node binary")
+
+
+def pack_trees(turns: DataFrame, vocabulary: str) -> DataFrame:
     """The packed trees of :func:`conversation_nodes` rows, one row for each node.
 
     ``tree, node, depth, start, position, ids, loss_from, loss_to, ancestors``:
@@ -210,9 +234,7 @@ def pack_trees(turns: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     nodes = written(tokenise_nodes(distinct, shared))
     paths = turns.filter(F.col("path").isNotNull()).select("path").distinct()
     ranked = settle(paths.repartitionByRange("path").sortWithinPartitions("path").withColumn("rank", F.monotonically_increasing_id()))
-    at = F.explode(F.sequence(F.lit(0), (F.octet_length("path") / NODE).cast("int") - 1)).alias("depth")
-    steps = ranked.select("rank", F.substring("path", 1, NODE).alias("tree"), "path", at)
-    steps = steps.select("rank", "tree", "depth", F.substr("path", F.col("depth") * NODE + 1, F.lit(NODE)).alias("node"))
+    steps = path_steps(ranked)
     owner = settle(steps.groupBy("node").agg(F.min("rank").alias("owner")).join(nodes.select("node", "n_ids"), "node"))
     steps = settle(steps.join(owner, "node"))
     own = steps.filter("rank = owner")
@@ -250,10 +272,10 @@ def pack_trees(turns: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
                 )
 
     found = arrow_map(walked, run, "tree binary, node binary, depth int, start bigint, position bigint, ancestors array<struct<start:bigint,end:bigint>>")
-    return found.join(nodes.drop("n_ids"), "node").select("tree", "node", "depth", "start", "position", "ids", "loss_from", "loss_to", "ancestors")
+    return written(found).join(nodes.drop("n_ids"), "node").select("tree", "node", "depth", "start", "position", "ids", "loss_from", "loss_to", "ancestors")
 
 
-def read_back(turns: DataFrame, packed: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
+def read_back(turns: DataFrame, packed: DataFrame, vocabulary: str) -> DataFrame:
     """Each conversation decoded from the packed trees, digested turn by turn.
 
     ``conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars``.
@@ -302,7 +324,11 @@ def read_back(turns: DataFrame, packed: DataFrame, vocabulary: str = VOCABULARY)
     )
 
 
-def format_conversations(conversations: DataFrame, vocabulary: str = VOCABULARY) -> tuple[DataFrame, DataFrame]:
-    """The turns with their nodes, and the packed trees, both written to the shared folder."""
+def format_conversations(conversations: DataFrame, vocabulary: str) -> tuple[DataFrame, DataFrame]:
+    """The turns with their nodes, and the packed trees.
+
+    The turns, and the places and the tokens of the nodes, are tables in the shared
+    folder; the packed trees join the last two, so that tokens are stored once.
+    """
     turns = written(conversation_nodes(conversations))
-    return turns, written(pack_trees(turns, vocabulary))
+    return turns, pack_trees(turns, vocabulary)
