@@ -13,11 +13,12 @@ precision.  Equal vectors are one node with a count.
    gathered with their vectors; all members are compared with each other,
    and pairs better than a member's worst neighbour are offered to it.  A
    list whose every neighbour reaches the threshold is saturated and doubles.
-3. Audit.  A sample of all nodes, and one of the nodes outside dense groups, are
-   compared with all rows.  The second grows until ``AUDIT_LINKS`` true links are
-   seen, all such nodes are asked, or ``MOST_AUDIT`` are.  While the links found
-   in either fall short of ``recall``, fresh orders and another round run; after
-   ``most_rounds`` that is an error, never a result.
+3. Audit.  Every node whose id is divisible by 100 is compared with all rows, in
+   passes of bounded size; where these have fewer than ``AUDIT_LINKS`` links outside
+   dense groups, so are further nodes outside them, until so many are seen or all are
+   asked.  If ``MOST_AUDIT`` nodes have fewer, recall is unmeasured, and that is an
+   error.  While the links found fall short of ``recall``, fresh orders and another
+   round run; after ``most_rounds`` that is an error, never a result.
 4. Threshold edges.  Pairs at or above the threshold are links.  A list with
    ``k`` or more links was saturated and may have dropped others; a pair that both
    ends dropped has two saturated ends.  Components with saturated nodes are
@@ -31,8 +32,8 @@ precision.  Equal vectors are one node with a count.
 
 Defined results: rows whose vector is null, empty, zero, or holds null or
 non-finite components, or whose label or id is null, link with nothing and
-are their own component; vectors of different lengths are never linked; equal
-rows each get a row and count as links of each other, and so do rows with one id
+are their own component; vectors of different lengths are never linked; vectors
+may be of any length; equal rows each get a row and count as links of each other, and so do rows with one id
 and different vectors or labels (a component is named by the least id of its
 rows); other columns are not read.
 """
@@ -52,7 +53,7 @@ THRESHOLD = 0.93
 K, REVERSE, LARGEST = 8, 8, 64
 ORDERS, BLOCK, CODE_BITS, MISS = 6, 128, 48, 0.005
 ROUNDS, MOST_ROUNDS = 2, 8
-AUDIT, AUDIT_LINKS, MOST_AUDIT, RECALL = 256, 300, 16384, 0.99
+AUDIT_LINKS, MOST_AUDIT, AUDIT_BATCH, RECALL = 300, 1 << 20, 8192, 0.99
 #: a pair this near the threshold may be a link in one product and none in another
 ROUNDING = 1e-9
 CELL = 192
@@ -206,32 +207,50 @@ def descend(nodes: DataFrame, lists: DataFrame, single: bool, reverse: int = REV
 
 def audit(
     placed: DataFrame, lists: DataFrame, single: bool, threshold: float,
-    sample: int = AUDIT, links: int = AUDIT_LINKS, most: int = MOST_AUDIT,
+    links: int = AUDIT_LINKS, most: int = MOST_AUDIT, batch: int = AUDIT_BATCH,
 ) -> float:
-    """Share of the true links of sampled nodes that stand in the graph; the lesser of all nodes and those outside dense groups.
+    """Share of the true links of the asked nodes that stand in the graph; the lesser of all links and those outside dense groups.
 
     ``placed`` are the nodes with ``dense``, the group of components that is compared
-    whole (null outside).  A link inside a group will be counted; any other must be held in a list.
+    whole (null outside).  A link inside a group will be counted; any other must be held
+    in a list.  Every node whose id is divisible by 100 is asked against all rows, in
+    passes of about ``batch`` nodes.  If they have fewer than ``links`` links outside
+    dense groups, further loose nodes are asked, until those links are seen, all loose
+    nodes are asked, or ``most`` are.  Fewer links than that are then no measurement:
+    ``RuntimeError``, unless neither the asked nodes nor the lists have any.
     """
-    loose = placed.filter("dense is null")
-    shares = []
-    for rows, size, wanted in ((placed, sample, 0), (loose, 4 * sample, links)):
-        whole = rows.count()
-        while whole:
-            true, hit = _judge(placed, rows, min(1.0, size / whole), lists, single, threshold)
-            if true >= wanted or size >= min(whole, most):
-                shares.append(hit / true if true else 1.0)
-                break
-            size = min(4 * size, most)
-    return min(shares, default=1.0)
-
-
-def _judge(placed: DataFrame, rows: DataFrame, fraction: float, lists: DataFrame, single: bool, threshold: float) -> tuple[int, int]:
-    """True links of a fraction of ``rows`` to any of ``placed``, and how many of them stand in the graph."""
-    point = F.pmod(F.xxhash64(F.lit("audit"), "id"), F.lit(1 << 30)) / float(1 << 30)
-    asked = rows.filter(point < fraction).select("id", "label", "size", "v", "dense").collect()
+    every = placed.filter("id % 100 = 0")
+    seen = [_judge(placed, part, lists, single, threshold) for part in _passes(every, batch)]
+    true, hit, loose_true, loose_hit = (sum(s[i] for s in seen) for i in range(4))
+    share = hit / true if true else 1.0
+    rest = placed.filter("dense is null and id % 100 <> 0")
+    done, size = every.filter("dense is null").count(), rest.count()
+    whole = done + size
+    parts = _passes(rest, batch, size)
+    while loose_true < links and parts and done < most:
+        part = parts.pop()
+        done += part.count()
+        _, _, t, h = _judge(placed, part, lists, single, threshold)
+        loose_true, loose_hit = loose_true + t, loose_hit + h
+    if loose_true < links and done < whole:
+        held = lists.filter(F.col("sim") >= threshold).join(placed.filter("dense is null").select(F.col("id").alias("u")), "u", "left_semi")
+        if loose_true or not held.isEmpty():
+            raise RuntimeError(f"recall is unmeasured: {done} of {whole} nodes have {loose_true} links, {links} are asked for")
+    return min(share, loose_hit / loose_true if loose_true else 1.0)
+
+
+def _passes(rows: DataFrame, batch: int, size: int | None = None) -> list[DataFrame]:
+    """``rows`` cut by a hash of ``id`` into parts of about ``batch`` rows."""
+    n = -(-(rows.count() if size is None else size) // batch)
+    return [rows.filter(F.pmod(F.xxhash64(F.lit("audit"), "id"), F.lit(n)) == i) for i in range(n)]
+
+
+def _judge(placed: DataFrame, rows: DataFrame, lists: DataFrame, single: bool, threshold: float) -> tuple[int, int, int, int]:
+    """True links of the few ``rows`` to any of ``placed`` and how many of them stand in the graph; the same of rows outside dense groups."""
+    asked = rows.select("id", "label", "size", "v", "dense").collect()
     if not asked:
-        return 0, 0
+        return 0, 0, 0, 0
+    loose = placed.sparkSession.createDataFrame([(r["id"],) for r in asked if r["dense"] is None], "u bigint").withColumn("loose", F.lit(True))
     threshold += ROUNDING
     shared = placed.sparkSession.sparkContext.broadcast([tuple(r) for r in asked])
 
@@ -262,9 +281,10 @@ def _judge(placed: DataFrame, rows: DataFrame, fraction: float, lists: DataFrame
 
     true = arrow_map(placed.select("id", "label", "size", "v", "dense"), run, "u bigint, v bigint, n bigint")
     held = lists.select("u", "v").union(lists.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct().withColumn("held", F.lit(1))
-    hit = F.sum(F.when(F.col("u").isNull() | F.col("held").isNotNull(), F.col("n")))
-    row = true.filter("n > 0").join(held, ["u", "v"], "left").agg(F.sum("n").alias("n"), hit.alias("hit")).first()
-    return row["n"] or 0, row["hit"] or 0
+    stands = F.col("u").isNull() | F.col("held").isNotNull()
+    marked = true.filter("n > 0").join(held, ["u", "v"], "left").join(F.broadcast(loose), "u", "left")
+    sums = [F.sum("n"), F.sum(F.when(stands, F.col("n"))), F.sum(F.when(F.col("loose"), F.col("n"))), F.sum(F.when(stands & F.col("loose"), F.col("n")))]
+    return tuple(x or 0 for x in marked.agg(*[x.alias(f"n{i}") for i, x in enumerate(sums)]).first())
 
 
 def _group(groups: list[int | None]) -> tuple[np.ndarray, np.ndarray]:

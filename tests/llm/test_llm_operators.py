@@ -1,11 +1,14 @@
 """Operators on small tables: nulls, empty and long texts, ties, repeated rows, empty tables, clashing names."""
 
+import hashlib
 import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from movrec.llm import chat, decontaminate, embeddings, graph, language, mixing, quality, secrets, simhash, substring, url_filter
+from movrec.llm.queries import VOCABULARY
 from test_llm_queries import brute_components, brute_fingerprint, lower, rows, words
 
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
@@ -275,10 +278,10 @@ def test_chat_trees(spark):
         (None, None, None, None), (6, 0, "user", "x"), (6, 0, "user", "x"),
     ]
     df = spark.createDataFrame([(*c, 1) for c in convs], "conv_id bigint, turn bigint, role string, text string, node int")
-    turns, packed = chat.format_conversations(df)
+    turns, packed = chat.format_conversations(df, VOCABULARY)
     nodes = rows(packed)
     assert len(nodes) == 4 + 1 + 1 + 2  # the shared turns once
-    tokens = chat.Tokens(open(chat.VOCABULARY, encoding="utf-8").read())
+    tokens = chat.Tokens(open(VOCABULARY, encoding="utf-8").read())
     for tree in {n["tree"] for n in nodes}:
         part = sorted((n for n in nodes if n["tree"] == tree), key=lambda n: n["start"])
         at = 0
@@ -290,11 +293,28 @@ def test_chat_trees(spark):
             seen = [i for a in n["ancestors"] for i in sequence[a["start"] : a["end"]]]
             turns_of = [chat.parse_turn(x + "<|im_end|>\n") for x in tokens.text(seen + list(n["ids"])).split("<|im_end|>\n")[:-1]]
             assert len(turns_of) == n["depth"] + 1
-    got = {r["conv_id"]: r for r in rows(chat.read_back(turns, packed))}
+    got = {r["conv_id"]: r for r in rows(chat.read_back(turns, packed, VOCABULARY))}
     assert got[3]["loss_chars"] == len("yes <|im_end|> é漢") and got[None]["n_turns"] == 1 and got[6]["n_turns"] == 2
     assert got[1]["turns_sha256"] == got[5]["turns_sha256"]
-    empty, none = chat.format_conversations(df.limit(0))
-    assert rows(chat.read_back(empty, none)) == []
+    empty, none = chat.format_conversations(df.limit(0), VOCABULARY)
+    assert rows(chat.read_back(empty, none, VOCABULARY)) == []
+
+
+def test_chat_long_conversations_and_texts(spark):
+    n = 20_000
+    whole = spark.range(n).selectExpr("1L conv_id", "id turn", "if(id % 2 = 0, 'user', 'assistant') role", "concat('t', id) text")
+    branch = whole.filter("turn < 15000").selectExpr("2L conv_id", "turn", "role", "if(turn = 14999, 'other', text) text")
+    long = spark.createDataFrame([(3, 0, "assistant", "word " * 400_000)], whole.schema)
+    turns, packed = chat.format_conversations(whole.union(branch).union(long), VOCABULARY)
+    assert packed.count() == n + 1 + 1
+    deepest = packed.orderBy(F.desc("depth")).first()
+    # the chain's intervals are merged: one, or two where the branch lies between
+    assert deepest["depth"] == n - 1 and len(deepest["ancestors"]) <= 2 and sum(a["end"] - a["start"] for a in deepest["ancestors"]) == deepest["position"]
+    got = {r["conv_id"]: r for r in rows(chat.read_back(turns, packed, VOCABULARY))}
+    learned = "".join(f"t{i}" for i in range(1, n, 2))
+    assert got[1]["n_turns"] == n and got[1]["loss_sha256"] == hashlib.sha256(learned.encode()).hexdigest()
+    assert got[2]["n_turns"] == 15_000 and got[2]["loss_chars"] == sum(len(f"t{i}") for i in range(1, 14_999, 2)) + len("other")
+    assert got[3]["loss_chars"] == 2_000_000
 
 
 # --- embeddings ------------------------------------------------------------------
@@ -362,7 +382,16 @@ def test_embeddings_orders_follow_the_rows_of_a_label(spark):
 def test_embeddings_audit_sees_rare_links_and_is_binding(spark):
     nodes = isolated_pairs(spark, 4000, 20)
     none = spark.createDataFrame([], "u bigint, v bigint, sim double")
-    assert embeddings.audit(nodes.selectExpr("*", "cast(null as bigint) dense"), none, False, 0.93) == 0
+    placed = nodes.selectExpr("*", "cast(null as bigint) dense")
+    assert embeddings.audit(placed, none, False, 0.93) == 0
+    # passes of 50 nodes, going on past the stated query set until 20 pairs are seen from both sides
+    pairs = spark.createDataFrame([(i, 20 + i, 1.0) for i in range(20)], "u bigint, v bigint, sim double")
+    assert embeddings.audit(placed.filter("id < 400"), pairs, False, 0.93, batch=50) == 1
+    assert embeddings.audit(placed.filter("id < 400"), pairs.filter("u < 10"), False, 0.93, batch=50) == 0.5
+    # few links, and no leave to look further than some nodes: unmeasured, unless the graph has none either
+    with pytest.raises(RuntimeError, match="unmeasured"):
+        embeddings.audit(placed, pairs, False, 0.93, batch=50, most=50)
+    assert embeddings.audit(placed.filter("id >= 40"), none, False, 0.93, batch=50, most=50) == 1
     df = spark.createDataFrame([(1, [1.0, 0.0], 1), (2, [1.0, 0.1], 1)], "vec_id bigint, embedding array<double>, label int")
     with pytest.raises(RuntimeError, match="audited links"):
         embeddings.near_duplicates(df, rounds=1, most_rounds=1, recall=1.5)
