@@ -8,9 +8,11 @@ import pytest
 from pyspark.sql import functions as F
 
 import brute
+from movrec.functions.formatting import format_movements, in_pieces
 from movrec.operators import staircases as st
 from movrec.operators import windows as wn
-from movrec.plans.inspect import plan_violations
+from movrec.plans.inspect import plan_text, plan_violations
+from movrec.schema import MOVEMENT_COLUMNS
 from rows import LEDGER, WINDOWS, D, movements_df, mv, windows_df
 
 
@@ -91,3 +93,31 @@ def test_rows_do_not_grow_with_the_windows(spark):
 def test_no_nested_loop(spark, no_broadcast):
     df = st.match_windows_overlapping(windows_df(spark, WINDOWS), movements_df(spark, LEDGER))
     assert plan_violations(df) == []
+
+
+def test_copies_are_dealt_evenly(spark):
+    """Two movements that 40,000 windows hold: no task makes all copies of one, and the counts stay exact."""
+    ledger = [mv("S", "A", "T", D(2024, 1, 5), "STANDIN", ref="D"), mv("C", "A", "D", D(2024, 1, 7)), mv("C", "A", "D", D(2024, 1, 7)), mv("O", "A", "X", D(2024, 1, 7))]
+    n = 4 * st.PIECE + 1
+    windows = windows_df(spark, [{"periodo_tope": D(2024, 1, 1), "periodo": D(2024, 1, 31)}]).withColumn("i", F.explode(F.sequence(F.lit(1), F.lit(n)))).drop("i")
+    mov = movements_df(spark, ledger).repartition(1)
+    assert st.movement_counts(st.measure_windows(windows), mov).extras["_made"] == 3 * n
+    got = st.match_windows_overlapping(windows, mov)
+    assert {r["id_transaccion"]: r["count"] for r in got.groupBy("id_transaccion").count().collect()} == {"S": n, "C": 2 * n}
+    tasks = [r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()]
+    assert max(tasks) <= 3 * n // 4
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 4, 6, 7])
+def test_copies_are_made_by_the_handful(spark, n):
+    df = movements_df(spark, LEDGER[:3]).withColumn("_rep", F.lit(n).cast("long"))
+    got = format_movements(df, extra=("_rep",), repeat="_rep", handful=3)
+    assert Counter(r["id_transaccion"] for r in got.collect()) == {"S1": n, "B1": n, "C1": n}
+    assert got.columns == [*MOVEMENT_COLUMNS, "_rep"]
+    assert [r["_rep"] for r in in_pieces(df.select("_rep").limit(1), "_rep", 3).collect()] == [3] * (n // 3) + [n % 3] * (n % 3 > 0)
+
+
+def test_the_generator_holds_no_more_than_a_handful(spark):
+    """Copies are made in two steps, the last of which has a bounded count."""
+    text = plan_text(st.match_windows_overlapping(windows_df(spark, WINDOWS), movements_df(spark, LEDGER)), "simple")
+    assert f"least({st.HANDFUL}" in text and "RoundRobinPartitioning" in text
